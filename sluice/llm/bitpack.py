@@ -114,7 +114,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     sizes = blocks.groupBy("shard").agg(F.sum(F.element_at("ends", -1)).alias("n"))  # a row a shard
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return blocks.join(bases, "shard")
+    return blocks.join(F.broadcast(bases), "shard")  # a row for each writing task, so payloads need no exchange
 
 
 def documents(blocks: DataFrame) -> DataFrame:

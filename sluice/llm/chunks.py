@@ -12,7 +12,8 @@ from sluice.llm.common import Memo
 
 #: Trailing marks that form one pre-token of their own behind a word.
 MARKS = ".,;:!?*$#%&|)]}"
-LIMIT = 600_000
+#: Entries of a memo; a full one takes about 200 MB of a worker.
+LIMIT = 1_000_000
 
 
 class ChunkEncoder:
