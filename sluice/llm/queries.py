@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bitpack, bpe, fertility, langid, packing, topk, toxicity, urlfilter
+from sluice.llm import bitpack, bpe, fertility, langid, linedup, packing, topk, toxicity, urlfilter
 from sluice.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.query(table(spark, sf_dir, "documents"))
 
 
+def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.query(table(spark, sf_dir, "documents"))
+
+
 def op3_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,4 +50,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_bloom_rules": urlfilter.ORACLE, "op10_impact_topk": topk.ORACLE}
+    return {"op2_line_runs": linedup.ORACLE, "op6_url_bloom_rules": urlfilter.ORACLE, "op10_impact_topk": topk.ORACLE}
