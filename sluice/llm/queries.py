@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bitpack, bpe, fertility, langid, linedup, packing, topk, toxicity, urlfilter
+from sluice.llm import bitpack, bpe, fertility, jaccard, langid, linedup, packing, topk, toxicity, urlfilter
 from sluice.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.query(table(spark, sf_dir, "documents"))
+
+
 def op5_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.query(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -50,4 +54,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_runs": linedup.ORACLE, "op6_url_bloom_rules": urlfilter.ORACLE, "op10_impact_topk": topk.ORACLE}
+    return {"op2_line_runs": linedup.ORACLE, "op4_signature_trees": jaccard.ORACLE, "op6_url_bloom_rules": urlfilter.ORACLE, "op10_impact_topk": topk.ORACLE}

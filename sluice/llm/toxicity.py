@@ -78,7 +78,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     if not sizes.get(True) or not sizes.get(False) or not 0 < prior < 1:
         return Model({}, np.zeros((0, 0)), np.zeros(0))
     n_p, n_u = sizes[True], sizes[False]
-    seen = bags.select("p", F.explode("words").alias("w")).groupBy("w").agg(F.count_if("p").alias("a"), F.count_if(~F.col("p")).alias("b")).where("a + b > 4")
+    seen = bags.select("p", F.explode("words").alias("w")).groupBy("w").agg(F.count_if(F.col("p")).alias("a"), F.count_if(~F.col("p")).alias("b")).where("a + b > 4")
     a, b = F.col("a") / n_p, F.col("b") / n_u
     # the words whose shares differ most for their spread
     strength = F.abs(a - b) / F.sqrt((F.col("a") + F.col("b") + 1) / (n_p + n_u) * (1 / n_p + 1 / n_u))
