@@ -151,6 +151,18 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, cosine double, rejected boolean")
 
 
+def keep(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that are not rejected."""
+    small_batches(docs.sparkSession)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not shared.value.predict(t)[3] for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(docs: DataFrame, folds: int = 4, out: int = 2) -> DataFrame:
     held = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds) == out
     return predict(docs, fit(docs.where(~held))).select("doc_id", held.alias("held_out"), "lang_pred", "score", "cosine", "rejected")

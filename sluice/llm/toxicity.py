@@ -125,6 +125,18 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
 
 
+def keep(docs: DataFrame, model: Model, threshold: float = 0.5, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text scores below ``threshold``."""
+    small_batches(docs.sparkSession)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.scores(batch.column(at).to_pylist()) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(id_col: str, n: int):
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
