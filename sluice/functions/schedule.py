@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.clean import normalize
@@ -40,52 +40,47 @@ def _at(day: Column, minutes: Column) -> Column:
     return day.cast("timestamp_ntz") + F.make_dt_interval(mins=minutes)
 
 
-def interval(day: Column, rule: Column, hours: dict[str, Column], holiday: Column | None = None) -> Column:
-    """struct(state, start, stop) of a day: known with its times, closed, or unknown."""
-    closed = closed_on(rule, day, holiday)
-    week = F.weekday(day) < 5
-    start = F.when(week, clock(hours["week_open"])).otherwise(clock(hours["weekend_open"]))
-    stop = F.when(week, clock(hours["week_close"])).otherwise(clock(hours["weekend_close"]))
-    known = ~closed & (start != stop) & (start != 1440)
-    late = F.when(stop < start, stop + 1440).otherwise(stop)
-    state = F.when(closed, "closed").when(F.coalesce(known, F.lit(False)), "known").otherwise("unknown")
-    return F.struct(state.alias("state"), F.when(known, _at(day, start)).alias("start"), F.when(known, _at(day, late)).alias("stop"))
-
-
-def feasibility(now: Column, travel: Column, rule: Column, hours: dict[str, Column], holidays: tuple[Column, Column, Column] | None = None) -> Column:
-    """struct of open_now, closes_at, arrival, remaining, usable, state, urgency and known.
+def add_feasibility(df: DataFrame, now: Column, travel: Column, rule: Column, hours: dict[str, Column], holidays: tuple[Column, Column, Column] | None = None) -> DataFrame:
+    """Adds ``feasibility``: struct of open_now, closes_at, arrival, remaining, usable, state, urgency and known.
 
     ``holidays`` says of yesterday, today and tomorrow whether they are public holidays. Yesterday's hours that run
-    past midnight count, today's closing beats them, and a closing tomorrow ends hours at midnight.
+    past midnight count, today's closing beats them, and a closing tomorrow ends hours at midnight. Each step is a
+    projection of its own, so that no expression holds another one many times over.
     """
-    day = now.cast("date")
-    before, after = F.date_sub(day, 1), F.date_add(day, 1)
     h = holidays or (None, None, None)
-    past, today = interval(before, rule, hours, h[0]), interval(day, rule, hours, h[1])
-    ran = F.coalesce((past["start"] <= now) & (now < past["stop"]), F.lit(False))
-    runs = F.coalesce((today["start"] <= now) & (now < today["stop"]), F.lit(False))
-    stop = F.when(ran, past["stop"]).when(runs, today["stop"])
-    is_open = (
-        F.when(today["state"] == "closed", False)
-        .when(today["state"] == "unknown", F.lit(None).cast("boolean"))
-        .when(ran | runs, True)
-        .when((past["state"] == "unknown") & (now < today["start"]), F.lit(None).cast("boolean"))
-        .otherwise(False)
+    c = lambda name: F.col(f"_s_{name}")
+    add = lambda df, **columns: df.withColumns({f"_s_{k}": v for k, v in columns.items()})
+    none = F.lit(None).cast("boolean")
+    df = add(df, now=now, today=now.cast("date"), travel=travel, rule=rule, **{k: clock(v) for k, v in hours.items()})
+    df = add(df, past=F.date_sub(c("today"), 1), next=F.date_add(c("today"), 1))
+    df = add(df, **{f"{d}_closed": closed_on(c("rule"), c(d), x) for d, x in zip(("past", "today", "next"), h)})
+    for d in ("past", "today"):
+        week = F.weekday(c(d)) < 5
+        df = add(df, a=F.when(week, c("week_open")).otherwise(c("weekend_open")), b=F.when(week, c("week_close")).otherwise(c("weekend_close")))
+        df = add(df, known=F.coalesce(~c(f"{d}_closed") & (c("a") != c("b")) & (c("a") != 1440), F.lit(False)))
+        df = add(df, **{f"{d}_known": c("known"), f"{d}_start": F.when(c("known"), _at(c(d), c("a"))), f"{d}_stop": F.when(c("known"), _at(c(d), F.when(c("b") < c("a"), c("b") + 1440).otherwise(c("b"))))})
+    within = lambda d: F.coalesce((c(f"{d}_start") <= c("now")) & (c("now") < c(f"{d}_stop")), F.lit(False))
+    df = add(df, ran=within("past"), runs=within("today"))
+    closed_today = F.coalesce(c("today_closed"), F.lit(False))
+    past_unknown = ~c("past_known") & ~F.coalesce(c("past_closed"), F.lit(False))
+    df = add(
+        df,
+        open=F.when(closed_today, False).when(~c("today_known"), none).when(c("ran") | c("runs"), True).when(past_unknown & (c("now") < c("today_start")), none).otherwise(False),
+        stop=F.when(c("ran"), c("past_stop")).when(c("runs"), c("today_stop")),
+        midnight=c("next").cast("timestamp_ntz"),
+        arrival=c("now") + F.make_dt_interval(mins=F.when((c("travel") >= 0) & (c("travel") < 1e9), c("travel")).cast("int")),
     )
-    midnight = after.cast("timestamp_ntz")
-    over = stop > midnight
-    next_closed = closed_on(rule, after, h[2])
-    closes = F.when(is_open, F.when(over & next_closed.isNull(), F.lit(None).cast("timestamp_ntz")).when(over & next_closed, midnight).otherwise(stop))
-    travel = F.when((travel >= 0) & (travel < 1e9), travel)
-    arrival = now + F.make_dt_interval(mins=travel.cast("int"))
-    minutes = lambda a, b: F.timestamp_diff("SECOND", b, a) / 60
-    remaining = minutes(closes, now)
-    usable = F.when(arrival.isNotNull(), F.greatest(F.lit(0.0), minutes(closes, arrival)))
-    usable = F.when(closes.isNotNull(), usable)
-    state = F.when(~is_open, "CLOSED").when(usable.isNull(), "UNKNOWN").when(usable < TOO_LATE_BELOW, "TOO_LATE").otherwise("AVAILABLE")
-    urgency = F.when(state == "AVAILABLE", F.when(usable <= CLOSING_SOON_UPTO, "CLOSING_SOON").otherwise("AVAILABLE")).otherwise(state)
-    known = is_open.isNotNull() & (~is_open | closes.isNotNull())
-    return F.struct(is_open.alias("open_now"), closes.alias("closes_at"), arrival.alias("arrival"), remaining.alias("remaining"), usable.alias("usable"), state.alias("state"), urgency.alias("urgency"), known.alias("known"))
+    over = c("stop") > c("midnight")
+    closes = F.when(over & c("next_closed").isNull(), F.lit(None).cast("timestamp_ntz")).when(over & c("next_closed"), c("midnight")).otherwise(c("stop"))
+    df = add(df, closes=F.when(c("open"), closes))
+    minutes = lambda late, early: F.timestamp_diff("SECOND", early, late) / 60
+    df = add(df, remaining=minutes(c("closes"), c("now")), usable=F.when(c("closes").isNotNull() & c("arrival").isNotNull(), F.greatest(F.lit(0.0), minutes(c("closes"), c("arrival")))))
+    df = add(df, state=F.when(~c("open"), "CLOSED").when(c("usable").isNull(), "UNKNOWN").when(c("usable") < TOO_LATE_BELOW, "TOO_LATE").otherwise("AVAILABLE"))
+    urgency = F.when((c("state") == "AVAILABLE") & (c("usable") <= CLOSING_SOON_UPTO), "CLOSING_SOON").otherwise(c("state"))
+    known = c("open").isNotNull() & (~c("open") | c("closes").isNotNull())
+    out = F.struct(c("open").alias("open_now"), c("closes").alias("closes_at"), *[c(k).alias(k) for k in ("arrival", "remaining", "usable", "state")], urgency.alias("urgency"), known.alias("known"))
+    df = df.withColumn("feasibility", out)
+    return df.drop(*[k for k in df.columns if k.startswith("_s_")])
 
 
 def combine(states: Column) -> Column:

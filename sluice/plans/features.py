@@ -161,7 +161,8 @@ def exercise_features(places: DataFrame, weather: DataFrame, air: DataFrame, now
         known = tuple(F.array_contains("_days", d) for d in (F.date_sub(day, 1), day, F.date_add(day, 1)))
     minutes = F.col(travel).cast("double") if travel else F.lit(None).cast("double")
     hours = {k: F.col(c) for k, c in HOURS.items()}
-    base = places.withColumns({"feasibility": schedule.feasibility(now, minutes, F.col("rstde"), hours, known), "weather_link": geo.weather_link(F.col("latitude"), F.col("longitude")), "region": clean.mapped(F.col(region), strict=True)})
+    base = schedule.add_feasibility(places, now, minutes, F.col("rstde"), hours, known)
+    base = base.withColumns({"weather_link": geo.weather_link(F.col("latitude"), F.col("longitude")), "region": clean.mapped(F.col(region), strict=True)})
     base = base.withColumn("target", F.coalesce("feasibility.arrival", now)).withColumn("grid", F.col("weather_link.grid"))
     chosen = choose_weather(base.where("grid is not null"), weather, key, now, config)
     out = base.join(chosen, key, "left").transform(lambda df: weather_features(df, F.col("grid").isNotNull(), config))

@@ -379,7 +379,8 @@ def schedule_state(spark, d):
     lit = F.lit
     hours = {"week_open": lit("0900"), "week_close": lit("18:00"), "weekend_open": lit("09:00"), "weekend_close": lit("1800")}
     e = t(spark, d, "events").withColumn("ts", F.date_trunc("second", "ts").cast("timestamp_ntz"))
-    return e.select("event_id", schedule.feasibility(F.col("ts"), (F.col("event_id") % 50).cast("double"), lit("연중무휴"), hours).alias("f")).select("event_id", "f.state", "f.urgency")
+    e = schedule.add_feasibility(e, F.col("ts"), (F.col("event_id") % 50).cast("double"), lit("연중무휴"), hours)
+    return e.select("event_id", "feasibility.state", "feasibility.urgency")
 
 
 @query("""
