@@ -5,7 +5,9 @@ shorter text's whole sequence is its one shingle; without a word the set is empt
 documents link when 100 * common >= percent * union. Sets are compared as 64-bit shingle hashes.
 
 1. A fixed-size count sketch over the shingles of all documents says which are frequent. Each set is ordered by
-   (frequency level, hash); linked sets must share one of their first size - ceil(percent * size) + 1 elements.
+   (frequency level, hash). Sets that link share their t least common elements within their first
+   size - ceil(percent * size) + t ones; t is SPARE percent of the size and one. Sets with fewer such elements that
+   any other set has cannot link, which rules out most that merely quote the same lines.
 2. Equal sets are one node from here on: their class is found by the hash of the set and named by its least id.
 3. Nodes that share such an element, and whose sizes can link, meet in a bucket (element, band of sizes). A node first
    goes with its whole set to one bucket, in bounded parts. Large buckets are dealt a second time in another way. In
@@ -33,57 +35,78 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Memo, materialise, small_batches
+from sluice.llm.common import materialise, small_batches
 from sluice.llm.components import components
 
 #: Counters of the sketch, width of a bitmap in bits, rows of a part in steps 3 and 4.
-SKETCH, BITS, PART, PART_BITMAPS = 1 << 16, 1024, 200, 120
+SKETCH, BITS, PART, PART_BITMAPS = 1 << 20, 1024, 200, 120
+#: Width of the bitmaps that single pairs are held against before their sets are.
+WIDE = 8192
+SLICE, _SHIFT = 1 << 12, np.uint64(44)
 #: Sets of a part may hold so many shingles together.
 PART_SHINGLES = 2_000_000
+#: Of a set's size, in percent: so many more first elements are sent, and must be shared.
+SPARE = 3
 #: Ratio of sizes in a band.
 BAND = 1.25
 _LEAF = 16
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def _word_hash(word: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(word)
-
-
-_WORDS = Memo(_word_hash, 500_000)
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _P[3]
     x = (x ^ (x >> np.uint64(29))) * _P[0]
     return x ^ (x >> np.uint64(32))
 
 
+#: Random words by place in a word (modulo 64) and byte, for the hash of a word: their sum.
+_TABLE = None
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of lower-cased bytes: tabulation by place and byte."""
+    global _TABLE
+    if _TABLE is None:
+        with np.errstate(over="ignore"):
+            _TABLE = _mix(np.arange(1, 64 * 256 + 1, dtype=np.uint64) * _P[1])
+    b = np.frombuffer(raw, np.uint8)
+    at = np.flatnonzero((b != 32) & ((b < 9) | (b > 13)))
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    new = np.empty(len(at), bool)
+    new[0], new[1:] = True, at[1:] != at[:-1] + 1
+    starts = np.flatnonzero(new)
+    place = np.arange(len(at)) - np.repeat(starts, np.diff(starts, append=len(at)))
+    values = _TABLE[(place & 63) << 8 | b[at]]
+    if place.max() > 63:
+        with np.errstate(over="ignore"):
+            values = values * (2 * (place >> 6).astype(np.uint64) * _P[2] + np.uint64(1))
+    return np.add.reduceat(values, starts)
+
+
 def shingles(text: str | None, n: int) -> np.ndarray:
     """The sorted distinct shingle hashes of a whole text."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
+    h = word_hashes((text or "").encode("utf-8", "replace").lower())
+    if not len(h):
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(words))
+    size = min(n, len(h))
     with np.errstate(over="ignore"):
         out = np.full(len(h) - size + 1, size, np.uint64)
         for i in range(size):
             out = _mix(out + h[i : len(h) - size + 1 + i])
-    return np.unique(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of BITS bits for each set."""
-    out = np.zeros((len(sets), BITS), np.uint8)
+def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A row of ``bits`` bits for each set."""
+    out = np.zeros((len(sets), bits), np.uint8)
     for row, s in zip(out, sets):
-        row[(s >> np.uint64(40)).astype(np.int64) % BITS] = 1
+        row[(s >> np.uint64(40)).astype(np.int64) % bits] = 1
     return np.packbits(out, axis=1).view(np.uint64)
 
 
@@ -93,7 +116,7 @@ class SignatureTree:
     def __init__(self, bits: np.ndarray, sizes: np.ndarray, groups: np.ndarray):
         self.order = np.lexsort((bits[:, 0], sizes))
         self.levels = [(bits[self.order], sizes[self.order], sizes[self.order], np.bitwise_count(bits[self.order]).sum(1).astype(np.int64), groups[self.order], groups[self.order])]
-        while len(self.levels[-1][0]) > 1:
+        while len(self.levels[-1][0]) > 1 or len(self.levels) == 1:
             below, starts = self.levels[-1], np.arange(0, len(self.levels[-1][0]), _LEAF)
             self.levels.append(tuple(f.reduceat(x, starts, axis=0) for f, x in zip((np.bitwise_or, np.minimum, np.maximum, np.minimum, np.minimum, np.maximum), below)))
 
@@ -138,7 +161,7 @@ def forest(names: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], percen
     label = np.unique(groups, return_inverse=True)[1].astype(np.int64)
     sizes = np.asarray([len(s) for s in sets], np.int64)
     out = []
-    for left, right in SignatureTree(bitmaps(sets), sizes, label).pairs(percent):
+    for left, right in SignatureTree(bitmaps(sets, BITS), sizes, label).pairs(percent):
         while True:
             apart = label[left] != label[right]
             left, right = left[apart], right[apart]
@@ -153,20 +176,39 @@ def forest(names: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], percen
 
 
 def _sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How often the shingles of all documents fall on each of SKETCH counters; a task sends a row for each."""
+    """How often the shingles of all documents fall on each of SKETCH counters.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A task sends its counters in slices; each slice is added up as a stream.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(SKETCH, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                held += np.bincount((shingles(text, n) >> np.uint64(48)).astype(np.int64), minlength=SKETCH)
-        at = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[at])], names=["place", "n"])
+                np.add.at(held, (shingles(text, n) >> _SHIFT).astype(np.int64), 1)
+        yield send(dict(enumerate(held.reshape(-1, SLICE))))
+
+    def send(slices: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array([x.astype("<i8").tobytes() for x in slices.values()], pa.binary())], names=["slice", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held[k] = held.get(k, 0) + np.frombuffer(raw, "<i8")
+        if held:
+            yield send(held)
+
+    total = np.zeros(SKETCH, np.int64).reshape(-1, SLICE)
+    schema = "slice int, counts binary"
+    for r in docs.select("text").mapInArrow(count, schema).repartition("slice").mapInArrow(add, schema).collect():
+        total[r["slice"]] = np.frombuffer(bytes(r["counts"]), "<i8")
+    return total.reshape(-1)
+
 
-    total = np.zeros(SKETCH, np.int64)
-    for r in docs.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
-        total[r["place"]] = r["n"]
-    return total
+def spare(size):
+    """Elements that linked sets share at least among their first ones, by the smaller set's size."""
+    return size * SPARE // 100 + 1
 
 
 def _features(docs: DataFrame, n: int, percent: int, level: np.ndarray) -> DataFrame:
@@ -180,8 +222,8 @@ def _features(docs: DataFrame, n: int, percent: int, level: np.ndarray) -> DataF
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shingles(text, n)
-                first = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                order = np.argsort(shared.value[(s >> np.uint64(48)).astype(np.int64)], kind="stable")[:first]
+                first = len(s) - -(-percent * len(s) // 100) + spare(len(s)) if len(s) else 0
+                order = np.argsort(shared.value[(s >> _SHIFT).astype(np.int64)], kind="stable")[:first]
                 key = xxhash.xxh3_128_digest(s.tobytes())
                 rows.append((doc, len(s), int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), signed(s[order])))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
@@ -191,18 +233,16 @@ def _features(docs: DataFrame, n: int, percent: int, level: np.ndarray) -> DataF
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """node and whole set (binary)."""
+    """node, size, bitmaps of two widths and the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, n).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), pa.array(bitmaps_of(sets), pa.binary())], names=["node", "set", "bits"])
+            arrays = [np.frombuffer(s, np.uint64) for s in sets]
+            narrow, wide = ([row.tobytes() for row in bitmaps(arrays, bits)] for bits in (BITS, WIDE))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in arrays], pa.int64()), pa.array(narrow, pa.binary()), pa.array(wide, pa.binary()), pa.array(sets, pa.binary())], names=["node", "size", "bits", "wide", "set"])
 
-    return docs.mapInArrow(run, "node long, set binary, bits binary")
-
-
-def bitmaps_of(sets: list[bytes]) -> list[bytes]:
-    return [row.tobytes() for row in bitmaps([np.frombuffer(s, np.uint64) for s in sets])]
+    return docs.mapInArrow(run, "node long, size long, bits binary, wide binary, set binary")
 
 
 def _part(count: int | Column, *of: str) -> Column:
@@ -227,14 +267,19 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
     nodes = materialise(nodes.select("k1", "k2", "node", "x.size", "x.first"), "nodes")
 
     # buckets: an element that several nodes have, and a band of sizes; a node also visits the next band if it reaches
-    entries = nodes.select("node", "size", F.explode("first").alias("e"))
+    entries = nodes.select("node", "size", F.posexplode("first").alias("at", "e"))
     common = entries.groupBy("e").agg(F.count("*").alias("n")).where("n > 1").select("e")
-    entries = entries.join(common, "e")
+    entries = materialise(entries.join(common, "e"), "entries")
+    enough = entries.groupBy("node").agg(F.count("*").alias("n"), F.first("size").alias("size"))
+    enough = enough.where(F.col("n") >= F.floor(F.ceil(F.col("size") * percent / 100) * SPARE / 100) + 1).select("node")
     bands = F.array_distinct(F.array(_band(F.col("size")), _band(F.col("size") * 100 / percent)))
-    entries = entries.select("e", "node", "size", F.posexplode(bands).alias("visit", "band"))
-    entries = materialise(entries, "entries")
-    rooms = entries.groupBy("e", "band").agg(F.count("*").alias("n"), F.count_if(F.col("visit") == 0).alias("own"), F.sum("size").alias("weight")).where("n > 1 and own > 0")
-    entries = materialise(entries.join(rooms.drop("own"), ["e", "band"]), "shared")
+    first = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    entries = entries.where(F.col("at") < first).join(enough, "node", "left_semi").select("e", "node", "size", F.posexplode(bands).alias("visit", "band"))
+    entries = materialise(entries, "visits")
+    rooms = entries.groupBy("e", "band").agg(F.count("*").alias("n"), F.count_if(F.col("visit") == 0).alias("own"), F.sum("size").alias("weight"), F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
+    # buckets of equal members do the same work: one of them is enough
+    rooms = rooms.where("n > 1 and own > 0").groupBy("n", "h1", "h2", "weight").agg(F.min(F.struct("e", "band")).alias("x")).select("x.*", "n", "weight")
+    entries = materialise(entries.join(rooms, ["e", "band"]), "shared")
 
     # whole sets of the nodes that meet another
     wanted = entries.select(F.col("node").alias("doc_id")).distinct()
@@ -243,7 +288,7 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
     # step 3: each node with its set in one bucket
     chosen = entries.groupBy("node").agg(F.min_by(F.struct("e", "band", "n", "weight"), F.struct("band", F.xxhash64("e"))).alias("x")).select("node", "x.*")
     parts = F.greatest(F.ceil(F.col("n") / PART), F.ceil(F.col("weight") / PART_SHINGLES))
-    chosen = materialise(chosen.withColumn("parts", parts).join(sets.select("node", "set"), "node"), "chosen")
+    chosen = materialise(chosen.withColumn("parts", parts), "chosen")
 
     def in_part(table: pa.Table) -> pa.Table:
         names = np.asarray(table.column("node"), np.int64)
@@ -254,7 +299,8 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
 
     def round_of(rows: DataFrame, salt: int) -> DataFrame:
         part = _part(F.greatest("parts", F.lit(1)), "node") if not salt else F.pmod(F.xxhash64(F.lit(salt), "node"), F.greatest("parts", F.lit(1))).cast("int")
-        return rows.withColumn("part", part).groupBy("e", "band", "part").applyInArrow(in_part, "u long, v long")
+        rows = rows.withColumn("part", part).join(sets.select("node", "set"), "node")
+        return rows.groupBy("e", "band", "part").applyInArrow(in_part, "u long, v long")
 
     edges = materialise(round_of(chosen.withColumn("root", F.col("node")), 0), "links")
     roots = materialise(components(edges), "roots")
@@ -274,26 +320,56 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
     as_row = F.when(minor, F.transform(every(columns_), lambda j: F.struct(row.alias("i"), j.alias("j"))))
     as_column = F.transform(every(rows_), lambda i: F.struct(i.alias("i"), column.alias("j")))
     cells = F.array_distinct(F.concat(as_column, F.coalesce(as_row, F.array().cast("array<struct<i:int,j:int>>"))))
-    tagged = tagged.select("e", "band", "node", "root", F.explode(cells).alias("cell")).join(sets.select("node", "bits", (F.length("set") / 8).cast("long").alias("size")), "node")
-
-    def candidates(table: pa.Table) -> pa.Table:
-        names, roots_, sizes = (np.asarray(table.column(c), np.int64) for c in ("node", "root", "size"))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
-        found = [(names[i], names[j]) for i, j in SignatureTree(bits, sizes, roots_).pairs(percent)]
-        different = np.concatenate([np.stack(x) for x in found], axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.table({"u": pa.array(different.min(0)), "v": pa.array(different.max(0))})
+    tagged = tagged.select("e", "band", "node", "root", F.explode(cells).alias("cell")).join(sets.select("node", "size", "bits"), "node")
+    tagged = tagged.select(F.xxhash64("e", "band", "cell").alias("room"), "node", "root", "size", "bits").repartition("room").sortWithinPartitions("room")
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rooms arrive one after another; a room of few hundred rows at most is held at a time
+        held: list[pa.Table] = []
+
+        def search(table: pa.Table) -> pa.RecordBatch:
+            rooms_, names, roots_, sizes = (np.asarray(table.column(c).combine_chunks(), np.int64) for c in ("room", "node", "root", "size"))
+            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
+            cuts = np.flatnonzero(np.concatenate([[True], rooms_[1:] != rooms_[:-1], [True]]))
+            found = [np.zeros((2, 0), np.int64)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                found += [np.stack([names[a:b][i], names[a:b][j]]) for i, j in SignatureTree(bits[a:b], sizes[a:b], roots_[a:b]).pairs(percent)]
+            both = np.sort(np.concatenate(found, axis=1), axis=0)
+            both = np.unique(both, axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["u", "v"])
 
-    pairs = tagged.groupBy("e", "band", "cell").applyInArrow(candidates, "u long, v long").distinct()
-    left = sets.select(F.col("node").alias("u"), F.col("set").alias("a"))
-    right = sets.select(F.col("node").alias("v"), F.col("set").alias("b"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = pa.array([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b)], pa.bool_())
-            yield batch.select([0, 1]).filter(keep)
-
-    more = pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(compare, "u long, v long")
+            held.append(pa.Table.from_batches([batch]))
+            table = pa.concat_tables(held)
+            rooms_ = np.asarray(table.column("room").combine_chunks(), np.int64)
+            done = int(np.searchsorted(rooms_, rooms_[-1]))  # rows of rooms that have ended
+            if done >= 20_000:
+                yield search(table.slice(0, done))
+                table = table.slice(done)
+            held = [table]
+        if held and held[0].num_rows:
+            yield search(pa.concat_tables(held))
+
+    pairs = materialise(tagged.mapInArrow(candidates, "u long, v long").distinct(), "pairs")
+
+    def compare(test, *columns: str):
+        """Pairs that pass a test on columns of both sides."""
+        of = lambda side: sets.select(F.col("node").alias(side), F.struct("size", *columns).alias(f"x_{side}"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = [test(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+                yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+        return lambda found: found.join(of("u"), "u").join(of("v"), "v").select("u", "v", "x_u", "x_v").mapInArrow(run, "u long, v long")
+
+    def may(x: dict, y: dict) -> bool:
+        a, b = np.frombuffer(x["wide"], np.uint64), np.frombuffer(y["wide"], np.uint64)
+        bound = min(x["size"] - int(np.bitwise_count(a & ~b).sum()), y["size"] - int(np.bitwise_count(b & ~a).sum()))
+        return (100 + percent) * bound >= percent * (x["size"] + y["size"])
+
+    likely = materialise(compare(may, "wide")(pairs), "pairs")
+    more = compare(lambda x, y: linked(np.frombuffer(x["set"], np.uint64), np.frombuffer(y["set"], np.uint64), percent), "set")(likely)
     edges = materialise(edges.union(more), "links")
     roots = materialise(components(edges), "roots")
 
