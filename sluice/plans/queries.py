@@ -30,10 +30,20 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 # Expressions that make unclean text of clean columns, written alike on both sides.
-_MARK = F.when(F.col("event_id") % 7 == 0, " NULL ").when(F.col("event_id") % 11 == 0, "-").when(F.col("event_id") % 13 == 0, "").otherwise(F.concat(F.lit("  "), F.col("event_type"), F.lit(" ")))
+
+
+def _mark() -> Column:
+    return F.when(F.col("event_id") % 7 == 0, " NULL ").when(F.col("event_id") % 11 == 0, "-").when(F.col("event_id") % 13 == 0, "").otherwise(F.concat(F.lit("  "), F.col("event_type"), F.lit(" ")))
+
+
 _MARK_SQL = "CASE WHEN event_id % 7 = 0 THEN ' NULL ' WHEN event_id % 11 = 0 THEN '-' WHEN event_id % 13 = 0 THEN '' ELSE '  ' || event_type || ' ' END"
-_KEY = F.get_json_object("props", "$.k")
-_NUM = F.when(F.col("event_id") % 5 == 0, F.concat(_KEY, F.lit(".5"))).when(F.col("event_id") % 9 == 0, F.lit("1,234")).when(F.col("event_id") % 8 == 0, F.lit("12abc")).when(F.col("event_id") % 17 == 0, F.lit("nan")).otherwise(_KEY)
+
+
+def _num() -> Column:
+    key = F.get_json_object("props", "$.k")
+    return F.when(F.col("event_id") % 5 == 0, F.concat(key, F.lit(".5"))).when(F.col("event_id") % 9 == 0, F.lit("1,234")).when(F.col("event_id") % 8 == 0, F.lit("12abc")).when(F.col("event_id") % 17 == 0, F.lit("nan")).otherwise(key)
+
+
 _NUM_SQL = "CASE WHEN event_id % 5 = 0 THEN json_extract_string(props, '$.k') || '.5' WHEN event_id % 9 = 0 THEN '1,234' WHEN event_id % 8 = 0 THEN '12abc' WHEN event_id % 17 = 0 THEN 'nan' ELSE json_extract_string(props, '$.k') END"
 _CLEAN_SQL = r"CASE WHEN regexp_matches(replace({0}, ',', ''), '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$') THEN TRY_CAST(replace({0}, ',', '') AS DOUBLE) END"
 
@@ -50,12 +60,12 @@ def time_range_scan(spark, d):
 
 @query(f"WITH r AS (SELECT event_id, {_MARK_SQL} AS raw FROM events) SELECT event_id, CASE WHEN lower(trim(raw)) NOT IN ('', '-', '--', 'null', 'none', 'n/a', 'na', 'nan') THEN trim(raw) END AS cleaned FROM r")
 def normalize_nulls(spark, d):
-    return clean.normalize_nulls(t(spark, d, "events").select("event_id", _MARK.alias("cleaned")))
+    return clean.normalize_nulls(t(spark, d, "events").select("event_id", _mark().alias("cleaned")))
 
 
 @query(f"WITH r AS (SELECT event_id, {_NUM_SQL} AS raw FROM events), n AS (SELECT *, {_CLEAN_SQL.format('raw')} AS as_double FROM r) SELECT event_id, as_double, CASE WHEN as_double % 1 = 0 THEN CAST(as_double AS BIGINT) END AS as_long FROM n")
 def safe_numeric(spark, d):
-    return t(spark, d, "events").select("event_id", clean.number(_NUM).alias("as_double"), clean.integer(_NUM).alias("as_long"))
+    return t(spark, d, "events").select("event_id", clean.number(_num()).alias("as_double"), clean.integer(_num()).alias("as_long"))
 
 
 @query("""
@@ -87,12 +97,12 @@ def map_standardize(spark, d):
     return t(spark, d, "nation").select("n_nationkey", clean.mapped(F.col("n_name"), names).alias("standard"), clean.mapped(F.col("n_name"), names, strict=True).alias("known"))
 
 
-_LAT, _LON = F.when(F.col("c_custkey") % 10 != 0, 32 + F.col("c_custkey") % 9), F.when(F.col("c_custkey") % 15 != 0, 122 + F.col("c_custkey") % 12)
 _PLACE = f"(SELECT c_custkey, CAST(CASE WHEN c_custkey % 10 <> 0 THEN 32 + c_custkey % 9 END AS DOUBLE) AS lat, CAST(CASE WHEN c_custkey % 15 <> 0 THEN 122 + c_custkey % 12 END AS DOUBLE) AS lon FROM customer)"
 
 
 def _places(spark, d):
-    return t(spark, d, "customer").select("c_custkey", _LAT.cast("double").alias("lat"), _LON.cast("double").alias("lon"))
+    lat, lon = F.when(F.col("c_custkey") % 10 != 0, 32 + F.col("c_custkey") % 9), F.when(F.col("c_custkey") % 15 != 0, 122 + F.col("c_custkey") % 12)
+    return t(spark, d, "customer").select("c_custkey", lat.cast("double").alias("lat"), lon.cast("double").alias("lon"))
 
 
 @query(f"SELECT * FROM {_PLACE} WHERE lat BETWEEN 33 AND 39.5 AND lon BETWEEN 124 AND 132")
@@ -113,8 +123,8 @@ def first_token_coalesce(spark, d):
 
 @query(f"WITH r AS (SELECT event_id, event_type, {_NUM_SQL} AS raw FROM events) SELECT event_id, CASE WHEN event_type = 'error' THEN raw WHEN {_CLEAN_SQL.format('raw')} IS NOT NULL THEN 'number' END AS value FROM r")
 def category_conditional_cast(spark, d):
-    number = F.when(clean.number(_NUM).isNotNull(), "number")
-    return t(spark, d, "events").select("event_id", F.when(clean.equals(F.col("event_type"), "error"), _NUM).otherwise(number).alias("value"))
+    number = F.when(clean.number(_num()).isNotNull(), "number")
+    return t(spark, d, "events").select("event_id", F.when(clean.equals(F.col("event_type"), "error"), _num()).otherwise(number).alias("value"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN 'measured:' ELSE 'collected:' END || strftime(ts, '%Y-%m-%dT%H:%M:%S') AS observation_key FROM events")
@@ -167,13 +177,13 @@ def semi_join(spark, d):
 
 @query(f"WITH r AS (SELECT {_NUM_SQL} AS raw, {_MARK_SQL} AS mark FROM events), c AS (SELECT raw IS NOT NULL AND {_CLEAN_SQL.format('raw')} IS NULL AS a, lower(trim(mark)) IN ('', '-', 'null') AS b FROM r) SELECT count(*) FILTER (a) AS lost_num, count(*) FILTER (b) AS lost_mark, count(*) FILTER (a OR b) AS affected_rows, count(*) FILTER (a) + count(*) FILTER (b) AS lost_cells FROM c")
 def null_transitions(spark, d):
-    before = lineage.add_lineage(t(spark, d, "events").select("event_id", _NUM.alias("num"), _MARK.alias("mark")), "events", "event_id")
+    before = lineage.add_lineage(t(spark, d, "events").select("event_id", _num().alias("num"), _mark().alias("mark")), "events", "event_id")
     after = before.withColumns({"num": clean.number(F.col("num")), "mark": clean.normalize(F.col("mark"))})
     return lineage.null_transitions(before, after, ["num", "mark"])
 
 
 def _tagged(spark, d):
-    df = lineage.add_lineage(t(spark, d, "events").select("event_id", "user_id", "event_type", _NUM.alias("num")), "events", "event_id")
+    df = lineage.add_lineage(t(spark, d, "events").select("event_id", "user_id", "event_type", _num().alias("num")), "events", "event_id")
     df = lineage.remove_unless(lineage.start_tags(df), F.col("event_type") != "error", "error_event")
     df = lineage.convert(df, "num", clean.number(F.col("num")))
     return lineage.remove_earlier(df, ["user_id", "event_type"], [F.col("event_id")], "earlier")
@@ -359,13 +369,14 @@ def bankers_round(spark, d):
     return t(spark, d, "part").select("p_partkey", geo.travel_minutes(F.col("p_size") / 40).alias("minutes"))
 
 
-_CLOCK = F.when(F.col("o_orderkey") % 7 == 0, "24:00").when(F.col("o_orderkey") % 11 == 0, "9:5").when(F.col("o_orderkey") % 13 == 0, "2575").otherwise(F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"))
-_CLOCK = F.when(F.length(_CLOCK) == 2, F.concat(_CLOCK, F.lit(":"), F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0"))).otherwise(_CLOCK)
+def _clock() -> Column:
+    raw = F.when(F.col("o_orderkey") % 7 == 0, "24:00").when(F.col("o_orderkey") % 11 == 0, "9:5").when(F.col("o_orderkey") % 13 == 0, "2575").otherwise(F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"))
+    return F.when(F.length(raw) == 2, F.concat(raw, F.lit(":"), F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0"))).otherwise(raw)
 
 
 @query("SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 7 = 0 THEN 1440 WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE (o_orderkey % 24) * 60 + o_orderkey % 60 END AS INTEGER) AS minutes FROM orders")
 def clock_parse(spark, d):
-    return t(spark, d, "orders").select("o_orderkey", schedule.clock(_CLOCK).alias("minutes"))
+    return t(spark, d, "orders").select("o_orderkey", schedule.clock(_clock()).alias("minutes"))
 
 
 @query("""
@@ -416,7 +427,7 @@ def observation_summary(spark, d):
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Scan, null tokens, guarded numbers, last observation of a key, review flags, summary."""
-    raw = t(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("date").cast("string").alias("day"), _MARK.alias("kind"), _NUM.alias("amount"))
+    raw = t(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("date").cast("string").alias("day"), _mark().alias("kind"), _num().alias("amount"))
     df = clean.normalize_nulls(raw).withColumn("amount", clean.number(F.col("amount")))
     df = dedup.keep_last(df, ["user_id", "kind", "day"], [F.col("event_id")])
     df = df.withColumn("review", clean.any_null(df, ["kind", "amount"]))
