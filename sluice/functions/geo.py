@@ -32,7 +32,7 @@ def grid(lat: Column, lon: Column) -> Column:
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float = 6371.0) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    a = F.least(F.lit(1.0), F.greatest(F.lit(0.0), a))
+    a = F.when(a.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), a)))  # null where a position is unknown
     return 2 * radius * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
