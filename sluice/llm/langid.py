@@ -95,11 +95,14 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def cluster(vectors: np.ndarray, k: int = CENTROIDS) -> np.ndarray:
-    """Spherical k-means from farthest-first seeds; empty clusters go."""
-    mean = vectors.mean(0)
-    seeds = [int((vectors @ mean).argmax())]
+    """Spherical k-means; seeds are drawn by squared distance from those before, empty clusters go."""
+    rng, seeds = np.random.default_rng(0), [int((vectors @ vectors.mean(0)).argmax())]
     while len(seeds) < min(k, len(vectors)):
-        seeds.append(int((vectors @ vectors[seeds].T).max(1).argmin()))
+        far = np.maximum(0.0, 1 - (vectors @ vectors[seeds].T).max(1).astype(np.float64)) ** 2
+        far[seeds] = 0
+        if not far.any():
+            break
+        seeds.append(int(rng.choice(len(vectors), p=far / far.sum())))
     centres = vectors[seeds]
     for _ in range(ROUNDS):
         near = (vectors @ centres.T).argmax(1)

@@ -1,10 +1,12 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic texts are the positives; any training text is unlabelled. The class prior is the toxic share of the
-labelled training rows. Linear classifiers over word presence minimise pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)):
-where the second term is negative the step goes the other way, as the method says, so the flexible part of the model
-cannot drive the estimated risk of the negatives below zero. Several classifiers, fitted on different parts of the
-sample, are averaged.
+labelled training rows, or what the scores of a first fit allow if that is less, as labels may be drawn otherwise
+than the texts: no more of the unlabelled texts can be toxic than lie above a threshold, for the share of positives
+that lie there. Linear classifiers over word presence minimise pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)) with the
+sigmoid loss, which is bounded: where the second term is negative the step goes the other way, as the method says, so
+the flexible part of the model cannot drive the estimated risk of the negatives below zero. Several classifiers, fitted
+on different parts of the sample, are averaged.
 
 The classifier is fitted on bounded samples in order of a hash of the id: at most ``MAX_POSITIVE`` positives,
 ``MAX_UNLABELLED`` unlabelled texts and ``MAX_TERMS`` words. Everything else covers all rows. Null and empty texts
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import materialise, small_batches
 
 MAX_POSITIVE, MAX_UNLABELLED, MAX_TERMS = 4_000, 12_000, 400
-CLASSIFIERS, STEPS, RATE, RIDGE = 3, 400, 0.05, 1e-3
+CLASSIFIERS, STEPS, RATE, RIDGE = 3, 400, 0.05, 1e-4
 #: Standard errors by which a word's share must differ between the samples; far beyond chance over all words.
 MIN_STRENGTH = 5.0
 _WORD = re.compile(r"[^\W\d_]+")
@@ -88,12 +90,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     x, p = np.zeros((len(rows), len(terms)), np.float32), np.asarray([r["p"] for r in rows])
     for i, r in enumerate(rows):
         x[i, [at[w] for w in r["w"]]] = 1
+    w, c = descend(x[p], x[~p], prior, CLASSIFIERS)
+    prior = possible_prior(x[p] @ w + c, x[~p] @ w + c, prior)
     fits = [descend(x[p], x[~p], prior, seed) for seed in range(CLASSIFIERS)]
     return Model(at, np.stack([w for w, _ in fits]), np.asarray([c for _, c in fits]))
 
 
+def possible_prior(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    """``prior``, or less if the scores rule it out: the least share above a threshold of the unlabelled scores, with a
+    standard error, over that of the positive ones. Thresholds have a tenth of the positives above them at least."""
+    at = np.quantile(positive, np.linspace(0, 0.9, 19))
+    above = lambda x: (x[:, None] >= at).mean(0)
+    share = above(unlabelled)
+    return float(min(prior, ((share + np.sqrt(share * (1 - share) / len(unlabelled)) + 1 / len(unlabelled)) / above(positive)).min()))
+
+
 def descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int) -> tuple[np.ndarray, float]:
-    """Weights and bias of one classifier with the logistic loss, by Adam on its own four fifths of the rows."""
+    """Weights and bias of one classifier with the sigmoid loss, by Adam on its own four fifths of the rows."""
     rng = np.random.default_rng(seed)
     part = lambda x: x[np.sort(rng.permutation(len(x))[: max(1, len(x) * 4 // 5)])]
     xp, xu = part(positive), part(unlabelled)
@@ -103,10 +116,10 @@ def descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: in
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     ends = lambda x, g: np.append(x.T @ g.astype(np.float32), g.sum()) / len(x)
     for step in range(1, STEPS + 1):
-        zp, zu = xp @ w[:-1].astype(np.float32) + w[-1], xu @ w[:-1].astype(np.float32) + w[-1]
-        as_negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gradient_n = ends(xu, sigmoid(zu)) - prior * ends(xp, sigmoid(zp))
-        gradient = prior * ends(xp, sigmoid(zp) - 1) + gradient_n if as_negative >= 0 else -gradient_n
+        sp, su = (sigmoid(x @ w[:-1].astype(np.float32) + w[-1]) for x in (xp, xu))
+        towards_p, towards_u = ends(xp, sp * (1 - sp)), ends(xu, su * (1 - su))
+        of_negatives = towards_u - prior * towards_p
+        gradient = of_negatives - prior * towards_p if su.mean() >= prior * sp.mean() else -of_negatives
         gradient[:-1] += RIDGE * w[:-1]
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         w -= RATE * m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)

@@ -8,9 +8,9 @@ that no entry fits get the default verdict.
 
 The list is held twice: a blocked Bloom filter, whose size has an upper bound whatever the list's size, is broadcast
 and passes possible hits; an exact hash join with the list itself removes the false positives. A URL's keys are its
-host's suffixes at dots with its path's prefixes of the lengths that occur in the list. Only keys that pass the filter
-are shuffled, with a page id instead of the URL. An empty list or table gives the default, or no rows. Duplicate page
-ids are judged row by row through a key of the URL itself. Columns besides id and URL are not read.
+host's suffixes at dots with its path's prefixes of the lengths that occur in the list. The exact join sees only keys
+that pass the filter, once for all copies of a URL. An empty list or table gives the default, or no rows. Duplicate page
+ids are judged row by row. Columns besides id and URL are not read.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 PROBES, MAX_BLOCKS, KEYS_A_BLOCK = 4, 1 << 18, 4
 #: Distinct path lengths that the list may have; each adds a key for each suffix of a host.
 MAX_LENGTHS = 2_000
-#: Dots of a host beyond which only the shorter suffixes count as its domains.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -61,12 +60,15 @@ def bloom(keys: DataFrame, blocks: int) -> DataFrame:
 def judge(pages: DataFrame, listed: DataFrame, *, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """page_id, host, path, rule (the winning entry's host + path, or null), verdict.
 
-    ``listed`` has host, path and verdict (allow or block) as canonical strings; null entries are left out.
+    ``listed`` has host, path and verdict (allow or block) as canonical strings; null entries are left out. With a column
+    ``priority`` (int), fitting entries of higher priority win whatever their length.
     """
+    if "priority" not in listed.columns:
+        listed = listed.withColumn("priority", F.lit(0))
     entries = listed.where("host is not null and path is not null and verdict is not null").select(
-        F.concat_ws("\n", F.translate("host", _UPPER, _LOWER), "path").alias("key"), F.translate("host", _UPPER, _LOWER).alias("h"), F.col("path").alias("p"), "verdict"
+        F.concat_ws("\n", F.translate("host", _UPPER, _LOWER), "path").alias("key"), F.translate("host", _UPPER, _LOWER).alias("h"), F.col("path").alias("p"), "verdict", F.coalesce("priority", F.lit(0)).alias("priority")
     )
-    entries = entries.groupBy("key", "h", "p").agg(F.max("verdict").alias("verdict"))  # block > allow
+    entries = entries.groupBy("key", "h", "p").agg(F.max(F.struct("priority", "verdict")).alias("x")).select("key", "h", "p", "x.*")  # block > allow
     about = entries.agg(F.count("*").alias("n"), F.collect_set(F.length("p")).alias("lengths")).first()
     if len(about["lengths"]) > MAX_LENGTHS:
         raise ValueError(f"{len(about['lengths'])} distinct path lengths; at most {MAX_LENGTHS} can be")
@@ -74,12 +76,12 @@ def judge(pages: DataFrame, listed: DataFrame, *, id_col: str = "page_id", url_c
 
     urls = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     prefixes = F.transform(F.filter(F.array(*[F.lit(n) for n in sorted(about["lengths"])]).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring("path", 1, n))
-    # one row for each distinct canonical URL that may hit: copies of a URL share its verdict
+    # only possible hits are exchanged, and once for all copies of a canonical URL
     keys = F.flatten(F.transform(suffixes(F.col("host")), lambda h: F.transform(prefixes, lambda p: F.concat_ws("\n", h, p))))
-    tried = urls.select("host", "path").distinct().select("host", "path", F.explode(keys).alias("key")).withColumn("block", _block(F.col("key"), blocks))
-    passed = tried.join(F.broadcast(bloom(entries, blocks)), "block").where(F.col("bits").bitwiseAND(_mask(F.col("key"))) == _mask(F.col("key"))).select("host", "path", "key")
+    tried = urls.select("host", "path", F.explode(keys).alias("key")).withColumn("block", _block(F.col("key"), blocks))
+    passed = tried.join(F.broadcast(bloom(entries, blocks)), "block").where(F.col("bits").bitwiseAND(_mask(F.col("key"))) == _mask(F.col("key"))).select("host", "path", "key").distinct()
     size = F.length("h") + F.length("p")
-    best = passed.join(entries, "key").groupBy("host", "path").agg(F.max_by(F.struct(F.concat("h", "p").alias("rule"), "verdict"), F.struct(size, F.length("h"))).alias("best"))
+    best = passed.join(entries, "key").groupBy("host", "path").agg(F.max_by(F.struct(F.concat("h", "p").alias("rule"), "verdict"), F.struct("priority", size, F.length("h"))).alias("best"))
     out = urls.join(best, ["host", "path"], "left")
     return out.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
@@ -92,8 +94,8 @@ LISTED = [("spam-farm.example.com", "/", "block"), ("spam-farm.example.net", "/"
 def query(pages: DataFrame) -> DataFrame:
     """The rules decide first; listed hosts are the method's own verdict, with a null rule."""
     spark = pages.sparkSession
-    schema = "host string, path string, verdict string"
-    ruled = judge(pages, spark.createDataFrame(RULES + LISTED, schema))
+    entries = [(*x, 1) for x in RULES] + [(*x, 0) for x in LISTED]
+    ruled = judge(pages, spark.createDataFrame(entries, "host string, path string, verdict string, priority int"))
     own = F.col("rule").isin([h + p for h, p, _ in RULES])
     return ruled.select("page_id", "host", "path", F.when(own, F.col("rule")).alias("rule"), "verdict", F.when(~own, F.col("rule")).alias("listed"))
 
@@ -112,7 +114,7 @@ r(rh, rp, verdict, ruled) AS (VALUES
   ('cheap-pills.example.com', '/', 'block', false), ('cheap-pills.example.net', '/', 'block', false)),
 best AS (
   SELECT page_id, host, path, rh, rp, r.verdict, ruled,
-         row_number() OVER (PARTITION BY page_id ORDER BY length(rh) + length(rp) DESC NULLS LAST, length(rh) DESC) AS k
+         row_number() OVER (PARTITION BY page_id ORDER BY ruled DESC NULLS LAST, length(rh) + length(rp) DESC, length(rh) DESC) AS k
   FROM u LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
 SELECT page_id, host, path, CASE WHEN ruled THEN rh || rp END AS rule, coalesce(verdict, 'allow') AS verdict,
        CASE WHEN NOT ruled THEN rh || rp END AS listed

@@ -212,7 +212,7 @@ def test_fertility_bands_reject_odd_texts(spark):
 
 
 def test_url_rules(spark):
-    urls = ["http://Example.ORG/es/x?q", "https://a.example.org/en/12#t", "http://example.org", "x.com/de/", None, "", "http://m.shop.com/de/1", "http://com/fr/", "ftp://notexample.org/es/", "http://spam-farm.example.net/p", "http://x.example.org/en/2", "a://b://c.com/de/"]
+    urls = ["http://Example.ORG/es/x?q", "https://a.example.org/en/12#t", "http://example.org", "x.com/de/", None, "", "http://m.shop.com/de/1", "http://com/fr/", "ftp://notexample.org/es/", "http://spam-farm.example.net/p", "http://x.example.org/en/2", "a://b://c.com/de/", "http://spam-farm.example.com/de/1"]
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)] + [(3, "x.com/de/", "x")], "page_id long, url string, rule string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.query(pages).collect()}
     assert got[0] == ("example.org", "/es/x", "example.org/es/", "block")
@@ -225,6 +225,7 @@ def test_url_rules(spark):
     assert got[9] == ("spam-farm.example.net", "/p", None, "block")
     assert got[10] == ("x.example.org", "/en/2", "org/", "allow")
     assert got[11] == ("b:", "//c.com/de/", None, "allow")
+    assert got[12] == ("spam-farm.example.com", "/de/1", "com/de/", "block")
     assert urlfilter.query(pages.limit(0)).count() == 0
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert {r.verdict for r in urlfilter.judge(pages, none).collect()} == {"allow"}
