@@ -13,7 +13,8 @@ documents link when 100 * common >= percent * union. Sets are compared as 64-bit
    goes with its whole set to one bucket, in bounded parts. Large buckets are dealt a second time in another way. In
    a part, signature trees find the links: leaves and inner nodes hold OR-combined bitmaps, size ranges and least bit
    counts, and a traversal of node pairs leaves out those whose largest possible overlap is too small and those of
-   one component already.
+   one component already. Then components that share buckets meet by one member each, a few rounds long, so that the
+   components of one large class have mostly joined before step 4.
 4. Buckets that still hold several components are worked off by bitmaps alone: each pair of different components
    that the trees cannot rule out is compared by its whole sets, once. Members of a bucket's largest component are
    dealt over parts and only the others meet all parts, so a large class of copies costs in proportion to its size.
@@ -47,6 +48,8 @@ SLICE, _SHIFT = 1 << 12, np.uint64(44)
 PART_SHINGLES = 2_000_000
 #: Of a set's size, in percent: so many more first elements are sent, and must be shared.
 SPARE = 3
+#: Times that nodes with too few common elements are sifted out; rounds in which components meet by one member each.
+SIFTS, MEETINGS = 2, 3
 #: Ratio of sizes in a band.
 BAND = 1.25
 _LEAF = 16
@@ -270,11 +273,16 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
     entries = nodes.select("node", "size", F.posexplode("first").alias("at", "e"))
     common = entries.groupBy("e").agg(F.count("*").alias("n")).where("n > 1").select("e")
     entries = materialise(entries.join(common, "e"), "entries")
-    enough = entries.groupBy("node").agg(F.count("*").alias("n"), F.first("size").alias("size"))
-    enough = enough.where(F.col("n") >= F.floor(F.ceil(F.col("size") * percent / 100) * SPARE / 100) + 1).select("node")
     bands = F.array_distinct(F.array(_band(F.col("size")), _band(F.col("size") * 100 / percent)))
+    visits = entries.select("e", "at", "node", "size", F.posexplode(bands).alias("visit", "band"))
+    needed = F.floor(F.ceil(F.col("size") * percent / 100) * SPARE / 100) + 1
+    for _ in range(SIFTS):  # nodes that meet others of like size in too few elements go, and then others may
+        met = visits.groupBy("e", "band").agg(F.count("*").alias("n"), F.count_if(F.col("visit") == 0).alias("own")).where("n > 1 and own > 0").select("e", "band")
+        visits = materialise(visits.join(met, ["e", "band"], "left_semi"), "visits")
+        enough = visits.groupBy("node").agg(F.count_distinct("e").alias("n"), F.first("size").alias("size")).where(F.col("n") >= needed).select("node")
+        visits = materialise(visits.join(enough, "node", "left_semi"), "visits")
     first = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    entries = entries.where(F.col("at") < first).join(enough, "node", "left_semi").select("e", "node", "size", F.posexplode(bands).alias("visit", "band"))
+    entries = visits.where(F.col("at") < first).drop("at")
     entries = materialise(entries, "visits")
     rooms = entries.groupBy("e", "band").agg(F.count("*").alias("n"), F.count_if(F.col("visit") == 0).alias("own"), F.sum("size").alias("weight"), F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
     # buckets of equal members do the same work: one of them is enough
@@ -299,7 +307,7 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
 
     def round_of(rows: DataFrame, salt: int) -> DataFrame:
         part = _part(F.greatest("parts", F.lit(1)), "node") if not salt else F.pmod(F.xxhash64(F.lit(salt), "node"), F.greatest("parts", F.lit(1))).cast("int")
-        rows = rows.withColumn("part", part).join(sets.select("node", "set"), "node")
+        rows = rows.select("e", "band", "node", "root", part.alias("part")).join(sets.select("node", "set"), "node")
         return rows.groupBy("e", "band", "part").applyInArrow(in_part, "u long, v long")
 
     edges = materialise(round_of(chosen.withColumn("root", F.col("node")), 0), "links")
@@ -308,10 +316,28 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
     edges = materialise(edges.union(round_of(large, 1)), "links")
     roots = materialise(components(edges), "roots")
 
+    def tagged_rooms() -> tuple[DataFrame, DataFrame]:
+        """The members of buckets with their components, and the buckets that hold several."""
+        tagged = entries.join(roots.withColumnRenamed("u", "node"), "node", "left").select("e", "band", "node", "size", F.coalesce("root", "node").alias("root"))
+        held = tagged.groupBy("e", "band", "root").agg(F.count("*").alias("m"))
+        rooms = held.groupBy("e", "band").agg(F.sum("m").alias("n"), F.count("*").alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"))
+        return tagged, materialise(rooms.where("roots > 1"), "open-rooms")
+
+    tagged, open_rooms = tagged_rooms()
+    for salt in range(2, 2 + MEETINGS):
+        # a member of each component in one of its buckets, the same for components that share most of them
+        lot = F.struct(F.xxhash64(F.lit(salt), "e", "band"), F.xxhash64(F.lit(salt), "node"))
+        sent = tagged.join(open_rooms.select("e", "band"), ["e", "band"], "left_semi").groupBy("root").agg(F.min_by(F.struct("node", "e", "band", "size"), lot).alias("x"))
+        sent = materialise(sent.select("root", "x.*"), "sent")
+        full = sent.groupBy("e", "band").agg(F.count("*").alias("n"), F.sum("size").alias("weight")).where("n > 1")
+        found = materialise(round_of(sent.drop("size").join(materialise(full, "full"), ["e", "band"]).withColumn("parts", parts), salt), "links")
+        if found.isEmpty():
+            break
+        edges = edges.union(found)
+        roots = materialise(components(edges), "roots")
+        tagged, open_rooms = tagged_rooms()
+
     # step 4: what is left between different components of a bucket
-    tagged = entries.join(roots.withColumnRenamed("u", "node"), "node", "left").select("e", "band", "node", F.coalesce("root", "node").alias("root"))
-    held = tagged.groupBy("e", "band", "root").agg(F.count("*").alias("m"))
-    open_rooms = held.groupBy("e", "band").agg(F.sum("m").alias("n"), F.count("*").alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most")).where("roots > 1")
     tagged = tagged.join(open_rooms, ["e", "band"])
     minor = F.col("root") != F.col("main")
     rows_, columns_ = F.ceil((F.col("n") - F.col("most")) / PART_BITMAPS).cast("int"), F.ceil(F.col("n") / PART_BITMAPS).cast("int")

@@ -47,7 +47,8 @@ def repeated_runs(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str =
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.posexplode(_lines(F.col(text_col))).alias("seq", "x"))
     rows = materialise(rows.select(*doc, "seq", F.regexp_count("x.line", F.lit(r"[^\x20\x09-\x0D]+")).alias("words"), _pair(F.col("x.line")).alias("name0")), "lines")
 
-    again = rows.groupBy("name0").agg(F.count("*").alias("n")).where("n > 1").select("name0")
+    # written, so that the join has a plain exchange on each side and a very frequent line can be split
+    again = materialise(rows.groupBy("name0").agg(F.count("*").alias("n")).where("n > 1").select("name0"), "repeated-lines")
     shared = rows.join(again, "name0", "left_semi").dropDuplicates([*doc, "seq"])
     by_doc = Window.partitionBy(*doc).orderBy("seq")
     shared = shared.withColumn("stretch", F.col("seq") - F.row_number().over(by_doc))
@@ -84,7 +85,7 @@ def repeated_runs(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str =
 
     place = F.struct(*doc, "s")
     origin = runs.groupBy("interval").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1").select("interval", "origin")
-    copies = runs.join(origin, "interval").where(place > F.col("origin")).select(*doc, "s", (F.col("s") + F.col("m") - 1).alias("e"))
+    copies = runs.join(materialise(origin, "line-origins"), "interval").where(place > F.col("origin")).select(*doc, "s", (F.col("s") + F.col("m") - 1).alias("e"))
 
     # overlapping or adjacent copies of a document become one stretch
     reach = F.max("e").over(Window.partitionBy(*doc).orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1))

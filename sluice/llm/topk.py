@@ -8,7 +8,7 @@ members: those whose upper bound reaches the k-th best lower bound. These are re
 wherever reading stops.
 
 Every query meets every block once: a stated query set against all rows, in blocks. Blocks of queries and of rows are
-joined by the query block's number; a pair of blocks is one task's unit and gives k rows a query, and a window ranks
+joined by the query block's number and a lot of row blocks; a pair of blocks is one task's unit and gives k rows a query, and a window ranks
 these. Memory is two blocks. Vectors that are null or hold a null or non-finite component take no part; a vector of
 another length counts as if its missing components were 0. Fewer than k candidates give all. Ties go to the smaller
 id; rows of equal id keep separate entries. A query never meets a candidate of its own id. Scores must fit a long.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS, QUERIES, LEVELS = 4096, 512, 6
+ROWS, QUERIES, LEVELS, MAX_TASKS = 4096, 512, 6, 20_000
 
 
 class BlockIndex:
@@ -83,7 +83,8 @@ def _blocks(vectors: DataFrame, rows: int, scale: int) -> DataFrame:
             matrix = np.zeros((len(values), width), np.int64)
             for i, v in enumerate(values):
                 matrix[i, : len(v)] = np.floor(scale * np.asarray(v, np.float64))
-            raw = [[np.asarray(ids, np.int64).tobytes()], [width], [matrix.tobytes()]]
+            small = np.int32 if not len(matrix) or np.abs(matrix).max() < 2**31 else np.int64
+            raw = [[np.asarray(ids, np.int64).tobytes()], [width], [matrix.astype(small).tobytes()]]
             ids.clear(), values.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(raw, (pa.binary(), pa.int32(), pa.binary()))], names=["ids", "width", "matrix"])
 
@@ -110,17 +111,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec
     # a few even blocks of queries, so their number is known before the rows are dealt to them
     spark = vectors.sparkSession
     asked = usable(queries)
-    parts = max(1, -(-asked.count() // QUERIES))
+    parts, lots = max(1, -(-asked.count() // QUERIES)), max(1, -(-vectors.count() // ROWS))
     query_blocks = asked.select(F.pmod(F.xxhash64("i"), F.lit(parts)).cast("int").alias("part"), "i", "v").groupBy("part").agg(F.collect_list(F.struct("i", "v")).alias("asked"))
-    rows = _blocks(usable(vectors), ROWS, scale).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    query_blocks = query_blocks.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
+    rows = _blocks(usable(vectors), ROWS, scale).withColumn("lot", F.pmod(F.xxhash64("ids"), F.lit(lots)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    rows = rows.repartition(min(MAX_TASKS, parts * lots), "part", "lot")  # work, not bytes, is what a task is given
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for r in batch.to_pylist():
                 width = max(r["width"], max(len(q["v"]) for q in r["asked"]))
-                matrix = np.frombuffer(r["matrix"], np.int64).reshape(-1, r["width"])
-                index = BlockIndex(np.frombuffer(r["ids"], np.int64), np.pad(matrix, ((0, 0), (0, width - r["width"]))))
+                ids = np.frombuffer(r["ids"], np.int64)
+                matrix = np.frombuffer(r["matrix"], f"<i{len(r['matrix']) // max(1, len(ids) * r['width'])}" if r["width"] else np.int64).reshape(len(ids), r["width"]).astype(np.int64)
+                index = BlockIndex(ids, np.pad(matrix, ((0, 0), (0, width - r["width"]))))
                 for q in r["asked"]:
                     wanted = np.zeros(width, np.int64)
                     wanted[: len(q["v"])] = np.floor(scale * np.asarray(q["v"], np.float64))
@@ -129,7 +133,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    best = rows.join(query_blocks, "part").select("ids", "width", "matrix", "asked").mapInArrow(run, "query_id long, vec_id long, score long")
+    best = rows.join(query_blocks, ["part", "lot"]).select("ids", "width", "matrix", "asked").mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
