@@ -159,11 +159,11 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def forest(names: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links (u, v) that join the groups of a part as far as its links do; pairs in one group are not compared."""
-    label = np.unique(groups, return_inverse=True)[1].astype(np.int64)
-    sizes = np.asarray([len(s) for s in sets], np.int64)
-    out = []
+def forest(groups: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """(group, least group it is joined with) as far as a part's links join its groups; pairs in one are not compared."""
+    names, label = np.unique(groups, return_inverse=True)
+    label = label.astype(np.int64)
+    own, sizes = label.copy(), np.asarray([len(s) for s in sets], np.int64)
     for left, right in SignatureTree(bitmaps(sets, BITS), sizes, label).pairs(percent):
         while True:
             apart = label[left] != label[right]
@@ -173,9 +173,9 @@ def forest(names: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], percen
             i, j = int(left[0]), int(right[0])
             left, right = left[1:], right[1:]
             if linked(sets[i], sets[j], percent):
-                out.append((int(names[i]), int(names[j])))
-                label[label == label[j]] = label[i]
-    return out
+                low, high = sorted((int(label[i]), int(label[j])))
+                label[label == high] = low
+    return sorted({(int(names[x]), int(names[y])) for x, y in zip(own, label) if x != y})
 
 
 def _sketch(docs: DataFrame, n: int) -> np.ndarray:
@@ -299,9 +299,7 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
     chosen = materialise(chosen.withColumn("parts", parts), "chosen")
 
     def in_part(table: pa.Table) -> pa.Table:
-        names = np.asarray(table.column("node"), np.int64)
-        groups = np.asarray(table.column("root"), np.int64)
-        found = forest(names, groups, [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()], percent)
+        found = forest(np.asarray(table.column("root"), np.int64), [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()], percent)
         u, v = zip(*found) if found else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
@@ -310,11 +308,18 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
         rows = rows.select("e", "band", "node", "root", part.alias("part")).join(sets.select("node", "set"), "node")
         return rows.groupBy("e", "band", "part").applyInArrow(in_part, "u long, v long")
 
-    edges = materialise(round_of(chosen.withColumn("root", F.col("node")), 0), "links")
-    roots = materialise(components(edges), "roots")
+    def joined(stars: DataFrame) -> DataFrame:
+        """The roots after roots have joined others; ``stars`` has a row for each that is no root any longer."""
+        stars = stars.select("u", F.col("v").alias("to"))
+        moved = roots.join(stars.withColumnRenamed("u", "root"), "root", "left").select("u", F.coalesce("to", "root").alias("root"))
+        return materialise(moved.union(stars.select("u", F.col("to").alias("root"))), "roots")
+
+    # every node is in one part, so what the parts find are whole stars; parts of a large bucket meet in a second deal
+    roots = materialise(round_of(chosen.withColumn("root", F.col("node")), 0).select("u", F.col("v").alias("root")), "roots")
     large = chosen.where("parts > 1").join(roots.withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    edges = materialise(edges.union(round_of(large, 1)), "links")
-    roots = materialise(components(edges), "roots")
+    second = materialise(round_of(large, 1), "links")
+    if not second.isEmpty():
+        roots = joined(components(second).withColumnRenamed("root", "v"))
 
     def tagged_rooms() -> tuple[DataFrame, DataFrame]:
         """The members of buckets with their components, and the buckets that hold several."""
@@ -333,8 +338,7 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
         found = materialise(round_of(sent.drop("size").join(materialise(full, "full"), ["e", "band"]).withColumn("parts", parts), salt), "links")
         if found.isEmpty():
             break
-        edges = edges.union(found)
-        roots = materialise(components(edges), "roots")
+        roots = joined(found)  # every root was in one part
         tagged, open_rooms = tagged_rooms()
 
     # step 4: what is left between different components of a bucket
@@ -396,8 +400,9 @@ def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_i
 
     likely = materialise(compare(may, "wide")(pairs), "pairs")
     more = compare(lambda x, y: linked(np.frombuffer(x["set"], np.uint64), np.frombuffer(y["set"], np.uint64), percent), "set")(likely)
-    edges = materialise(edges.union(more), "links")
-    roots = materialise(components(edges), "roots")
+    more = materialise(more, "links")
+    if not more.isEmpty():
+        roots = materialise(components(roots.select("u", F.col("root").alias("v")).union(more)), "roots")
 
     classes = nodes.select("k1", "k2", "node").join(roots.withColumnRenamed("u", "node"), "node", "left").select("k1", "k2", F.coalesce("root", "node").alias("root"))
     out = features.select("doc_id", "size", "k1", "k2").join(classes, ["k1", "k2"], "left")
