@@ -2,11 +2,17 @@
 
 A text's vector counts its character n-grams (1 to 3 letters, lower case, anything else as one blank) in ``DIM``
 hashed places, damped by a logarithm, weighted by inverse document frequency and normalised. Each language has several
-centroids from spherical k-means; the nearest centroid by cosine names the language. A text is rejected if its
-distance to every centroid exceeds what its own length allows.
-
-Document frequencies come from all training rows. The centroids are fitted on a bounded sample in order of a hash of
-the id: at most ``SAMPLE`` rows of a language and ``MAX_SAMPLE`` in all; there may be ``MAX_LANGUAGES`` languages.
+centroids from spherical k-means; the nearest centroid by cosine names the language. Clusters with less than
+``MIN_SHARE`` of a language's sample are left out, as rows with a wrong label gather there. A text is rejected if its
+cosine to the nearest centroid is below the floor of that language and the text's length class (half an octave of its
+letters): ``MARGIN`` times the ``QUANTILE`` of the cosines of all training rows that are named as they are labelled.
+Classes with fewer than ``MIN_ROWS`` such rows are merged with the nearest ones, shorter first, where the least floor
+holds and those of longer texts are lowered by the root of the letters; languages that have fewer in all take the
+merged classes of all languages; ``MIN_COSINE`` holds besides, and alone if the training rows are fewer still.
+
+Document frequencies and floors come from all training rows. The centroids are fitted on a bounded sample in order of
+a hash of the id: at most ``SAMPLE`` rows of a language and ``MAX_SAMPLE`` in all; there may be ``MAX_LANGUAGES``
+languages.
 Null texts and texts without a letter are ``und``, score 0, and rejected. With no training rows every text is ``und``.
 Columns besides id, text and language are not read.
 """
@@ -16,7 +22,7 @@ from __future__ import annotations
 import functools
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +35,8 @@ DIM, CENTROIDS, ROUNDS = 4096, 4, 12
 SAMPLE, MAX_SAMPLE, MAX_LANGUAGES = 500, 4_000, 1_000
 #: Least cosine by number of letters: little text shares little with any centroid.
 MIN_COSINE, FULL_LETTERS = 0.12, 200
+QUANTILE, MARGIN, MIN_ROWS, CLASSES = 0.01, 0.9, 100, 64
+MIN_SHARE = 0.03
 SHARPNESS = 25.0
 UND = "und"
 
@@ -53,28 +61,44 @@ def counts(text: str) -> tuple[np.ndarray, int]:
     return out, int(is_letter.sum())
 
 
+def length_class(letters: int) -> int:
+    return min(CLASSES - 1, int(2 * np.log2(max(1, letters))))
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
     idf: np.ndarray
     centroids: np.ndarray  # languages * CENTROIDS x DIM, normalised
     owner: np.ndarray
+    floors: np.ndarray | None = None  # languages x CLASSES
 
     def vector(self, found: np.ndarray) -> np.ndarray:
         v = np.log1p(found) * self.idf
         return v / (np.linalg.norm(v) or 1.0)
 
+    def cosines(self, found: np.ndarray) -> np.ndarray:
+        """Of each language, the cosine of its nearest centroid."""
+        best = np.full(len(self.languages), -1.0)
+        np.maximum.at(best, self.owner, self.centroids @ self.vector(found).astype(np.float32))
+        return best
+
+    def nearest(self, found: np.ndarray) -> tuple[str, float]:
+        best = self.cosines(found)
+        return self.languages[int(best.argmax())], float(best.max())
+
     def predict(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score, cosine, rejected."""
         found, letters = counts(text or "")
         if not letters or not self.languages:
             return UND, 0.0, 0.0, True
-        near = self.centroids @ self.vector(found).astype(np.float32)
-        best = np.full(len(self.languages), -1.0)
-        np.maximum.at(best, self.owner, near)
+        best = self.cosines(found)
         i = int(best.argmax())
         share = np.exp(SHARPNESS * (best - best[i]))
-        return self.languages[i], float(1 / share.sum()), float(best[i]), bool(best[i] < MIN_COSINE * min(1.0, letters / FULL_LETTERS))
+        floor = MIN_COSINE * min(1.0, letters / FULL_LETTERS)
+        if self.floors is not None:
+            floor = max(floor, self.floors[i, length_class(letters)])
+        return self.languages[i], float(1 / share.sum()), float(best[i]), bool(best[i] < floor)
 
 
 def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
@@ -95,7 +119,7 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def cluster(vectors: np.ndarray, k: int = CENTROIDS) -> np.ndarray:
-    """Spherical k-means; seeds are drawn by squared distance from those before, empty clusters go."""
+    """Spherical k-means; seeds are drawn by squared distance from those before, empty and very small clusters go."""
     rng, seeds = np.random.default_rng(0), [int((vectors @ vectors.mean(0)).argmax())]
     while len(seeds) < min(k, len(vectors)):
         far = np.maximum(0.0, 1 - (vectors @ vectors[seeds].T).max(1).astype(np.float64)) ** 2
@@ -108,7 +132,50 @@ def cluster(vectors: np.ndarray, k: int = CENTROIDS) -> np.ndarray:
         near = (vectors @ centres.T).argmax(1)
         sums = np.stack([vectors[near == i].sum(0) for i in range(len(centres)) if (near == i).any()])
         centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return centres
+    sizes = np.bincount((vectors @ centres.T).argmax(1), minlength=len(centres))
+    return centres[sizes >= min(MIN_SHARE * len(vectors), sizes.max())]
+
+
+def _merged(found: dict[int, tuple[int, float]]) -> np.ndarray | None:
+    """The floor of every length class from (rows, cosine) of some, or null if these have too few rows in all."""
+    if sum(n for n, _ in found.values()) < MIN_ROWS:
+        return None
+    out = np.empty(CLASSES)
+    for c in range(CLASSES):
+        rows, least = 0, 1.0
+        for x in sorted(found, key=lambda x: (abs(x - c), x)):
+            rows, least = rows + found[x][0], min(least, found[x][1] * 2 ** (min(0, c - x) / 4))
+            if rows >= MIN_ROWS:
+                break
+        out[c] = MARGIN * least
+    return out
+
+
+def _floors(rows: DataFrame, model: Model) -> np.ndarray:
+    """Least cosines by language and length class, from all training rows that are named as they are labelled."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = []
+            for text, lang in zip(*(c.to_pylist() for c in batch.columns)):
+                found, letters = counts(text)
+                if letters and (p := shared.value.nearest(found))[0] == lang:
+                    own.append((lang, length_class(letters), p[1]))
+            lang, at, cosine = zip(*own) if own else ([],) * 3
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(at, pa.int32()), pa.array(cosine, pa.float64())], names=["lang", "at", "cosine"])
+
+    own = rows.select("text", "lang").mapInArrow(run, "lang string, at int, cosine double")
+    own = own.groupBy("lang", "at").agg(F.count("*").alias("n"), F.percentile_approx("cosine", QUANTILE, 5_000).alias("q")).collect()
+    by_language, whole = {}, {}
+    for r in own:
+        by_language.setdefault(r["lang"], {})[r["at"]] = (r["n"], r["q"])
+        n, q = whole.get(r["at"], (0, 1.0))
+        whole[r["at"]] = (n + r["n"], min(q, r["q"]))
+    whole = _merged(whole)
+    none = np.zeros(CLASSES) if whole is None else whole
+    floors = [_merged(by_language.get(lang, {})) for lang in model.languages]
+    return np.stack([none if f is None else f for f in floors])
 
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -138,7 +205,10 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
         found.setdefault(r["lang"], []).append(np.frombuffer(bytes(r["v"]), np.float32))
     languages = sorted(found)
     centres = [cluster(np.stack(found[lang])) for lang in languages]
-    return Model(languages, idf, np.concatenate(centres) if centres else base.centroids, np.repeat(np.arange(len(centres)), [len(c) for c in centres]))
+    if not centres:
+        return base
+    model = Model(languages, idf, np.concatenate(centres), np.repeat(np.arange(len(centres)), [len(c) for c in centres]))
+    return replace(model, floors=_floors(rows, model))
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
