@@ -6,8 +6,12 @@ compare) must lie within the bands of its language, or of its dominant script wh
 fences around the quartiles of all texts of the group that pass the base rules, so they follow any corpus and cover
 it whole.
 
-Null and empty texts have zero counts and fail the base rule. A group of fewer than
-``min_group`` texts has no band of its own and only the base rules and the byte share apply. Columns besides id, text and group are not read.
+Every text that passes the base rules is judged. Its band is that of its group and length class (half an octave of
+tokens), widened by as many classes on both sides as it takes to hold ``min_group`` texts. A group of fewer texts in
+all takes the band of its script in the same way, a script of fewer texts that of all texts; a corpus of fewer texts has
+one band, of all of them. In a widened band entropy is compared less its trend over the length classes. Quartiles are those of the rows of the whole set, not means of smaller sets' quartiles.
+
+Null and empty texts have zero counts and fail the base rule. Columns besides id, text and group are not read.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import Memo, materialise, small_batches
@@ -28,7 +32,7 @@ SYMBOLS = "#*$%&|<>"
 SCRIPTS = [(0, "Latin"), (0x370, "Greek"), (0x400, "Cyrillic"), (0x530, "Armenian"), (0x590, "Hebrew"), (0x600, "Arabic"), (0x900, "Indic"), (0xE00, "Thai"), (0x1100, "Hangul"), (0x1E00, "Latin"), (0x2000, "Other"), (0x3040, "Kana"), (0x3400, "Han"), (0xA000, "Other"), (0xAC00, "Hangul"), (0xD800, "Other")]
 _STARTS = np.asarray([s for s, _ in SCRIPTS], np.uint32)
 WINDOW = 8
-SCHEMA = "doc_id long, group string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, n_byte_tokens long, entropy double"
+SCHEMA = "doc_id long, group string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, n_byte_tokens long, entropy double"
 
 
 @functools.cache
@@ -104,8 +108,9 @@ def measure(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: st
                 words = text.encode().split()
                 ids = np.frombuffer(b"".join(map(pieces.__getitem__, words)), "<i4")
                 chars = len(text) - sum(map(text.count, SPACES)) if words else 0
-                rows.append((doc, group or f"script {script(text)}", len(words), chars, sum(map(text.count, SYMBOLS)), repeated_lines(text), repeated_words(words), len(ids), int(bytewise[ids].sum()), entropy(ids)))
-            kinds = [pa.int64(), pa.string(), *[pa.int64()] * 7, pa.float64()]
+                own = script(text)
+                rows.append((doc, group or f"script {own}", own, len(words), chars, sum(map(text.count, SYMBOLS)), repeated_lines(text), repeated_words(words), len(ids), int(bytewise[ids].sum()), entropy(ids)))
+            kinds = [pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 7, pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     small_batches(docs.sparkSession)
@@ -117,7 +122,8 @@ def judge(measured: DataFrame, *, min_words: int = 20, max_repeat_share: int = 3
     """Adds base_failed, the bands' verdicts and kept.
 
     A band reaches ``reach`` interquartile ranges beyond the quartiles of the texts of the group whose number of
-    tokens is alike (within half an octave), as entropy falls with length and short texts scatter more.
+    tokens is alike (within half an octave, or the widening above), as entropy falls with length and short texts
+    scatter more.
     ``measured`` is read twice, so pass a table.
     """
     words, repeats = F.col("n_words"), F.col("n_repeat_words")
@@ -130,27 +136,57 @@ def judge(measured: DataFrame, *, min_words: int = 20, max_repeat_share: int = 3
         }
     )
     fences = lambda c: F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), F.lit(2000))
-    bands = scored.where(~F.col("base_failed")).groupBy("group", "length_class").agg(F.count("*").alias("texts"), fences("chars_per_token").alias("c"), fences("entropy").alias("e"))
-    both = scored.join(F.broadcast(_bounded(bands.where(F.col("texts") >= min_group))), ["group", "length_class"], "left")
-
-    def within(value: str, quartiles: str, least: float):
+    good, kind = scored.where(~F.col("base_failed")), ["group", "script", "length_class"]
+    sets = F.broadcast(materialise(_sets(good.groupBy(*kind).agg(F.count("*").alias("n")), min_group), "band-sets"))
+    # a row counts in every set that holds its class
+    bands = good.join(sets, kind).select(F.explode("within").alias("band"), "length_class", "chars_per_token", "entropy").groupBy("band")
+    bands = bands.agg(fences("chars_per_token").alias("c"), fences("entropy").alias("e"), F.regr_slope("entropy", "length_class").alias("slope"), F.avg("length_class").alias("centre"))
+    both = scored.join(sets.select(*kind, "band"), kind, "left").join(F.broadcast(materialise(bands, "bands")), "band", "left")
+
+    def within(value: Column, quartiles: str, least: float):
         q = F.col(quartiles)
         spread = F.greatest(q[1] - q[0], F.lit(least)) * reach
-        return F.coalesce(F.col(value).between(q[0] - spread, q[1] + spread), F.lit(True))
+        return F.coalesce(value.between(q[0] - spread, q[1] + spread), F.lit(True))
 
-    both = both.withColumns({"fertility_ok": within("chars_per_token", "c", 0.03), "entropy_ok": within("entropy", "e", 0.005), "bytes_ok": F.col("byte_share") <= max_byte_share})
-    return both.withColumn("kept", ~F.col("base_failed") & F.col("fertility_ok") & F.col("entropy_ok") & F.col("bytes_ok")).drop("c", "e", "texts", "length_class")
+    # across the classes of a widened band; none in a single class
+    trend = F.coalesce(F.nanvl("slope", F.lit(0.0)) * (F.col("length_class") - F.col("centre")), F.lit(0.0))
+    both = both.withColumns({"fertility_ok": within(F.col("chars_per_token"), "c", 0.03), "entropy_ok": within(F.col("entropy") - trend, "e", 0.005), "bytes_ok": F.col("byte_share") <= max_byte_share})
+    return both.withColumn("kept", ~F.col("base_failed") & F.col("fertility_ok") & F.col("entropy_ok") & F.col("bytes_ok")).drop("c", "e", "slope", "centre", "band", "script", "length_class")
 
 
-#: Groups are languages and scripts; their bands are broadcast, so their number is checked.
+#: Groups are languages and scripts; their length classes are broadcast, so their number is checked.
 MAX_GROUPS = 50_000
-
-
-def _bounded(bands: DataFrame) -> DataFrame:
-    bands = materialise(bands, "bands")
-    if (n := bands.count()) > MAX_GROUPS:
-        raise ValueError(f"{n} bands; at most {MAX_GROUPS} can be")
-    return bands
+CLASSES = 128
+
+
+def _sets(counted: DataFrame, min_group: int) -> DataFrame:
+    """For each group, script and length class the number of its band, and of all bands that its texts count in."""
+    found = counted.limit(MAX_GROUPS + 1).collect()
+    if len(found) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} length classes of groups")
+    keys = lambda r: [("group", r["group"]), ("script", r["script"]), ("all", "")]
+    texts: dict[tuple, np.ndarray] = {}
+    for r in found:
+        for key in keys(r):
+            texts.setdefault(key, np.zeros(CLASSES, np.int64))[r["length_class"]] += r["n"]
+
+    def around(key: tuple, c: int) -> tuple[tuple, int, int]:
+        n, reach = texts[key], 0
+        while n[max(0, c - reach) : c + reach + 1].sum() < min_group and reach < CLASSES:
+            reach += 1
+        return key, max(0, c - reach), min(CLASSES - 1, c + reach)
+
+    bands: dict[tuple, int] = {}
+    of_key: dict[tuple, set] = {}
+    own = []
+    for r in found:
+        key = next((k for k in keys(r) if texts[k].sum() >= min_group), ("all", ""))
+        band = around(key, r["length_class"])
+        own.append(bands.setdefault(band, len(bands)))
+        of_key.setdefault(key, set()).add(band)
+    within = lambda r: [bands[b] for k in keys(r) for b in of_key.get(k, ()) if b[1] <= r["length_class"] <= b[2]]
+    rows = [(r["group"], r["script"], r["length_class"], band, within(r)) for r, band in zip(found, own)]
+    return counted.sparkSession.createDataFrame(rows, "group string, script string, length_class int, band int, within array<int>")
 
 
 def query(docs: DataFrame, model: str) -> DataFrame:
