@@ -400,8 +400,14 @@ SELECT user_id, CASE WHEN bool_or(state = 'CAUTION') THEN 'CAUTION' WHEN bool_an
 """)
 def three_valued_combine(spark, d):
     state = F.when(F.col("event_type").isin("view", "click"), "FAVORABLE").when(F.col("event_type") == "error", "CAUTION")
-    e = t(spark, d, "events").where("event_id % 97 < 2").groupBy("user_id").agg(F.collect_list(F.coalesce(state, F.lit("UNKNOWN"))).alias("s"))
-    return e.select("user_id", schedule.combine(F.col("s")).alias("combined"))
+    # the filter is that of the SQL
+    return combine_by(t(spark, d, "events").where("event_id % 97 < 2"), "user_id", state)
+
+
+def combine_by(df: DataFrame, key: str, state: Column) -> DataFrame:
+    """The combined state of each key over all rows of ``df``; a key's group is held as its distinct states."""
+    states = df.groupBy(key).agg(F.collect_set(F.coalesce(state, F.lit("UNKNOWN"))).alias("s"))
+    return states.select(key, schedule.combine(F.col("s")).alias("combined"))
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, 'href=\"[^\"]{0,60}\"')) AS links, regexp_extract(html, 'href=\"[^\"]{0,60}\"') AS first_link FROM pages")
