@@ -91,11 +91,17 @@ RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 LISTED = [("spam-farm.example.com", "/", "block"), ("spam-farm.example.net", "/", "block"), ("cheap-pills.example.com", "/", "block"), ("cheap-pills.example.net", "/", "block")]
 
 
-def query(pages: DataFrame) -> DataFrame:
-    """The rules decide first; listed hosts are the method's own verdict, with a null rule."""
+def query(pages: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """The rules decide first; listed URLs are the method's own verdict, with a null rule.
+
+    ``listed`` is a table of host, path and verdict of any size; without it the list is that of the SQL, ``LISTED``.
+    """
     spark = pages.sparkSession
-    entries = [(*x, 1) for x in RULES] + [(*x, 0) for x in LISTED]
-    ruled = judge(pages, spark.createDataFrame(entries, "host string, path string, verdict string, priority int"))
+    if listed is None:
+        listed = spark.createDataFrame(LISTED, "host string, path string, verdict string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    entries = rules.withColumn("priority", F.lit(1)).unionByName(listed.select("host", "path", "verdict", F.lit(0).alias("priority")))
+    ruled = judge(pages, entries)
     own = F.col("rule").isin([h + p for h, p, _ in RULES])
     return ruled.select("page_id", "host", "path", F.when(own, F.col("rule")).alias("rule"), "verdict", F.when(~own, F.col("rule")).alias("listed"))
 
