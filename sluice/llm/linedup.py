@@ -11,8 +11,12 @@ overlapping names give the interval of any length between. Lines that occur once
 out before the first round, and doubling ends at the longest shortest-qualifying run, log2(min_words) rounds, since
 every line counts a word at least. For each suffix the shortest qualifying run from there, and for each line the
 shortest one that ends there, is looked up: the interval's earliest suffix is the original, the others are copies. The
-union of these runs is the union of all maximal repeated runs: a line of a maximal run has ``min_words`` words either
-behind it or before it in that run. Groups of equal names, however many documents share them, are only ever reduced
+union of these runs is the union of all maximal repeated runs. A maximal run has ``min_words`` words in all. The run
+looked up from a line of it ends within it if enough words follow there, and is a copy as the maximal run is; the run
+looked up to a line starts within it likewise. A line with too few words both behind and before it lies in the run
+looked up from the first line of the maximal run, which is long enough to end behind it. Ranks, a sorted suffix array,
+common-prefix lengths and the maximal runs themselves are not built: the deleted lines do not depend on them.
+Groups of equal names, however many documents share them, are only ever reduced
 to a count and their first place, with partial sums before the exchange, and joined back; AQE splits such joins.
 
 Null texts stay null, empty ones empty. Rows that repeat both id and text count as one document and are treated alike.
