@@ -157,14 +157,25 @@ def empty_columns(raw: DataFrame, processed: DataFrame, keep: Iterable[str] = ("
     return [c for c in both if before["_n"] and after["_n"] and not before[c] and not after[c]]
 
 
-def status_class(status: Column, code: Column, body: Column, daily_limit: str = "LIMITED_NUMBER_OF_SERVICE_REQUESTS") -> Column:
-    """What a source's answer means: global_stop, transient, empty, unsupported, permanent or ok."""
+# What tells of a spent daily allowance, and result codes of answers by what they mean.
+DAILY_LIMIT = r'LIMITED_NUMBER_OF_SERVICE_REQUESTS_EXCEEDS_ERROR|"returnReasonCode": ?"22"'
+RESULT_OK, RESULT_EMPTY, RESULT_TRANSIENT, RESULT_UNSUPPORTED, RESULT_STOP = ("00", "0", "0000"), "03", "99", "10", ("30", "31", "32")
+
+
+def status_class(status: Column, code: Column, body: Column) -> Column:
+    """What a source's answer means: global_stop, transient, empty, unsupported, permanent or ok.
+
+    The status decides first, any but 200 being an error; then the result code, of which only those of success are ok.
+    """
+    code = F.coalesce(strip(code), F.lit(""))
     return (
-        F.when((status == 429) & F.coalesce(F.contains(body, F.lit(daily_limit)), F.lit(False)), "global_stop")
-        .when((status == 429) | (status >= 500) | (code == "99"), "transient")
-        .when(code == "03", "empty")
-        .when(code == "10", "unsupported")
-        .when(code.isin("30", "31", "32"), "global_stop")
-        .when((status >= 400) | (code.isNotNull() & (code != "00")), "permanent")
-        .otherwise("ok")
+        F.when((status == 429) & F.coalesce(body.rlike(DAILY_LIMIT), F.lit(False)), "global_stop")
+        .when((status == 429) | (status >= 500), "transient")
+        .when(status.isNull() | (status != 200), "permanent")
+        .when(code == RESULT_EMPTY, "empty")
+        .when(code == RESULT_TRANSIENT, "transient")
+        .when(code == RESULT_UNSUPPORTED, "unsupported")
+        .when(code.isin(*RESULT_STOP), "global_stop")
+        .when(code.isin(*RESULT_OK), "ok")
+        .otherwise("permanent")
     )

@@ -68,12 +68,12 @@ def add_feasibility(df: DataFrame, now: Column, travel: Column, rule: Column, ho
         open=F.when(closed_today, False).when(~c("today_known"), none).when(c("ran") | c("runs"), True).when(past_unknown & (c("now") < c("today_start")), none).otherwise(False),
         stop=F.when(c("ran"), c("past_stop")).when(c("runs"), c("today_stop")),
         midnight=c("next").cast("timestamp_ntz"),
-        arrival=c("now") + F.make_dt_interval(mins=F.when((c("travel") >= 0) & (c("travel") < 1e9), c("travel")).cast("int")),
+        arrival=c("now") + F.make_dt_interval(secs=(F.when((c("travel") >= 0) & (c("travel") < 1e6), c("travel")) * 60).cast("decimal(18,6)")),
     )
     over = c("stop") > c("midnight")
     closes = F.when(over & c("next_closed").isNull(), F.lit(None).cast("timestamp_ntz")).when(over & c("next_closed"), c("midnight")).otherwise(c("stop"))
     df = add(df, closes=F.when(c("open"), closes))
-    minutes = lambda late, early: F.timestamp_diff("SECOND", early, late) / 60
+    minutes = lambda late, early: F.timestamp_diff("MICROSECOND", early, late) / 60e6
     df = add(df, remaining=minutes(c("closes"), c("now")), usable=F.when(c("closes").isNotNull() & c("arrival").isNotNull(), F.greatest(F.lit(0.0), minutes(c("closes"), c("arrival")))))
     df = add(df, state=F.when(~c("open"), "CLOSED").when(c("usable").isNull(), "UNKNOWN").when(c("usable") < TOO_LATE_BELOW, "TOO_LATE").otherwise("AVAILABLE"))
     urgency = F.when((c("state") == "AVAILABLE") & (c("usable") <= CLOSING_SOON_UPTO), "CLOSING_SOON").otherwise(c("state"))

@@ -84,16 +84,18 @@ class Audit:
     def as_dict(self) -> dict:
         return asdict(self)
 
-    def rules(self) -> dict[str, str]:
-        """PASS, FAIL or N/A for each rule of the summary."""
-        mark = lambda known, fine: "N/A" if not known else "PASS" if fine else "FAIL"
+    def rules(self) -> dict[str, dict]:
+        """Expected, observed and status of each rule; only the first two judge, the others are observations."""
+        judge = lambda fine: "PASS" if fine else "FAIL"
+        ids, rows = self.tracking, self.rows
+        none = {"status": "NOT_APPLICABLE"}
         return {
-            "row_tracking": mark(True, self.tracking["passed"]),
-            "row_reconciliation": mark(True, self.rows["matches"]),
-            "removal_explained": mark(self.rows["removed_rows"], not self.rows["unexplained_rows"]),
-            "conversion": mark(True, not self.losses.get("lost_cells")),
-            "duplicates": mark(bool(self.duplicates), not self.duplicates.get("conflicting_groups")),
-            "review": mark(bool(self.review), not self.review.get("review_rows")),
+            "row_tracking": {"expected": {"unknown": 0, "null": 0, "duplicate": 0}, "observed": {k: ids[f"{k}_ids"] for k in ("missing", "unknown", "null", "duplicate")}, "status": judge(ids["passed"])},
+            "row_reconciliation": {"expected": rows["raw_rows"] - rows["removed_rows"], "observed": rows["processed_rows"], "status": judge(rows["matches"])},
+            "null_transition": {"expected": "no configured threshold", "observed": {"conversion": self.losses.get("lost_cells", 0)}, **none},
+            "dedup": {"expected": "no configured rule", "observed": {"duplicate_rows": self.duplicates.get("duplicate_rows", 0)}, **none},
+            "needs_review": {"expected": "no configured threshold", "observed": self.review.get("review_rows", 0), **none},
+            "column_profile": {"expected": "observation only", "observed": "see the profiles", **none},
         }
 
 

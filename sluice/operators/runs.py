@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +62,10 @@ def summary_text(row: dict) -> str:
 def transient(text: Column) -> Column:
     """Whether an error text tells of a passing fault; markers that forbid a retry come first."""
     lower = F.lower(text)
-    # Texts of errors that a retry does not mend, and of those that it may.
-    fatal = ("modulenotfounderror", "syntaxerror", "authentication", "permission denied", "invalid api key", "keyerror")
-    passing = ("timeout", "timed out", "connection", "temporarily", "429", "502", "503", "504", "reset by peer")
-    has = lambda words: lower.rlike("|".join(words))
-    return F.when(has(fatal), False).otherwise(F.coalesce(has(passing), F.lit(False)))
+    has = lambda words: reduce(lambda a, b: a | b, [F.contains(lower, F.lit(w)) for w in words])
+    return F.coalesce(~has(DAILY_LIMIT) & has(PASSING), F.lit(False))
+
+
+# Texts of a spent daily allowance, which no retry mends on the same day, and of faults that may pass.
+DAILY_LIMIT = ("limited_number_of_service_requests_exceeds_error", 'returnreasoncode": "22', "일일 서비스 요청제한 횟수 초과")
+PASSING = ("timeout", "timed out", "connectionerror", "connection error", "connection reset", "temporarily unavailable", "too many requests", "http 429", "http 502", "http 503", "http 504", "시간 초과", "네트워크 오류", "요청 최종 실패", "재시도 후에도 실패")

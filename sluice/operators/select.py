@@ -39,10 +39,24 @@ def top(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 def forward_fill(df: DataFrame, columns: Sequence[str], partition: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Nulls take the last value before them in their partition."""
+    # a window sorts a partition and holds one row of it at a time
     so_far = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
 
 
+def with_surrogate(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Adds numbers from 1 without gaps, in ascending order of the columns ``order``; equal rows are interchangeable.
+
+    Rows are sorted in ranges; only a count for each range (task) is summed up in one place.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_least"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", "_least", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = placed.join(F.broadcast(starts), "_range")
+    return numbered.withColumn(name, F.col("_before") + F.col("_at") - F.col("_least") + 1).drop("_range", "_at", "_n", "_least", "_before")
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Rows whose key is not null and has no parent."""
     keys = parent.select(F.col(parent_key or key).alias("_parent")).distinct()

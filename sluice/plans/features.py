@@ -1,11 +1,13 @@
 """Features of places: opening hours, weather on a grid, air quality of a region, and candidates built from these.
 
-Weather and air are reduced to one row for each cell and component, or each region, before places are joined, so a
-place meets a handful of rows. Times are local and without zone.
+Air is reduced to one row for each region before places are joined. Tables of weather and air are first bound to what was
+collected within the age limits (``recent``), so a place meets the few issues of its cell, and the pairs are reduced by one
+aggregate. Times are local and without zone.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +16,6 @@ from pyspark.sql import functions as F
 from sluice.functions import clean, geo, schedule
 from sluice.functions.values import FEATURE_NULL_TOKENS, INDOOR, NO_RAIN, OUTDOOR
 from sluice.operators.dedup import content_key
-from sluice.operators.select import latest_per
 
 
 @dataclass(frozen=True)
@@ -31,8 +32,10 @@ class EnvironmentConfig:
     pm25: float = 36.0
 
     def __post_init__(self):
-        if min(self.observation_age, self.forecast_age, self.forecast_offset, self.air_age) < 0 or self.cold >= self.hot or min(self.pm10, self.pm25) <= 0:
-            raise ValueError("limits must not be negative, cold must be below hot")
+        if not all(math.isfinite(v) for v in vars(self).values()):
+            raise ValueError("limits and thresholds must be finite")
+        if min(self.observation_age, self.forecast_age, self.forecast_offset, self.air_age, self.pm10, self.pm25) <= 0 or self.cold >= self.hot:
+            raise ValueError("limits must be positive, cold must be below hot")
 
 
 def feature_text(c: Column) -> Column:
@@ -67,6 +70,12 @@ def weather_rows(observations: DataFrame, forecasts: DataFrame) -> DataFrame:
     return side(observations, "OBSERVATION", "obsrValue", ("baseDate", "baseTime")).union(side(forecasts, "FORECAST", "fcstValue", ("fcstDate", "fcstTime")))
 
 
+def recent(df: DataFrame, now: Column, config: EnvironmentConfig = EnvironmentConfig(), at: str = "collected_at") -> DataFrame:
+    """The rows of an environment table that were collected within the longest age limit; the filter reaches the scan."""
+    minutes = max(config.observation_age, config.forecast_age, config.air_age)
+    return df.where((F.col(at) >= now - F.make_dt_interval(mins=F.lit(minutes))) & (F.col(at) <= now)) if at in df.columns else df.limit(0)
+
+
 def choose_weather(places: DataFrame, weather: DataFrame, key: str, now: Column, config: EnvironmentConfig = EnvironmentConfig()) -> DataFrame:
     """For each place (``key``, grid struct, ``target`` time): the best row of each component, and why others fell out.
 
@@ -116,23 +125,41 @@ def weather_features(chosen: DataFrame, linked: Column, config: EnvironmentConfi
     return chosen.select("*", temperature.alias("temperature"), F.when(rain >= 0, rain).alias("precipitation"), wet.alias("wet"), schedule.combine(states).alias("weather_state"), availability.alias("weather_availability"))
 
 
-def air_by_region(air: DataFrame, now: Column, target: Column, config: EnvironmentConfig = EnvironmentConfig()) -> DataFrame:
-    """A row for each standard region: the worst of its stations' latest readings, and their completeness."""
-    rows = air.select(clean.mapped(F.col("sidoName"), strict=True).alias("region"), F.col("stationName").alias("station"), F.col("dataTime").cast("timestamp_ntz").alias("measured"), F.col("collected_at").cast("timestamp_ntz").alias("collected"), feature_number(F.col("pm10Value")).alias("pm10"), feature_number(F.col("pm25Value")).alias("pm25"))
-    rows = rows.where(F.col("region").isNotNull() & (F.col("measured") <= now) & (F.col("collected") <= now))
-    last = latest_per(rows, ["region", "station"], [F.col("measured"), F.col("collected"), F.col("pm10"), F.col("pm25")])
+def air_by_region(air: DataFrame, now: Column, target: Column, config: EnvironmentConfig = EnvironmentConfig(), station: str | None = None) -> DataFrame:
+    """A row for each standard region: the worst of its stations' latest readings, and their completeness.
+
+    Readings without a usable time, of the future or too old for the target are not used, but remembered: a region with any
+    is not complete. Rows without a station's name count for nothing. ``station`` names a verified station: then only it is
+    read, and the scope says so.
+    """
+    rows = air.select(
+        clean.mapped(F.col("sidoName"), strict=True).alias("region"), feature_text(F.col("stationName")).alias("station"), F.col("dataTime").cast("timestamp_ntz").alias("measured"),
+        F.col("collected_at").cast("timestamp_ntz").alias("collected"), feature_number(F.col("pm10Value")).alias("pm10"), feature_number(F.col("pm25Value")).alias("pm25"),
+    ).where("region is not null and station is not null")
+    if station is not None:
+        rows = rows.where(F.col("station") == station)
+    undated = F.col("measured").isNull() | F.col("collected").isNull()
+    fault = F.when(undated, "UNKNOWN_MEASUREMENT_TIME").when((F.col("measured") > now) | (F.col("collected") > now), "FUTURE_DATA")
+    rows = rows.withColumn("fault", fault)
+    fine = F.col("fault").isNull()
+    # one aggregate: a station's latest usable reading beside the faults of its others
+    rank = F.struct("measured", "collected", "pm10", "pm25")
+    last = rows.groupBy("region", "station").agg(F.max(F.when(fine, rank)).alias("x"), F.collect_set("fault").alias("faults")).select("region", "station", "x.*", "faults")
     fresh = _minutes(target, F.col("measured")).between(0, config.air_age)
+    faults = F.array_union("faults", F.when(F.col("measured").isNotNull() & ~fresh, F.array(F.lit("STALE"))).otherwise(F.array().cast("array<string>")))
     plus = lambda c: F.when(fresh & (F.col(c) >= 0), F.col(c))
     out = last.groupBy("region").agg(
-        F.max(plus("pm10")).alias("pm10"), F.max(plus("pm25")).alias("pm25"), F.count_if(fresh).alias("stations"), F.count_if(~fresh).alias("rejected_stations"),
+        F.max(plus("pm10")).alias("pm10"), F.max(plus("pm25")).alias("pm25"), F.count_if(fresh).alias("stations"),
         F.coalesce(F.bool_and(F.when(fresh, plus("pm10").isNotNull() & plus("pm25").isNotNull())), F.lit(False)).alias("complete"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(faults)))).alias("air_rejected"),
     )
     caution = F.coalesce(F.col("pm10") >= config.pm10, F.lit(False)) | F.coalesce(F.col("pm25") >= config.pm25, F.lit(False))
-    whole = (F.col("stations") > 0) & F.col("complete") & (F.col("rejected_stations") == 0)
+    whole = (F.col("stations") > 0) & F.col("complete") & (F.size("air_rejected") == 0)
     return out.withColumns(
         {
             "air_state": F.when(caution, "CAUTION").when(whole, "FAVORABLE").otherwise("UNKNOWN"),
-            "air_availability": F.when(whole, "AVAILABLE").when(F.col("stations") > 0, "PARTIAL").otherwise("STALE"),
+            "air_availability": F.when(whole, "AVAILABLE").when(F.col("stations") > 0, "PARTIAL").when(F.array_contains("air_rejected", "STALE"), "STALE").otherwise("MISSING"),
+            "air_scope": F.lit("REGIONAL_PROXY" if station is None else "VERIFIED_STATION"),
         }
     )
 
@@ -169,6 +196,7 @@ def exercise_features(places: DataFrame, weather: DataFrame, air: DataFrame, now
     out = out.join(air_by_region(air, now, now, config), "region", "left")
     out = out.withColumn("air_availability", F.when(F.col("region").isNull(), "UNLINKED").otherwise(F.coalesce("air_availability", F.lit("MISSING")))).withColumn("air_state", F.coalesce("air_state", F.lit("UNKNOWN")))
     shown = F.col(exposure) if exposure else F.lit(None).cast("string")
+    out = out.withColumn("environment_target_basis", F.when(F.col("feasibility.arrival").isNotNull(), "ARRIVAL").otherwise("NOW_NO_TRAVEL_ESTIMATE"))
     return out.withColumn("outdoor_suitability", outdoor_suitability(shown, F.col("weather_state"), F.col("air_state"))).drop("_days")
 
 
@@ -178,6 +206,10 @@ def from_origin(places: DataFrame, lat: float, lon: float) -> DataFrame:
     return places.withColumn("distance_km", km).withColumn("travel_minutes", geo.travel_minutes(km))
 
 
+# Texts for a facility without a name and without a type.
+UNNAMED, UNTYPED = "시설명 미등록", "운동 시설"
+
+
 def candidates(facilities: DataFrame, open_facilities: DataFrame, evaluated_at: Column) -> DataFrame:
     """Candidates of both sources under one schema, one for each content; sources are never joined by name."""
     text = lambda *c: F.coalesce(*[F.nullif(F.col(x), F.lit("")) for x in c], F.lit(""))
@@ -189,7 +221,7 @@ def candidates(facilities: DataFrame, open_facilities: DataFrame, evaluated_at:
 
     first = record(
         facilities, "processed.facility",
-        {"facility_name": F.coalesce(F.nullif("faci_nm", F.lit("")), F.lit("시설명 미등록")), "facility_type": F.coalesce(F.nullif("ftype_nm", F.lit("")), F.nullif("fcob_nm", F.lit("")), F.lit("운동 시설")), "address": text("faci_road_addr", "faci_addr"), "city": text("cp_nm"), "district": text("cpb_nm"), "exposure": F.when(F.col("inout_gbn_nm") == INDOOR, "INDOOR").when(F.col("inout_gbn_nm") == OUTDOOR, "OUTDOOR")},
+        {"facility_name": F.coalesce(F.nullif("faci_nm", F.lit("")), F.lit(UNNAMED)), "facility_type": F.coalesce(F.nullif("ftype_nm", F.lit("")), F.nullif("fcob_nm", F.lit("")), F.lit(UNTYPED)), "address": text("faci_road_addr", "faci_addr"), "city": text("cp_nm"), "district": text("cpb_nm"), "exposure": F.when(F.col("inout_gbn_nm") == INDOOR, "INDOOR").when(F.col("inout_gbn_nm") == OUTDOOR, "OUTDOOR")},
         "faci_lat", "faci_lot",
     )
     second = record(

@@ -9,6 +9,7 @@ begun keeps its files. Files are reached through Hadoop's file system API alone,
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -19,6 +20,16 @@ from sluice.operators.dedup import keep_last
 from sluice.plans.specs import check_names
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names; on one machine a temporary one serves."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="sluice-")
+    return f"{folder.rstrip('/')}/sluice-plans-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -71,8 +82,11 @@ class Warehouse:
         return {t: self.spark.read.parquet(f"{self.root}/{d}/{t}/{seen[d][t]}") for d, t in tables if t in seen[d]}
 
     # writing
-    def replace(self, dataset: str, frames: dict[str, DataFrame], *, allow_empty: Sequence[str] = (), primary_keys: dict[str, Sequence[str]] | None = None, cluster_by: dict[str, Sequence[str]] | None = None) -> dict[str, int]:
-        """Stages, verifies and publishes all ``frames``; other tables of the dataset keep their version."""
+    def replace(self, dataset: str, frames: dict[str, DataFrame], *, allow_empty: Sequence[str] = (), primary_keys: dict[str, Sequence[str]] | None = None, cluster_by: dict[str, Sequence[str]] | None = None, expected: dict[str, int] | None = None) -> dict[str, int]:
+        """Stages, verifies and publishes all ``frames``; other tables of the dataset keep their version.
+
+        ``expected`` has the rows that were parsed or processed; another staged count is an error.
+        """
         check_names([dataset, *frames], [c for df in frames.values() for c in df.columns])
         old, new, counts = self.versions(dataset), {}, {}
         for table, df in frames.items():
@@ -84,6 +98,8 @@ class Warehouse:
             (df.sortWithinPartitions(*order) if order else df).write.parquet(path)
             staged = self.spark.read.parquet(path)
             counts[table] = staged.count()
+            if counts[table] != (expected or {}).get(table, counts[table]):
+                raise ValueError(f"{table}: {counts[table]} rows staged, {expected[table]} expected")
             if not counts[table] and table not in allow_empty:
                 raise ValueError(f"{table} is empty")
             if key := (primary_keys or {}).get(table):

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from sluice.functions import clean, geo, schedule, text
 from sluice.operators import dedup, lineage, profile, runs, select
-from sluice.plans.publish import merge
+from sluice.plans.publish import Warehouse, merge, scratch
 from sluice.sources import files
-from sluice.streaming.upsert import replay
+from sluice.plans import dataset_queries
+from sluice.streaming.upsert import upsert_stream
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+QUERIES: dict = dict(dataset_queries.QUERIES)
+SQL: dict[str, str] = dict(dataset_queries.SQL)
 
 
 def query(sql: str | None = None):
@@ -85,9 +86,10 @@ def needs_review(spark, d):
     return df.select("doc_id", clean.any_null(df, ["quality", "toxic", "absent"]).alias("needs_review"))
 
 
-@query("SELECT 'nothing' AS dropped")
+@query("WITH r AS (SELECT CASE WHEN event_id % 3 = 0 THEN NULL ELSE ' - ' END AS nothing, CASE WHEN event_id = 17 THEN 'x' ELSE 'NULL' END AS something, CASE WHEN event_id < 0 THEN props END AS never FROM events), n AS (SELECT 'nothing' AS dropped, count(*) FILTER (trim(nothing) <> '-') AS n FROM r UNION ALL SELECT 'something', count(*) FILTER (something <> 'NULL') FROM r UNION ALL SELECT 'never', count(never) FROM r) SELECT dropped FROM n WHERE n = 0")
 def fully_empty_columns(spark, d):
-    raw = t(spark, d, "events").select("event_id", F.lit(" - ").alias("nothing"), F.lit(" x ").alias("something"), "props")
+    k = F.col("event_id")
+    raw = t(spark, d, "events").select("event_id", F.when(k % 3 != 0, " - ").alias("nothing"), F.when(k == 17, "x").otherwise("NULL").alias("something"), F.when(k < 0, F.col("props")).alias("never"))
     return spark.createDataFrame([(c,) for c in clean.empty_columns(raw, clean.normalize_nulls(raw))], "dropped string")
 
 
@@ -121,9 +123,9 @@ def first_token_coalesce(spark, d):
     return t(spark, d, "customer").select("c_custkey", clean.first_word(first, F.concat("c_mktsegment", F.lit(" x"))).alias("word"))
 
 
-@query(f"WITH r AS (SELECT event_id, event_type, {_NUM_SQL} AS raw FROM events) SELECT event_id, CASE WHEN event_type = 'error' THEN raw WHEN {_CLEAN_SQL.format('raw')} IS NOT NULL THEN 'number' END AS value FROM r")
+@query(f"WITH r AS (SELECT event_id, event_type, {_NUM_SQL} AS raw FROM events) SELECT event_id, CASE WHEN event_type = 'error' THEN raw ELSE CAST({_CLEAN_SQL.format('raw')} AS VARCHAR) END AS value FROM r")
 def category_conditional_cast(spark, d):
-    number = F.when(clean.number(_num()).isNotNull(), "number")
+    number = clean.number(_num()).cast("string")
     return t(spark, d, "events").select("event_id", F.when(clean.equals(F.col("event_type"), "error"), _num()).otherwise(number).alias("value"))
 
 
@@ -132,10 +134,12 @@ def observation_key(spark, d):
     return t(spark, d, "events").select("event_id", clean.observation_key(F.when(F.col("event_id") % 4 != 0, F.col("ts")), F.col("ts")).alias("observation_key"))
 
 
-@query("SELECT event_id, event_id % 3 = 1 AS valid FROM events")
+_SHAPE_SQL = """CASE event_id % 5 WHEN 0 THEN '{"type": "Point", "coordinates": [1, 2]}' WHEN 1 THEN '{"type": "Polygon", "coordinates": [[[1, 2]]]}' WHEN 2 THEN '{"type": "MultiPolygon", "coordinates": []}' WHEN 3 THEN '{"coordinates": [1], "type": "MultiPolygon"}' ELSE '{broken' END"""
+
+
+@query(f"WITH s AS (SELECT event_id, {_SHAPE_SQL} AS shape FROM events) SELECT event_id, CASE WHEN json_valid(shape) THEN coalesce(json_extract_string(shape, '$.type') IN ('Polygon', 'MultiPolygon') AND json_array_length(shape, '$.coordinates') > 0, false) ELSE false END AS valid FROM s")
 def json_validate(spark, d):
-    shape = F.when(F.col("event_id") % 3 == 0, "{\"type\": \"Point\", \"coordinates\": [1, 2]}").when(F.col("event_id") % 3 == 1, "{\"type\": \"Polygon\", \"coordinates\": [[[1, 2]]]}").otherwise("{broken")
-    return t(spark, d, "events").select("event_id", clean.area_json(shape).isNotNull().alias("valid"))
+    return t(spark, d, "events").select("event_id", clean.area_json(F.expr(_SHAPE_SQL)).isNotNull().alias("valid"))
 
 
 @query("SELECT event_id, user_id, event_type, CAST(ts AS DATE)::VARCHAR AS day FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id DESC) = 1")
@@ -160,14 +164,15 @@ def dedup_conflicts(spark, d):
     return dedup.conflicts(t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_quantity"]).select("l_orderkey", "l_linenumber")
 
 
-@query("SELECT count(DISTINCT text) AS contents FROM documents")
+@query("SELECT DISTINCT md5(text) AS content FROM documents")
 def content_hash_dedup(spark, d):
-    return dedup.distinct_content(t(spark, d, "documents").select("text")).agg(F.count("*").alias("contents"))
+    return dedup.distinct_content(t(spark, d, "documents").select("text")).select(F.md5("text").alias("content"))
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 9 <> 0 AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment <> 'BUILDING')")
 def orphan_anti_join(spark, d):
-    return select.orphans(t(spark, d, "customer").select("c_custkey"), t(spark, d, "orders"), "c_custkey", "o_custkey")
+    child = t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_custkey")).alias("key"))
+    return select.orphans(child, t(spark, d, "customer").where("c_mktsegment <> 'BUILDING'"), "key", "c_custkey").select("o_orderkey")
 
 
 @query("SELECT doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1)")
@@ -199,19 +204,27 @@ def removal_reasons(spark, d):
     return lineage.reason_counts(_tagged(spark, d))
 
 
-@query("SELECT 0::BIGINT AS missing_ids, 0::BIGINT AS unknown_ids, 0::BIGINT AS duplicate_ids, 0::BIGINT AS null_ids, true AS passed")
+@query("SELECT 0::BIGINT AS missing_ids, 0::BIGINT AS unknown_ids, 0::BIGINT AS duplicate_ids, 0::BIGINT AS null_ids, count(*) >= 0 AS passed FROM events")
 def lineage_audit(spark, d):
     raw = lineage.add_lineage(t(spark, d, "events").select("event_id"), "events", "event_id")
     return lineage.audit_ids(raw, _tagged(spark, d))
 
 
-@query("""
-SELECT 'o_totalprice' AS "column", count(*) AS rows, count(*) FILTER (o_totalprice IS NULL) AS nulls, count(DISTINCT o_totalprice) AS "distinct", round(min(o_totalprice), 4) AS minimum, round(max(o_totalprice), 4) AS maximum, round(median(o_totalprice), 4) AS median, CAST(NULL AS BIGINT) AS min_length, CAST(NULL AS BIGINT) AS max_length FROM orders
-UNION ALL SELECT 'o_orderpriority', count(*), count(*) FILTER (o_orderpriority IS NULL), count(DISTINCT o_orderpriority), NULL, NULL, NULL, min(length(o_orderpriority)), max(length(o_orderpriority)) FROM orders
-""")
+_ORDERS = {"o_orderkey": "number", "o_custkey": "number", "o_orderstatus": "text", "o_totalprice": "number", "o_orderdate": "time", "o_orderpriority": "text"}
+
+
+def _profile_sql(column: str, kind: str) -> str:
+    only = lambda k, e: e if k == kind else "NULL"
+    low, high, middle = (only("number", f"round({f}({column})::DOUBLE, 4)") for f in ("min", "max", "median"))
+    return f"""SELECT '{column}' AS "column", count(*) AS rows, count(*) FILTER ({column} IS NULL) AS nulls, count(DISTINCT {column}) AS "distinct", {low} AS minimum, {high} AS maximum, {middle} AS median,
+      {only("text", f"min(length({column}))")}::BIGINT AS min_length, {only("text", f"max(length({column}))")}::BIGINT AS max_length, {only("time", f"strftime(min({column}), '%Y-%m-%d')")} AS earliest FROM orders"""
+
+
+@query(" UNION ALL ".join(_profile_sql(c, k) for c, k in _ORDERS.items()))
 def column_profile(spark, d):
-    out = profile.column_profiles(t(spark, d, "orders"), ["o_totalprice", "o_orderpriority"])
-    return out.select("column", "rows", "nulls", "distinct", *[F.round(c, 4).alias(c) for c in ("minimum", "maximum", "median")], "min_length", "max_length")
+    out = profile.column_profiles(t(spark, d, "orders"), list(_ORDERS))
+    rounded = [F.round(c, 4).alias(c) for c in ("minimum", "maximum", "median")]
+    return out.select("column", "rows", "nulls", "distinct", *rounded, "min_length", "max_length", F.substring("earliest", 1, 10).alias("earliest"))
 
 
 _BATCHES = "WITH a AS (SELECT user_id, event_type, max(event_id) AS event_id, max(value) AS value FROM events WHERE event_id % 2 = 0 GROUP BY ALL), b AS (SELECT user_id, event_type, max(event_id) AS event_id, max(value) AS value FROM events WHERE event_id % 2 = 1 AND event_type <> 'view' GROUP BY ALL) "
@@ -242,8 +255,16 @@ def upsert_keep_absent(spark, d):
 
 @query(_BATCHES + "SELECT * FROM b UNION ALL SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.user_id = a.user_id AND b.event_type = a.event_type)")
 def stream_replay(spark, d):
+    """Batches arrive as files, one after another, and each stream merges what is new; a stream without news changes nothing."""
+    source, state = scratch(spark, "replay-source"), scratch(spark, "replay-state")
+    warehouse = Warehouse(spark, scratch(spark, "replay"))
     a, b = _batches(spark, d)
-    return replay([a, b, a, b], ["user_id", "event_type"], ["event_id"])
+    for batch in (a, b, None):
+        if batch is not None:
+            batch.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(a.schema).parquet(source)
+        upsert_stream(stream, warehouse, "events", "latest", ["user_id", "event_type"], state, "event_id").awaitTermination()
+    return warehouse.read("events", "latest")
 
 
 @query("""
@@ -395,13 +416,12 @@ def schedule_state(spark, d):
 
 
 @query("""
-WITH s AS (SELECT user_id, CASE event_type WHEN 'view' THEN 'FAVORABLE' WHEN 'click' THEN 'FAVORABLE' WHEN 'error' THEN 'CAUTION' END AS state, event_id FROM events WHERE event_id % 97 < 2)
+WITH s AS (SELECT user_id, CASE event_type WHEN 'view' THEN 'FAVORABLE' WHEN 'click' THEN 'FAVORABLE' WHEN 'error' THEN 'CAUTION' END AS state, event_id FROM events)
 SELECT user_id, CASE WHEN bool_or(state = 'CAUTION') THEN 'CAUTION' WHEN bool_and(coalesce(state = 'FAVORABLE', false)) THEN 'FAVORABLE' ELSE 'UNKNOWN' END AS combined FROM s GROUP BY 1
 """)
 def three_valued_combine(spark, d):
     state = F.when(F.col("event_type").isin("view", "click"), "FAVORABLE").when(F.col("event_type") == "error", "CAUTION")
-    # the filter is that of the SQL
-    return combine_by(t(spark, d, "events").where("event_id % 97 < 2"), "user_id", state)
+    return combine_by(t(spark, d, "events"), "user_id", state)
 
 
 def combine_by(df: DataFrame, key: str, state: Column) -> DataFrame:
@@ -410,9 +430,9 @@ def combine_by(df: DataFrame, key: str, state: Column) -> DataFrame:
     return states.select(key, schedule.combine(F.col("s")).alias("combined"))
 
 
-@query("SELECT page_id, len(regexp_extract_all(html, 'href=\"[^\"]{0,60}\"')) AS links, regexp_extract(html, 'href=\"[^\"]{0,60}\"') AS first_link FROM pages")
+@query("SELECT page_id, least(20, len(regexp_extract_all(html, '(?s)href=\".{0,20}'))) AS links, regexp_extract(html, '(?s)href=\".{0,20}') AS first_link FROM pages")
 def regex_evidence(spark, d):
-    found = F.regexp_extract_all("html", F.lit('href="[^"]{0,60}"'), F.lit(0))
+    found = text.evidence(F.col("html"), 'href="', before=0, after=20)
     return t(spark, d, "pages").select("page_id", F.size(found).cast("long").alias("links"), F.coalesce(F.get(found, F.lit(0)), F.lit("")).alias("first_link"))
 
 

@@ -90,11 +90,9 @@ class Catalog:
         return {t.table: t for d in self._datasets for t in d.tables}
 
     def phases(self) -> list[list[DatasetSpec]]:
-        """Datasets by run order; those to run last form the end. A failed phase should skip the last one."""
-        usual = [d for d in self._datasets if not d.run_last]
-        out = [[d for d in usual if d.run_order == k] for k in sorted({d.run_order for d in usual})]
-        last = [d for d in self._datasets if d.run_last]
-        return out + ([sorted(last, key=lambda d: d.run_order)] if last else [])
+        """The usual datasets in their run order, then those to run last; a failure skips the phase after it."""
+        ordered = sorted(self._datasets, key=lambda d: d.run_order)
+        return [phase for phase in ([d for d in ordered if not d.run_last], [d for d in ordered if d.run_last]) if phase]
 
 
 DEFAULT = (

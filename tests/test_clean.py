@@ -46,8 +46,8 @@ def test_area_json(spark):
 
 
 def test_answers(spark):
-    df = spark.createDataFrame([(429, None, "LIMITED_NUMBER_OF_SERVICE_REQUESTS_EXCEEDS"), (429, None, ""), (503, None, ""), (200, "99", ""), (200, "03", ""), (200, "10", ""), (200, "30", ""), (400, None, ""), (200, "00", "")], "s int, c string, b string")
-    assert [r[0] for r in df.select(clean.status_class(F.col("s"), F.col("c"), F.col("b"))).collect()] == ["global_stop", "transient", "transient", "transient", "empty", "unsupported", "global_stop", "permanent", "ok"]
+    df = spark.createDataFrame([(429, None, "LIMITED_NUMBER_OF_SERVICE_REQUESTS_EXCEEDS_ERROR"), (204, "00", ""), (200, None, ""), (200, "0", ""), (200, "0000", ""), (429, None, ""), (503, None, ""), (200, "99", ""), (200, "03", ""), (200, "10", ""), (200, "30", ""), (400, None, ""), (200, "00", "")], "s int, c string, b string")
+    assert [r[0] for r in df.select(clean.status_class(F.col("s"), F.col("c"), F.col("b"))).collect()] == ["global_stop", "permanent", "permanent", "ok", "ok", "transient", "transient", "transient", "empty", "unsupported", "global_stop", "permanent", "ok"]
 
 
 @pytest.mark.parametrize(("lat", "lon", "cell"), [(37.5665, 126.9780, (60, 127)), (35.1796, 129.0756, (98, 76)), (33.4996, 126.5312, (53, 38)), (38.0, 126.0, (43, 136)), (91.0, 127.0, None), (0.0, 127.0, None), (37.0, None, None), (37.0, 181.0, None), (float("nan"), 127.0, None)])

@@ -93,6 +93,31 @@ def test_air_uses_latest_station_and_worst_value(spark):
     assert (one.air_state, one.air_availability) == ("FAVORABLE", "AVAILABLE")
 
 
+def test_air_remembers_what_it_could_not_use(spark):
+    schema = "sidoName string, stationName string, dataTime string, collected_at string, pm10Value string, pm25Value string"
+    good = ("서울", "중구", "2026-09-28 11:00:00", "2026-09-28 11:05:00", "20", "10")
+    now = at("2026-09-28 12:00:00")
+
+    def region(*rows, **kw):
+        return features.air_by_region(spark.createDataFrame([good, *rows], schema), now, now, **kw).first()
+
+    for fault, time in (("FUTURE_DATA", "2026-09-28 13:00:00"), ("UNKNOWN_MEASUREMENT_TIME", None)):
+        got = region(("서울", "종로", time, "2026-09-28 11:05:00", "1", "1"))
+        assert (got.air_state, got.air_availability, got.air_rejected) == ("UNKNOWN", "PARTIAL", [fault])
+    stale = features.air_by_region(spark.createDataFrame([("서울", "중구", "2026-09-28 01:00:00", "2026-09-28 01:05:00", "20", "10")], schema), now, now).first()
+    assert (stale.air_availability, stale.air_rejected) == ("STALE", ["STALE"])
+    nameless = region(("서울", " ", None, None, "1", "1"))
+    assert (nameless.air_state, nameless.stations) == ("FAVORABLE", 1)
+    verified = region(("서울", "종로", None, None, "1", "1"), station="중구")
+    assert (verified.air_availability, verified.air_scope) == ("AVAILABLE", "VERIFIED_STATION")
+
+
+@pytest.mark.parametrize("bad", [{"air_age": 0}, {"forecast_offset": -1}, {"pm10": float("nan")}, {"hot": float("inf")}, {"cold": 30.0}])
+def test_limits_must_make_sense(bad):
+    with pytest.raises(ValueError):
+        features.EnvironmentConfig(**bad)
+
+
 def test_exercise_features_end_to_end(spark):
     df = spark.createDataFrame([("a", 37.5665, 126.9780, "06:00", "22:00", "연중무휴", "서울", "OUTDOOR"), ("b", None, None, None, None, None, "x", "INDOOR")], "key string, latitude double, longitude double, weekdayOperOpenHhmm string, weekdayOperColseHhmm string, rstde string, sido_standard string, exposure string")
     weather = features.weather_rows(spark.createDataFrame([], OBSERVED), forecasts(spark, ("T1H", "1130", "1200", "21"), ("PTY", "1130", "1200", "0")))

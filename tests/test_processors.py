@@ -23,7 +23,9 @@ def test_facility_reasons_and_audit(spark):
     assert found.rows["removed_rows"] == 3 and found.rows["unexplained_rows"] == 0
     assert found.reasons == {"facility_status_not_normal_operation": 1, "facility_invalid_or_missing_korea_coordinates": 1, "facility_duplicate_faci_cd": 1}
     assert found.losses["lost_faci_gfa"] == 1
-    assert found.rules()["conversion"] == "FAIL"
+    rules = found.rules()
+    assert {k: r["status"] for k, r in rules.items()} == {"row_tracking": "PASS", "row_reconciliation": "PASS", **{k: "NOT_APPLICABLE" for k in ("null_transition", "dedup", "needs_review", "column_profile")}}
+    assert rules["row_reconciliation"]["expected"] == rules["row_reconciliation"]["observed"] == 1 and rules["null_transition"]["observed"] == {"conversion": 1}
     assert found.duplicates["duplicate_groups"] == 1
     assert out.count() == 1 and not [c for c in out.columns if c.startswith("_dq")]
 

@@ -80,5 +80,5 @@ def test_run_reports(spark):
 
     assert runs.report_period(dt.datetime(2026, 9, 28, 9, 15)) == (dt.datetime(2026, 9, 27, 17), dt.datetime(2026, 9, 28, 9, 15))
     assert runs.report_period(dt.datetime(2026, 9, 28, 17, 30)) is None
-    df = spark.createDataFrame([("timed out",), ("ModuleNotFoundError: timeout",), ("odd",)], "e string")
-    assert [r[0] for r in df.select(runs.transient(F.col("e"))).collect()] == [True, False, False]
+    df = spark.createDataFrame([("timed out",), ("HTTP 429 LIMITED_NUMBER_OF_SERVICE_REQUESTS_EXCEEDS_ERROR",), ("row 503",), (None,)], "e string")
+    assert [r[0] for r in df.select(runs.transient(F.col("e"))).collect()] == [True, False, False, False]
