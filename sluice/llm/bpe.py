@@ -118,6 +118,8 @@ class BytePairEncoder:
         return out
 
 
+#: Bytes of the small dictionary of frequent chunks that stands before both tiers in a worker.
+MEMO = 16 << 20
 _ENCODERS: dict[tuple[str, str], tuple] = {}
 
 
@@ -132,7 +134,7 @@ def encoder(path: str, pattern: str):
             return np.asarray([i for m in split.findall(text) for i in pairs.piece(m.encode())], "<u4").tobytes()
 
         of = pairs.bytes_of.__getitem__
-        _ENCODERS[path, pattern] = ChunkEncoder(piece_ids).encode, lambda ids: b"".join(map(of, np.frombuffer(ids, "<u4").tolist()))
+        _ENCODERS[path, pattern] = ChunkEncoder(piece_ids, MEMO).encode, lambda ids: b"".join(map(of, np.frombuffer(ids, "<u4").tolist()))
     return _ENCODERS[path, pattern]
 
 

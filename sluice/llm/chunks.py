@@ -12,8 +12,8 @@ from sluice.llm.common import Memo
 
 #: Trailing marks that form one pre-token of their own behind a word.
 MARKS = ".,;:!?*$#%&|)]}"
-#: Entries of a memo; a full one takes about 200 MB of a worker.
-LIMIT = 1_000_000
+#: Bytes of a memo; a worker holds two for each encoder that it uses.
+LIMIT = 48 << 20
 
 
 class ChunkEncoder:

@@ -14,15 +14,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or a temporary one where it is unset.
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    The fallback is for local sessions only; on a cluster the setting names a folder that every executor sees.
+    Only where the setting is absent from a local session (one machine, one folder) a temporary folder serves; elsewhere an
+    error says what to set, as executors could not see each other's files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="sluice-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="sluice-")
+    return _LOCAL[app]
+
+
+#: Temporary folders of local sessions without the setting, by application.
+_LOCAL: dict[str, str] = {}
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -33,23 +42,54 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/sluice-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(out)] = (out, path)
+    return out
+
 
+#: Tables of ``materialise`` that may be discarded yet, by the identity of their DataFrame.
+_WRITTEN: dict[int, tuple[DataFrame, str]] = {}
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bounds the rows of an Arrow batch: texts may be long, and a worker holds a batch at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``materialise`` that nothing still to be run reads."""
+    for df in tables:
+        _, path = _WRITTEN.pop(id(df), (None, None))
+        if path:
+            jvm, session = df.sparkSession._jvm, df.sparkSession._jsparkSession
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(session.sessionState().newHadoopConf()).delete(place, True)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds an Arrow batch by rows and by bytes: texts may be long, and a worker holds a batch at a time.
+
+    A row longer than the bound is a batch of its own.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 class Memo(dict):
-    """A bounded dictionary that fills itself by ``make(key)``; it empties when full, so memory stays bounded."""
+    """A dictionary that fills itself by ``make(key)`` and empties when full, so memory stays bounded.
+
+    Full means ``limit`` bytes, counted as the length of keys and values and an allowance for each entry. Keys longer than
+    ``longest`` are made anew each time: long words are rarely met again.
+    """
+
+    ENTRY = 200
 
-    def __init__(self, make, limit: int):
+    def __init__(self, make, limit: int, longest: int = 64):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.longest, self.held = make, limit, longest, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        value = self.make(key)
+        if len(key) > self.longest:
+            return value
+        if self.held >= self.limit:
             self.clear()
-        value = self[key] = self.make(key)
+            self.held = 0
+        self.held += self.ENTRY + len(key) + (len(value) if value is not None else 0)
+        self[key] = value
         return value

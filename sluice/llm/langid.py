@@ -11,8 +11,8 @@ holds and those of longer texts are lowered by the root of the letters; language
 merged classes of all languages; ``MIN_COSINE`` holds besides, and alone if the training rows are fewer still.
 
 Document frequencies and floors come from all training rows. The centroids are fitted on a bounded sample in order of
-a hash of the id: at most ``SAMPLE`` rows of a language and ``MAX_SAMPLE`` in all; there may be ``MAX_LANGUAGES``
-languages.
+a hash of the id: at most ``SAMPLE`` rows of a language and ``MAX_SAMPLE`` in all. ``max_languages`` is a parameter that
+bounds the broadcast model; more languages than it says are an error, never left out.
 Null texts and texts without a letter are ``und``, score 0, and rejected. With no training rows every text is ``und``.
 Columns besides id, text and language are not read.
 """
@@ -178,14 +178,14 @@ def _floors(rows: DataFrame, model: Model) -> np.ndarray:
     return np.stack([none if f is None else f for f in floors])
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from all rows of ``docs`` with a language and a text."""
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_languages: int = MAX_LANGUAGES) -> Model:
+    """Learns from all rows of ``docs`` with a language and a text; ``max_languages`` bounds the model, 64 kB for each."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: a model of more must be asked for by max_languages")
     df, n = _frequencies(rows.select("text"))
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     if not sizes:

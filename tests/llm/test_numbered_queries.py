@@ -73,7 +73,6 @@ def test_byte_bpe_digests(spark, texts):
 
 def test_token_files(spark, texts):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     got, start = rows_of(spark, "op8_token_bitpack"), 0
     for doc, text in texts.text.items():
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
@@ -84,7 +83,6 @@ def test_token_files(spark, texts):
 
 def test_packed_sequences(spark, texts):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     want = {doc: np.asarray([*library.encode(text or "", add_special_tokens=False).ids, 1], "<u4") for doc, text in texts.text.items()}
     rows = queries.queries()["op9_bin_slack_packing"](spark, DATA).collect()
     assert check_packing(rows, want) == 0
