@@ -6,22 +6,22 @@ A listed entry (host, path, verdict) fits its host and all subdomains where the
 path. The longest fitting entry (host plus path, then the longer host) wins; equal entries that disagree block. URLs
 that no entry fits get the default verdict.
 
-The list is held twice: a blocked Bloom filter, whose size has an upper bound whatever the list's size, is broadcast
-and passes possible hits; an exact hash join with the list itself removes the false positives. A URL's keys are its
-host's suffixes at dots with its path's prefixes of the lengths that occur in the list. The exact join sees only keys
-that pass the filter, once for all copies of a URL. An empty list or table gives the default, or no rows. Duplicate page
+The list is held twice, by host and by entry: a blocked Bloom filter passes possible hits, and an exact hash join with the
+list removes the false positives. First the distinct hosts of the URLs: of each the suffixes at dots, no more labels than
+the longest listed host has. Then the distinct URLs of hosts with a listed suffix: that suffix with the path's prefixes
+of the lengths that are listed for it. A filter has a block of 64 bits for four keys of the list. Up to MAX_BLOCKS blocks it
+is broadcast, and only possible hits are exchanged; a larger one is exchanged by block, as the keys then are. The list may
+have any number of entries, hosts and path lengths. An empty list or table gives the default, or no rows. Duplicate page
 ids are judged row by row. Columns besides id and URL are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits set for a key in its block of 64 bits; most blocks that a filter may have (8 bytes each, 2 MB at most).
-PROBES, MAX_BLOCKS, KEYS_A_BLOCK = 4, 1 << 18, 4
-#: Distinct path lengths that the list may have; each adds a key for each suffix of a host.
-MAX_LENGTHS = 2_000
+#: Bits set for a key in its block of 64 bits; keys of the list for each block; most blocks of a filter that is broadcast.
+PROBES, KEYS_A_BLOCK, MAX_BLOCKS = 4, 4, 1 << 18
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,17 +33,23 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffixes(host: Column) -> Column:
-    """The host and its parent domains."""
+def suffixes(host: Column, most: int) -> Column:
+    """The host and its parent domains of at most ``most`` labels."""
     labels = F.split(host, r"\.")
+    labels = F.slice(labels, F.greatest(F.lit(1), F.size(labels) - most + 1), F.lit(most))
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
-def _block(key: Column, blocks: int) -> Column:
+def sized(keys: int) -> int:
+    """Blocks of a filter for so many keys."""
+    return max(16, 1 << (keys // KEYS_A_BLOCK).bit_length())
+
+
+def block_of(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(1), key), F.lit(blocks))
 
 
-def _mask(key: Column) -> Column:
+def mask_of(key: Column) -> Column:
     h = F.xxhash64(F.lit(2), key)
     bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(PROBES)]
     mask = bits[0]
@@ -54,7 +60,16 @@ def _mask(key: Column) -> Column:
 
 def bloom(keys: DataFrame, blocks: int) -> DataFrame:
     """(block, bits) of the column ``key``: at most ``blocks`` rows."""
-    return keys.select(_block(F.col("key"), blocks).alias("block"), _mask(F.col("key")).alias("m")).groupBy("block").agg(F.bit_or("m").alias("bits"))
+    return keys.select(block_of(F.col("key"), blocks).alias("block"), mask_of(F.col("key")).alias("m")).groupBy("block").agg(F.bit_or("m").alias("bits"))
+
+
+def passing(tried: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """The rows of ``tried`` whose ``key`` may be one of the ``n`` in ``keys``."""
+    blocks = sized(n)
+    held = bloom(keys, blocks)
+    held = F.broadcast(held) if blocks <= MAX_BLOCKS else held
+    hit = F.col("bits").bitwiseAND(mask_of(F.col("key"))) == mask_of(F.col("key"))
+    return tried.withColumn("block", block_of(F.col("key"), blocks)).join(held, "block").where(hit).drop("block", "bits")
 
 
 def judge(pages: DataFrame, listed: DataFrame, *, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
@@ -66,58 +81,68 @@ def judge(pages: DataFrame, listed: DataFrame, *, id_col: str = "page_id", url_c
     if "priority" not in listed.columns:
         listed = listed.withColumn("priority", F.lit(0))
     entries = listed.where("host is not null and path is not null and verdict is not null").select(
-        F.concat_ws("\n", F.translate("host", _UPPER, _LOWER), "path").alias("key"), F.translate("host", _UPPER, _LOWER).alias("h"), F.col("path").alias("p"), "verdict", F.coalesce("priority", F.lit(0)).alias("priority")
+        F.translate("host", _UPPER, _LOWER).alias("h"), F.col("path").alias("p"), "verdict", F.coalesce("priority", F.lit(0)).alias("priority")
     )
-    entries = entries.groupBy("key", "h", "p").agg(F.max(F.struct("priority", "verdict")).alias("x")).select("key", "h", "p", "x.*")  # block > allow
-    about = entries.agg(F.count("*").alias("n"), F.collect_set(F.length("p")).alias("lengths")).first()
-    if len(about["lengths"]) > MAX_LENGTHS:
-        raise ValueError(f"{len(about['lengths'])} distinct path lengths; at most {MAX_LENGTHS} can be")
-    blocks = min(MAX_BLOCKS, max(16, 1 << (about["n"] // KEYS_A_BLOCK).bit_length()))
+    entries = entries.groupBy("h", "p").agg(F.max(F.struct("priority", "verdict")).alias("x")).select(F.concat_ws("\n", "h", "p").alias("key"), "h", "p", "x.*")  # block > allow
+    hosts = entries.groupBy("h").agg(F.collect_set(F.length("p")).alias("lengths"))  # no more than the longest path has characters
+    about = entries.agg(F.count("*").alias("n"), F.count_distinct("h").alias("hosts"), F.max(F.size(F.split("h", r"\."))).alias("labels")).first()
 
     urls = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    prefixes = F.transform(F.filter(F.array(*[F.lit(n) for n in sorted(about["lengths"])]).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring("path", 1, n))
-    # only possible hits are exchanged, and once for all copies of a canonical URL
-    keys = F.flatten(F.transform(suffixes(F.col("host")), lambda h: F.transform(prefixes, lambda p: F.concat_ws("\n", h, p))))
-    tried = urls.select("host", "path", F.explode(keys).alias("key")).withColumn("block", _block(F.col("key"), blocks))
-    passed = tried.join(F.broadcast(bloom(entries, blocks)), "block").where(F.col("bits").bitwiseAND(_mask(F.col("key"))) == _mask(F.col("key"))).select("host", "path", "key").distinct()
+    known = urls.select("host").distinct().select("host", F.explode(suffixes(F.col("host"), about["labels"] or 1)).alias("key"))
+    known = passing(known, hosts.select(F.col("h").alias("key")), about["hosts"]).join(hosts, F.col("key") == F.col("h")).select("host", "h", "lengths")
+    # each distinct URL once, with the prefixes of its path that its host's entries can have
+    tried = urls.select("host", "path").distinct().join(known, "host")
+    prefixes = F.transform(F.filter("lengths", lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    tried = tried.select("host", "path", F.explode(F.transform(prefixes, lambda p: F.concat_ws("\n", "h", p))).alias("key"))
     size = F.length("h") + F.length("p")
-    best = passed.join(entries, "key").groupBy("host", "path").agg(F.max_by(F.struct(F.concat("h", "p").alias("rule"), "verdict"), F.struct("priority", size, F.length("h"))).alias("best"))
+    best = passing(tried, entries.select("key"), about["n"]).join(entries, "key")
+    best = best.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("h", "p").alias("rule"), "verdict"), F.struct("priority", size, F.length("h"))).alias("best"))
     out = urls.join(best, ["host", "path"], "left")
     return out.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
-#: The rules of the query, and hosts that are listed beside them.
+#: The rules of the query.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
-LISTED = [("spam-farm.example.com", "/", "block"), ("spam-farm.example.net", "/", "block"), ("cheap-pills.example.com", "/", "block"), ("cheap-pills.example.net", "/", "block")]
+#: The query's list: hosts of two words that unwanted sites join (gambling, medicines, adult, advertising, spam, fraud) under the
+#: domains of documentation. It is a rule in place of a published list; a real one is passed as a table.
+FIRST = "ads adult best bets bonus buy casino cheap click crack cash dating easy escort fake fast free hack hot keygen loan lotto lucky malware money nude online pharma phish pills poker porn promo quick replica rx scam sex slots spam super top track viagra warez win xxx".split()
+SECOND = "4u ads banner bets bonus cams cash casino chat click club codes crack deals download farm games girls hack keys links loans lotto mall market money movies now offers online pills play poker pro promo sale shop sites slots spin store stream track tube vip win x zone".split()
+DOMAINS = ["example.com", "example.net", "example.org"]
+
+
+def unwanted_hosts(spark: SparkSession) -> DataFrame:
+    """The query's list as host, path, verdict; built from constants in the JVM."""
+    words = lambda x: F.explode(F.array(*map(F.lit, x)))
+    out = spark.range(1).select(words(FIRST).alias("a")).select("a", words(SECOND).alias("b")).select("a", "b", words(DOMAINS).alias("d"))
+    return out.select(F.concat("a", F.lit("-"), "b", F.lit("."), "d").alias("host"), F.lit("/").alias("path"), F.lit("block").alias("verdict"))
 
 
 def query(pages: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     """The rules decide first; listed URLs are the method's own verdict, with a null rule.
 
-    ``listed`` is a table of host, path and verdict of any size; without it the list is that of the SQL, ``LISTED``.
+    ``listed`` is a table of host, path and verdict of any size; without it the list is ``unwanted_hosts``.
     """
     spark = pages.sparkSession
-    if listed is None:
-        listed = spark.createDataFrame(LISTED, "host string, path string, verdict string")
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    listed = unwanted_hosts(spark) if listed is None else listed
+    rules = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in RULES])))
     entries = rules.withColumn("priority", F.lit(1)).unionByName(listed.select("host", "path", "verdict", F.lit(0).alias("priority")))
     ruled = judge(pages, entries)
     own = F.col("rule").isin([h + p for h, p, _ in RULES])
     return ruled.select("page_id", "host", "path", F.when(own, F.col("rule")).alias("rule"), "verdict", F.when(~own, F.col("rule")).alias("listed"))
 
 
-ORACLE = """
+ORACLE = f"""
 WITH u AS (
   SELECT page_id,
          CASE WHEN contains(url, '://') THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'),
               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
          CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
   FROM pages),
-r(rh, rp, verdict, ruled) AS (VALUES
-  ('org', '/', 'allow', true), ('example.org', '/es/', 'block', true), ('example.org', '/en/1', 'block', true),
-  ('com', '/fr/', 'allow', true), ('com', '/de/', 'block', true),
-  ('spam-farm.example.com', '/', 'block', false), ('spam-farm.example.net', '/', 'block', false),
-  ('cheap-pills.example.com', '/', 'block', false), ('cheap-pills.example.net', '/', 'block', false)),
+r(rh, rp, verdict, ruled) AS (
+  VALUES ('org', '/', 'allow', true), ('example.org', '/es/', 'block', true), ('example.org', '/en/1', 'block', true),
+         ('com', '/fr/', 'allow', true), ('com', '/de/', 'block', true)
+  UNION ALL SELECT a || '-' || b || '.' || d, '/', 'block', false
+  FROM (SELECT unnest({FIRST}) AS a), (SELECT unnest({SECOND}) AS b), (SELECT unnest({DOMAINS}) AS d)),
 best AS (
   SELECT page_id, host, path, rh, rp, r.verdict, ruled,
          row_number() OVER (PARTITION BY page_id ORDER BY ruled DESC NULLS LAST, length(rh) + length(rp) DESC, length(rh) DESC) AS k
