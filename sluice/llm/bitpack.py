@@ -6,12 +6,14 @@ Each row is one block of whole documents, and blocks are self-describing:
 * ``shard`` int, ``block`` int: place in the order of the dataset; shards follow ascending document ids,
 * ``bits`` int: width of an id, the least that holds the vocabulary,
 * ``first`` long: ids of the shard before this block,
+* ``first_doc``, ``last_doc`` long: the least and the largest document id of the block; Parquet keeps their ranges a file,
 * ``doc_ids`` array<long>, ``ends`` array<long>: the block's documents and where each ends, counted in ids,
 * ``payload`` binary: the ids, most significant bit first, one behind the other without gaps.
 
 Id k of a block lies at bits ``[k * bits, (k + 1) * bits)``, so any range is read without what is before it.
 Nulls: a null text is an empty one (only the end id); a null document id sorts first. Documents of equal id keep
-separate entries. An empty table gives an empty dataset. Columns besides id and text are not read.
+separate entries, in the order of a hash of the text, so equal tables give equal files; rows that repeat both are alike. An
+empty table gives an empty dataset. Columns besides id and text are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from sluice.llm import hf
 from sluice.llm.common import scratch_dir, small_batches
 
 BLOCK_TOKENS = 65_536
-SCHEMA = "shard int, block int, bits int, first long, doc_ids array<long>, ends array<long>, payload binary"
+SCHEMA = "shard int, block int, bits int, first long, first_doc long, last_doc long, doc_ids array<long>, ends array<long>, payload binary"
 #: Ids handled at once, so that the expansion to bits stays small.
 _SLICE = 1 << 16
 
@@ -82,7 +84,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, *, id_col: st
 
         def flush():
             nonlocal names, ends, parts, held, first, number
-            row = [[shard], [number], [bits], [first], [names], [ends], [pack(np.frombuffer(b"".join(parts), "<u4"), bits)]]
+            known = [n for n in names if n is not None]
+            row = [[shard], [number], [bits], [first], [min(known, default=None)], [max(known, default=None)], [names], [ends], [pack(np.frombuffer(b"".join(parts), "<u4"), bits)]]
             first, number = first + held, number + 1
             names, ends, parts, held = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _TYPES)], names=_NAMES)
@@ -99,13 +102,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, *, id_col: st
         if names:
             yield flush()
 
-    # Two ids can only share a shard by a range, so the order of shards, blocks and documents is the order of ids.
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(blocks, SCHEMA).write.mode("overwrite").parquet(path)
+    # Shards are ranges of (id, hash of the text, lot), so their order is the order of ids. The lot splits rows that repeat both.
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), F.xxhash64(F.monotonically_increasing_id()).alias("lot"))
+    ordered = keyed.repartitionByRange("doc_id", "h", "lot").sortWithinPartitions("doc_id", "h", "lot")
+    ordered.select("doc_id", "text").mapInArrow(blocks, SCHEMA).write.mode("overwrite").parquet(path)
 
 
-_NAMES = ["shard", "block", "bits", "first", "doc_ids", "ends", "payload"]
-_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+_NAMES = ["shard", "block", "bits", "first", "first_doc", "last_doc", "doc_ids", "ends", "payload"]
+_TYPES = [pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -137,8 +141,13 @@ def documents(blocks: DataFrame) -> DataFrame:
 
 
 def token_range(spark: SparkSession, path: str, doc_id: int, start: int, stop: int) -> np.ndarray:
-    """Random access: ids start..stop of one document; Parquet statistics skip the other files' blocks."""
-    rows = spark.read.schema(SCHEMA).parquet(path).where(F.array_contains("doc_ids", F.lit(doc_id).cast("long"))).limit(1).collect()
+    """Random access: ids start..stop of one document (the first of its id); ``first_doc`` and ``last_doc`` prune files.
+
+    A block that holds the document is fetched, and of its payload only the bytes of those ids are unpacked.
+    """
+    wanted = F.lit(doc_id).cast("long")
+    rows = spark.read.schema(SCHEMA).parquet(path).where((F.col("first_doc") <= wanted) & (F.col("last_doc") >= wanted) & F.array_contains("doc_ids", wanted))
+    rows = rows.orderBy("shard", "block").limit(1).collect()
     if not rows:
         raise KeyError(doc_id)
     at = rows[0]["doc_ids"].index(doc_id)
