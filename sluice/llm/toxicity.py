@@ -8,8 +8,9 @@ sigmoid loss, which is bounded: where the second term is negative the step goes
 the flexible part of the model cannot drive the estimated risk of the negatives below zero. Several classifiers, fitted
 on different parts of the sample, are averaged.
 
-The classifier is fitted on bounded samples in order of a hash of the id: at most ``MAX_POSITIVE`` positives,
-``MAX_UNLABELLED`` unlabelled texts and ``MAX_TERMS`` words. Everything else covers all rows. Null and empty texts
+The words of the classifier are the ``MAX_TERMS`` whose shares among all positives and among all training texts differ most;
+these counts cover every row. The gradient steps use bounded samples in order of a hash of the id: at most
+``MAX_POSITIVE`` positives and ``MAX_UNLABELLED`` unlabelled texts, one text of an id (that of least hash). Null and empty texts
 are scored by the words they lack. Without any positive every score is 0. Repeated label rows count as one, toxic if
 any says so. Columns besides id, text and label are not read.
 """
@@ -17,6 +18,7 @@ any says so. Columns besides id, text and label are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,7 +54,8 @@ class Model:
 
 
 def _some(ids: DataFrame, bound: int) -> DataFrame:
-    """At most ``bound`` ids, those of the smallest hashes; a threshold on the hash leaves little to order."""
+    """At most ``bound`` distinct ids, those of the smallest hashes; a threshold on the hash leaves little to order."""
+    ids = ids.distinct()
     total = ids.count()
     ids = ids.withColumn("_h", F.xxhash64(F.lit("toxicity"), "doc_id"))
     if total > 2 * bound:
@@ -75,12 +78,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             found = [sorted(set(_WORD.findall((t or "").lower()))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["p", "words"])
 
-    bags = materialise(docs.join(F.broadcast(chosen), "doc_id").select("p", "text").mapInArrow(words, "p boolean, words array<string>"), "toxicity-words")
+    # one text of each chosen id, whatever the number of its rows
+    bags = docs.join(F.broadcast(chosen), "doc_id").groupBy("p", "doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    bags = materialise(bags.select("p", "text").mapInArrow(words, "p boolean, words array<string>"), "toxicity-words")
     sizes = {r["p"]: r["n"] for r in bags.groupBy("p").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(True) or not sizes.get(False) or not 0 < prior < 1:
         return Model({}, np.zeros((0, 0)), np.zeros(0))
-    n_p, n_u = sizes[True], sizes[False]
-    seen = bags.select("p", F.explode("words").alias("w")).groupBy("w").agg(F.count_if(F.col("p")).alias("a"), F.count_if(~F.col("p")).alias("b")).where("a + b > 4")
+    seen = materialise(_word_counts(docs, marks), "toxicity-counts")
+    n_p, n_u = seen.where("w is null").select("a", "b").first()
+    seen = seen.where("w is not null and a + b > 4")
     a, b = F.col("a") / n_p, F.col("b") / n_u
     # the words whose shares differ most for their spread
     strength = F.abs(a - b) / F.sqrt((F.col("a") + F.col("b") + 1) / (n_p + n_u) * (1 / n_p + 1 / n_u))
@@ -96,6 +102,27 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return Model(at, np.stack([w for w, _ in fits]), np.asarray([c for _, c in fits]))
 
 
+def _word_counts(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """In how many texts of positives (a) and of all rows (b) each word w occurs; the null word stands for all texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every, toxic, n = Counter(), Counter(), [0, 0]
+            for p, text in zip(*(c.to_pylist() for c in batch.columns)):
+                own = set(_WORD.findall((text or "").lower()))
+                every.update(own)
+                n[1] += 1
+                if p:
+                    toxic.update(own)
+                    n[0] += 1
+            names = [None, *every]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n[0], *map(toxic.__getitem__, every)], pa.int64()), pa.array([n[1], *every.values()], pa.int64())], names=["w", "a", "b"])
+
+    positive = marks.where("y = 1").select("doc_id", F.lit(True).alias("p"))
+    found = docs.join(positive, "doc_id", "left").select("p", "text").mapInArrow(count, "w string, a long, b long")
+    return found.groupBy("w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+
 def possible_prior(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
     """``prior``, or less if the scores rule it out: the least share above a threshold of the unlabelled scores, with a
     standard error, over that of the positive ones. Thresholds have a tenth of the positives above them at least."""
