@@ -42,7 +42,7 @@ def vocabulary(path: str):
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     bytewise = np.asarray([model.is_byte(i) for i in range(model.get_piece_size())])
-    return Memo(lambda word: np.asarray(model.encode(word.decode()), "<i4").tobytes(), 400_000), bytewise
+    return Memo(lambda word: np.asarray(model.encode(word.decode()), "<i4").tobytes(), 64 << 20), bytewise
 
 
 def script(text: str) -> str:
@@ -137,11 +137,12 @@ def judge(measured: DataFrame, *, min_words: int = 20, max_repeat_share: int = 3
     )
     fences = lambda c: F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), F.lit(2000))
     good, kind = scored.where(~F.col("base_failed")), ["group", "script", "length_class"]
-    sets = F.broadcast(materialise(_sets(good.groupBy(*kind).agg(F.count("*").alias("n")), min_group), "band-sets"))
+    counted = materialise(good.groupBy(*kind).agg(F.count("*").alias("n")), "band-counts")
+    sets = materialise(_sets(counted, min_group), "band-sets")
     # a row counts in every set that holds its class
     bands = good.join(sets, kind).select(F.explode("within").alias("band"), "length_class", "chars_per_token", "entropy").groupBy("band")
     bands = bands.agg(fences("chars_per_token").alias("c"), fences("entropy").alias("e"), F.regr_slope("entropy", "length_class").alias("slope"), F.avg("length_class").alias("centre"))
-    both = scored.join(sets.select(*kind, "band"), kind, "left").join(F.broadcast(materialise(bands, "bands")), "band", "left")
+    both = scored.join(sets.select(*kind, "band"), kind, "left").join(materialise(bands, "bands"), "band", "left")
 
     def within(value: Column, quartiles: str, least: float):
         q = F.col(quartiles)
@@ -154,39 +155,46 @@ def judge(measured: DataFrame, *, min_words: int = 20, max_repeat_share: int = 3
     return both.withColumn("kept", ~F.col("base_failed") & F.col("fertility_ok") & F.col("entropy_ok") & F.col("bytes_ok")).drop("c", "e", "slope", "centre", "band", "script", "length_class")
 
 
-#: Groups are languages and scripts; their length classes are broadcast, so their number is checked.
-MAX_GROUPS = 50_000
+#: Length classes are half octaves of a number of tokens, fewer than so many.
 CLASSES = 128
 
 
 def _sets(counted: DataFrame, min_group: int) -> DataFrame:
-    """For each group, script and length class the number of its band, and of all bands that its texts count in."""
-    found = counted.limit(MAX_GROUPS + 1).collect()
-    if len(found) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} length classes of groups")
-    keys = lambda r: [("group", r["group"]), ("script", r["script"]), ("all", "")]
-    texts: dict[tuple, np.ndarray] = {}
-    for r in found:
-        for key in keys(r):
-            texts.setdefault(key, np.zeros(CLASSES, np.int64))[r["length_class"]] += r["n"]
-
-    def around(key: tuple, c: int) -> tuple[tuple, int, int]:
-        n, reach = texts[key], 0
-        while n[max(0, c - reach) : c + reach + 1].sum() < min_group and reach < CLASSES:
-            reach += 1
-        return key, max(0, c - reach), min(CLASSES - 1, c + reach)
-
-    bands: dict[tuple, int] = {}
-    of_key: dict[tuple, set] = {}
-    own = []
-    for r in found:
-        key = next((k for k in keys(r) if texts[k].sum() >= min_group), ("all", ""))
-        band = around(key, r["length_class"])
-        own.append(bands.setdefault(band, len(bands)))
-        of_key.setdefault(key, set()).add(band)
-    within = lambda r: [bands[b] for k in keys(r) for b in of_key.get(k, ()) if b[1] <= r["length_class"] <= b[2]]
-    rows = [(r["group"], r["script"], r["length_class"], band, within(r)) for r, band in zip(found, own)]
-    return counted.sparkSession.createDataFrame(rows, "group string, script string, length_class int, band int, within array<int>")
+    """For each group, script and length class (with n texts): the name of its band, and of all bands that its texts count in.
+
+    A key is a group, a script or all texts; of each at most CLASSES counts meet in a row. Keys are joined by hash, so their
+    number has no bound.
+    """
+    kind = ["group", "script", "length_class"]
+    keys = [F.concat(F.lit("group "), "group"), F.concat(F.lit("script "), "script"), F.lit("all")]
+    every = counted.select(*kind, "n", F.posexplode(F.array(*keys)).alias("wide", "key"))
+    held = every.groupBy("key", "length_class").agg(F.sum("n").alias("n"))
+    held = held.groupBy("key").agg(F.collect_list(F.struct("length_class", "n")).alias("counts"))
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                n = np.zeros(CLASSES, np.int64)
+                for x in counts:
+                    n[x["length_class"]] += x["n"]
+                for c in np.flatnonzero(n).tolist():
+                    reach = 0
+                    while n[max(0, c - reach) : c + reach + 1].sum() < min_group and reach < CLASSES:
+                        reach += 1
+                    out.append((key, c, int(n.sum()), max(0, c - reach), min(CLASSES - 1, c + reach)))
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], names=["key", "length_class", "total", "low", "high"])
+
+    ranges = materialise(held.mapInArrow(widen, "key string, length_class int, total long, low int, high int"), "band-ranges")
+    name = F.concat_ws(" ", "key", "low", "high").alias("band")
+    # the narrowest key with enough texts, or all
+    fit = every.join(ranges, ["key", "length_class"]).where((F.col("total") >= min_group) | (F.col("key") == "all"))
+    own = fit.groupBy(*kind).agg(F.min_by(F.struct("key", "low", "high", name), "wide").alias("x")).select(*kind, "x.*")
+    own = materialise(own, "own-bands")
+    used = own.select("key", "low", "high", "band").distinct()
+    within = every.join(used, "key").where(F.col("length_class").between(F.col("low"), F.col("high"))).groupBy(*kind).agg(F.collect_set("band").alias("within"))
+    return own.select(*kind, "band").join(within, kind)
 
 
 def query(docs: DataFrame, model: str) -> DataFrame:

@@ -25,10 +25,10 @@ def test_sparse_classes_are_judged(spark):
 
 
 def test_sets_hold_enough_texts(spark):
-    counted = [("en", "Latin", 10, 150), ("en", "Latin", 11, 60), ("en", "Latin", 14, 30), ("de", "Latin", 10, 5), ("ja", "Kana", 20, 7)]
+    counted = [*[(f"l{i}", "Latin", 30, 1) for i in range(2)], ("en", "Latin", 10, 150), ("en", "Latin", 11, 60), ("en", "Latin", 14, 30), ("de", "Latin", 10, 5), ("ja", "Kana", 20, 7)]
     got = {(r.group, r.length_class): r for r in fertility._sets(spark.createDataFrame(counted, "group string, script string, length_class int, n long"), 100).collect()}
     n = {}
     for g, _, c, k in counted:
         for band in got[g, c].within:
             n[band] = n.get(band, 0) + k
-    assert {k: n[r.band] for k, r in got.items()} == {("en", 10): 150, ("en", 11): 210, ("en", 14): 240, ("de", 10): 155, ("ja", 20): 252}
+    assert {k: n[r.band] for k, r in got.items()} == {("en", 10): 150, ("en", 11): 210, ("en", 14): 240, ("de", 10): 155, ("ja", 20): 254, ("l0", 30): 247, ("l1", 30): 247}
