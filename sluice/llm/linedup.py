@@ -5,19 +5,25 @@ stretch of such lines within one document; it qualifies with at least ``min_word
 qualifying run with an earlier copy (in the order of document id, then place) is deleted, so the first copy of every
 line stays. Blank lines go with the lines around them if both are of one deleted stretch, and stay otherwise.
 
-Method. Suffixes of the line-id sequences are named by prefix doubling: the name of 2^(k+1) lines is that of its two
-halves, so suffixes of equal name stand together in the suffix array as one interval of common prefix 2^k; two
-overlapping names give the interval of any length between. Lines that occur once in the corpus end a run and are left
-out before the first round, and doubling ends at the longest shortest-qualifying run, log2(min_words) rounds, since
-every line counts a word at least. For each suffix the shortest qualifying run from there, and for each line the
-shortest one that ends there, is looked up: the interval's earliest suffix is the original, the others are copies. The
-union of these runs is the union of all maximal repeated runs. A maximal run has ``min_words`` words in all. The run
-looked up from a line of it ends within it if enough words follow there, and is a copy as the maximal run is; the run
-looked up to a line starts within it likewise. A line with too few words both behind and before it lies in the run
-looked up from the first line of the maximal run, which is long enough to end behind it. Ranks, a sorted suffix array,
-common-prefix lengths and the maximal runs themselves are not built: the deleted lines do not depend on them.
-Groups of equal names, however many documents share them, are only ever reduced
-to a count and their first place, with partial sums before the exchange, and joined back; AQE splits such joins.
+Method. Lines that occur once in the corpus end a run and are left out first; what is left are stretches of line ids.
+Their suffixes are ordered by prefix doubling: the distinct names of a round are sorted over ranges of all tasks and
+numbered in that order, and the next round's names are pairs of a suffix's number and that of the suffix 2^k lines on.
+As every line counts a word, a run of ``min_words`` lines qualifies, so doubling ends once names cover as many. The
+suffix array is the order by the last numbers, ties by place; a suffix's common-prefix length with the one before it is
+counted in lines, up to ``min_words``. An interval of depth m holds the suffixes between two places where that length
+falls below m: those are the copies of one run of m lines. Of an interval the earliest suffix is the original, the
+others are later copies, and overlapping or adjacent copies of a document make its maximal repeated runs.
+
+For each suffix the interval at the depth of the shortest qualifying run from its line is looked up, and for each line
+that of the shortest one that ends there; their union is the union of all longer ones. A longer repeated run has
+``min_words`` words in all. The run looked up from a line of it ends within it if enough words follow there, and is a
+copy as the longer one is; the run looked up to a line starts within it likewise. A line with too few words both behind
+and before it lies in the run looked up from the first line of the longer run, which is long enough to end behind it.
+
+Groups of equal lines or names, however many documents share them, are only ever reduced to a count, a number or their
+first place, with partial sums before the exchange, and joined back; AQE splits such joins. The order is by ranges that
+split ties by place, so a frequent run spreads over tasks. Broadcast are a row for each range (task), and the blocks of
+a filter of at most 2 MB that keeps the texts without a repeated run out of the last join.
 
 Null texts stay null, empty ones empty. Rows that repeat both id and text count as one document and are treated alike.
 Rows with a null id are never changed. Other columns pass through untouched, whatever their names.
@@ -28,7 +34,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise
+from sluice.llm.common import discard, materialise
+from sluice.llm.urlfilter import block_of, bloom, mask_of, sized
 
 MIN_WORDS = 25
 _SPACE, _SALT = " \t\v\f\r", 7_919
@@ -57,46 +64,91 @@ def repeated_runs(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str =
     by_doc = Window.partitionBy(*doc).orderBy("seq")
     shared = shared.withColumn("stretch", F.col("seq") - F.row_number().over(by_doc))
 
-    # rounds of doubling: name k covers 2^k lines, null where the stretch ends before
+    # the shortest qualifying run from each line, and to each line, as lengths in lines
     stretch = Window.partitionBy(*doc, "stretch")
     by_line = stretch.orderBy("seq")
-    rounds = min_words.bit_length() - 1
-    for k in range(rounds):
-        half, rest = F.col(f"name{k}"), F.lead(f"name{k}", 2**k).over(by_line)
-        shared = shared.withColumn(f"name{k + 1}", F.when(rest.isNotNull(), _pair(half, rest)))
-
-    # the shortest qualifying run from each line, and to each line
     shared = shared.withColumn("before", F.coalesce(F.sum("words").over(by_line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("upto", F.col("before") + F.col("words"))
     all_of, first, last = F.sum("words").over(stretch), F.min("seq").over(stretch), F.max("seq").over(stretch)
     stop = F.min("seq").over(stretch.orderBy("before").rangeBetween(min_words, Window.unboundedFollowing))
     start = F.max("seq").over(stretch.orderBy("upto").rangeBetween(Window.unboundedPreceding, -min_words))
-    shared = shared.withColumns(
-        {
-            "stop": F.coalesce(stop, F.when(all_of - F.col("before") >= min_words, last + 1)),
-            "start": F.coalesce(start + 1, F.when(F.col("upto") >= min_words, first)),
-        }
-    )
-    names = materialise(shared.select(*doc, "seq", "stop", "start", F.array(*[f"name{k}" for k in range(rounds + 1)]).alias("names")), "line-names")
-
-    ahead = names.where("stop is not null").select(*doc, F.col("seq").alias("s"), (F.col("stop") - F.col("seq")).alias("m"))
-    behind = names.where("start is not null").select(*doc, F.col("start").alias("s"), (F.col("seq") + 1 - F.col("start")).alias("m"))
-    runs = ahead.union(behind).distinct().withColumn("k", F.floor(F.log2("m")).cast("int"))
-    head = names.select(*doc, F.col("seq").alias("s"), F.col("names").alias("head"))
-    tail = names.select(*doc, F.col("seq").alias("u"), F.col("names").alias("tail"))
-    runs = runs.join(head, [*doc, "s"]).withColumn("u", F.col("s") + F.col("m") - F.pow(F.lit(2), "k").cast("int")).join(tail, [*doc, "u"])
-    runs = runs.select(*doc, "s", "m", _pair(F.col("m"), F.col("head")[F.col("k")], F.col("tail")[F.col("k")]).alias("interval"))
-    runs = materialise(runs, "line-runs")
+    stop = F.coalesce(stop, F.when(all_of - F.col("before") >= min_words, last + 1))
+    start = F.coalesce(start + 1, F.when(F.col("upto") >= min_words, first))
+    lines = materialise(shared.select(*doc, "stretch", "seq", "name0", (stop - F.col("seq")).alias("ahead"), start.alias("start")), "stretches")
+
+    ranked = _ranks(lines, doc, min_words)
+    order = [F.col("rank"), *map(F.col, doc), F.col("seq")]
+    array = materialise(_suffix_array(ranked, lines, doc, order, min_words), "suffix-array")
+    discard(rows, again, lines, ranked)
+
+    # the interval of each looked-up run; those of one length and one start in the order are one interval
+    ahead = array.where("ahead is not null").select(*doc, "seq", F.col("ahead").alias("m"), "starts")
+    wanted = array.where("start is not null").select(*doc, F.col("start").alias("seq"), (F.col("seq") + 1 - F.col("start")).alias("m")).distinct()
+    behind = wanted.join(array.select(*doc, "seq", "starts"), [*doc, "seq"]).select(*doc, "seq", "m", "starts")
+    runs = ahead.union(behind).select(*doc, F.col("seq").alias("s"), "m", F.col("starts")[F.col("m").cast("int") - 1].alias("interval"))
+    runs = materialise(runs.distinct(), "line-runs")
 
     place = F.struct(*doc, "s")
-    origin = runs.groupBy("interval").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1").select("interval", "origin")
-    copies = runs.join(materialise(origin, "line-origins"), "interval").where(place > F.col("origin")).select(*doc, "s", (F.col("s") + F.col("m") - 1).alias("e"))
+    origin = materialise(runs.groupBy("m", "interval").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1").select("m", "interval", "origin"), "line-origins")
+    copies = runs.join(origin, ["m", "interval"]).where(place > F.col("origin")).select(*doc, "s", (F.col("s") + F.col("m") - 1).alias("e"))
 
     # overlapping or adjacent copies of a document become one stretch
     reach = F.max("e").over(Window.partitionBy(*doc).orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1))
     part = F.sum("new").over(Window.partitionBy(*doc).orderBy("s", "e"))
     merged = copies.withColumn("new", F.when(F.col("s") <= reach + 1, 0).otherwise(1)).withColumn("part", part)
     merged = merged.groupBy(*doc, "part").agg(F.min("s").alias("first"), F.max("e").alias("last"))
-    return merged.groupBy(*doc).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    out = materialise(merged.groupBy(*doc).agg(F.collect_list(F.struct("first", "last")).alias("runs")), "deleted-runs")
+    discard(array, runs, origin)
+    return out
+
+
+def _ranks(lines: DataFrame, doc: list[str], depth: int) -> DataFrame:
+    """Every suffix (doc, stretch, seq) with its rank among the prefixes of ``depth`` lines or more, by prefix doubling."""
+    by_line = Window.partitionBy(*doc, "stretch").orderBy("seq")
+    place = [*doc, "stretch", "seq"]
+
+    def numbered(names: DataFrame, *by: str) -> DataFrame:
+        """Distinct names in sorted ranges; partition and row number together grow with the order."""
+        return materialise(materialise(names.distinct(), "names").repartitionByRange(*by).sortWithinPartitions(*by).withColumn("rank", F.monotonically_increasing_id()), "ranks")
+
+    ranks = numbered(lines.select("name0"), "name0")
+    held, covered = materialise(lines.select(*place, "name0").join(ranks, "name0").select(*place, "rank"), "ranked"), 1
+    while covered < depth:
+        pairs = held.select(*place, F.col("rank").alias("a"), F.coalesce(F.lead("rank", covered).over(by_line), F.lit(-1)).alias("b"))
+        pairs = materialise(pairs, "pairs")
+        ranks = numbered(pairs.select("a", "b"), "a", "b")
+        following = materialise(pairs.join(ranks, ["a", "b"]).select(*place, "rank"), "ranked")
+        discard(held, pairs, ranks)
+        held, covered = following, 2 * covered
+    return held
+
+
+def _suffix_array(ranked: DataFrame, lines: DataFrame, doc: list[str], order: list[Column], depth: int) -> DataFrame:
+    """Suffixes with ``starts``: for each depth up to ``depth`` where in the suffix array the suffix's interval begins."""
+    prefix = Window.partitionBy(*doc, "stretch").orderBy("seq").rowsBetween(0, depth - 1)
+    own = lines.join(ranked, [*doc, "stretch", "seq"]).withColumn("lines", F.collect_list(F.col("name0")["a"]).over(prefix))
+    own = own.select(*doc, "seq", "ahead", "start", "rank", "lines")
+    sorted_ = own.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"range": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    sorted_ = materialise(sorted_, "sorted-suffixes")
+    within = Window.partitionBy("range").orderBy("at")
+
+    # what a range takes over from those before it: its last suffix, then the last place where the length fell below each depth
+    ends = sorted_.groupBy("range").agg(F.max_by("lines", "at").alias("lines"))
+    ranges = Window.orderBy("range")  # a row for each task
+    handed = ends.select("range", F.lag("lines").over(ranges).alias("handed"))
+    before = F.coalesce(F.lag("lines").over(within), F.col("handed"))
+    equal = F.transform(F.arrays_zip("lines", F.col("before").alias("other")), lambda x: x["lines"] == x["other"])
+    length = F.coalesce(F.array_position(F.transform(equal, lambda x: F.coalesce(x, F.lit(False))), False) - 1, F.lit(0))
+    length = F.when(F.col("before").isNull(), 0).when(length < 0, F.size("lines")).otherwise(length)
+    with_length = sorted_.join(F.broadcast(handed), "range").withColumn("before", before).withColumn("length", length).drop("before", "handed", "lines")
+    with_length = materialise(with_length, "common-prefixes")
+    falls = [F.when(F.col("length") < d, F.col("at")) for d in range(1, depth + 1)]
+    last = with_length.groupBy("range").agg(*[F.max(c).alias(f"d{d}") for d, c in enumerate(falls, 1)])
+    earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    last = last.select("range", F.array(*[F.max(f"d{d}").over(earlier) for d in range(1, depth + 1)]).alias("taken"))
+    here = F.array(*[F.max(c).over(within.rowsBetween(Window.unboundedPreceding, 0)) for c in falls])
+    out = with_length.withColumn("here", here).join(F.broadcast(last), "range")
+    starts = F.zip_with("here", "taken", lambda x, y: F.coalesce(x, y))
+    return out.select(*doc, "seq", "ahead", "start", starts.alias("starts"))
 
 
 def remove(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,7 +158,13 @@ def remove(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str = "doc_id
     # a row's own id and text are the join's key; other columns may have any name
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     text = F.col("_row")[text_col]
-    joined = packed.join(runs, (F.col("_row")[id_col] == F.col("_run_doc")) & (F.xxhash64(text) == F.col("_run_hash")), "left")
+    # rows that certainly have no run keep out of the join
+    key, blocks = F.xxhash64(F.col("_row")[id_col], F.xxhash64(text)), sized(runs.count())
+    held = bloom(runs.select(F.xxhash64("_run_doc", "_run_hash").alias("key")), blocks).withColumnsRenamed({"block": "_block", "bits": "_bits"})
+    marked = packed.withColumn("_key", key).join(F.broadcast(materialise(held, "run-filter")), block_of(F.col("_key"), blocks) == F.col("_block"), "left")
+    may = F.coalesce(F.col("_bits").bitwiseAND(mask_of(F.col("_key"))) == mask_of(F.col("_key")), F.lit(False))
+    hit = marked.where(may).select("_row").join(runs, (F.col("_row")[id_col] == F.col("_run_doc")) & (F.xxhash64(text) == F.col("_run_hash")), "left").select("_row", "runs")
+    joined = marked.where(~may).select("_row", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs")).unionByName(hit)
     lines = _lines(text)
     cuts = F.transform("runs", lambda r: F.struct(lines[r["first"]]["at"].alias("a"), lines[r["last"]]["at"].alias("b")))
     joined = joined.withColumn("_cuts", F.when(F.col("runs").isNotNull(), cuts))
