@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 
@@ -22,15 +23,17 @@ def header(spark: SparkSession, path: str) -> list[str]:
     first = line[0][0].lstrip("﻿") if line else ""
     if re.match(r"\s*<(!doctype|html)", first, re.I):
         raise ValueError(f"{path} is HTML")
-    names = [n.strip().strip('"') for n in first.split(",")]
-    if not all(names) or len(set(names)) != len(names):
+    names = [n.strip() for n in next(csv.reader([first], escapechar="\\"), [])]
+    if not names or not all(names) or len(set(names)) != len(names):
         raise ValueError(f"{path}: bad header {names}")
     return names
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, *, sequence: bool = False) -> DataFrame:
     """All columns as text, empty fields null, everything else verbatim; rows of another width or with NUL are errors.
 
+    With ``sequence`` a place column (``_ingest_seq``) says where each row came, on which every keep-last depends: files
+    in the order of the scan, rows in that of their file. Write it with the RAW table, so that it never changes.
     Malformed rows raise where they are read, so the check costs no pass of its own.
     """
     names = header(spark, path)
@@ -40,7 +43,8 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     for n in names:
         nul = nul | F.coalesce(F.contains(F.col(f"`{n}`"), F.lit("\0")), F.lit(False))
     fault = F.when(F.col("_bad").isNotNull() | nul, F.raise_error(F.lit(f"{path}: a row of another width or with NUL")).cast("string"))
-    return rows.select(*[F.coalesce(fault, F.nullif(F.col(f"`{n}`"), F.lit(""))).alias(n) for n in names])
+    out = rows.select(*[F.coalesce(fault, F.nullif(F.col(f"`{n}`"), F.lit(""))).alias(n) for n in names])
+    return out.withColumn(SEQ, F.monotonically_increasing_id()) if sequence else out
 
 
 def csv_report(df: DataFrame) -> dict[str, int]:
@@ -67,9 +71,12 @@ def file_for(names: Sequence[str], stem: str) -> str:
 
 
 def latest_version(df: DataFrame, name: Column) -> DataFrame:
-    """Rows whose name ends in the latest (YYYYMM) of all; several latest ones are an error to the reader."""
+    """Rows whose name ends in the latest (YYYYMM) of all; several latest names are an error."""
     month = F.regexp_extract(name, r"\((\d{6})\)$", 1)
     dated = df.withColumn("_month", month).where("_month <> ''")
+    names = dated.groupBy("_month").agg(F.count_distinct(name).alias("n")).orderBy(F.desc("_month")).limit(1).collect()
+    if names and names[0]["n"] > 1:
+        raise ValueError(f"{names[0]['n']} versions of {names[0]['_month']}")
     return dated.join(dated.agg(F.max("_month").alias("_month")), "_month").drop("_month")
 
 
@@ -108,8 +115,11 @@ def with_scope(df: DataFrame, values: dict[str, object], wanted: Sequence[str] |
 
 
 def scopes(years: DataFrame, districts: DataFrame, remap: dict[str, str] | None = None, code: str = "code") -> DataFrame:
-    """Every year with every district, both short lists, former codes replaced."""
-    out = years.crossJoin(F.broadcast(districts))
+    """Every year with every district, former codes replaced; the years travel as one row."""
+    held = years.agg(*[F.collect_set(c).alias(c) for c in years.columns])
+    out = districts.crossJoin(held)
+    for c in years.columns:
+        out = out.withColumn(c, F.explode(c))
     return out if not remap else out.withColumn(code, F.coalesce(F.create_map(*[F.lit(x) for kv in remap.items() for x in kv])[F.col(code)], F.col(code)))
 
 
@@ -133,3 +143,55 @@ def pending(units: DataFrame, done: DataFrame, key: str = "key") -> DataFrame:
 def fingerprint(units: DataFrame, key: str = "key") -> DataFrame:
     """SHA-256 over the sorted keys of a run's units, which are scopes of one job and few."""
     return units.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(key)), "\n"), 256).alias("fingerprint"))
+
+
+def first_present(df: DataFrame, names: dict[str, Sequence[str]]) -> DataFrame:
+    """Columns by their new name, each the first value that is not null of the source columns that exist.
+
+    Sources spell their keys in different cases (``citycode``, ``cityCode``); a column without any source is null.
+    """
+    have = set(df.columns)
+    pick = lambda sources: F.coalesce(*[F.col(f"`{c}`") for c in sources if c in have], F.lit(None).cast("string"))
+    return df.select(*[pick(sources).alias(name) for name, sources in names.items()])
+
+
+def require_values(df: DataFrame, column: str, expected: Sequence) -> None:
+    """Raises unless the distinct values of a column are exactly the expected ones; one row reaches the driver."""
+    wanted = F.array(*map(F.lit, expected))
+    held = df.where(F.col(column).isin(*expected)).agg(F.array_sort(F.collect_set(column)).alias("held"))
+    other = df.where(F.col(column).isNull() | ~F.col(column).isin(*expected)).select(column).limit(1).collect()
+    missing = held.select(F.array_except(wanted, "held").alias("missing")).first()["missing"]
+    if missing or other:
+        raise ValueError(f"{column}: missing {missing}, unexpected {[r[0] for r in other]}")
+
+
+def catalog_columns(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """A row for each column of the session's tables: table_name, column_name, data_type, nullable, place."""
+    names = [t.name for t in spark.catalog.listTables(database)]
+    rows = [(t, f.name, f.dataType.simpleString(), f.nullable, i) for t in names for i, f in enumerate(spark.table(t if database is None else f"{database}.{t}").schema)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, nullable boolean, place int")
+
+
+def start_checkpoint(spark: SparkSession, path: str, meta: str) -> None:
+    """Begins a checkpoint with its meta line; an old one at the path goes."""
+    line = spark.range(1).select(F.to_json(F.struct(F.lit("meta").alias("type"), F.lit(meta).alias("meta"))).alias("value"))
+    line.write.mode("overwrite").text(path)
+
+
+def append_units(units: DataFrame, path: str) -> None:
+    """Appends units (key, status, records, saved_at) as JSON lines; a write is seen as a whole or not at all."""
+    names = [c for c in ("key", "status", "unit", "records", "saved_at") if c in units.columns]
+    units.select(F.to_json(F.struct(F.lit("unit").alias("type"), *names)).alias("value")).write.mode("append").text(path)
+
+
+def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
+    """The last state of each unit of a written checkpoint, by the time it was saved."""
+    lines = spark.read.text(path).withColumn("order", F.coalesce(F.get_json_object("value", "$.saved_at"), F.lit("")))
+    return completed_units(lines, "order")
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """A report as JSON lines and as CSV with a header, under ``path``; skipped scopes and failures are written alike."""
+    df.write.mode("overwrite").json(f"{path}/json")
+    flat = [F.to_json(f.name).alias(f.name) if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) else F.col(f"`{f.name}`") for f in df.schema]
+    df.select(*flat).write.mode("overwrite").csv(f"{path}/csv", header=True, escape='"')

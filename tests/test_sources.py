@@ -82,3 +82,36 @@ def test_run_reports(spark):
     assert runs.report_period(dt.datetime(2026, 9, 28, 17, 30)) is None
     df = spark.createDataFrame([("timed out",), ("HTTP 429 LIMITED_NUMBER_OF_SERVICE_REQUESTS_EXCEEDS_ERROR",), ("row 503",), (None,)], "e string")
     assert [r[0] for r in df.select(runs.transient(F.col("e"))).collect()] == [True, False, False, False]
+
+
+def test_checkpoints_reports_and_lists(spark, tmp_path):
+    path = str(tmp_path / "check")
+    files.start_checkpoint(spark, path, "job 1")
+    units = spark.createDataFrame([("a", "failed", ["x"], "2026-01-01T00:00:00"), ("b", "done", ["y", "z"], "2026-01-01T00:00:01")], "key string, status string, records array<string>, saved_at string")
+    files.append_units(units, path)
+    files.append_units(units.where("key = 'a'").withColumns({"status": F.lit("done"), "saved_at": F.lit("2026-01-01T00:00:02")}), path)
+    assert {r.key: (r.status, r.records) for r in files.read_checkpoint(spark, path).collect()} == {"a": ("done", ["x"]), "b": ("done", ["y", "z"])}
+    assert files.pending(spark.createDataFrame([("a",), ("c",)], "key string"), files.read_checkpoint(spark, path)).collect() == [("c",)]
+    files.write_report(units, str(tmp_path / "report"))
+    assert spark.read.json(str(tmp_path / "report/json")).count() == 2
+    assert spark.read.csv(str(tmp_path / "report/csv"), header=True, escape='"').where("key = 'b'").first().records == '["y","z"]'
+    cities = files.first_present(spark.createDataFrame([("1", None), (None, "2")], "citycode string, cityCode2 string"), {"city_code": ("citycode", "cityCode2"), "city_name": ("none",)})
+    assert sorted(tuple(r) for r in cities.collect()) == [("1", None), ("2", None)]
+    years = spark.range(2012, 2025)
+    files.require_values(years, "id", range(2012, 2025))
+    for bad in (years.where("id <> 2013"), years.union(spark.range(1))):
+        with pytest.raises(ValueError, match="id"):
+            files.require_values(bad, "id", range(2012, 2025))
+    years.createOrReplaceTempView("years_of_test")
+    assert files.catalog_columns(spark).where("table_name = 'years_of_test'").select("column_name", "data_type", "place").collect() == [("id", "bigint", 0)]
+
+
+def test_quoted_headers_places_and_versions(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('"name, full",b\nx,1\ny,\n', encoding="utf-8")
+    rows = files.read_csv(spark, str(path), sequence=True).collect()
+    assert [(r["name, full"], r["b"], r[files.SEQ]) for r in rows] == [("x", "1", 0), ("y", None, 1)]
+    versions = spark.createDataFrame([("a (202401)",), ("a (202402)",), ("b (202402)",)], "n string")
+    with pytest.raises(ValueError, match="2 versions"):
+        files.latest_version(versions, F.col("n"))
+    assert files.latest_version(versions.where("n like 'a%'"), F.col("n")).count() == 1
