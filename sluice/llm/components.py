@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise
+from sluice.llm.common import discard, materialise
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -36,4 +36,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state["n"] == 0 or state == seen:
             return edges.select("u", F.col("v").alias("root"))
         seen = state
-        edges = materialise(_small(_large(edges)), "edges")
+        fewer = materialise(_small(_large(edges)), "edges")
+        discard(edges)
+        edges = fewer

@@ -4,55 +4,57 @@ A document's set holds the distinct shingles of ``n`` words (runs outside [\\x20
 shorter text's whole sequence is its one shingle; without a word the set is empty and links with nothing. Two
 documents link when 100 * common >= percent * union. Sets are compared as 64-bit shingle hashes.
 
-1. A fixed-size count sketch over the shingles of all documents says which are frequent. Each set is ordered by
-   (frequency level, hash). Sets that link share their t least common elements within their first
-   size - ceil(percent * size) + t ones; t is SPARE percent of the size and one. Sets with fewer such elements that
-   any other set has cannot link, which rules out most that merely quote the same lines.
-2. Equal sets are one node from here on: their class is found by the hash of the set and named by its least id.
-3. Nodes that share such an element, and whose sizes can link, meet in a bucket (element, band of sizes). A node first
-   goes with its whole set to one bucket, in bounded parts. Large buckets are dealt a second time in another way. In
-   a part, signature trees find the links: leaves and inner nodes hold OR-combined bitmaps, size ranges and least bit
-   counts, and a traversal of node pairs leaves out those whose largest possible overlap is too small and those of
-   one component already. Then components that share buckets meet by one member each, a few rounds long, so that the
-   components of one large class have mostly joined before step 4.
-4. Buckets that still hold several components are worked off by bitmaps alone: each pair of different components
-   that the trees cannot rule out is compared by its whole sets, once. Members of a bucket's largest component are
-   dealt over parts and only the others meet all parts, so a large class of copies costs in proportion to its size.
-
-Every pair that can link either is in one component after step 3 or is examined in step 4, so no link between
-components is lost; no bucket, class or candidate list has a cap. Pairs within a component are not enumerated.
-
-Rows of equal id count as one node that has the links of each of its sets. Rows with a null id get a null component.
-Null and empty texts have n_shingles 0 and are their own component. An empty table gives no rows. Columns besides id
-and text are not read.
+1. Equal sets are one node from here on, named by the least row number of its rows.
+2. Nodes that can link meet in a bucket. From SEGMENTS_FROM percent on, a bucket is a segment: for each band of sizes that a
+   set lies in (bands overlap, so two sizes that can link share one), the shingles are dealt by hash over more segments than
+   two linked sets of the band can differ in shingles, so such sets agree in one segment at least, and in one that is not
+   empty unless both have very many empty ones; those are dealt anew with another salt. Sets that merely share passages
+   or frequent shingles hardly ever agree in a whole segment, so buckets grow with the near copies and not with the corpus.
+   Below SEGMENTS_FROM segments would hold too little; there a bucket is an element of the set's prefix and a band of
+   sizes. A count sketch over the shingles of all documents says which are frequent, each set is ordered by (frequency
+   level, hash), and sets that link share their t least common elements within their first size - ceil(percent * size) + t
+   ones, t being SPARE percent of the size and one. Sets with fewer such elements that any other set has go.
+3. Buckets are gathered around the member that lies in most of them: a room holds all members of the buckets of one such
+   member. Two nodes that can link are in one room at least, and a node is in a few rooms, not in one for each bucket.
+4. In a room, bitmaps have a bit for each element that several of its sets hold, so those of single nodes are exact.
+   Signature trees hold OR-combined bitmaps and size ranges; the dual traversal of two trees leaves out node pairs whose
+   largest possible overlap is too small and those of one component already. Only what joins components leaves the
+   room, fewer rows than it has members. Rooms beyond a part's bound are dealt over parts twice first, which joins
+   most of a large class; then the members outside the room's largest component meet all parts.
+
+No bucket, room, class or candidate list has a cap. Pairs within a component are not enumerated.
+
+Rows of equal id count as one document that has the links of each of its sets. Rows with a null id get a null component
+and join nothing. Null and empty texts have n_shingles 0 and are their own component. An empty table gives no rows.
+Columns besides id and text are not read.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise, small_batches
+from sluice.llm.common import discard, materialise, small_batches
 from sluice.llm.components import components
 
-#: Counters of the sketch, width of a bitmap in bits, rows of a part in steps 3 and 4.
-SKETCH, BITS, PART, PART_BITMAPS = 1 << 20, 1024, 200, 120
-#: Width of the bitmaps that single pairs are held against before their sets are.
-WIDE = 8192
+#: Counters of the sketch; sets of a part, and the shingles that they may hold together.
+SKETCH, PART, PART_SHINGLES = 1 << 20, 400, 500_000
 SLICE, _SHIFT = 1 << 12, np.uint64(44)
-#: Sets of a part may hold so many shingles together.
-PART_SHINGLES = 2_000_000
 #: Of a set's size, in percent: so many more first elements are sent, and must be shared.
 SPARE = 3
-#: Times that nodes with too few common elements are sifted out; rounds in which components meet by one member each.
-SIFTS, MEETINGS = 2, 3
-#: Ratio of sizes in a band.
+#: Ratio of sizes in a band of prefix buckets.
 BAND = 1.25
-_LEAF = 16
+#: Least percent that segments serve, and how often sets with many empty segments are dealt anew at most.
+SEGMENTS_FROM, SALTS = 85, 16
+#: Words of bitmaps that a step of a traversal compares at most.
+_STEP = 1 << 21
+#: Nodes under a node of a tree.
+FAN = 16
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -105,77 +107,164 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
-    """A row of ``bits`` bits for each set."""
-    out = np.zeros((len(sets), bits), np.uint8)
-    for row, s in zip(out, sets):
-        row[(s >> np.uint64(40)).astype(np.int64) % bits] = 1
-    return np.packbits(out, axis=1).view(np.uint64)
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """A row for each set, with a bit for each element that several of the sets hold."""
+    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    names, at, n = np.unique(every, return_inverse=True, return_counts=True)
+    column = np.cumsum(n > 1) - 1
+    shared = n[at] > 1
+    row, column = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[shared], column[at[shared]]
+    words = int((n > 1).sum()) // 64 + 1
+    out = np.zeros((len(sets), words), np.uint64)
+    np.bitwise_or.at(out, (row, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    return out
 
 
 class SignatureTree:
-    """Levels of nodes over rows ordered by size and bitmap; node i of a level covers the next level's 16 i ff."""
-
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray, groups: np.ndarray):
-        self.order = np.lexsort((bits[:, 0], sizes))
-        self.levels = [(bits[self.order], sizes[self.order], sizes[self.order], np.bitwise_count(bits[self.order]).sum(1).astype(np.int64), groups[self.order], groups[self.order])]
-        while len(self.levels[-1][0]) > 1 or len(self.levels) == 1:
-            below, starts = self.levels[-1], np.arange(0, len(self.levels[-1][0]), _LEAF)
-            self.levels.append(tuple(f.reduceat(x, starts, axis=0) for f, x in zip((np.bitwise_or, np.minimum, np.maximum, np.minimum, np.minimum, np.maximum), below)))
-
-    def children(self, level: int, node: int) -> range:
-        return range(node * _LEAF, min((node + 1) * _LEAF, len(self.levels[level - 1][0])))
-
-    def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Blocks of row pairs (as positions in the input) that may link and are of different groups."""
-        stack = [(len(self.levels) - 1, 0, 0)]
-        while stack:
-            level, a, b = stack.pop()
-            if level == 0:
-                continue
-            rows, columns = self.children(level, a), self.children(level, b)
-            i, j = np.meshgrid(np.arange(rows.start, rows.stop), np.arange(columns.start, columns.stop), indexing="ij")
-            i, j = i.ravel(), j.ravel()
-            keep = i <= j if level > 1 else i < j
-            i, j = i[keep] if a == b else i, j[keep] if a == b else j
-            bits, low, high, count, least, most = self.levels[level - 1]
-            both = np.bitwise_count(bits[i] & bits[j]).sum(1).astype(np.int64)
-            bound = np.minimum(high[i] - np.maximum(0, count[i] - both), high[j] - np.maximum(0, count[j] - both))
-            fits = (100 + percent) * bound >= percent * (low[i] + low[j])
-            fits &= ~((least[i] == most[i]) & (most[i] == least[j]) & (least[j] == most[j]))
-            if level == 1:
-                if fits.any():
-                    yield self.order[i[fits]], self.order[j[fits]]
-            else:
-                stack += [(level - 1, x, y) for x, y in zip(i[fits].tolist(), j[fits].tolist())]
-
-
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
-        return False
-    both = np.concatenate([a, b])
-    both.sort()
-    common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= percent * (len(a) + len(b) - common)
-
-
-def forest(groups: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """(group, least group it is joined with) as far as a part's links join its groups; pairs in one are not compared."""
-    names, label = np.unique(groups, return_inverse=True)
-    label = label.astype(np.int64)
-    own, sizes = label.copy(), np.asarray([len(s) for s in sets], np.int64)
-    for left, right in SignatureTree(bitmaps(sets, BITS), sizes, label).pairs(percent):
-        while True:
-            apart = label[left] != label[right]
-            left, right = left[apart], right[apart]
-            if not len(left):
+    """Levels of nodes over rows in an order; node i of a level covers nodes FAN * i and following of the level below.
+
+    A node has the OR of its rows' bitmaps, their least and largest size, and their least and largest label.
+    """
+
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, rows: np.ndarray):
+        self.rows = rows[np.lexsort((bits[rows, 0], sizes[rows]))]
+        self.levels = [(bits[self.rows], sizes[self.rows], sizes[self.rows])]
+        while len(self.levels[-1][0]) > 1:
+            self.grow()
+
+    def grow(self) -> None:
+        below, starts = self.levels[-1], np.arange(0, len(self.levels[-1][0]), FAN)
+        self.levels.append(tuple(f.reduceat(x, starts, axis=0) for f, x in zip((np.bitwise_or, np.minimum, np.maximum), below)))
+
+    def relabel(self, label: np.ndarray) -> None:
+        """Takes new labels of all rows."""
+        self.labels = [(label[self.rows],) * 2]
+        for level in self.levels[1:]:
+            starts, (least, most) = np.arange(0, len(self.labels[-1][0]), FAN), self.labels[-1]
+            self.labels.append((np.minimum.reduceat(least, starts), np.maximum.reduceat(most, starts)))
+
+
+def _children(nodes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    below = nodes[:, None] * FAN + np.arange(FAN)
+    return below, below < n
+
+
+def merge(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> bool:
+    """Joins the classes of x and y in a table of least members; whether any changed."""
+    changed = False
+    while len(x):
+        a, b = parent[x], parent[y]
+        apart = a != b
+        x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+        if len(x):
+            changed = True
+            np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+            while (parent[parent] != parent).any():
+                parent[:] = parent[parent]
+    return changed
+
+
+def join_trees(left: SignatureTree, right: SignatureTree, label: np.ndarray, percent: int) -> None:
+    """Dual traversal: joins the labels (positions of least members) of all rows of ``left`` and ``right`` that link."""
+    while len(left.levels) < len(right.levels):
+        left.grow()
+    while len(right.levels) < len(left.levels):
+        right.grow()
+    left.relabel(label)
+    right.relabel(label)
+    wave = max(1, _STEP // (FAN * FAN * left.levels[0][0].shape[1]))
+    stack = [(len(left.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    top = True
+    while stack:
+        level, i, j = stack.pop()
+        if not top:  # a step down
+            (i, fine), (j, good) = _children(i, len(left.levels[level][0])), _children(j, len(right.levels[level][0]))
+            i, j = np.broadcast_arrays(i[:, :, None], j[:, None, :])
+            keep = (fine[:, :, None] & good[:, None, :]).ravel()
+            i, j = i.ravel()[keep], j.ravel()[keep]
+        top = False
+        (low, high), (least, most) = left.labels[level], right.labels[level]
+        apart = ~((low[i] == high[i]) & (least[j] == most[j]) & (low[i] == least[j]))
+        i, j = i[apart], j[apart]
+        (a, small, large), (b, little, big) = left.levels[level], right.levels[level]
+        # sizes first: what they rule out needs no bitmap
+        near = (100 + percent) * np.minimum(large[i], big[j]) >= percent * (small[i] + little[j])
+        i, j = i[near], j[near]
+        overlap = np.bitwise_count(a[i] & b[j]).sum(1).astype(np.int64)
+        bound = np.minimum(np.minimum(large[i], big[j]), overlap)
+        fits = (100 + percent) * bound >= percent * (small[i] + little[j])
+        i, j = i[fits], j[fits]
+        if level == 0:
+            if merge(label, label[left.rows[i]], label[right.rows[j]]):
+                left.relabel(label)
+                right.relabel(label)
+            continue
+        for at in range(0, len(i), wave):
+            stack.append((level - 1, i[at : at + wave], j[at : at + wave]))
+
+
+def forest(names: np.ndarray, roots: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(root, least root that it is joined with) for the links between rows of side 1 or 3 and rows of side 2 or 3."""
+    _, once = np.unique(names, return_index=True)
+    sets, sides = [sets[i] for i in once], sides[once]
+    known, label = np.unique(roots[once], return_inverse=True)
+    _, first = np.unique(label, return_index=True)
+    label = first[label]  # the first row of each root stands for it
+    own, bits, sizes = label.copy(), bitmaps(sets), np.asarray([len(s) for s in sets], np.int64)
+    rows, columns = np.flatnonzero(sides & 1), np.flatnonzero(sides & 2)
+    if len(rows) and len(columns):
+        join_trees(SignatureTree(bits, sizes, rows), SignatureTree(bits, sizes, columns), label, percent)
+    roots = roots[once]
+    moved = np.unique(np.stack([roots[own], roots[label]], axis=1)[own != label], axis=0)
+    return moved[:, 0], moved[:, 1]
+
+
+@functools.cache
+def size_bands(percent: int) -> tuple[float, float]:
+    """Ratio of the lower ends of following bands, and ratio of a band's ends: sizes that can link share a band."""
+    ratio = 100 / percent
+    step = ratio ** max(1, int(30 / (100 - percent)))
+    return step, step * ratio
+
+
+@functools.cache
+def segments_of(band: int, percent: int) -> tuple[int, int]:
+    """Segments of a band, and how many of them two linked sets agree in at least."""
+    step, width = size_bands(percent)
+    low, high = max(1, int(step**band)), int(step**band * width) + 1
+    differ = 2 * high * (100 - percent) // (100 + percent)
+    return next((n, n - differ) for n in range(differ + 1, 10**9) if n * np.exp(-low / n) < n - differ or n > 2 * differ)
+
+
+def segment_keys(s: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of the buckets of a set: linked sets share one.
+
+    A set under a salt with fewer empty segments than linked sets agree in shares a segment with shingles with any set
+    that it links with; others come under the next salt too. Under the last salt empty segments are keys as well.
+    """
+    if percent >= 100 or not len(s):
+        return np.zeros(0, np.uint64)
+    step, width = size_bands(percent)
+    # a set of size n lies in the bands that begin at n / width to n; one more at each end for the rounding
+    first = max(0, int(np.floor(np.log(len(s) / width) / np.log(step))))
+    out = []
+    for band in range(first, int(np.log(len(s)) / np.log(step)) + 2):
+        if not int(step**band) <= len(s) <= int(step**band * width) + 1:
+            continue
+        n, agree = segments_of(band, percent)
+        for salt in range(SALTS):
+            with np.errstate(over="ignore"):
+                own = _mix(s + np.uint64(2 * salt + 1) * _P[1])
+                at = ((own >> np.uint64(33)) % np.uint64(n)).astype(np.int64)
+                half = [np.bincount(at, (_mix(own ^ _P[2]) >> shift & np.uint64(0xFFFFFFFF)).astype(np.float64), n).astype(np.uint64) for shift in (np.uint64(0), np.uint64(32))]
+                held = np.bincount(at, minlength=n) > 0
+                name = np.uint64((band * SALTS + salt) * 2 + 1) * _P[0]
+                keys = _mix(_mix(half[0] + half[1] * _P[3]) + np.arange(n, dtype=np.uint64) * _P[1] + name)
+            enough = n - int(held.sum()) < agree
+            out.append(keys[held] if enough or salt < SALTS - 1 else keys)
+            if enough:
                 break
-            i, j = int(left[0]), int(right[0])
-            left, right = left[1:], right[1:]
-            if linked(sets[i], sets[j], percent):
-                low, high = sorted((int(label[i]), int(label[j])))
-                label[label == high] = low
-    return sorted({(int(names[x]), int(names[y])) for x, y in zip(own, label) if x != y})
+    return np.unique(np.concatenate(out))
 
 
 def _sketch(docs: DataFrame, n: int) -> np.ndarray:
@@ -214,200 +303,235 @@ def spare(size):
     return size * SPARE // 100 + 1
 
 
-def _features(docs: DataFrame, n: int, percent: int, level: np.ndarray) -> DataFrame:
-    """doc_id, size, the set's hash, and the first elements in the common order."""
-    shared = docs.sparkSession.sparkContext.broadcast(level)  # SKETCH bytes
+def _prefixes(docs: DataFrame, n: int, percent: int):
+    """A function that gives the first elements of a set in the common order; its table of levels has SKETCH bytes."""
+    counts = _sketch(docs, n)
+    usual = max(1.0, float(counts.mean()))
+    level = np.maximum(0, np.floor(np.log2(np.maximum(counts, 1) / (2 * usual))) + 1).astype(np.int8)
+    shared = docs.sparkSession.sparkContext.broadcast(level)
+
+    def prefix(s: np.ndarray) -> np.ndarray:
+        first = len(s) - -(-percent * len(s) // 100) + spare(len(s)) if len(s) else 0
+        return s[np.argsort(shared.value[(s >> _SHIFT).astype(np.int64)], kind="stable")[:first]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+    return prefix
+
+
+def _features(docs: DataFrame, n: int, keys_of) -> DataFrame:
+    """doc_id, a hash of the text, size, the set's hash, and what ``keys_of`` the set gives."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text in batch.column(2).to_pylist():
                 s = shingles(text, n)
-                first = len(s) - -(-percent * len(s) // 100) + spare(len(s)) if len(s) else 0
-                order = np.argsort(shared.value[(s >> _SHIFT).astype(np.int64)], kind="stable")[:first]
-                key = xxhash.xxh3_128_digest(s.tobytes())
-                rows.append((doc, len(s), int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), signed(s[order])))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "size", "k1", "k2", "first"])
+                rows.append((len(s), *set_key(s), signed(keys_of(s))))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            own = [pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *own], names=["doc_id", "text_hash", "size", "k1", "k2", "keys"])
+
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, size long, k1 long, k2 long, keys array<long>")
+
 
-    return docs.mapInArrow(run, "doc_id long, size long, k1 long, k2 long, first array<long>")
+def set_key(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of hash of a set."""
+    import xxhash
 
+    key = xxhash.xxh3_128_digest(s.tobytes())
+    return int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True)
 
-def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """node, size, bitmaps of two widths and the whole set."""
+
+def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """node and whole set of the rows ``wanted`` (node, doc_id, text_hash, k1); copies of a row in a task give one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            sets = [shingles(t, n).tobytes() for t in batch.column(1).to_pylist()]
-            arrays = [np.frombuffer(s, np.uint64) for s in sets]
-            narrow, wide = ([row.tobytes() for row in bitmaps(arrays, bits)] for bits in (BITS, WIDE))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in arrays], pa.int64()), pa.array(narrow, pa.binary()), pa.array(wide, pa.binary()), pa.array(sets, pa.binary())], names=["node", "size", "bits", "wide", "set"])
+            nodes, sets = [], []
+            for node, k1, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if node not in seen:
+                    s = shingles(text, n)
+                    if set_key(s)[0] == k1:
+                        seen.add(node)
+                        nodes.append(node)
+                        sets.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    return docs.mapInArrow(run, "node long, size long, bits binary, wide binary, set binary")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["text_hash"] == wanted["text_hash"])
+    return docs.join(wanted, same).select("node", "k1", "text").mapInArrow(run, "node long, set binary")
 
 
-def _part(count: int | Column, *of: str) -> Column:
-    return F.pmod(F.xxhash64(*of), count).cast("int")
+def _part(count: Column, *of) -> Column:
+    return F.pmod(F.xxhash64(*of), F.greatest(count, F.lit(1))).cast("int")
 
 
 def _band(size: Column) -> Column:
     return F.floor(F.log(size) / F.log(F.lit(BAND))).cast("int")
 
 
-def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (least id reachable by links, itself included)."""
-    small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counts = _sketch(docs, n)
-    usual = max(1.0, float(counts.mean()))
-    level = np.maximum(0, np.floor(np.log2(np.maximum(counts, 1) / (2 * usual))) + 1).astype(np.int8)
-    features = materialise(_features(docs, n, percent, level), "features")
+def _segment_buckets(nodes: DataFrame) -> DataFrame:
+    """(e, band, node, size) of the segments that several nodes have: one exchange, and a look at the neighbours in order."""
+    entries = nodes.select("node", "size", F.explode("keys").alias("e"))
+    beside = Window.partitionBy("e").orderBy("node")
+    several = F.lag("node").over(beside).isNotNull() | F.lead("node").over(beside).isNotNull()
+    return materialise(entries.withColumn("several", several).where("several").select("e", F.lit(0).alias("band"), "node", "size"), "buckets")
 
-    # equal sets are one node
-    nodes = features.where("size > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.min_by(F.struct("size", "first"), "doc_id").alias("x"))
-    nodes = materialise(nodes.select("k1", "k2", "node", "x.size", "x.first"), "nodes")
 
-    # buckets: an element that several nodes have, and a band of sizes; a node also visits the next band if it reaches
-    entries = nodes.select("node", "size", F.posexplode("first").alias("at", "e"))
+def _prefix_buckets(nodes: DataFrame, percent: int) -> DataFrame:
+    """(e, band, node, size) of the prefix elements that several nodes of like size have."""
+    # buckets: an element that several nodes have, and a band of sizes; a node also visits the larger bands that it reaches
+    entries = nodes.select("node", "size", F.posexplode("keys").alias("at", "e"))
     common = entries.groupBy("e").agg(F.count("*").alias("n")).where("n > 1").select("e")
-    entries = materialise(entries.join(common, "e"), "entries")
-    bands = F.array_distinct(F.array(_band(F.col("size")), _band(F.col("size") * 100 / percent)))
-    visits = entries.select("e", "at", "node", "size", F.posexplode(bands).alias("visit", "band"))
+    common = materialise(common, "common")
+    entries = entries.join(common, "e")
+    bands = F.sequence(_band(F.col("size")), _band(F.col("size") * 100 / percent))
+    visits = materialise(entries.select("e", "at", "node", "size", F.posexplode(bands).alias("visit", "band")), "visits")
+    # nodes that meet others of like size in too few elements go
+    met = lambda v: v.groupBy("e", "band").agg(F.count("*").alias("n"), F.count_if(F.col("visit") == 0).alias("own")).where("n > 1 and own > 0").select("e", "band")
+    held = materialise(visits.join(met(visits), ["e", "band"], "left_semi"), "visits")
+    discard(common, visits)
     needed = F.floor(F.ceil(F.col("size") * percent / 100) * SPARE / 100) + 1
-    for _ in range(SIFTS):  # nodes that meet others of like size in too few elements go, and then others may
-        met = visits.groupBy("e", "band").agg(F.count("*").alias("n"), F.count_if(F.col("visit") == 0).alias("own")).where("n > 1 and own > 0").select("e", "band")
-        visits = materialise(visits.join(met, ["e", "band"], "left_semi"), "visits")
-        enough = visits.groupBy("node").agg(F.count_distinct("e").alias("n"), F.first("size").alias("size")).where(F.col("n") >= needed).select("node")
-        visits = materialise(visits.join(enough, "node", "left_semi"), "visits")
+    enough = held.groupBy("node").agg(F.count_distinct("e").alias("n"), F.first("size").alias("size")).where(F.col("n") >= needed).select("node")
     first = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    entries = visits.where(F.col("at") < first).drop("at")
-    entries = materialise(entries, "visits")
-    rooms = entries.groupBy("e", "band").agg(F.count("*").alias("n"), F.count_if(F.col("visit") == 0).alias("own"), F.sum("size").alias("weight"), F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
-    # buckets of equal members do the same work: one of them is enough
-    rooms = rooms.where("n > 1 and own > 0").groupBy("n", "h1", "h2", "weight").agg(F.min(F.struct("e", "band")).alias("x")).select("x.*", "n", "weight")
-    entries = materialise(entries.join(rooms, ["e", "band"]), "shared")
-
-    # whole sets of the nodes that meet another
-    wanted = entries.select(F.col("node").alias("doc_id")).distinct()
-    sets = materialise(_sets(docs.join(wanted, "doc_id", "left_semi"), n), "sets")
-
-    # step 3: each node with its set in one bucket
-    chosen = entries.groupBy("node").agg(F.min_by(F.struct("e", "band", "n", "weight"), F.struct("band", F.xxhash64("e"))).alias("x")).select("node", "x.*")
-    parts = F.greatest(F.ceil(F.col("n") / PART), F.ceil(F.col("weight") / PART_SHINGLES))
-    chosen = materialise(chosen.withColumn("parts", parts), "chosen")
+    sifted = materialise(held.join(enough, "node", "left_semi").where(F.col("at") < first), "visits")
+    buckets = materialise(sifted.join(met(sifted), ["e", "band"], "left_semi").select("e", "band", "node", "size"), "visits")
+    discard(held, sifted)
+    return buckets
+
+
+def _rooms(buckets: DataFrame) -> DataFrame:
+    """(room, node, size) of nodes that may link with another: linking nodes share a room."""
+    # a bucket belongs to the member that lies in most buckets
+    held = buckets.join(buckets.groupBy("node").agg(F.count("*").alias("degree")), "node")
+    centres = held.groupBy("e", "band").agg(F.max_by("node", F.struct("degree", F.xxhash64("node"))).alias("room"))
+    rooms = materialise(held.join(centres, ["e", "band"]).select("room", "node", "size").distinct(), "rooms")
+    discard(buckets)
+    return rooms
+
+
+def _links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(u, v) between nodes that join all nodes that links do; nodes has node, size, keys, doc_id, text_hash, k1."""
+    rooms = _rooms(_segment_buckets(nodes) if percent >= SEGMENTS_FROM else _prefix_buckets(nodes, percent))
+    wanted = nodes.join(rooms.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_hash", "k1")
+    wanted = materialise(wanted, "wanted")
+    sets = materialise(_sets(docs, wanted, n), "sets")
 
     def in_part(table: pa.Table) -> pa.Table:
-        found = forest(np.asarray(table.column("root"), np.int64), [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()], percent)
-        u, v = zip(*found) if found else ((), ())
+        names, roots, sides = (np.asarray(table.column(c).combine_chunks(), np.int64) for c in ("node", "root", "side"))
+        u, v = forest(names, roots, sides, [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()], percent)
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    def round_of(rows: DataFrame, salt: int) -> DataFrame:
-        part = _part(F.greatest("parts", F.lit(1)), "node") if not salt else F.pmod(F.xxhash64(F.lit(salt), "node"), F.greatest("parts", F.lit(1))).cast("int")
-        rows = rows.select("e", "band", "node", "root", part.alias("part")).join(sets.select("node", "set"), "node")
-        return rows.groupBy("e", "band", "part").applyInArrow(in_part, "u long, v long")
-
-    def joined(stars: DataFrame) -> DataFrame:
-        """The roots after roots have joined others; ``stars`` has a row for each that is no root any longer."""
-        stars = stars.select("u", F.col("v").alias("to"))
-        moved = roots.join(stars.withColumnRenamed("u", "root"), "root", "left").select("u", F.coalesce("to", "root").alias("root"))
-        return materialise(moved.union(stars.select("u", F.col("to").alias("root"))), "roots")
-
-    # every node is in one part, so what the parts find are whole stars; parts of a large bucket meet in a second deal
-    roots = materialise(round_of(chosen.withColumn("root", F.col("node")), 0).select("u", F.col("v").alias("root")), "roots")
-    large = chosen.where("parts > 1").join(roots.withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = materialise(round_of(large, 1), "links")
-    if not second.isEmpty():
-        roots = joined(components(second).withColumnRenamed("root", "v"))
-
-    def tagged_rooms() -> tuple[DataFrame, DataFrame]:
-        """The members of buckets with their components, and the buckets that hold several."""
-        tagged = entries.join(roots.withColumnRenamed("u", "node"), "node", "left").select("e", "band", "node", "size", F.coalesce("root", "node").alias("root"))
-        held = tagged.groupBy("e", "band", "root").agg(F.count("*").alias("m"))
-        rooms = held.groupBy("e", "band").agg(F.sum("m").alias("n"), F.count("*").alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"))
-        return tagged, materialise(rooms.where("roots > 1"), "open-rooms")
-
-    tagged, open_rooms = tagged_rooms()
-    for salt in range(2, 2 + MEETINGS):
-        # a member of each component in one of its buckets, the same for components that share most of them
-        lot = F.struct(F.xxhash64(F.lit(salt), "e", "band"), F.xxhash64(F.lit(salt), "node"))
-        sent = tagged.join(open_rooms.select("e", "band"), ["e", "band"], "left_semi").groupBy("root").agg(F.min_by(F.struct("node", "e", "band", "size"), lot).alias("x"))
-        sent = materialise(sent.select("root", "x.*"), "sent")
-        full = sent.groupBy("e", "band").agg(F.count("*").alias("n"), F.sum("size").alias("weight")).where("n > 1")
-        found = materialise(round_of(sent.drop("size").join(materialise(full, "full"), ["e", "band"]).withColumn("parts", parts), salt), "links")
-        if found.isEmpty():
-            break
-        roots = joined(found)  # every root was in one part
-        tagged, open_rooms = tagged_rooms()
-
-    # step 4: what is left between different components of a bucket
-    tagged = tagged.join(open_rooms, ["e", "band"])
+    def meet(rows: DataFrame) -> DataFrame:
+        return rows.select("room", "cell", "node", "root", "side").join(sets, "node").groupBy("room", "cell").applyInArrow(in_part, "u long, v long")
+
+    parts = lambda rows, size: F.greatest(F.ceil(F.col(rows) / PART), F.ceil(F.col(size) / PART_SHINGLES)).cast("int")
+    about = rooms.groupBy("room").agg(F.count("*").alias("n"), F.sum("size").alias("weight"))
+    large = materialise(about.select("room", parts("n", "weight").alias("parts")).where("parts > 1"), "large")
+    tagged, dealt = rooms.withColumn("root", F.col("node")), None
+    if not large.isEmpty():
+        deal = F.explode(F.transform(F.array(F.lit(0), F.lit(1)), lambda k: _part(F.col("parts"), k, "node") + k * F.col("parts")))
+        dealt = materialise(meet(rooms.join(large, "room").withColumns({"cell": deal, "root": F.col("node"), "side": F.lit(3)})), "links")
+        tagged = rooms.join(components(dealt).withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        tagged = materialise(tagged, "tagged")
+
+    # the members outside a room's largest component meet all of it
+    held = tagged.groupBy("room", "root").agg(F.count("*").alias("m"), F.sum("size").alias("w"))
+    held = held.groupBy("room").agg(F.sum("m").alias("n"), F.sum("w").alias("weight"), F.count("*").alias("roots"), F.max_by(F.struct("root", "m", "w"), F.struct("m", "root")).alias("main"))
+    held = held.where("roots > 1").select("room", F.col("main.root").alias("main"), parts("n", "weight").alias("columns"), F.expr("n - main.m").alias("n"), F.expr("weight - main.w").alias("weight"))
+    held = materialise(held.withColumn("lines", parts("n", "weight")), "open-rooms")
+    met = tagged.join(held, "room")
+    line, column = _part(F.col("lines"), F.lit(2), "node"), _part(F.col("columns"), F.lit(3), "node")
+    every = lambda c: F.sequence(F.lit(0), F.greatest(c, F.lit(1)) - 1)
     minor = F.col("root") != F.col("main")
-    rows_, columns_ = F.ceil((F.col("n") - F.col("most")) / PART_BITMAPS).cast("int"), F.ceil(F.col("n") / PART_BITMAPS).cast("int")
-    every = lambda count: F.sequence(F.lit(0), count - 1)
-    row, column = _part(rows_, "node"), _part(columns_, "node")
-    as_row = F.when(minor, F.transform(every(columns_), lambda j: F.struct(row.alias("i"), j.alias("j"))))
-    as_column = F.transform(every(rows_), lambda i: F.struct(i.alias("i"), column.alias("j")))
-    cells = F.array_distinct(F.concat(as_column, F.coalesce(as_row, F.array().cast("array<struct<i:int,j:int>>"))))
-    tagged = tagged.select("e", "band", "node", "root", F.explode(cells).alias("cell")).join(sets.select("node", "size", "bits"), "node")
-    tagged = tagged.select(F.xxhash64("e", "band", "cell").alias("room"), "node", "root", "size", "bits").repartition("room").sortWithinPartitions("room")
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rooms arrive one after another; a room of few hundred rows at most is held at a time
-        held: list[pa.Table] = []
-
-        def search(table: pa.Table) -> pa.RecordBatch:
-            rooms_, names, roots_, sizes = (np.asarray(table.column(c).combine_chunks(), np.int64) for c in ("room", "node", "root", "size"))
-            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
-            cuts = np.flatnonzero(np.concatenate([[True], rooms_[1:] != rooms_[:-1], [True]]))
-            found = [np.zeros((2, 0), np.int64)]
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                found += [np.stack([names[a:b][i], names[a:b][j]]) for i, j in SignatureTree(bits[a:b], sizes[a:b], roots_[a:b]).pairs(percent)]
-            both = np.sort(np.concatenate(found, axis=1), axis=0)
-            both = np.unique(both, axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["u", "v"])
+    cell = lambda i, j: i * F.col("columns") + j
+    as_column = F.transform(every(F.col("lines")), lambda i: F.struct(cell(i, column).alias("cell"), (F.lit(2) + F.when(minor & (i == line), 1).otherwise(0)).alias("side")))
+    as_line = F.when(minor, F.transform(F.filter(every(F.col("columns")), lambda j: j != column), lambda j: F.struct(cell(line, j).alias("cell"), F.lit(1).alias("side"))))
+    cells = F.concat(as_column, F.coalesce(as_line, F.array().cast("array<struct<cell:int,side:int>>")))
+    met = met.select("room", "node", "root", F.explode(cells).alias("x")).select("room", "x.cell", "node", "root", "x.side")
+    found = meet(met)
+    links = materialise(found.unionByName(dealt) if dealt is not None else found, "links")
+    discard(rooms, wanted, sets, large, tagged, held, *([dealt] if dealt is not None else []))
+    return links
+
+
+def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows as (doc_id, text_hash, size, node), node null for an empty set, and links between nodes.
+
+    ``docs`` has doc_id and text. Rows of one set have one node, the least row number of them.
+    """
+    small_batches(docs.sparkSession)
+    keys_of = (lambda s: segment_keys(s, percent)) if percent >= SEGMENTS_FROM else _prefixes(docs, n, percent)
+    features = materialise(_features(docs, n, keys_of).withColumn("row", F.monotonically_increasing_id()), "features")
+    nodes = features.where("size > 0").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min_by(F.struct("size", "keys", "doc_id", "text_hash"), "row").alias("x"))
+    nodes = materialise(nodes.select("k1", "k2", "node", "x.*"), "nodes")
+    links = _links(nodes, docs, n, percent)
+    rows = features.where("size > 0").select("doc_id", "text_hash", "size", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"]).select("doc_id", "text_hash", "size", "node")
+    empty = features.where("size = 0").select("doc_id", "text_hash", "size", F.lit(None).cast("long").alias("node"))
+    rows = materialise(rows.unionByName(empty), "rows")
+    discard(features, nodes)
+    return rows, links
+
+
+def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the root of their node's component."""
+    out = rows.join(components(links).withColumnRenamed("u", "node"), "node", "left")
+    return materialise(out.withColumn("root", F.coalesce("root", "node")), "rooted")
 
+
+def link(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (least id reachable by links, itself included)."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows, links = _classes(docs.where("doc_id is not null"), n, percent)
+    # the sets of one id are one document
+    several = rows.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("last")).where("v <> last").select("doc_id", "v")
+    several = materialise(several, "several")
+    if not several.isEmpty():
+        links = links.unionByName(rows.where("node is not null").join(several, "doc_id").select(F.col("node").alias("u"), "v"))
+    rows = _rooted(rows, links)
+    least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    out = rows.join(least, "root", "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    if not several.isEmpty():  # rows of such ids that have no shingle belong to their document as well
+        own = out.groupBy("doc_id").agg(F.min("component_id").alias("own"))
+        out = out.join(own, "doc_id").select("doc_id", "n_shingles", F.col("own").alias("component_id"))
+    nameless = docs.where("doc_id is null").mapInArrow(_sizes(n), "doc_id long, n_shingles long, component_id long")
+    return out.unionByName(nameless)
+
+
+def _sizes(n: int):
+    """Rows without an id: their set sizes, no component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held.append(pa.Table.from_batches([batch]))
-            table = pa.concat_tables(held)
-            rooms_ = np.asarray(table.column("room").combine_chunks(), np.int64)
-            done = int(np.searchsorted(rooms_, rooms_[-1]))  # rows of rooms that have ended
-            if done >= 20_000:
-                yield search(table.slice(0, done))
-                table = table.slice(done)
-            held = [table]
-        if held and held[0].num_rows:
-            yield search(pa.concat_tables(held))
-
-    pairs = materialise(tagged.mapInArrow(candidates, "u long, v long").distinct(), "pairs")
-
-    def compare(test, *columns: str):
-        """Pairs that pass a test on columns of both sides."""
-        of = lambda side: sets.select(F.col("node").alias(side), F.struct("size", *columns).alias(f"x_{side}"))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = [test(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-                yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-        return lambda found: found.join(of("u"), "u").join(of("v"), "v").select("u", "v", "x_u", "x_v").mapInArrow(run, "u long, v long")
-
-    def may(x: dict, y: dict) -> bool:
-        a, b = np.frombuffer(x["wide"], np.uint64), np.frombuffer(y["wide"], np.uint64)
-        bound = min(x["size"] - int(np.bitwise_count(a & ~b).sum()), y["size"] - int(np.bitwise_count(b & ~a).sum()))
-        return (100 + percent) * bound >= percent * (x["size"] + y["size"])
-
-    likely = materialise(compare(may, "wide")(pairs), "pairs")
-    more = compare(lambda x, y: linked(np.frombuffer(x["set"], np.uint64), np.frombuffer(y["set"], np.uint64), percent), "set")(likely)
-    more = materialise(more, "links")
-    if not more.isEmpty():
-        roots = materialise(components(roots.select("u", F.col("root").alias("v")).union(more)), "roots")
-
-    classes = nodes.select("k1", "k2", "node").join(roots.withColumnRenamed("u", "node"), "node", "left").select("k1", "k2", F.coalesce("root", "node").alias("root"))
-    out = features.select("doc_id", "size", "k1", "k2").join(classes, ["k1", "k2"], "left")
-    component = F.when(F.col("size") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
+            sizes = pa.array([len(shingles(t, n)) for t in batch.column(1).to_pylist()], pa.int64())
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, sizes, none], names=["doc_id", "n_shingles", "component_id"])
+
+    return run
+
+
+def keep_one(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are: of each component one, of least id (null last), then of least text hash.
+
+    Rows are told apart by id and text, so ids may be null or shared by different texts; rows that repeat both are one.
+    Rows without a word stay, once each if they repeat both. Nothing is decided by other columns.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows, links = _classes(own, n, percent)
+    rows = _rooted(rows, links)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    chosen = rows.where("root is not null").groupBy("root").agg(F.min_by(F.struct("doc_id", "text_hash"), order).alias("c"))
+    key = lambda: [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    later = rows.join(chosen, "root").where(~(F.col("doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("text_hash") == F.col("c.text_hash")))).select(*key()).distinct()
+    again = materialise(rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(*key()), "again")
+    # other columns may have any name, so rows travel as one struct
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    same = F.col("_row")[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("_row")[text_col]) == F.col("_hash"))
+    kept = packed.join(materialise(later, "later"), same, "left_anti")
+    if not again.isEmpty():
+        one = kept.join(again, same, "left_semi").withColumns({"_id": F.col("_row")[id_col], "_hash": F.xxhash64(F.col("_row")[text_col])})
+        kept = kept.join(again, same, "left_anti").unionByName(one.groupBy("_id", "_hash").agg(F.first("_row").alias("_row")).select("_row"))
+    return kept.select("_row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

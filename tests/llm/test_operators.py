@@ -71,26 +71,31 @@ def test_toxicity(spark):
 
 
 def brute_components(rows, n, percent):
-    sets = {}
+    """(id, set size, component) of each row; rows of one id are one document."""
+    sets = []
     for i, text in rows:
         w = (text or "").encode().lower().split()
-        sets.setdefault(i, set()).update([tuple(w[k : k + n]) for k in range(len(w) - n + 1)] if len(w) >= n else [tuple(w)] if w else [])
-    parent = {i: i for i in sets}
+        sets.append((i, set([tuple(w[k : k + n]) for k in range(len(w) - n + 1)] if len(w) >= n else [tuple(w)] if w else [])))
+    parent = {i: i for i, _ in sets}
 
     def find(i):
         while parent[i] != i:
             i = parent[i]
         return i
 
-    for a, b in itertools.combinations(sets, 2):
-        common = len(sets[a] & sets[b])
-        if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+    for (a, s), (b, t) in itertools.combinations(sets, 2):
+        common = len(s & t)
+        if common and 100 * common >= percent * (len(s) + len(t) - common):
             x, y = sorted((find(a), find(b)))
             parent[y] = x
-    return {i: (len(s), find(i)) for i, s in sets.items()}
+    return sorted((i, len(s), find(i)) for i, s in sets)
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def linked(df, n, percent):
+    return sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(df, n=n, percent=percent).collect())
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80), (1, 50), (1, 60), (1, 70), (2, 100)])
 def test_signature_trees_match_brute_force(spark, n, percent):
     rng = random.Random(n)
     rows = []
@@ -100,23 +105,52 @@ def test_signature_trees_match_brute_force(spark, n, percent):
             rows.append((len(rows), " ".join(base)))
             base = [w if rng.random() > 0.012 else "edit" + str(rng.random()) for w in base]
     rows += [(len(rows) + k, " ".join(words(rng, 40))) for k in range(40)]
+    pool = words(rng, 40)
+    rows += [(len(rows) + k, " ".join(rng.choices(pool, k=rng.randint(1, 30)))) for k in range(60)]  # much in common, all sizes
     rows += [(len(rows) + k, "common line of many words here " + " ".join(words(rng, 5))) for k in range(30)]
     df = docs(spark, rows)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link(df, n=n, percent=percent).collect()}
-    assert got == brute_components([*rows, *ODD], n, percent)
+    assert linked(df, n, percent) == brute_components([*rows, *ODD], n, percent)
 
 
 def test_many_parts_and_hot_buckets(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "PART", 7)
-    monkeypatch.setattr(jaccard, "PART_BITMAPS", 5)
+    monkeypatch.setattr(jaccard, "FAN", 3)
     rng = random.Random(9)
-    base = words(rng, 120)
+    base, other = words(rng, 120), words(rng, 60)
     rows = [(i, " ".join(w if rng.random() > 0.015 else "e" + str(rng.random()) for w in base)) for i in range(60)]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link(docs(spark, rows), n=3, percent=90).collect()}
-    assert got == brute_components([*rows, *ODD], 3, 90)
+    rows += [(60 + i, " ".join(w if rng.random() > 0.04 else "e" + str(rng.random()) for w in other)) for i in range(60)]  # few of them link
+    rows += [(7, rows[100][1]), (7, ""), (3, rows[30][1])]  # ids of several texts
+    assert linked(docs(spark, rows), 3, 90) == brute_components([*rows, *ODD], 3, 90)
+    nameless = docs(spark, rows).union(docs(spark, [(None, rows[0][1])]).limit(0)).union(spark.createDataFrame([(None, rows[0][1], "en", 1, "z")], docs(spark, []).schema))
+    assert jaccard.link(nameless, n=3, percent=90).where("doc_id is null").collect()[0].component_id is None
     assert jaccard.link(docs(spark, rows).limit(0), n=3, percent=90).count() == 0
 
 
+def test_links_join_a_room_without_listing_pairs():
+    rng = random.Random(10)
+    base = [rng.getrandbits(63) for _ in range(300)]
+    sets = [np.sort(np.asarray([x if rng.random() > 0.02 else rng.getrandbits(63) for x in base], np.uint64)) for _ in range(100)]
+    names = np.arange(100) + 1000
+    u, v = jaccard.forest(names, names, np.full(100, 3), sets, 80)
+    assert len(u) == 99 and set(u) == set(range(1001, 1100)) and set(v) == {1000}
+    sides = np.repeat([1, 2], 50)
+    u, v = jaccard.forest(names, np.minimum(names, 1049), sides, sets, 80)
+    assert set(u) == set(range(1001, 1050)) and set(v) == {1000}
+    assert len(jaccard.forest(names, np.full(100, 5), sides, sets, 80)[0]) == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(11)
+    a, b, c = (" ".join(words(rng, 40)) for _ in range(3))
+    rows = [(5, a, 1), (5, a, 2), (9, a, 3), (None, a, 4), (7, b, 5), (7, a, 6), (None, b, 7), (None, c, 8), (None, c, 9), (3, "", 10), (4, "", 11), (4, None, 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, text_hash long").repartition(3)
+    got = jaccard.keep_one(df)
+    assert got.columns == df.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert kept == sorted([(5, a), (7, b), (None, c), (3, ""), (4, ""), (4, None)], key=str)
+    assert jaccard.keep_one(df.limit(0)).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
@@ -231,12 +265,22 @@ def test_url_rules(spark):
     assert {r.verdict for r in urlfilter.judge(pages, none).collect()} == {"allow"}
 
 
-def test_bloom_passes_every_key(spark):
-    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
-    filter_ = urlfilter.bloom(keys, 512)
-    tried = spark.range(6000).select(F.concat(F.lit("k"), "id").alias("key"), "id").withColumn("block", urlfilter._block(F.col("key"), 512))
-    passed = {r.id for r in tried.join(filter_, "block").where(F.col("bits").bitwiseAND(urlfilter._mask(F.col("key"))) == urlfilter._mask(F.col("key"))).collect()}
-    assert passed >= set(range(3000)) and len(passed) < 5000
+def test_bloom_passes_every_key_and_few_others(spark, monkeypatch):
+    n = 100_000
+    keys = spark.range(n).select(F.concat(F.lit("k"), "id").alias("key"))
+    tried = spark.range(2 * n).select(F.concat(F.lit("k"), "id").alias("key"), "id")
+    for most in (urlfilter.MAX_BLOCKS, 8):  # broadcast, or exchanged by block
+        monkeypatch.setattr(urlfilter, "MAX_BLOCKS", most)
+        passed = urlfilter.passing(tried, keys, n)
+        hits, wrong = passed.where(f"id < {n}").count(), passed.where(f"id >= {n}").count()
+        assert hits == n and wrong < 0.03 * n
+
+
+def test_hosts_of_many_labels_and_lists_of_many_lengths(spark):
+    listed = spark.range(3000).select(F.lit("far.net").alias("host"), F.concat(F.lit("/"), F.repeat(F.lit("a"), F.col("id").cast("int"))).alias("path"), F.lit("block").alias("verdict"))
+    rows = [(1, "http://" + "x." * 20_000 + "far.net/aaaab"), (2, "http://far.net/"), (3, "http://" + "y." * 9_000 + "near.net/"), (4, "http://far.net/" + "a" * 5_000)]
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge(spark.createDataFrame(rows, "page_id long, url string"), listed).collect()}
+    assert got == {1: ("far.net/aaaa", "block"), 2: ("far.net/", "block"), 3: (None, "allow"), 4: ("far.net/" + "a" * 2999, "block")}
 
 
 # top k
@@ -257,4 +301,9 @@ def test_top_k_matches_brute_force(spark):
         assert sorted(found) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
     few = df.where("vec_id in (100, 101, 102)")
     assert topk.query(few).count() == 2
+    # ids of several rows: a repeated query counts once, another vector is ranked for itself
+    twice = df.where("vec_id in (100, 1, 2, 3)").unionByName(df.where("vec_id = 100")).unionByName(df.where("vec_id = 5").withColumn("vec_id", F.lit(100).cast("long"))).unionByName(df.where("vec_id = 1"))
+    got = sorted((r["rank"], r.vec_id, r.score) for r in topk.query(twice).collect())
+    want = [(k + 1, i, -s) for q in (100, 5) for k, (s, i) in enumerate(sorted((-int(whole[q] @ whole[i]), i) for i in (1, 1, 2, 3)))]
+    assert got == sorted(want)
     assert topk.query(df.limit(0)).count() == 0

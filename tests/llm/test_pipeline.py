@@ -38,3 +38,9 @@ def test_pipeline(spark, tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = {i: np.asarray([*tokenizer.encode(r.text, add_special_tokens=False).ids, 1], "<u4") for i, r in kept.items()}
     assert check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect(), want) == 0
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
