@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import jaccard, langid, linedup, packing, toxicity
-from sluice.llm.common import materialise, table
+from sluice.llm.common import discard, materialise, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 1
@@ -37,10 +37,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id in each component of five-word Jaccard similarity 0.8 or more."""
-    linked = jaccard.link(docs, n=5, percent=80)
-    later = linked.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(docs.columns)
+    """Keeps one row of each component of five-word Jaccard similarity 0.8 or more: that of least id, then text hash.
+
+    Rows are told apart by id and text, so null and shared ids do no harm; rows that repeat both are one document.
+    """
+    return jaccard.keep_one(docs, n=5, percent=80)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        kept = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
