@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import discard, materialise, small_batches
 from sluice.llm.components import components
+from sluice.llm.urlfilter import passing
 
 #: Counters of the sketch; sets of a part, and the shingles that they may hold together.
 SKETCH, PART, PART_SHINGLES = 1 << 20, 400, 500_000
@@ -357,7 +358,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                         sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    # a bounded filter keeps the other texts out of the exchange
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").withColumn("key", F.xxhash64("doc_id", "text_hash"))
+    docs = passing(docs, wanted.select(F.xxhash64("doc_id", "text_hash").alias("key")), wanted.count()).drop("key")
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["text_hash"] == wanted["text_hash"])
     return docs.join(wanted, same).select("node", "k1", "text").mapInArrow(run, "node long, set binary")
 
