@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import materialise, small_batches
+from sluice.llm.urlfilter import passing
 
 MAX_POSITIVE, MAX_UNLABELLED, MAX_TERMS = 4_000, 12_000, 400
 CLASSIFIERS, STEPS, RATE, RIDGE = 3, 400, 0.05, 1e-4
@@ -103,24 +104,26 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
 
 def _word_counts(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """In how many texts of positives (a) and of all rows (b) each word w occurs; the null word stands for all texts."""
+    """In how many texts of positives (a) and of all rows (b) each word w occurs; the null word stands for all texts.
+
+    Texts of all rows are counted where they are read. Of the positives only the texts that a bounded filter of their ids
+    passes are exchanged.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every, toxic, n = Counter(), Counter(), [0, 0]
-            for p, text in zip(*(c.to_pylist() for c in batch.columns)):
-                own = set(_WORD.findall((text or "").lower()))
-                every.update(own)
-                n[1] += 1
-                if p:
-                    toxic.update(own)
-                    n[0] += 1
-            names = [None, *every]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n[0], *map(toxic.__getitem__, every)], pa.int64()), pa.array([n[1], *every.values()], pa.int64())], names=["w", "a", "b"])
-
-    positive = marks.where("y = 1").select("doc_id", F.lit(True).alias("p"))
-    found = docs.join(positive, "doc_id", "left").select("p", "text").mapInArrow(count, "w string, a long, b long")
-    return found.groupBy("w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+            found = Counter()
+            for text in batch.column(0).to_pylist():
+                found.update(set(_WORD.findall((text or "").lower())))
+            yield pa.RecordBatch.from_arrays([pa.array([None, *found], pa.string()), pa.array([batch.num_rows, *found.values()], pa.int64())], names=["w", "n"])
+
+    positive = materialise(marks.where("y = 1").select("doc_id"), "toxicity-positives")
+    likely = passing(docs.withColumn("key", F.xxhash64("doc_id")), positive.select(F.xxhash64("doc_id").alias("key")), positive.count())
+    of = lambda df: df.select("text").mapInArrow(count, "w string, n long")
+    zero = F.lit(0).cast("long")
+    toxic = of(likely.join(positive, "doc_id")).select("w", F.col("n").alias("a"), zero.alias("b"))
+    every = of(docs).select("w", zero.alias("a"), F.col("n").alias("b"))
+    return toxic.unionByName(every).groupBy("w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
 
 def possible_prior(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
