@@ -13,7 +13,7 @@ from sluice.llm.common import Memo
 #: Trailing marks that form one pre-token of their own behind a word.
 MARKS = ".,;:!?*$#%&|)]}"
 #: Bytes of a memo; a worker holds two for each encoder that it uses.
-LIMIT = 48 << 20
+LIMIT = 24 << 20
 
 
 class ChunkEncoder:

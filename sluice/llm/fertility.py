@@ -42,7 +42,7 @@ def vocabulary(path: str):
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     bytewise = np.asarray([model.is_byte(i) for i in range(model.get_piece_size())])
-    return Memo(lambda word: np.asarray(model.encode(word.decode()), "<i4").tobytes(), 64 << 20), bytewise
+    return Memo(lambda word: np.asarray(model.encode(word.decode()), "<i4").tobytes(), 32 << 20), bytewise
 
 
 def script(text: str) -> str:
