@@ -18,17 +18,15 @@ def _any_null(keys: Sequence[str]) -> Column:
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column], *, null_keys: str = "keep") -> DataFrame:
     """The last row of each key by ascending ``order``.
 
-    ``null_keys``: "keep" lets all rows with a null key survive, "group" treats null as a value. Rows with a null key
-    are spread over partitions by their order columns, so that many of them are no hot key.
+    ``null_keys``: "keep" lets all rows with a null key survive, "group" treats null as a value. An aggregate, so each task
+    sends one row of a key at most and a hot key is no burden; rows with a null key are not exchanged at all.
     """
-    down = [c.desc_nulls_last() for c in order]
-    if null_keys == "group":
-        ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*down)))
-        return ranked.where("_rank = 1").drop("_rank")
-    spread = F.when(_any_null(keys), F.xxhash64(*order))
-    ranked = df.withColumn("_open", _any_null(keys)).withColumn("_spread", spread)
-    rank = F.row_number().over(Window.partitionBy(*keys, "_spread").orderBy(*down))
-    return ranked.withColumn("_rank", rank).where(F.col("_open") | (F.col("_rank") == 1)).drop("_rank", "_open", "_spread")
+    if null_keys == "keep":
+        closed = keep_last(df.where(~_any_null(keys)), keys, order, null_keys="group")
+        return df.where(_any_null(keys)).unionByName(closed)
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+    by = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    return df.groupBy(*keys).agg(F.max_by(row, by).alias("_row")).select("_row.*")
 
 
 def conflicts(df: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
