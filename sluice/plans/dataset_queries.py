@@ -368,10 +368,10 @@ def nearest_places(spark, d):
     return features.nearest_facilities(df, 37.5, 127.0, 25).select("facility_name", F.round("distance_km", 6).alias("km"))
 
 
-@query(None, """WITH e AS (SELECT event_id, date_trunc('second', ts) AS now, date_trunc('day', ts) AS day, 540 + (event_id % 4) * 60 AS a, (1080 + (event_id % 6) * 120) % 1440 AS b, (event_id % 500) / 10.0 AS travel FROM events),
+@query(None, """WITH e AS (SELECT event_id, date_trunc('second', ts) AS now, date_trunc('day', ts) AS day, 540 + (event_id % 4) * 60 AS a, (1080 + (event_id % 6) * 120) % 1440 AS b, (event_id % 500) * 6000 AS travel FROM events),
 i AS (SELECT *, day + to_minutes(a) AS s0, day + to_minutes(CASE WHEN b < a THEN b + 1440 ELSE b END) AS e0, day - INTERVAL 1 DAY + to_minutes(CASE WHEN b < a THEN b + 1440 ELSE b END) AS e1, day - INTERVAL 1 DAY + to_minutes(a) AS s1 FROM e),
 o AS (SELECT *, now >= s1 AND now < e1 AS ran, now >= s0 AND now < e0 AS running FROM i),
-u AS (SELECT *, ran OR running AS is_open, date_diff('millisecond', now, CASE WHEN ran THEN e1 ELSE e0 END) / 60000.0 - travel AS usable FROM o)
+u AS (SELECT *, ran OR running AS is_open, (date_diff('millisecond', now, CASE WHEN ran THEN e1 ELSE e0 END) - travel) / 60000.0 AS usable FROM o)
 SELECT event_id, CASE WHEN NOT is_open THEN 'CLOSED' WHEN greatest(0, usable) < 30 THEN 'TOO_LATE' ELSE 'AVAILABLE' END AS state, CASE WHEN is_open THEN round(greatest(0, usable), 3) END AS usable FROM u""")
 def schedule_over_midnight(spark, d):
     k = F.col("event_id")
