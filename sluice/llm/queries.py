@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bitpack, bpe, fertility, jaccard, langid, linedup, packing, topk, toxicity, urlfilter
+from sluice.llm import bitpack, bpe, divergence, fertility, jaccard, langid, linedup, packing, phrases, quality, topk, toxicity, urlfilter
 from sluice.llm.common import table
 
 
@@ -49,9 +49,21 @@ def op10_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.query(table(spark, sf_dir, "embeddings"))
 
 
+def op11_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_vertical_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.query(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_runs": linedup.ORACLE, "op4_signature_trees": jaccard.ORACLE, "op6_url_bloom_rules": urlfilter.ORACLE, "op10_impact_topk": topk.ORACLE}
+    return {"op2_line_runs": linedup.ORACLE, "op4_signature_trees": jaccard.ORACLE, "op6_url_bloom_rules": urlfilter.ORACLE, "op10_impact_topk": topk.ORACLE, "op12_vertical_phrases": phrases.ORACLE, "op13_source_divergence": divergence.ORACLE}
