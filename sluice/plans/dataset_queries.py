@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import clean, schedule, text
-from sluice.operators import dedup, lineage, profile, runs
+from sluice.operators import dedup, lineage, profile, ranges, runs
 from sluice.plans import features
 from sluice.plans.processors import CULTURE, SEQ, process
 from sluice.plans.publish import Warehouse, scratch
@@ -493,6 +493,11 @@ def stream_first_arrivals(spark, d):
 
 @query(None, "SELECT n_nationkey, n_name, (row_number() OVER (ORDER BY n_name, n_nationkey))::BIGINT AS id FROM nation")
 def surrogate_keys(spark, d):
-    from sluice.operators.select import with_surrogate
+    return ranges.with_surrogate(spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name"), ["n_name", "n_nationkey"], "id")
 
-    return with_surrogate(spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name"), ["n_name", "n_nationkey"], "id")
+
+@query(None, "SELECT *, row_number() OVER (ORDER BY l_shipdate, l_extendedprice, l_orderkey, l_linenumber) AS id FROM (SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(l_shipdate AS VARCHAR) AS l_shipdate, l_comment FROM lineitem)")
+def surrogate_lines(spark, d):
+    """Every row of the largest table with all its payload, in an order whose first columns repeat often."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_shipdate").cast("string").alias("l_shipdate"), "l_comment")
+    return ranges.with_surrogate(lines, ["l_shipdate", "l_extendedprice", "l_orderkey", "l_linenumber"], "id")

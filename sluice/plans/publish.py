@@ -9,7 +9,6 @@ begun keeps its files. Files are reached through Hadoop's file system API alone,
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -17,19 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.dedup import keep_last
+from sluice.operators.staging import scratch  # noqa: F401
 from sluice.plans.specs import check_names
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder that ``spark.checkpoint.dir`` names; on one machine a temporary one serves."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="sluice-")
-    return f"{folder.rstrip('/')}/sluice-plans-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import clean, geo, schedule, text
-from sluice.operators import dedup, lineage, profile, runs, select
+from sluice.operators import dedup, lineage, profile, ranges, runs, select
 from sluice.plans.publish import Warehouse, merge, scratch
 from sluice.sources import files
 from sluice.plans import dataset_queries
@@ -330,7 +330,7 @@ def topk_nulls_last(spark, d):
 @query("SELECT event_id, last_value(CASE WHEN event_id % 3 = 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM events")
 def forward_fill(spark, d):
     df = t(spark, d, "events").select("event_id", "user_id", F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("filled"))
-    return select.forward_fill(df, ["filled"], ["user_id"], ["event_id"]).select("event_id", "filled")
+    return ranges.forward_fill(df, ["filled"], ["user_id"], ["event_id"]).select("event_id", "filled")
 
 
 @query("WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents) SELECT doc_id, count(*) AS lines, max(n)::INTEGER AS last_line, sum(length(trim(line)))::BIGINT AS chars FROM l WHERE trim(line) <> '' GROUP BY 1")
