@@ -318,7 +318,7 @@ _AIR_NOW = "TIMESTAMP '2024-01-05 11:00:00'"
 
 
 @query("air", f"""also r AS (SELECT {_region('sidoName')} AS region, stationName AS station, CASE WHEN dataTime <> '-' THEN strptime(dataTime, '%Y-%m-%d %H:%M') END AS measured, strptime(collected_at, '%Y-%m-%dT%H:%M:%S') - INTERVAL 4 DAY AS collected,
-  {_num('pm10Value')} AS pm10, {_num('pm25Value')} AS pm25 FROM raw WHERE _ingest_seq % 4 <> 0),
+  {_num('pm10Value')} AS pm10, {_num('pm25Value')} AS pm25 FROM raw),
 f AS (SELECT *, CASE WHEN measured IS NULL THEN 'UNKNOWN_MEASUREMENT_TIME' WHEN measured > {_AIR_NOW} OR collected > {_AIR_NOW} THEN 'FUTURE_DATA' END AS fault FROM r),
 s AS (SELECT region, station, max(row(measured, collected, pm10, pm25)) FILTER (fault IS NULL) AS x FROM f GROUP BY ALL),
 v AS (SELECT region, x IS NOT NULL AND date_diff('minute', x[1], {_AIR_NOW}) BETWEEN 0 AND 120 AS fresh, x[3] AS pm10, x[4] AS pm25 FROM s)
@@ -327,25 +327,76 @@ SELECT region, max(pm10) FILTER (fresh) AS pm10, max(pm25) FILTER (fresh) AS pm2
 def air_regions(spark, d):
     """Some readings of every region have no time, so no region is complete."""
     now = F.lit("2024-01-05 11:00:00").cast("timestamp_ntz")
-    air = raw(spark, d, "air").where(f"{SEQ} % 4 <> 0").withColumns({"dataTime": clean.moment(F.col("dataTime")), "collected_at": clean.moment(F.regexp_replace("collected_at", "T", " ")) - F.expr("INTERVAL 4 DAY")})
+    air = raw(spark, d, "air").withColumns({"dataTime": clean.moment(F.col("dataTime")), "collected_at": clean.moment(F.regexp_replace("collected_at", "T", " ")) - F.expr("INTERVAL 4 DAY")})
     return features.air_by_region(air, now, now).select("region", "pm10", "pm25", "stations", "air_state", "air_availability")
 
 
-_CELL = "SELECT event_id AS place, 55 + user_id % 5 AS nx, ts FROM events WHERE event_type = 'purchase'"
-
-
-@query("weather", f"""also w AS (SELECT 55 + (_ingest_seq % 5) AS nx, category, _ingest_seq AS id, {_num('fcstValue')} AS value, TIMESTAMP '2024-01-10 12:00:00' - to_minutes(CAST(_ingest_seq % 400 AS INTEGER)) AS issued FROM raw WHERE category = 'T1H' AND {_num('fcstValue')} IS NOT NULL),
-p AS (SELECT nx, issued, value FROM w WHERE date_diff('second', issued, TIMESTAMP '2024-01-10 12:00:00') / 60.0 <= 90),
-b AS (SELECT nx, arg_min(value, row(date_diff('second', issued, TIMESTAMP '2024-01-10 12:00:00'), CAST(value AS VARCHAR))) AS temperature FROM p GROUP BY 1)
-SELECT c.c_custkey AS place, b.temperature, CASE WHEN b.temperature IS NULL THEN 'STALE' ELSE 'PARTIAL' END AS weather_availability FROM customer c LEFT JOIN b ON b.nx = 55 + c.c_custkey % 5""")
+# Weather of seven cells from events, in minutes from now: of one everything is old, of one all valid times are far off, of one
+# only temperatures are of use. Some rows are of the future, some have no time of capture. Both engines read this alike.
+_WEATHER = """SELECT 55 + event_id % 7 AS nx, 127 AS ny, CASE event_id % 21 // 7 WHEN 0 THEN 'T1H' WHEN 1 THEN 'PTY' ELSE 'RN1' END AS category, event_id % 42 >= 21 OR event_id % 7 = 6 AS forecast,
+  CASE event_id % 21 // 7 WHEN 0 THEN CAST(event_id % 45 AS STRING) WHEN 1 THEN CASE event_id % 7 WHEN 4 THEN '4' ELSE CAST(event_id % 5 AS STRING) END
+    ELSE CASE WHEN event_id % 7 = 4 OR event_id % 5 = 2 THEN '1mm' WHEN event_id % 5 < 2 THEN '강수없음' ELSE CAST(event_id % 4 AS STRING) END END AS value,
+  CASE event_id % 7 WHEN 6 THEN -5 - CAST(event_id * 13 % 150 AS INT) WHEN 5 THEN -200 - CAST(event_id * 13 % 400 AS INT) ELSE 10 - CAST(event_id * 13 % 400 AS INT) END AS issued,
+  CAST(event_id * 29 % 300 AS INT) - 30 + CASE event_id % 7 WHEN 6 THEN 900 ELSE 0 END AS ahead, CASE WHEN event_id % 97 <> 0 THEN CAST(event_id % 3 AS INT) END AS delay FROM {t}"""
+
+
+@query(None, f"""WITH w AS ({_WEATHER.format(t='events')}),
+r AS (SELECT *, CASE WHEN forecast THEN issued + ahead ELSE issued END AS valid, issued + delay AS collected FROM w),
+t AS (SELECT DISTINCT 55 + c_custkey % 8 AS nx, CAST(c_custkey % 100 AS INT) AS target FROM customer),
+p AS (SELECT *, CASE WHEN collected IS NULL THEN 'INVALID_TIME' WHEN issued > 0 OR collected > 0 OR (NOT forecast AND valid > 0) THEN 'FUTURE_DATA' WHEN -issued > CASE WHEN forecast THEN 180 ELSE 90 END THEN 'STALE'
+  WHEN CASE WHEN forecast THEN valid < issued OR abs(target - valid) > 60 ELSE NOT target - valid BETWEEN 0 AND 90 END THEN 'TIME_MISMATCH' END AS reason FROM t JOIN r USING (nx)),
+b AS (SELECT * FROM p WHERE reason IS NULL QUALIFY row_number() OVER (PARTITION BY nx, target, category ORDER BY abs(target - valid), CASE WHEN target > 0 THEN NOT forecast ELSE forecast END, issued DESC, collected DESC, forecast, value) = 1),
+c AS (SELECT nx, target, max(value) FILTER (category = 'T1H') AS t1h, max(value) FILTER (category = 'PTY') AS pty, max(value) FILTER (category = 'RN1') AS rn1, string_agg(CASE WHEN category = 'T1H' THEN CASE WHEN forecast THEN 'FORECAST' ELSE 'OBSERVATION' END END) AS kind FROM b GROUP BY ALL),
+j AS (SELECT nx, target, array_to_string(list_sort(list(DISTINCT reason) FILTER (reason IS NOT NULL)), ',') AS reasons FROM p GROUP BY ALL),
+v AS (SELECT c_custkey AS place, CAST(t1h AS DOUBLE) AS temperature, CASE WHEN rn1 = '강수없음' THEN 0.0 ELSE TRY_CAST(rn1 AS DOUBLE) END AS precipitation, CASE WHEN pty IN ('0', '1', '2', '3') THEN pty <> '0' END AS by_kind,
+  coalesce(t1h, pty, rn1) IS NOT NULL AS any_chosen, kind, reasons FROM customer LEFT JOIN c ON c.nx = 55 + c_custkey % 8 AND c.target = c_custkey % 100 LEFT JOIN j ON j.nx = 55 + c_custkey % 8 AND j.target = c_custkey % 100),
+x AS (SELECT *, CASE WHEN by_kind OR precipitation > 0 THEN true ELSE coalesce(by_kind, precipitation > 0) END AS wet FROM v)
+SELECT place, temperature, precipitation, wet, kind, reasons, CASE WHEN NOT temperature BETWEEN 5 AND 30 OR wet THEN 'CAUTION' WHEN temperature IS NOT NULL AND NOT wet THEN 'FAVORABLE' ELSE 'UNKNOWN' END AS weather_state,
+  CASE WHEN temperature IS NOT NULL AND wet IS NOT NULL THEN 'AVAILABLE' WHEN any_chosen THEN 'PARTIAL' WHEN contains(reasons, 'STALE') THEN 'STALE' WHEN contains(reasons, 'TIME_MISMATCH') THEN 'TIME_MISMATCH' ELSE 'MISSING' END AS weather_availability FROM x""")
 def weather_of_places(spark, d):
+    """All components of both kinds for every place; every availability occurs."""
     now = F.lit("2024-01-10 12:00:00").cast("timestamp_ntz")
-    w = raw(spark, d, "weather").where("category = 'T1H'").withColumn("value", clean.number(F.col("fcstValue"))).where("value is not null")
-    at = now - F.make_dt_interval(mins=(F.col(SEQ) % 400).cast("int"))
-    w = w.select((55 + F.col(SEQ) % 5).alias("nx"), F.lit(127).cast("long").alias("ny"), "category", F.lit("OBSERVATION").alias("kind"), F.col("value").cast("string").alias("value"), at.alias("issued"), at.alias("valid"), at.alias("collected"))
-    places = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("place"), F.struct((55 + F.col("c_custkey") % 5).alias("nx"), F.lit(127).cast("long").alias("ny")).alias("grid"), now.alias("target"))
+    w = spark.sql(_WEATHER.replace("//", "div"), t=spark.read.parquet(f"{d}/events.parquet"))
+    at = lambda m: now + F.make_dt_interval(mins=m)
+    valid = F.col("issued") + F.when(F.col("forecast"), F.col("ahead")).otherwise(0)
+    w = w.select("nx", "ny", "category", F.when(F.col("forecast"), "FORECAST").otherwise("OBSERVATION").alias("kind"), "value", at(F.col("issued")).alias("issued"), at(valid).alias("valid"), at(F.col("issued") + F.col("delay")).alias("collected"))
+    k = F.col("c_custkey")
+    places = spark.read.parquet(f"{d}/customer.parquet").select(k.alias("place"), F.struct((55 + k % 8).alias("nx"), F.lit(127).cast("long").alias("ny")).alias("grid"), at((k % 100).cast("int")).alias("target"))
     chosen = places.select("place").join(features.choose_weather(places, w, "place", now), "place", "left")
-    return features.weather_features(chosen, F.lit(True)).select("place", "temperature", "weather_availability")
+    out = features.weather_features(chosen, F.lit(True))
+    return out.select("place", "temperature", "precipitation", "wet", F.col("t1h.kind").alias("kind"), F.array_join("rejected", ",").alias("reasons"), "weather_state", "weather_availability")
+
+
+# Readings of a network from events, in minutes from now; some have no time, one region only old ones.
+_READINGS = """SELECT CASE event_id % 4 WHEN 0 THEN '서울' WHEN 1 THEN '부산' WHEN 2 THEN '전라북도' ELSE '강원도' END AS sidoName, 'S' || CAST(event_id % 12 // 4 AS STRING) AS stationName,
+  CASE WHEN event_id % 4 = 3 AND event_id % 24 < 8 THEN NULL ELSE -CAST(event_id * 17 % 500 AS INT) - CASE event_id % 4 WHEN 2 THEN 400 ELSE 0 END - CASE WHEN event_id % 12 // 4 = 1 THEN 60 ELSE 0 END END AS measured,
+  CAST(event_id % 5 AS INT) AS delay, CASE WHEN event_id % 31 = 0 THEN '-' ELSE CAST(event_id % 110 AS STRING) END AS pm10Value, CAST(event_id % 45 AS STRING) AS pm25Value FROM {t}"""
+
+
+@query(None, f"""WITH r AS (SELECT {_region('sidoName')} AS region, stationName AS station, measured, measured + delay AS collected, TRY_CAST(pm10Value AS DOUBLE) AS pm10, CAST(pm25Value AS DOUBLE) AS pm25 FROM ({_READINGS.format(t='events')})),
+f AS (SELECT *, CASE WHEN measured IS NULL THEN 'UNKNOWN_MEASUREMENT_TIME' WHEN measured > 0 OR collected > 0 THEN 'FUTURE_DATA' END AS fault FROM r),
+s AS (SELECT region, station, arg_max(row(measured, collected, pm10, pm25), row(measured, collected, coalesce(pm10, -1), coalesce(pm25, -1))) FILTER (fault IS NULL) AS x, list(DISTINCT fault) FILTER (fault IS NOT NULL) AS faults FROM f GROUP BY ALL),
+p AS (SELECT c_custkey AS place, CASE c_custkey % 5 WHEN 0 THEN '서울특별시' WHEN 1 THEN '부산광역시' WHEN 2 THEN '전북특별자치도' WHEN 3 THEN '강원특별자치도' ELSE '제주특별자치도' END AS region, CASE WHEN c_custkey % 3 = 0 THEN 'S' || CAST(c_custkey % 4 AS VARCHAR) END AS station, c_custkey % 130 AS target FROM customer),
+q AS (SELECT p.place, p.station IS NOT NULL AS verified, x IS NOT NULL AND target - x[1] <= 120 AS fresh, x IS NOT NULL AND target - x[1] > 120 AS stale, x[3] AS pm10, x[4] AS pm25, faults FROM p JOIN s ON s.region = p.region AND (p.station IS NULL OR p.station = s.station)),
+a AS (SELECT place, max(pm10) FILTER (fresh) AS pm10, max(pm25) FILTER (fresh) AS pm25, count(*) FILTER (fresh) AS stations, bool_and(pm10 IS NOT NULL AND pm25 IS NOT NULL) FILTER (fresh) AS complete, bool_or(stale) AS stale, list_distinct(flatten(list(coalesce(faults, [])))) AS faults FROM q GROUP BY 1),
+z AS (SELECT *, array_to_string(list_sort(CASE WHEN stale THEN list_append(faults, 'STALE') ELSE faults END), ',') AS reasons FROM a),
+y AS (SELECT *, stations > 0 AND complete AND reasons = '' AS whole FROM z)
+SELECT p.place, pm10, pm25, stations, reasons, CASE WHEN pm10 >= 81 OR pm25 >= 36 THEN 'CAUTION' WHEN whole THEN 'FAVORABLE' ELSE 'UNKNOWN' END AS air_state,
+  CASE WHEN whole THEN 'AVAILABLE' WHEN stations > 0 THEN 'PARTIAL' WHEN contains(reasons, 'STALE') THEN 'STALE' ELSE 'MISSING' END AS air_availability, CASE WHEN p.station IS NOT NULL THEN 'VERIFIED_STATION' ELSE 'REGIONAL_PROXY' END AS air_scope
+FROM y JOIN p USING (place)""")
+def air_of_places(spark, d):
+    """Air at every place's own region, verified station and time of arrival."""
+    now = F.lit("2024-01-10 12:00:00").cast("timestamp_ntz")
+    at = lambda m: now + F.make_dt_interval(mins=m)
+    air = spark.sql(_READINGS.replace("//", "div"), t=spark.read.parquet(f"{d}/events.parquet"))
+    air = air.withColumns({"dataTime": at(F.col("measured")), "collected_at": at(F.col("measured") + F.col("delay"))})
+    k = F.col("c_custkey")
+    region = F.get(F.array(*map(F.lit, ["서울특별시", "부산광역시", "전북특별자치도", "강원특별자치도", "제주특별자치도"])), (k % 5).cast("int"))
+    places = spark.read.parquet(f"{d}/customer.parquet").select(k.alias("place"), region.alias("region"), F.when(k % 3 == 0, F.concat(F.lit("S"), (k % 4).cast("string"))).alias("station"), at((k % 130).cast("int")).alias("target"))
+    found = features.air_at_targets(places, air, now)
+    found = found.select(*[F.col(c).alias(f"_{c}") for c in ("region", "station", "target")], "pm10", "pm25", "stations", F.array_join("air_rejected", ",").alias("reasons"), "air_state", "air_availability", "air_scope")
+    same = (F.col("region") == F.col("_region")) & F.col("station").eqNullSafe(F.col("_station")) & (F.col("target") == F.col("_target"))
+    return places.join(found, same).select("place", "pm10", "pm25", "stations", "reasons", "air_state", "air_availability", "air_scope")
 
 
 @query("facility", f"""SELECT nullif(faci_cd, '-') AS code, faci_nm AS facility_name, '운동 시설' AS facility_type, CASE WHEN abs({_num('faci_lat')}) <= 90 THEN {_num('faci_lat')} END AS latitude, CASE _ingest_seq % 3 WHEN 0 THEN 'INDOOR' WHEN 1 THEN 'OUTDOOR' END AS exposure FROM raw""")
@@ -496,8 +547,8 @@ def surrogate_keys(spark, d):
     return ranges.with_surrogate(spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name"), ["n_name", "n_nationkey"], "id")
 
 
-@query(None, "SELECT *, row_number() OVER (ORDER BY l_shipdate, l_extendedprice, l_orderkey, l_linenumber) AS id FROM (SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(l_shipdate AS VARCHAR) AS l_shipdate, l_comment FROM lineitem)")
+@query(None, "SELECT *, row_number() OVER (ORDER BY l_shipdate, l_extendedprice, l_orderkey, l_linenumber) AS id FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate FROM lineitem)")
 def surrogate_lines(spark, d):
     """Every row of the largest table with all its payload, in an order whose first columns repeat often."""
-    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_shipdate").cast("string").alias("l_shipdate"), "l_comment")
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", F.col("l_shipdate").cast("date").cast("string").alias("l_shipdate"))
     return ranges.with_surrogate(lines, ["l_shipdate", "l_extendedprice", "l_orderkey", "l_linenumber"], "id")

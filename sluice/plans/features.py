@@ -1,8 +1,8 @@
 """Features of places: opening hours, weather on a grid, air quality of a region, and candidates built from these.
 
-Air is reduced to one row for each region before places are joined. Tables of weather and air are first bound to what was
-collected within the age limits (``recent``), so a place meets the few issues of its cell, and the pairs are reduced by one
-aggregate. Times are local and without zone.
+Tables of weather and air are first bound to what was collected within the age limits (``read_environment``). Places are
+reduced to their distinct cells, regions, stations and times, and these meet weather and air by as-of merges, never row
+by row. Times are local and without zone.
 """
 
 from __future__ import annotations
@@ -10,12 +10,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import clean, geo, schedule
 from sluice.functions.values import FEATURE_NULL_TOKENS, INDOOR, NO_RAIN, OUTDOOR
+from sluice.operators import ranges
 from sluice.operators.dedup import content_key
+from sluice.operators.staging import staged
 
 
 @dataclass(frozen=True)
@@ -76,32 +78,67 @@ def recent(df: DataFrame, now: Column, config: EnvironmentConfig = EnvironmentCo
     return df.where((F.col(at) >= now - F.make_dt_interval(mins=F.lit(minutes))) & (F.col(at) <= now)) if at in df.columns else df.limit(0)
 
 
+#: The components that are chosen, each for itself.
+COMPONENTS = ("T1H", "PTY", "RN1")
+
+
+def read_environment(observations: DataFrame, forecasts: DataFrame, air: DataFrame, now: Column, config: EnvironmentConfig = EnvironmentConfig()) -> tuple[DataFrame, DataFrame]:
+    """The weather rows and air readings that were collected within the age limits; the filter reaches the scans."""
+    seen = [recent(df, now, config) for df in (observations, forecasts, air)]
+    return weather_rows(*seen[:2]), seen[2]
+
+
+def _micros(c: Column) -> Column:
+    return F.unix_micros(c.cast("timestamp"))
+
+
 def choose_weather(places: DataFrame, weather: DataFrame, key: str, now: Column, config: EnvironmentConfig = EnvironmentConfig()) -> DataFrame:
     """For each place (``key``, grid struct, ``target`` time): the best row of each component, and why others fell out.
 
-    An equi-join on the cell and one aggregate: a rejected row only leaves its reason, an accepted one competes by
-    nearness to the target, preferred kind, newest issue, newest capture, then observations first.
+    Accepted rows compete by nearness to the target, preferred kind, newest issue, newest capture, observations first, then
+    the least value. Places are reduced to their distinct cells and targets, rows to the best of each cell, component, kind
+    and valid time; an as-of merge in one sorted pass finds the rows beside each target, which are the nearest ones, so no
+    place meets the history of its cell. Whatever rejects a row without regard to a target is an aggregate of the cell, and
+    the earliest and latest valid times tell whether any row lies off a target. Cells without weather give no row.
     """
-    near = places.select(key, "target", F.col("grid.nx").alias("nx"), F.col("grid.ny").alias("ny"))
-    pairs = near.join(weather, ["nx", "ny"])
-    age, offset = _minutes(now, F.col("issued")), _minutes(F.col("target"), F.col("valid"))
-    forecast = F.col("kind") == "FORECAST"
-    reason = (
+    cell, forecast = ["nx", "ny"], F.col("kind") == "FORECAST"
+    fault = (
         F.when(F.col("issued").isNull() | F.col("valid").isNull() | F.col("collected").isNull(), "INVALID_TIME")
         .when((F.col("issued") > now) | (F.col("collected") > now) | (~forecast & (F.col("valid") > now)), "FUTURE_DATA")
-        .when(age > F.when(forecast, config.forecast_age).otherwise(config.observation_age), "STALE")
-        .when(F.when(forecast, (F.col("valid") < F.col("issued")) | (F.abs(offset) > config.forecast_offset)).otherwise(~offset.between(0, config.observation_age)), "TIME_MISMATCH")
+        .when(_minutes(now, F.col("issued")) > F.when(forecast, config.forecast_age).otherwise(config.observation_age), "STALE")
+        .when(forecast & (F.col("valid") < F.col("issued")), "TIME_MISMATCH")
     )
+    rows = weather.where(F.col("category").isin(*COMPONENTS)).withColumn("fault", fault)
+    fine = F.when(F.col("fault").isNull(), F.col("valid"))
+    about = rows.groupBy(*cell, "category", "kind").agg(F.collect_set("fault").alias("faults"), F.min(fine).alias("low"), F.max(fine).alias("high"))
+    about = about.groupBy(*cell).agg(F.collect_list(F.struct("kind", "faults", "low", "high")).alias("about"))  # six at most
+
+    targets = places.select(key, "target", F.col("grid.nx").alias("nx"), F.col("grid.ny").alias("ny"))
+    distinct = targets.select(*cell, "target").distinct()
+    kinds = F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.lit(k).alias("kind")) for c in COMPONENTS for k in ("OBSERVATION", "FORECAST")]))
+    points = distinct.select(*cell, F.col("target").alias("valid"), kinds.alias("x")).select(*cell, "valid", "x.*")
+    newest = [-_micros(F.col("issued")), -_micros(F.col("collected")), F.col("value")]
+    beside = ranges.neighbours(points, rows.where("fault is null"), [*cell, "category", "kind"], "valid", ["value", "issued", "collected"], newest).withColumnRenamed("valid", "target")
+
+    offset = lambda valid: _minutes(F.col("target"), valid)
     prefer = F.when(F.col("target") > now, forecast).otherwise(~forecast)
-    second = lambda c: -F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c)
-    rank = F.struct(F.abs(offset), (~prefer).cast("int"), second(F.col("issued")), second(F.col("collected")), forecast.cast("int"), "value")
-    fits = reason.isNull()
-    chosen = pairs.groupBy(key, "category").agg(
-        F.min_by(F.when(fits, F.struct("value", "kind", "issued", "valid")), F.when(fits, rank)).alias("best"),
-        F.array_sort(F.collect_set(reason)).alias("reasons"),
-    )
-    part = lambda c: F.first(F.when(F.col("category") == c, F.col("best")), ignorenulls=True)
-    return chosen.groupBy(key).agg(part("T1H").alias("t1h"), part("PTY").alias("pty"), part("RN1").alias("rn1"), F.array_distinct(F.flatten(F.collect_list("reasons"))).alias("rejected"))
+
+    def ranked(side: str) -> Column:
+        r = F.col(side)
+        fits = F.when(forecast, F.abs(offset(r["valid"])) <= config.forecast_offset).otherwise(offset(r["valid"]).between(0, config.observation_age))
+        rank = F.struct(F.abs(offset(r["valid"])).alias("off"), (~prefer).cast("int").alias("kept"), (-_micros(r["issued"])).alias("issue"), (-_micros(r["collected"])).alias("capture"), forecast.cast("int").alias("late"), r["value"].alias("value"), "kind", r["issued"].alias("issued"), r["valid"].alias("valid"))
+        return F.when(r.isNotNull() & fits, rank)
+
+    best = beside.select(*cell, "target", "category", F.coalesce(F.least(ranked("before"), ranked("after")), ranked("before"), ranked("after")).alias("x"))
+    part = lambda c: F.min(F.when(F.col("category") == c, F.col("x")))
+    best = best.groupBy(*cell, "target").agg(*[part(c).alias(c.lower()) for c in COMPONENTS])
+    shown = [F.when(F.col(c.lower()).isNotNull(), F.struct(*[F.col(f"{c.lower()}.{f}").alias(f) for f in ("value", "kind", "issued", "valid")])).alias(c.lower()) for c in COMPONENTS]
+    late = F.make_dt_interval(mins=F.lit(config.forecast_offset))
+    early = lambda x: F.when(x["kind"] == "FORECAST", x["low"] < F.col("target") - late).otherwise(x["low"] < F.col("target") - F.make_dt_interval(mins=F.lit(config.observation_age)))
+    beyond = lambda x: F.when(x["kind"] == "FORECAST", x["high"] > F.col("target") + late).otherwise(x["high"] > F.col("target"))
+    reasons = F.transform("about", lambda x: F.when(F.coalesce(early(x) | beyond(x), F.lit(False)), F.array_union(x["faults"], F.array(F.lit("TIME_MISMATCH")))).otherwise(x["faults"]))
+    chosen = best.join(about, cell).select(*cell, "target", *shown, F.array_sort(F.array_distinct(F.flatten(reasons))).alias("rejected"))
+    return targets.join(chosen, [*cell, "target"]).select(key, *[c.lower() for c in COMPONENTS], "rejected")
 
 
 def weather_features(chosen: DataFrame, linked: Column, config: EnvironmentConfig = EnvironmentConfig()) -> DataFrame:
@@ -125,45 +162,80 @@ def weather_features(chosen: DataFrame, linked: Column, config: EnvironmentConfi
     return chosen.select("*", temperature.alias("temperature"), F.when(rain >= 0, rain).alias("precipitation"), wet.alias("wet"), schedule.combine(states).alias("weather_state"), availability.alias("weather_availability"))
 
 
-def air_by_region(air: DataFrame, now: Column, target: Column, config: EnvironmentConfig = EnvironmentConfig(), station: str | None = None) -> DataFrame:
-    """A row for each standard region: the worst of its stations' latest readings, and their completeness.
-
-    Readings without a usable time, of the future or too old for the target are not used, but remembered: a region with any
-    is not complete. Rows without a station's name count for nothing. ``station`` names a verified station: then only it is
-    read, and the scope says so.
-    """
+def _readings(air: DataFrame, now: Column) -> DataFrame:
+    """(region, station, measured, collected, pm10, pm25, faults): each station's latest usable reading beside the faults of its
+    others, one aggregate. Rows without a region or a station's name count for nothing."""
     rows = air.select(
         clean.mapped(F.col("sidoName"), strict=True).alias("region"), feature_text(F.col("stationName")).alias("station"), F.col("dataTime").cast("timestamp_ntz").alias("measured"),
         F.col("collected_at").cast("timestamp_ntz").alias("collected"), feature_number(F.col("pm10Value")).alias("pm10"), feature_number(F.col("pm25Value")).alias("pm25"),
     ).where("region is not null and station is not null")
-    if station is not None:
-        rows = rows.where(F.col("station") == station)
     undated = F.col("measured").isNull() | F.col("collected").isNull()
     fault = F.when(undated, "UNKNOWN_MEASUREMENT_TIME").when((F.col("measured") > now) | (F.col("collected") > now), "FUTURE_DATA")
     rows = rows.withColumn("fault", fault)
-    fine = F.col("fault").isNull()
-    # one aggregate: a station's latest usable reading beside the faults of its others
     rank = F.struct("measured", "collected", "pm10", "pm25")
-    last = rows.groupBy("region", "station").agg(F.max(F.when(fine, rank)).alias("x"), F.collect_set("fault").alias("faults")).select("region", "station", "x.*", "faults")
-    fresh = _minutes(target, F.col("measured")).between(0, config.air_age)
-    faults = F.array_union("faults", F.when(F.col("measured").isNotNull() & ~fresh, F.array(F.lit("STALE"))).otherwise(F.array().cast("array<string>")))
-    plus = lambda c: F.when(fresh & (F.col(c) >= 0), F.col(c))
-    out = last.groupBy("region").agg(
-        F.max(plus("pm10")).alias("pm10"), F.max(plus("pm25")).alias("pm25"), F.count_if(fresh).alias("stations"),
-        F.coalesce(F.bool_and(F.when(fresh, plus("pm10").isNotNull() & plus("pm25").isNotNull())), F.lit(False)).alias("complete"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(faults)))).alias("air_rejected"),
-    )
+    return rows.groupBy("region", "station").agg(F.max(F.when(F.col("fault").isNull(), rank)).alias("x"), F.collect_set("fault").alias("faults")).select("region", "station", "x.*", "faults")
+
+
+def _air_states(out: DataFrame, verified: Column, config: EnvironmentConfig) -> DataFrame:
+    """State, availability and scope from pm10, pm25, stations, complete and air_rejected."""
     caution = F.coalesce(F.col("pm10") >= config.pm10, F.lit(False)) | F.coalesce(F.col("pm25") >= config.pm25, F.lit(False))
     whole = (F.col("stations") > 0) & F.col("complete") & (F.size("air_rejected") == 0)
     return out.withColumns(
         {
             "air_state": F.when(caution, "CAUTION").when(whole, "FAVORABLE").otherwise("UNKNOWN"),
             "air_availability": F.when(whole, "AVAILABLE").when(F.col("stations") > 0, "PARTIAL").when(F.array_contains("air_rejected", "STALE"), "STALE").otherwise("MISSING"),
-            "air_scope": F.lit("REGIONAL_PROXY" if station is None else "VERIFIED_STATION"),
+            "air_scope": F.when(verified, "VERIFIED_STATION").otherwise("REGIONAL_PROXY"),
         }
     )
 
 
+def air_by_region(air: DataFrame, now: Column, target: Column, config: EnvironmentConfig = EnvironmentConfig(), station: str | None = None) -> DataFrame:
+    """A row for each standard region: the worst of its stations' latest readings, and their completeness.
+
+    Readings without a usable time, of the future or too old for the target are not used, but remembered: a region with any
+    is not complete. ``station`` names a verified station: then only it is read, and the scope says so.
+    """
+    last = _readings(air, now)
+    if station is not None:
+        last = last.where(F.col("station") == station)
+    fresh = _minutes(target, F.col("measured")).between(0, config.air_age)
+    faults = F.array_union("faults", F.when(F.col("measured").isNotNull() & ~fresh, F.array(F.lit("STALE"))).otherwise(F.array().cast("array<string>")))
+    plus = lambda c: F.when(fresh & (F.col(c) >= 0), F.col(c))
+    out = last.groupBy("region").agg(
+        F.max(plus("pm10")).alias("pm10"), F.max(plus("pm25")).alias("pm25"), F.count_if(fresh).alias("stations"),
+        F.coalesce(F.bool_and(F.when(fresh, plus("pm10").isNotNull() & plus("pm25").isNotNull())), F.lit(False)).alias("complete"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(faults)))).alias("air_rejected"),
+    )
+    return _air_states(out, F.lit(station is not None), config)
+
+
+def air_at_targets(points: DataFrame, air: DataFrame, now: Column, config: EnvironmentConfig = EnvironmentConfig()) -> DataFrame:
+    """The columns of ``air_by_region`` for each distinct (region, station, target) of ``points``; no target lies before ``now``.
+
+    A station's name restricts a point to it, null means the whole region. A station's latest reading serves every target
+    until it is too old, so of a region those measured at or after (target - age limit) count: their running worst by time
+    of measurement is one row for each such time, and an as-of merge finds each target's. Regions without readings give no row.
+    """
+    last = _readings(air, now)
+    # a region's stations count twice: for the region, and each for itself
+    scoped = last.withColumn("scope", F.explode(F.array(F.lit(""), F.col("station"))))
+    usable = scoped.where("measured is not null")
+    plus = lambda c: F.when(F.col(c) >= 0, F.col(c))
+    steps = usable.groupBy("region", "scope", "measured").agg(F.max(plus("pm10")).alias("a"), F.max(plus("pm25")).alias("b"), F.count("*").alias("n"), F.bool_and(plus("pm10").isNotNull() & plus("pm25").isNotNull()).alias("whole"))
+    since = Window.partitionBy("region", "scope").orderBy(F.desc("measured")).rowsBetween(Window.unboundedPreceding, 0)  # a region's stations
+    steps = steps.select("region", "scope", F.col("measured").alias("cutoff"), F.max("a").over(since).alias("pm10"), F.max("b").over(since).alias("pm25"), F.sum("n").over(since).alias("stations"), F.bool_and("whole").over(since).alias("complete"))
+    about = scoped.groupBy("region", "scope").agg(F.array_distinct(F.flatten(F.collect_set("faults"))).alias("faults"), F.count("measured").alias("dated"))
+
+    asked = points.select("region", F.coalesce("station", F.lit("")).alias("scope"), "target").where("region is not null and target is not null").distinct()
+    asked = asked.withColumn("cutoff", F.col("target") - F.make_dt_interval(mins=F.lit(config.air_age)))
+    found = ranges.neighbours(asked, steps, ["region", "scope"], "cutoff", ["pm10", "pm25", "stations", "complete"]).select("region", "scope", "cutoff", F.col("after").alias("x"))
+    out = asked.join(about, ["region", "scope"]).join(found, ["region", "scope", "cutoff"], "left")
+    fresh = F.coalesce(F.col("x.stations"), F.lit(0))
+    faults = F.array_sort(F.array_union("faults", F.when(F.col("dated") > fresh, F.array(F.lit("STALE"))).otherwise(F.array().cast("array<string>"))))
+    out = out.select("region", F.nullif("scope", F.lit("")).alias("station"), "target", F.col("x.pm10").alias("pm10"), F.col("x.pm25").alias("pm25"), fresh.alias("stations"), F.coalesce("x.complete", F.lit(False)).alias("complete"), faults.alias("air_rejected"))
+    return _air_states(out, F.col("station").isNotNull(), config)
+
+
 def outdoor_suitability(exposure: Column, weather_state: Column, air_state: Column) -> Column:
     """By exposure, which is given with evidence and never guessed."""
     both = schedule.combine(F.array(F.coalesce(weather_state, F.lit("UNKNOWN")), F.coalesce(air_state, F.lit("UNKNOWN"))))
@@ -173,11 +245,16 @@ def outdoor_suitability(exposure: Column, weather_state: Column, air_state: Colu
 HOURS = {"week_open": "weekdayOperOpenHhmm", "week_close": "weekdayOperColseHhmm", "weekend_open": "wkendOperOpenHhmm", "weekend_close": "wkendOperCloseHhmm"}
 
 
-def exercise_features(places: DataFrame, weather: DataFrame, air: DataFrame, now: Column, key: str, *, travel: str | None = None, exposure: str | None = None, region: str = "sido_standard", holidays: DataFrame | None = None, config: EnvironmentConfig = EnvironmentConfig()) -> DataFrame:
+def exercise_features(
+    places: DataFrame, weather: DataFrame, air: DataFrame, now: Column, key: str, *, travel: str | None = None, exposure: str | None = None, region: str = "sido_standard",
+    station: str | None = None, grid: str | None = None, holidays: DataFrame | None = None, config: EnvironmentConfig = EnvironmentConfig(),
+) -> DataFrame:
     """All features of places with latitude, longitude, opening hours and region.
 
-    ``holidays`` has a ``day``; without it rules about public holidays stay unknown. ``travel`` and ``exposure`` name
-    columns of ``places``. The joins are on the place's cell and region.
+    ``weather`` and ``air`` come from ``read_environment``. ``holidays`` has a ``day``; without it rules about public holidays
+    stay unknown. ``travel``, ``exposure``, ``station`` (the name of a verified station, null for none) and ``grid`` (a struct of nx
+    and ny that must agree with the position) name columns of ``places``. Weather and air are those of the arrival, or of ``now``
+    without an estimate of the travel time.
     """
     places = clean.complete(places, (*HOURS.values(), "rstde", region))
     known = None
@@ -189,15 +266,20 @@ def exercise_features(places: DataFrame, weather: DataFrame, air: DataFrame, now
     minutes = F.col(travel).cast("double") if travel else F.lit(None).cast("double")
     hours = {k: F.col(c) for k, c in HOURS.items()}
     base = schedule.add_feasibility(places, now, minutes, F.col("rstde"), hours, known)
-    base = base.withColumns({"weather_link": geo.weather_link(F.col("latitude"), F.col("longitude")), "region": clean.mapped(F.col(region), strict=True)})
-    base = base.withColumn("target", F.coalesce("feasibility.arrival", now)).withColumn("grid", F.col("weather_link.grid"))
-    chosen = choose_weather(base.where("grid is not null"), weather, key, now, config)
-    out = base.join(chosen, key, "left").transform(lambda df: weather_features(df, F.col("grid").isNotNull(), config))
-    out = out.join(air_by_region(air, now, now, config), "region", "left")
+    link = geo.weather_link(F.col("latitude"), F.col("longitude"), F.col(grid) if grid else None)
+    base = base.withColumns({"weather_link": link, "region": clean.mapped(F.col(region), strict=True), "air_station": feature_text(F.col(station)) if station else F.lit(None).cast("string")})
+    base = base.withColumn("target", F.coalesce("feasibility.arrival", now)).withColumn("_grid", F.col("weather_link.grid"))
+    base = staged(base, "places")  # read for the places themselves, their cells and their regions
+    chosen = choose_weather(base.select(key, "target", F.col("_grid").alias("grid")).where("grid is not null"), weather, key, now, config)
+    out = base.join(chosen, key, "left").transform(lambda df: weather_features(df, F.col("_grid").isNotNull(), config))
+    at = air_at_targets(base.select("region", F.col("air_station").alias("station"), "target"), air, now, config)
+    at = at.select(*[F.col(c).alias(f"_{c}") for c in ("region", "station", "target")], *[c for c in at.columns if c not in ("region", "station", "target")])
+    same = (F.col("region") == F.col("_region")) & F.col("air_station").eqNullSafe(F.col("_station")) & (F.col("target") == F.col("_target"))
+    out = out.join(at, same, "left").drop("_region", "_station", "_target")
     out = out.withColumn("air_availability", F.when(F.col("region").isNull(), "UNLINKED").otherwise(F.coalesce("air_availability", F.lit("MISSING")))).withColumn("air_state", F.coalesce("air_state", F.lit("UNKNOWN")))
     shown = F.col(exposure) if exposure else F.lit(None).cast("string")
     out = out.withColumn("environment_target_basis", F.when(F.col("feasibility.arrival").isNotNull(), "ARRIVAL").otherwise("NOW_NO_TRAVEL_ESTIMATE"))
-    return out.withColumn("outdoor_suitability", outdoor_suitability(shown, F.col("weather_state"), F.col("air_state"))).drop("_days")
+    return out.withColumn("outdoor_suitability", outdoor_suitability(shown, F.col("weather_state"), F.col("air_state"))).drop("_days", "_grid")
 
 
 def from_origin(places: DataFrame, lat: float, lon: float) -> DataFrame:
