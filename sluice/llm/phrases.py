@@ -10,10 +10,11 @@ merge join of the places behind their occurrences with the adjacent postings: fo
 frequent words, from three words on those of the frequent phrases that begin one word later, as a phrase is only
 frequent if they are. The length of a list over all blocks is the phrase's exact frequency.
 
-A phrase's list stays in pieces, one for each block, and the work of a level is done block by block, so no list, however
-frequent its phrase, is gathered anywhere. Only the names of lists (two numbers: the phrase without its last word, and
-that word) are exchanged by phrase, added up in the tasks before. Of the lists themselves those that a filter of the
-frequent names passes (broadcast up to 2 MB, exchanged beyond) are exchanged, once, by block.
+A phrase's list stays in pieces, one for each block, and a level is done block by block where the lists are, so no list,
+however frequent its phrase, is gathered or sent anywhere. Only names and lengths are exchanged, added up in the tasks
+before. What is frequent reaches the blocks as a Bloom filter, of four bits for each name and of at most ``SLOTS`` words of
+64 bits (8 MB), whatever the number of names. A list that it lets through wrongly costs work but changes nothing: no
+phrase is more frequent than its parts, so what is built on it is not frequent either and falls by its own exact count.
 
 Score. A cut of a candidate (frequency a) after k words has l and r, the frequencies of both sides, and the score
 floor(2000000 * a / (l + r)), in decimals of 38 digits. The lowest-scoring cut counts, ties to the smallest k. Candidates
@@ -31,16 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import discard, materialise, small_batches
-from sluice.llm.urlfilter import passing
+from sluice.llm.jaccard import _mix, word_hashes
 
 MIN_COUNT, LONGEST, TOP, WITHIN_PERCENT = 30, 4, 2_000, 80
 #: Bytes of text in a block, about.
 BLOCK = 12 << 20
+#: Most words of a filter, and words in a slice of it.
+SLOTS, SLICE = 1 << 20, 1 << 12
 _BREAK = re.compile(rb"[.,;:!?\n-\r]+")
 
 
@@ -84,34 +87,37 @@ class Block:
         return [w for w in self.codes if w != b"."], starts, order
 
 
-def _binaries(starts: np.ndarray, places: np.ndarray) -> pa.Array:
-    """Lists of int32 places, from where each begins to the next, as binaries."""
-    offsets = (np.asarray(starts, np.int64) * 4).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(places, "<i4"))])
+#: A block's lists: its language and words, of each list the words' numbers, where it begins, and all lists after each other.
+PACKED = "lang string, words array<string>, codes binary, starts binary, places binary"
 
 
-def _sliced(batch: pa.RecordBatch, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def _pack(lang: str, words: list, codes: np.ndarray, starts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    raw = [pa.array([x.astype("<i4").tobytes()], pa.binary()) for x in (codes, starts, places)]
+    words = pa.array([words], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
+    return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), words, *raw], names=["lang", "words", "codes", "starts", "places"])
+
+
+def _unpack(batch: pa.RecordBatch, size: int) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """Language, words, codes (lists x ``size``), starts and places of each block."""
+    for i in range(batch.num_rows):
+        codes, starts, places = (np.frombuffer(batch.column(c)[i].as_buffer(), "<i4") for c in (2, 3, 4))
+        yield batch.column(0)[i].as_py(), batch.column(1)[i].values, codes.reshape(-1, size), starts, places
 
 
 def word_lists(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(chunk, lang, word, places): the inverted lists of words in each block; ``docs`` has lang and text."""
+    """The inverted lists of words in each block, packed; ``docs`` has lang and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Block] = {}
-        number, size = TaskContext.get().partitionId() << 32, 0
+        size = 0
 
         def flush():
-            nonlocal number, size
             for lang, own in held.items():
                 words, starts, places = own.lists()
-                number += 1
-                n = len(words)
-                if n:
-                    yield from _sliced(pa.RecordBatch.from_arrays([pa.array(np.full(n, number)), pa.array([lang] * n, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), _binaries(starts, places)], names=["chunk", "lang", "word", "places"]))
+                if words:
+                    # lists begin behind that of the breaks
+                    yield _pack(lang, words, np.arange(len(words)), starts - starts[0], places[starts[0] :])
             held.clear()
-            size = 0
 
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
@@ -122,9 +128,10 @@ def word_lists(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                     size += len(raw)
                     if size >= block:
                         yield from flush()
+                        size = 0
         yield from flush()
 
-    return docs.mapInArrow(run, "chunk long, lang string, word string, places binary")
+    return docs.mapInArrow(run, PACKED)
 
 
 def extended(starts: np.ndarray, names: np.ndarray, places: np.ndarray, words: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,46 +145,108 @@ def extended(starts: np.ndarray, names: np.ndarray, places: np.ndarray, words: n
     return starts[met], names[met], words[at[met]]
 
 
-def _extend_block(lists: pa.Table, names: pa.Table, keys: list[str]) -> pa.Table:
-    """One level for one block: its lists and its frequent names (id, last word) give the lists of longer phrases."""
-    known = lists.drop_columns(["chunk"]).join(names.drop_columns(["chunk"]), keys, join_type="inner", use_threads=False)
-    raw = known.column("places").combine_chunks() if known.num_rows else pa.array([], pa.binary())
-    raw = pa.concat_arrays(raw.chunks) if isinstance(raw, pa.ChunkedArray) else raw
-    parts = raw.to_pylist()
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-    places = np.frombuffer(b"".join(parts), "<i4").astype(np.int64)
-    column = lambda c: np.repeat(np.asarray(known.column(c).combine_chunks(), np.int64), lengths)
-    ids, last = column("id"), column("last")
-    order = np.argsort(places, kind="stable")
-    places, ids, last = places[order], ids[order], last[order]
-    starts, left, word = extended(places, ids, places, last, 1)
-    order = np.lexsort((starts, word, left))
-    starts, left, word = starts[order], left[order], word[order]
-    new = np.ones(len(starts), bool)
-    new[1:] = (left[1:] != left[:-1]) | (word[1:] != word[:-1])
-    first = np.flatnonzero(new)
-    block = lists.column("chunk")[0].as_py() if lists.num_rows else 0
-    return pa.table({"chunk": pa.array(np.full(len(first), block, np.int64)), "a": pa.array(left[first]), "b": pa.array(word[first]), "places": _binaries(np.append(first, len(starts)), starts)})
-
-
-def _level(lists: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
-    """The lists of phrases one word longer; ``frequent`` has ``keys``, id and last."""
-    n = frequent.count()
-    key = F.xxhash64(*keys)
-    likely = passing(lists.withColumn("key", key), frequent.select(key.alias("key")), n).drop("key")
-    names = likely.select("chunk", *keys).join(frequent.select(*keys, "id", "last"), keys)
-    names = names.select(*[F.col(c).alias(f"known_{c}") for c in ("chunk", *keys, "id", "last")])
-
-    def run(own: pa.Table, known: pa.Table) -> pa.Table:
-        return _extend_block(own, known.rename_columns([c.removeprefix("known_") for c in known.column_names]), keys)
-
-    own = likely.select("chunk", *keys, "places").groupBy("chunk")
-    return materialise(own.cogroup(names.groupBy("known_chunk")).applyInArrow(run, "chunk long, a long, b long, places binary"), "phrase-lists")
-
-
-def length() -> Column:
-    """Occurrences in a list."""
-    return (F.octet_length("places") / 4).cast("long")
+def phrase_hashes(lang: str, words: list[bytes], codes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of phrases given by their words' numbers."""
+    own = word_hashes(b" ".join(words))
+    out = np.full(len(codes), word_hashes(b"_" + lang.encode("utf-8", "replace").hex().encode())[0], np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(codes.shape[1]):
+            out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + own[codes[:, k]])
+    return out
+
+
+def _bits(hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each hash its slot in a filter, and its four bits there."""
+    bits = np.zeros(len(hashes), np.uint64)
+    for shift in (0, 6, 12, 18):
+        bits |= np.uint64(1) << ((hashes >> np.uint64(shift)) & np.uint64(63))
+    return ((hashes >> np.uint64(24)) % np.uint64(slots)).astype(np.int64), bits
+
+
+def bloom(frequent: DataFrame) -> np.ndarray:
+    """The filter of (lang, phrase): tasks build it in slices, which are or-combined before they reach the driver."""
+    slots = min(SLOTS, max(SLICE, 1 << int(frequent.count() // 4).bit_length()))
+
+    def send(slices: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array([x.tobytes() for x in slices.values()], pa.binary())], names=["slice", "bits"])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(slots, np.uint64)
+        for batch in batches:
+            by_lang: dict[str, list[list[bytes]]] = {}
+            for lang, phrase in zip(*(c.to_pylist() for c in batch.columns)):
+                by_lang.setdefault(lang, []).append(phrase.encode().split(b" "))
+            for lang, found in by_lang.items():
+                words = [w for phrase in found for w in phrase]
+                codes = np.arange(len(words)).reshape(len(found), -1)
+                slot, bits = _bits(phrase_hashes(lang, words, codes), slots)
+                np.bitwise_or.at(held, slot, bits)
+        parts = held.reshape(-1, SLICE)
+        yield send({i: parts[i] for i in np.flatnonzero(parts.any(1)).tolist()})
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                held[k] = held.get(k, np.uint64(0)) | np.frombuffer(raw, np.uint64)
+        if held:
+            yield send(held)
+
+    out, schema = np.zeros(slots, np.uint64), "slice int, bits binary"
+    for r in frequent.select("lang", "phrase").mapInArrow(build, schema).repartition("slice").mapInArrow(combine, schema).collect():
+        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(bytes(r["bits"]), np.uint64)
+    return out
+
+
+def extend_block(lang: str, words: pa.Array, codes: np.ndarray, starts: np.ndarray, places: np.ndarray, held: np.ndarray):
+    """One level for one block: the lists that the filter passes give the lists of phrases one word longer."""
+    names = words.cast(pa.binary()).to_pylist()
+    slot, bits = _bits(phrase_hashes(lang, names, codes), len(held))
+    passed = (held[slot] & bits) == bits
+    lengths = np.diff(starts)
+    lists = np.repeat(np.arange(len(codes)), lengths)[of := np.repeat(passed, lengths)]
+    own = places[of]
+    order = np.argsort(own, kind="stable")
+    own, lists = own[order].astype(np.int64), lists[order]
+    begins, left, right = extended(own, lists, own, lists, 1)
+    last = codes[right, -1].astype(np.int64)
+    key = left * np.int64(len(names) + 1) + last
+    order = np.argsort(key, kind="stable")  # places stay ascending in each list
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    longer = np.concatenate([codes[left[order[first]]], last[order[first], None]], axis=1)
+    used, longer_codes = np.unique(longer, return_inverse=True)
+    return [names[i] for i in used], longer_codes.reshape(longer.shape), np.append(first, len(key)), begins[order]
+
+
+def longer_lists(lists: DataFrame, size: int, held: np.ndarray) -> DataFrame:
+    """The packed lists of phrases of ``size`` + 1 words from those of ``size`` words that the filter passes."""
+    shared = lists.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, words, codes, starts, places in _unpack(batch, size):
+                longer = extend_block(lang, words, codes, starts, places, shared.value)
+                if len(longer[1]):
+                    yield _pack(lang, *longer)
+
+    return lists.mapInArrow(run, PACKED)
+
+
+def list_lengths(lists: DataFrame, size: int) -> DataFrame:
+    """(lang, phrase, f): every list's name and length, a row for each block that has the phrase."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, words, codes, starts, _ in _unpack(batch, size):
+                lengths = np.diff(starts).astype(np.int64)
+                for at in range(0, len(codes), 50_000):
+                    part = codes[at : at + 50_000]
+                    named = [words.take(pa.array(part[:, k])) for k in range(size)]
+                    phrase = pc.binary_join_element_wise(*named, " ") if size > 1 else named[0]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), phrase, pa.array(lengths[at : at + 50_000])], names=["lang", "phrase", "f"])
+
+    return lists.mapInArrow(run, "lang string, phrase string, f long")
 
 
 def frequencies(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT, longest: int = LONGEST, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -185,26 +254,20 @@ def frequencies(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lan
     small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     lists = materialise(word_lists(docs, block), "word-lists")
-    total = materialise(lists.groupBy("lang").agg(F.sum(length()).alias("n")), "words")
-    number = F.monotonically_increasing_id().alias("id")
-    counted = materialise(lists.groupBy("lang", "word").agg(F.sum(length()).alias("f")).where(F.col("f") >= min_count), "frequent")
-    words = materialise(counted.select("lang", "word", "f", number), "numbered")
-    found = [words.select("lang", F.lit(1).alias("words"), F.col("word").alias("phrase"), "f")]
-    frequent, keys, before = words.withColumn("last", F.col("id")), ["lang", "word"], words.select("id", "lang", F.col("word").alias("phrase"))
-    for size in range(2, longest + 1):
-        longer = _level(lists, frequent, keys)
-        discard(lists)
-        lists, keys = longer, ["a", "b"]
-        counted = materialise(lists.groupBy(*keys).agg(F.sum(length()).alias("f")).where(F.col("f") >= min_count), "frequent")
-        named = counted.join(before.withColumnRenamed("id", "a"), "a").join(words.select(F.col("id").alias("b"), "word"), "b")
-        named = materialise(named.select(*keys, "f", "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), F.col("b").alias("last"), number), "numbered")
-        found.append(named.select("lang", F.lit(size).alias("words"), "phrase", "f"))
-        frequent, before = named, named.select("id", "lang", "phrase")
+    total = materialise(lists.groupBy("lang").agg(F.sum(F.octet_length("places") / 4).cast("long").alias("n")), "words")
+    found = []
+    for size in range(1, longest + 1):
+        counted = list_lengths(lists, size).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
+        found.append(materialise(counted, "frequent"))
+        if size < longest:
+            longer = materialise(longer_lists(lists, size, bloom(found[-1])), "phrase-lists")
+            discard(lists)
+            lists = longer
     discard(lists)
-    every = found[0]
-    for df in found[1:]:
-        every = every.unionByName(df)
-    return materialise(every, "phrases"), total
+    every = found[0].select("lang", F.lit(1).alias("words"), "phrase", "f")
+    for size, df in enumerate(found[1:], 2):
+        every = every.unionByName(df.select("lang", F.lit(size).alias("words"), "phrase", "f"))
+    return every, total
 
 
 def _exact(c: str) -> Column:
