@@ -10,11 +10,14 @@ Classes with fewer than ``MIN_ROWS`` such rows are merged with the nearest ones,
 holds and those of longer texts are lowered by the root of the letters; languages that have fewer in all take the
 merged classes of all languages; ``MIN_COSINE`` holds besides, and alone if the training rows are fewer still.
 
-Document frequencies and floors come from all training rows. The centroids are fitted on a bounded sample in order of
-a hash of the id: at most ``SAMPLE`` rows of a language and ``MAX_SAMPLE`` in all. ``max_languages`` is a parameter that
-bounds the broadcast model; more languages than it says are an error, never left out.
+Document frequencies and floors come from all training rows. The centroids are fitted on a bounded sample: of each language
+the rows of the least hashes of id and text, at most ``SAMPLE`` and about ``MAX_SAMPLE`` in all, eight at least if it has
+them, so every language of the training rows has a centroid. ``max_languages`` is a parameter that bounds the broadcast
+model; more languages than it says are an error, never left out.
 Null texts and texts without a letter are ``und``, score 0, and rejected. With no training rows every text is ``und``.
-Columns besides id, text and language are not read.
+Repeated rows, and rows that share an id, are rows of their own; those that repeat id and text are drawn once. Of languages
+equally near the first in order of name is named. Nothing is predicted of an empty table. Columns besides id, text and
+language are not read.
 """
 
 from __future__ import annotations
@@ -26,10 +29,10 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import small_batches
+from sluice.llm.common import discard, materialise, small_batches
 
 DIM, CENTROIDS, ROUNDS = 4096, 4, 12
 SAMPLE, MAX_SAMPLE, MAX_LANGUAGES = 500, 4_000, 1_000
@@ -191,8 +194,11 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     if not sizes:
         return Model([], idf, np.zeros((0, DIM), np.float32), np.zeros(0, np.int64))
     each = max(8, min(SAMPLE, MAX_SAMPLE // len(sizes)))
-    shares = F.create_map(*[F.lit(x) for lang, size in sizes.items() for x in (lang, min(1.0, each / size))])
-    drawn = rows.where(F.xxhash64(F.lit("langid"), "id") / 2.0**64 + 0.5 < shares[F.col("lang")]).select("text", "lang")
+    rows = rows.withColumn("h", F.xxhash64(F.lit("langid"), "id", "text"))
+    # of each language the rows of the least hashes: tasks send no more than these of a language
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = materialise(rows.select("lang", "h").distinct().withColumn("place", place).where(F.col("place") <= each).select("lang", "h"), "languages")
+    drawn = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
     base = Model([], idf, np.zeros((0, DIM), np.float32), np.zeros(0, np.int64))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,8 +207,9 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), batch.column(1)], names=["v", "lang"])
 
     found: dict[str, list] = {}
-    for r in drawn.mapInArrow(vectors, "v binary, lang string").orderBy("lang", "v").limit(2 * each * len(sizes)).collect():
+    for r in drawn.mapInArrow(vectors, "v binary, lang string").orderBy("lang", "v").collect():  # at most ``each`` rows of a language
         found.setdefault(r["lang"], []).append(np.frombuffer(bytes(r["v"]), np.float32))
+    discard(chosen)
     languages = sorted(found)
     centres = [cluster(np.stack(found[lang])) for lang in languages]
     if not centres:
