@@ -23,9 +23,9 @@ and before it lies in the run looked up from the first line of the longer run, w
 Groups of equal lines or names, however many documents share them, are only ever reduced to a count, a number or their
 first place, with partial sums before the exchange, and joined back; AQE splits such joins. The order is by ranges that
 split ties by place, so a frequent run spreads over tasks. Broadcast are a row for each range (task), and the blocks of
-a filter of at most 2 MB that keeps the texts without a repeated run out of the last join.
+a filter that keeps the texts without a repeated run out of the last join: up to 2^18 blocks; a larger one is exchanged.
 
-Null texts stay null, empty ones empty. Rows that repeat both id and text count as one document and are treated alike.
+Null texts stay null, empty ones empty, an empty table empty. Rows that repeat both id and text count as one document and are treated alike.
 Rows with a null id are never changed. Other columns pass through untouched, whatever their names.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import discard, materialise
-from sluice.llm.urlfilter import block_of, bloom, mask_of, sized
+from sluice.llm.urlfilter import flagged
 
 MIN_WORDS = 25
 _SPACE, _SALT = " \t\v\f\r", 7_919
@@ -159,12 +159,10 @@ def remove(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str = "doc_id
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     text = F.col("_row")[text_col]
     # rows that certainly have no run keep out of the join
-    key, blocks = F.xxhash64(F.col("_row")[id_col], F.xxhash64(text)), sized(runs.count())
-    held = bloom(runs.select(F.xxhash64("_run_doc", "_run_hash").alias("key")), blocks).withColumnsRenamed({"block": "_block", "bits": "_bits"})
-    marked = packed.withColumn("_key", key).join(F.broadcast(materialise(held, "run-filter")), block_of(F.col("_key"), blocks) == F.col("_block"), "left")
-    may = F.coalesce(F.col("_bits").bitwiseAND(mask_of(F.col("_key"))) == mask_of(F.col("_key")), F.lit(False))
-    hit = marked.where(may).select("_row").join(runs, (F.col("_row")[id_col] == F.col("_run_doc")) & (F.xxhash64(text) == F.col("_run_hash")), "left").select("_row", "runs")
-    joined = marked.where(~may).select("_row", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs")).unionByName(hit)
+    keyed = packed.withColumn("key", F.xxhash64(F.col("_row")[id_col], F.xxhash64(text)))
+    marked = flagged(keyed, runs.select(F.xxhash64("_run_doc", "_run_hash").alias("key")), runs.count(), "_may")
+    hit = marked.where("_may").select("_row").join(runs, (F.col("_row")[id_col] == F.col("_run_doc")) & (F.xxhash64(text) == F.col("_run_hash")), "left").select("_row", "runs")
+    joined = marked.where("not _may").select("_row", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs")).unionByName(hit)
     lines = _lines(text)
     cuts = F.transform("runs", lambda r: F.struct(lines[r["first"]]["at"].alias("a"), lines[r["last"]]["at"].alias("b")))
     joined = joined.withColumn("_cuts", F.when(F.col("runs").isNotNull(), cuts))

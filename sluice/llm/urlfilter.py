@@ -72,6 +72,15 @@ def passing(tried: DataFrame, keys: DataFrame, n: int) -> DataFrame:
     return tried.withColumn("block", block_of(F.col("key"), blocks)).join(held, "block").where(hit).drop("block", "bits")
 
 
+def flagged(tried: DataFrame, keys: DataFrame, n: int, name: str) -> DataFrame:
+    """``tried`` with ``name``: whether the column ``key`` may be one of the ``n`` in ``keys``; bounded as ``passing``."""
+    blocks = sized(n)
+    held = bloom(keys, blocks).withColumnsRenamed({"block": "_block", "bits": "_bits"})
+    held = F.broadcast(held) if blocks <= MAX_BLOCKS else held
+    out = tried.join(held, block_of(F.col("key"), blocks) == F.col("_block"), "left")
+    return out.withColumn(name, F.coalesce(F.col("_bits").bitwiseAND(mask_of(F.col("key"))) == mask_of(F.col("key")), F.lit(False))).drop("_block", "_bits")
+
+
 def judge(pages: DataFrame, listed: DataFrame, *, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """page_id, host, path, rule (the winning entry's host + path, or null), verdict.
 
