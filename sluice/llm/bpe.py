@@ -2,6 +2,10 @@
 
 ``ids`` of a text are those of a rank file (base64 token, rank) applied to each match of a split pattern, without
 special tokens. Null texts encode as empty ones; a decode of the ids gives the text's UTF-8 bytes again.
+
+Rows are encoded each for itself, repeated ones and those of a null id as well; an empty table gives no rows. A text of any
+length is one row of a batch; a pre-token of any length goes through the heap in n log n steps. Before both tiers stand two
+memos of frequent chunks and pre-tokens, of ``MEMO`` bytes each. Columns besides id and text are not read.
 """
 
 from __future__ import annotations
@@ -118,7 +122,7 @@ class BytePairEncoder:
         return out
 
 
-#: Bytes of the small dictionary of frequent chunks that stands before both tiers in a worker.
+#: Bytes of each of the two memos that stand before both tiers in a worker.
 MEMO = 16 << 20
 _ENCODERS: dict[tuple[str, str], tuple] = {}
 

@@ -71,23 +71,25 @@ def small_batches(spark: SparkSession) -> None:
 
 
 class Memo(dict):
-    """A dictionary that fills itself by ``make(key)`` and empties when full, so memory stays bounded.
+    """A dictionary that fills itself by ``make(key)`` within ``limit`` bytes.
 
-    Full means ``limit`` bytes, counted as the length of keys and values and an allowance for each entry. Keys longer than
-    ``longest`` are made anew each time: long words are rarely met again.
+    Bytes are counted as the length of keys and values and an allowance for each entry. It has two generations: when the
+    younger is half the limit it becomes the older one, whose place it takes; what is asked for again moves to the younger,
+    so frequent keys stay. Keys longer than ``longest`` are made anew each time: long words are rarely met again.
     """
 
     ENTRY = 200
 
     def __init__(self, make, limit: int, longest: int = 64):
         super().__init__()
-        self.make, self.limit, self.longest, self.held = make, limit, longest, 0
+        self.make, self.limit, self.longest, self.held, self.older = make, limit, longest, 0, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older[key] if key in self.older else self.make(key)
         if len(key) > self.longest:
             return value
-        if self.held >= self.limit:
+        if 2 * self.held >= self.limit:
+            self.older = dict(self)
             self.clear()
             self.held = 0
         self.held += self.ENTRY + len(key) + (len(value) if value is not None else 0)
