@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 from sluice.functions import clean
 from sluice.operators import profile
 from sluice.plans.processors import PROCESSORS, SEQ
-from sluice.plans.publish import Warehouse, record_run
+from sluice.plans.publish import Parts, Warehouse, record_run
 from sluice.plans.specs import VALIDATORS, DatasetSpec, LoadPolicy
 
+#: Members of keys that say the day of an observation: time series are split by it.
+DAYS = ("baseDate", "observation_time_key")
+
 
 @dataclass
 class JobResult:
@@ -91,7 +94,8 @@ def load_dataset(spec: DatasetSpec, read_raw: Callable[[str], DataFrame], wareho
             VALIDATORS[spec.validator](frames)
     with _timed(result, "db"):
         if spec.policy is LoadPolicy.TIMESERIES:
-            warehouse.upsert(spec.name, frames, {t.table: t.upsert_key for t in spec.tables})
+            days = {t.table: Parts(next(c for c in t.upsert_key if c in DAYS)) for t in spec.tables if set(DAYS) & set(t.upsert_key)}
+            warehouse.upsert(spec.name, frames, {t.table: t.upsert_key for t in spec.tables}, parts=days)
         else:
             warehouse.replace(
                 spec.name, frames, allow_empty=[t.table for t in spec.tables if t.allow_empty], primary_keys={t.table: t.primary_key for t in spec.tables if t.primary_key},

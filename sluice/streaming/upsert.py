@@ -9,19 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from sluice.operators.dedup import keep_last
-from sluice.plans.publish import Warehouse
+from sluice.plans.publish import Parts, Warehouse
 
 
-def upsert_stream(stream: DataFrame, warehouse: Warehouse, dataset: str, table: str, keys: Sequence[str], checkpoint: str, order: str, *, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, **trigger) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, warehouse: Warehouse, dataset: str, table: str, keys: Sequence[str], checkpoint: str, order: str, *, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, parts: Parts = Parts(), **trigger) -> StreamingQuery:
     """Merges each micro-batch by key. No watermark: a correction must not be dropped for being late.
 
-    A batch that runs again after a failure merges to the same table.
+    A batch that runs again after a failure merges to the same table, and writes the ``parts`` that it touches.
     """
 
     def load(batch: DataFrame, _: int) -> None:
         batch = prepare(batch)
         if not batch.isEmpty():
-            warehouse.upsert(dataset, {table: batch}, {table: keys}, order=order)
+            warehouse.upsert(dataset, {table: batch}, {table: keys}, order=order, parts={table: parts})
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
