@@ -20,7 +20,8 @@ documents link when 100 * common >= percent * union. Sets are compared as 64-bit
    Signature trees hold OR-combined bitmaps and size ranges; the dual traversal of two trees leaves out node pairs whose
    largest possible overlap is too small and those of one component already. Only what joins components leaves the
    room, fewer rows than it has members. Rooms beyond a part's bound are dealt over parts twice first, which joins
-   most of a large class; then the members outside the room's largest component meet all parts.
+   most of a large class; then the members outside the room's largest component meet all parts, or, if they are more
+   than a part holds, those parts whose sizes and shared elements allow a link (``_wide_cells``).
 
 No bucket, room, class or candidate list has a cap. Pairs within a component are not enumerated.
 
@@ -374,11 +375,13 @@ def _band(size: Column) -> Column:
 
 
 def _segment_buckets(nodes: DataFrame) -> DataFrame:
-    """(e, band, node, size) of the segments that several nodes have: one exchange, and a look at the neighbours in order."""
+    """(e, band, node, size) of the segments that several nodes have; a segment of very many nodes is counted in each task and
+    then only joined with its count."""
     entries = nodes.select("node", "size", F.explode("keys").alias("e"))
-    beside = Window.partitionBy("e").orderBy("node")
-    several = F.lag("node").over(beside).isNotNull() | F.lead("node").over(beside).isNotNull()
-    return materialise(entries.withColumn("several", several).where("several").select("e", F.lit(0).alias("band"), "node", "size"), "buckets")
+    common = materialise(entries.groupBy("e").agg(F.count("*").alias("n")).where("n > 1").select("e"), "common")
+    buckets = materialise(entries.join(common, "e").select("e", F.lit(0).alias("band"), "node", "size"), "buckets")
+    discard(common)
+    return buckets
 
 
 def _prefix_buckets(nodes: DataFrame, percent: int) -> DataFrame:
@@ -443,21 +446,65 @@ def _links(nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame
     held = held.groupBy("room").agg(F.sum("m").alias("n"), F.sum("w").alias("weight"), F.count("*").alias("roots"), F.max_by(F.struct("root", "m", "w"), F.struct("m", "root")).alias("main"))
     held = held.where("roots > 1").select("room", F.col("main.root").alias("main"), parts("n", "weight").alias("columns"), F.expr("n - main.m").alias("n"), F.expr("weight - main.w").alias("weight"))
     held = materialise(held.withColumn("lines", parts("n", "weight")), "open-rooms")
-    met = tagged.join(held, "room")
-    line, column = _part(F.col("lines"), F.lit(2), "node"), _part(F.col("columns"), F.lit(3), "node")
-    every = lambda c: F.sequence(F.lit(0), F.greatest(c, F.lit(1)) - 1)
-    minor = F.col("root") != F.col("main")
-    cell = lambda i, j: i * F.col("columns") + j
-    as_column = F.transform(every(F.col("lines")), lambda i: F.struct(cell(i, column).alias("cell"), (F.lit(2) + F.when(minor & (i == line), 1).otherwise(0)).alias("side")))
-    as_line = F.when(minor, F.transform(F.filter(every(F.col("columns")), lambda j: j != column), lambda j: F.struct(cell(line, j).alias("cell"), F.lit(1).alias("side"))))
-    cells = F.concat(as_column, F.coalesce(as_line, F.array().cast("array<struct<cell:int,side:int>>")))
-    met = met.select("room", "node", "root", F.explode(cells).alias("x")).select("room", "x.cell", "node", "root", "x.side")
-    found = meet(met)
+    found = meet(_cells(tagged, held.where("lines = 1")))
+    wide = held.where("lines > 1")
+    if not wide.isEmpty():
+        found = found.unionByName(meet(_wide_cells(tagged, wide, sets, percent)))
     links = materialise(found.unionByName(dealt) if dealt is not None else found, "links")
     discard(rooms, wanted, sets, large, tagged, held, *([dealt] if dealt is not None else []))
     return links
 
 
+def _cells(tagged: DataFrame, held: DataFrame) -> DataFrame:
+    """(room, cell, node, root, side): each member in one cell, the minor ones, one part of them, in every cell of their room."""
+    met = tagged.join(held, "room")
+    minor, column = F.col("root") != F.col("main"), _part(F.col("columns"), F.lit(3), "node")
+    every = F.sequence(F.lit(0), F.greatest(F.col("columns"), F.lit(1)) - 1)
+    cell = lambda j: F.struct(j.alias("cell"), (F.when(j == column, 2).otherwise(0) + F.when(minor, 1).otherwise(0)).alias("side"))
+    cells = F.transform(F.when(minor, every).otherwise(F.array(column)), cell)
+    return met.select("room", "node", "root", F.explode(cells).alias("x")).select("room", F.col("x.cell").cast("long").alias("cell"), "node", "root", "x.side")
+
+
+#: Ratio of sizes in a part of a wide room.
+SIZE_CLASS = 1.02
+
+
+def _wide_cells(tagged: DataFrame, wide: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The same for rooms of more minor members than a part holds, where all would meet all.
+
+    A set that is a component of its own can share with others only the elements that some other component of the room
+    has as well: its use. Members are dealt over parts by size; a part is a node with its least size and largest use, and
+    two parts meet only where these allow a link. Only rows of parts are paired, sets are sent for what is left. Members
+    of one template, whose differences are their own, mostly have too little in use for any part.
+    """
+    members = materialise(tagged.join(wide.select("room", "main"), "room").select("room", "node", "root", "size", "main"), "wide-rooms")
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for room, root, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                e = np.frombuffer(raw, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(e), room)), pa.array(np.full(len(e), root)), pa.array(e)], names=["room", "root", "e"])
+
+    own = members.join(sets, "node").select("room", "root", "set").mapInArrow(elements, "room long, root long, e long")
+    own = own.groupBy("room", "e").agg(F.min("root").alias("root"), F.max("root").alias("last")).where("root = last").groupBy("room", "root").agg(F.count("*").alias("own"))
+    single = members.where("root <> main").groupBy("room", "root").agg(F.count("*").alias("n")).where("n = 1").select("room", "root")
+    used = members.join(own.join(single, ["room", "root"], "left_semi"), ["room", "root"], "left")
+    used = used.withColumn("use", F.col("size") - F.coalesce("own", F.lit(0))).withColumn("class", F.floor(F.log("size") / F.log(F.lit(SIZE_CLASS))).cast("long"))
+    used = materialise(used.drop("own"), "wide-members")
+    parts = used.groupBy("room", "class").agg(F.greatest(F.ceil(F.count("*") / PART), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int").alias("parts"))
+    dealt = materialise(used.join(parts, ["room", "class"]).withColumn("part", F.struct("class", _part(F.col("parts"), F.lit(4), "node").alias("k"))).drop("parts"), "wide-parts")
+    about = dealt.groupBy("room", "part").agg(F.min("size").alias("small"), F.max("use").alias("most"), F.bool_or(F.col("root") != F.col("main")).alias("minor"))
+    about = materialise(about, "wide-nodes")
+    a, b = (about.select("room", *[F.col(c).alias(f"{c}_{k}") for c in ("part", "small", "most", "minor")]) for k in "ab")
+    fits = (100 + percent) * F.least("most_a", "most_b") >= percent * (F.col("small_a") + F.col("small_b"))
+    pairs = a.join(b, "room").where((F.col("part_a") <= F.col("part_b")) & (F.col("minor_a") | F.col("minor_b")) & fits)
+    pairs = materialise(pairs.select("room", "part_a", "part_b").withColumn("cell", F.monotonically_increasing_id()), "wide-pairs")
+    same = F.col("part_a") == F.col("part_b")
+    sides = F.when(same, F.array(F.struct(F.col("part_a").alias("part"), F.lit(3).alias("side")))).otherwise(F.array(F.struct(F.col("part_a").alias("part"), F.lit(1).alias("side")), F.struct(F.col("part_b").alias("part"), F.lit(2).alias("side"))))
+    out = dealt.join(pairs.select("room", "cell", F.inline(sides)), ["room", "part"])
+    return out.select("room", "cell", "node", "root", "side")
+
+
 def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows as (doc_id, text_hash, size, node), node null for an empty set, and links between nodes.
 
