@@ -34,14 +34,14 @@ def scratch_dir(spark: SparkSession) -> str:
 _LOCAL: dict[str, str] = {}
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` to the shared folder once and returns a scan of what was written.
+def materialise(df: DataFrame, label: str, **options) -> DataFrame:
+    """Writes ``df`` to the shared folder once, with a writer's ``options``, and returns a scan of what was written.
 
     Cuts lineage: a lost executor costs a re-read of finished files, never a recomputation of the stages before.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/sluice-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _WRITTEN[id(out)] = (out, path)
     return out

@@ -41,7 +41,9 @@ from sluice.llm.jaccard import _mix, word_hashes
 
 MIN_COUNT, LONGEST, TOP, WITHIN_PERCENT = 30, 4, 2_000, 80
 #: Bytes of text in a block, about.
-BLOCK = 12 << 20
+BLOCK = 3 << 20
+#: A block's lists are one row; small row groups keep few of them in memory.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size": str(1 << 20)}
 #: Most words of a filter, and words in a slice of it.
 SLOTS, SLICE = 1 << 20, 1 << 12
 _BREAK = re.compile(rb"[.,;:!?\n-\r]+")
@@ -253,14 +255,14 @@ def frequencies(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lan
     """(lang, words, phrase, f) of all phrases of up to ``longest`` words that occur ``min_count`` times, and (lang, n)."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    lists = materialise(word_lists(docs, block), "word-lists")
+    lists = materialise(word_lists(docs, block), "word-lists", **ROW_GROUPS)
     total = materialise(lists.groupBy("lang").agg(F.sum(F.octet_length("places") / 4).cast("long").alias("n")), "words")
     found = []
     for size in range(1, longest + 1):
         counted = list_lengths(lists, size).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
         found.append(materialise(counted, "frequent"))
         if size < longest:
-            longer = materialise(longer_lists(lists, size, bloom(found[-1])), "phrase-lists")
+            longer = materialise(longer_lists(lists, size, bloom(found[-1])), "phrase-lists", **ROW_GROUPS)
             discard(lists)
             lists = longer
     discard(lists)
