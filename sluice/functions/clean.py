@@ -34,25 +34,29 @@ def normalize(c: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
 
 
 def normalize_nulls(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
-    """``normalize`` on every string column, in one projection."""
-    return df.select(*[normalize(F.col(f"`{f.name}`"), tokens).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema])
+    """``normalize`` on every string column; all are trimmed in one projection and compared in the next."""
+    strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    trimmed = df.select(*[strip(F.col(f"`{c}`")).alias(c) if c in strings else F.col(f"`{c}`") for c in df.columns])
+    return trimmed.select(*[F.when(~F.lower(f"`{c}`").isin(*tokens), F.col(f"`{c}`")).alias(c) if c in strings else F.col(f"`{c}`") for c in df.columns])
 
 
-def number(c: Column) -> Column:
-    """A double without thousands separators; null where the text is no plain number."""
-    text = strip(F.regexp_replace(c.cast("string"), ",", ""))
+def without_commas(c: Column) -> Column:
+    return strip(F.regexp_replace(c.cast("string"), ",", ""))
+
+
+def number_of(text: Column) -> Column:
+    """A double from trimmed text without separators; null where it is no plain number."""
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
-def integer(c: Column) -> Column:
-    """A long; null where the number is not integral, never a truncation."""
-    value = number(c)
+def integer_of(text: Column) -> Column:
+    """A long from such text; null where the number is not integral, never a truncation."""
+    value = number_of(text)
     return F.when(value % 1 == 0, value.try_cast("long"))
 
 
-def moment(c: Column) -> Column:
-    """A timestamp without zone; null for other shapes, offsets, impossible dates and years outside 1700..2200."""
-    text = strip(c)
+def moment_of(text: Column) -> Column:
+    """A timestamp without zone from trimmed text; null for other shapes, offsets, impossible dates and years outside 1700..2200."""
     of = lambda fmt: F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
     digits = reduce(lambda e, kv: e.when(F.length(text) == kv[0], of(kv[1])), list(_DIGITS.items())[1:], F.when(F.length(text) == 8, of(_DIGITS[8])))
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d+)?)?$"), text.try_cast("timestamp_ntz"))
@@ -61,6 +65,32 @@ def moment(c: Column) -> Column:
     return F.when(year.between(1700, 2200), F.when(text.rlike(r"^\d+$"), digits).otherwise(other))
 
 
+#: A conversion as (what makes its text, what reads the text): two projections, so the text is made once a row and the
+#: generated code holds each expression once.
+NUMBER, INTEGER, MOMENT = (without_commas, number_of), (without_commas, integer_of), (strip, moment_of)
+
+
+def number(c: Column) -> Column:
+    """A double without thousands separators; null where the text is no plain number."""
+    return number_of(without_commas(c))
+
+
+def integer(c: Column) -> Column:
+    """A long; null where the number is not integral, never a truncation."""
+    return integer_of(without_commas(c))
+
+
+def moment(c: Column) -> Column:
+    """``moment_of`` the trimmed text."""
+    return moment_of(strip(c))
+
+
+def read_as(df: DataFrame, to: dict[str, tuple[str, tuple]]) -> DataFrame:
+    """Adds each new column as its source read by a staged conversion."""
+    texts = {f"_text_{new}": prepare(F.col(f"`{source}`")) for new, (source, (prepare, _)) in to.items()}
+    return df.withColumns(texts).withColumns({new: of(F.col(f"_text_{new}")) for new, (_, (_, of)) in to.items()}).drop(*texts)
+
+
 def instant(c: Column) -> Column:
     """A timestamp in UTC from ISO text with or without offset, without one read as UTC; null otherwise."""
     return strip(c).try_cast("timestamp")

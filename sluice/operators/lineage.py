@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.clean import read_as
+from sluice.operators.staging import staged
+
 ROW_ID, REASONS, LOSS = "_dq_row_id", "_removal_reasons", "_loss_"
 
 
@@ -40,21 +43,35 @@ def remove_unless(df: DataFrame, keep: Column, reason: str) -> DataFrame:
 
 
 def remove_earlier(df: DataFrame, keys: Sequence[str], order: Sequence[Column], reason: str, *, last: bool = True) -> DataFrame:
-    """Tags live rows that are not the last (or first) of their key; rows with a null key stay."""
-    open_key = F.lit(False)
+    """Tags live rows that are not the last (or first) of their key; rows with a null key stay, null orders come before others.
+
+    The rows are written once with a number each; the number to keep of each key is an aggregate, reduced in the tasks
+    before its exchange, that is joined back, so a key that all rows share is split like any other. Equal orders: one stays.
+    """
+    whole = live()
     for k in keys:
-        open_key = open_key | F.col(k).isNull()
-    alone = F.when(open_key | ~live(), F.xxhash64(*order))  # keeps rows without a key apart, and off one partition
-    by = [c.desc_nulls_last() if last else c.asc_nulls_last() for c in order]
-    ranked = df.withColumn("_alone", alone)
-    ranked = ranked.withColumn("_rank", F.when(F.col("_alone").isNull(), F.row_number().over(Window.partitionBy(*keys, "_alone").orderBy(*by))))
-    return remove_unless(ranked, F.col("_rank").isNull() | (F.col("_rank") == 1), reason).drop("_alone", "_rank")
+        whole = whole & F.col(k).isNotNull()
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "tagged")
+    rank = F.struct(*[x for i, c in enumerate(order) for x in ((c.isNotNull() if last else c.isNull()).alias(f"n{i}"), c.alias(f"o{i}"))], "_row")
+    kept = rows.where(whole).groupBy(*keys).agg((F.max if last else F.min)(rank).alias("_best")).select(*keys, F.col("_best._row").alias("_kept"))
+    return remove_unless(rows.join(kept, list(keys), "left"), ~whole | (F.col("_row") == F.col("_kept")), reason).select(df.columns)
 
 
 def convert(df: DataFrame, column: str, to: Column) -> DataFrame:
     """Replaces a column by a conversion of it and remembers the rows whose value was lost."""
-    lost = F.coalesce(F.col(LOSS + column), F.lit(False)) if LOSS + column in df.columns else F.lit(False)
-    return df.withColumns({LOSS + column: lost | (F.col(column).isNotNull() & to.isNull()), column: to})
+    return take(df.withColumn(f"_value_{column}", to), [column])
+
+
+def convert_all(df: DataFrame, to: dict[str, tuple]) -> DataFrame:
+    """``convert`` for several columns by staged conversions, such as ``clean.NUMBER``."""
+    return take(read_as(df, {f"_value_{c}": (c, how) for c, how in to.items()}), list(to))
+
+
+def take(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Puts ``_value_<column>`` in place of each column and remembers what was lost."""
+    before = lambda c: F.coalesce(F.col(LOSS + c), F.lit(False)) if LOSS + c in df.columns else F.lit(False)
+    lost = {LOSS + c: before(c) | (F.col(c).isNotNull() & F.col(f"_value_{c}").isNull()) for c in columns}
+    return df.withColumns(lost | {c: F.col(f"_value_{c}") for c in columns}).drop(*[f"_value_{c}" for c in columns])
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

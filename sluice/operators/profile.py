@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.clean import normalize_nulls, strip
 from sluice.operators import dedup, lineage
+from sluice.operators.staging import staged
 
 STATISTICS = ("rows", "nulls", "null_rate", "distinct", "distinct_rate", "minimum", "maximum", "mean", "median", "infinite", "min_length", "max_length", "blank", "earliest", "latest")
 
@@ -102,27 +103,24 @@ class Audit:
 def audit(dataset: str, raw: DataFrame, processor: Callable[[DataFrame], DataFrame], sequence: str, *, dedup_keys: Sequence[str] = (), fan_out: bool = False, strict_unexplained: bool = False) -> tuple[DataFrame, Audit]:
     """Runs a tagging processor on ``raw`` with lineage and returns its accepted rows and the audit.
 
-    The tagged frame is persisted for the aggregates; each of them gives one row.
+    The tagged rows are written once; the aggregates, each of one row, and the publication read that table.
     """
     before = lineage.add_lineage(raw, dataset, sequence)
-    tagged = processor(before).persist()
-    try:
-        one = lambda df: df.first().asDict()
-        live = tagged.where(lineage.live())
-        tracking = one(lineage.audit_ids(before, tagged, fan_out=fan_out))
-        rows = one(lineage.reconcile(tagged))
-        reasons = {r["reason"]: r["rows"] for r in lineage.reason_counts(tagged).collect()}
-        losses = one(lineage.conversion_loss(tagged))
-        keys = [k for k in dedup_keys if k in raw.columns]
-        payload = [c for c in raw.columns if c not in (*keys, sequence)]
-        duplicates = one(dedup.metrics(normalize_nulls(raw), keys, payload)) if keys and payload else {}
-        review = one(review_metrics(live)) if "needs_review" in tagged.columns else {}
-        issues = [] if tracking["passed"] else ["lineage"]
-        if not rows["matches"]:
-            issues.append("row counts")
-        if strict_unexplained and rows["unexplained_rows"]:
-            issues.append("unexplained removals")
-        found = Audit(dataset, "CHECK_FAILED" if issues else "PASS", tracking, rows, reasons, losses, duplicates, review, issues)
-        return lineage.accepted(tagged), found
-    finally:
-        tagged.unpersist()
+    tagged = staged(processor(before), "audited")
+    one = lambda df: df.first().asDict()
+    live = tagged.where(lineage.live())
+    tracking = one(lineage.audit_ids(before, tagged, fan_out=fan_out))
+    rows = one(lineage.reconcile(tagged))
+    reasons = {r["reason"]: r["rows"] for r in lineage.reason_counts(tagged).collect()}
+    losses = one(lineage.conversion_loss(tagged))
+    keys = [k for k in dedup_keys if k in raw.columns]
+    payload = [c for c in raw.columns if c not in (*keys, sequence)]
+    duplicates = one(dedup.metrics(normalize_nulls(raw), keys, payload)) if keys and payload else {}
+    review = one(review_metrics(live)) if "needs_review" in tagged.columns else {}
+    issues = [] if tracking["passed"] else ["lineage"]
+    if not rows["matches"]:
+        issues.append("row counts")
+    if strict_unexplained and rows["unexplained_rows"]:
+        issues.append("unexplained removals")
+    found = Audit(dataset, "CHECK_FAILED" if issues else "PASS", tracking, rows, reasons, losses, duplicates, review, issues)
+    return lineage.accepted(tagged), found

@@ -9,12 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def operations(runs: DataFrame, start: Column, end: Column, at: str = "finished_at") -> DataFrame:
-    """One row for the half-open period: counts by status, times, the slowest job, jobs and stages that failed."""
-    inside = runs.where((F.col(at) >= start) & (F.col(at) < end))
+def _totals() -> list[Column]:
     names = lambda when, what: F.array_sort(F.collect_set(F.when(when, F.col(what))))
     run, dq = F.col("run_status"), F.col("dq_status")
-    return inside.agg(
+    return [
         F.count("*").alias("total_runs"),
         F.count_if(run == "SUCCESS").alias("succeeded"),
         F.count_if(run == "WARNING").alias("warned"),
@@ -27,7 +25,35 @@ def operations(runs: DataFrame, start: Column, end: Column, at: str = "finished_
         names(run == "FAILED", "job_id").alias("failed_jobs"),
         names(dq == "FAILED", "job_id").alias("dq_failed_jobs"),
         names(run == "FAILED", "failure_stage").alias("failure_stages"),
-    )
+    ]
+
+
+def operations(runs: DataFrame, start: Column, end: Column, at: str = "finished_at") -> DataFrame:
+    """One row for the half-open period: counts by status, times, the slowest job, jobs and stages that failed."""
+    return runs.where((F.col(at) >= start) & (F.col(at) < end)).agg(*_totals())
+
+
+def report_periods(days: DataFrame, day: str = "day") -> DataFrame:
+    """(label, start, end): the night before and the daytime of each day, by the hours of ``report_period``."""
+    at = lambda days, hours, minutes: F.col(day).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(days), hours=F.lit(hours), mins=F.lit(minutes))
+    kinds = F.array(
+        F.struct(F.lit("night").alias("label"), at(-1, 17, 0).alias("start"), at(0, 9, 15).alias("end")),
+        F.struct(F.lit("day").alias("label"), at(0, 9, 15).alias("start"), at(0, 17, 0).alias("end")),
+    )
+    return days.select(day).distinct().select(F.inline(kinds)).distinct()
+
+
+def by_period(runs: DataFrame, periods: DataFrame, at: str = "finished_at", bucket_hours: int = 6) -> DataFrame:
+    """``operations`` of every period of a table with start and end (half-open, of any length, overlapping or not).
+
+    A range join by buckets of time: a period stands in each bucket that it touches and meets the runs of these alone.
+    Periods without a run give no row.
+    """
+    bucket = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / (bucket_hours * 3_600_000_000)).cast("long")
+    last = F.col("end") - F.expr("INTERVAL 0.000001 SECOND")
+    spread = periods.where("start < end").withColumn("_bucket", F.explode(F.sequence(bucket(F.col("start")), bucket(last))))
+    met = runs.withColumn("_bucket", bucket(F.col(at))).join(spread, "_bucket").where((F.col(at) >= F.col("start")) & (F.col(at) < F.col("end")))
+    return met.groupBy(*periods.columns).agg(*_totals())
 
 
 def dq_rollup(statuses: DataFrame, run: str, status: str = "dq_status") -> DataFrame:

@@ -399,21 +399,67 @@ def air_of_places(spark, d):
     return places.join(found, same).select("place", "pm10", "pm25", "stations", "reasons", "air_state", "air_availability", "air_scope")
 
 
-@query("facility", f"""SELECT nullif(faci_cd, '-') AS code, faci_nm AS facility_name, '운동 시설' AS facility_type, CASE WHEN abs({_num('faci_lat')}) <= 90 THEN {_num('faci_lat')} END AS latitude, CASE _ingest_seq % 3 WHEN 0 THEN 'INDOOR' WHEN 1 THEN 'OUTDOOR' END AS exposure FROM raw""")
-def place_candidates(spark, d):
+_CANDIDATES = f"""c AS (SELECT 'processed.facility' AS source_table, nullif(faci_cd, '-') AS code, faci_nm AS facility_name, '운동 시설' AS facility_type, CASE WHEN abs({_num('faci_lat')}) <= 90 THEN {_num('faci_lat')} END AS latitude, CASE _ingest_seq % 3 WHEN 0 THEN 'INDOOR' WHEN 1 THEN 'OUTDOOR' END AS exposure,
+  CASE _ingest_seq % 4 WHEN 0 THEN '서울' WHEN 1 THEN '부산' WHEN 2 THEN '강원도' ELSE '' END AS city FROM raw
+UNION ALL SELECT 'processed.public_open_facility', NULL, s_name, 'hall', CAST(30 + s_suppkey % 12 AS DOUBLE), NULL, CASE s_suppkey % 3 WHEN 0 THEN '전라북도' WHEN 1 THEN '강원도' ELSE '해외' END FROM supplier)"""
+
+
+def _candidate_sources(spark, d):
+    """Every row of both sources, with the columns that candidates are made of."""
     df = clean.normalize_nulls(raw(spark, d, "facility")).withColumn("inout_gbn_nm", F.when(F.col(SEQ) % 3 == 0, "실내").when(F.col(SEQ) % 3 == 1, "실외"))
-    for c in ("ftype_nm", "fcob_nm", "faci_road_addr", "faci_addr", "cp_nm", "cpb_nm"):
+    for c in ("ftype_nm", "fcob_nm", "faci_road_addr", "faci_addr", "cpb_nm"):
         df = df.withColumn(c, F.lit("").cast("string"))
-    none = raw(spark, d, "open").withColumns({"openFcltyType": F.lit(""), "sido_standard": F.lit("")}).limit(0)
-    out = features.candidates(df, none, F.lit("2024-01-01").cast("timestamp"))
-    code = F.get_json_object("source_row", "$.faci_cd")
-    return out.select(code.alias("code"), "facility_name", "facility_type", "latitude", "exposure")
+    pick = lambda n, *names: F.get(F.array(*map(F.lit, names)), (F.col(SEQ) % n).cast("int"))
+    df = df.withColumn("cp_nm", pick(4, "서울", "부산", "강원도", ""))
+    return df, raw(spark, d, "open").withColumns({"openFcltyType": F.lit("hall"), "sido_standard": pick(3, "전라북도", "강원도", "해외"), "weekdayOperOpenHhmm": F.lit("09:00"), "weekdayOperColseHhmm": F.lit("18:00"), "rstde": F.lit("연중무휴")})
 
 
-@query(None, """WITH p AS (SELECT c_custkey, c_name, 33 + c_custkey % 600 / 100.0::DOUBLE AS lat, 125 + c_custkey % 500 / 100.0::DOUBLE AS lon FROM customer),
-h AS (SELECT *, pow(sin(radians(lat - 37.5) / 2), 2) + cos(radians(37.5)) * cos(radians(lat)) * pow(sin(radians(lon - 127.0) / 2), 2) AS a FROM p)
-SELECT c_name AS facility_name, round(2 * 6371.0 * atan2(sqrt(a), sqrt(1 - a)), 6) AS km FROM h ORDER BY km, facility_name LIMIT 25""")
+@query("facility", f"also {_CANDIDATES} SELECT source_table, code, facility_name, facility_type, latitude, exposure FROM c")
+def place_candidates(spark, d):
+    """All rows of both sources."""
+    out = features.candidates(*_candidate_sources(spark, d), F.lit("2024-01-01").cast("timestamp"))
+    code = F.get_json_object("source_row", "$.faci_cd")
+    return out.select("source_table", code.alias("code"), "facility_name", "facility_type", "latitude", "exposure")
+
+
+@query("facility", f"""also {_CANDIDATES}, r AS (SELECT {_region('sidoName')} AS region, stationName AS station, measured, measured + delay AS collected, TRY_CAST(pm10Value AS DOUBLE) AS pm10, CAST(pm25Value AS DOUBLE) AS pm25 FROM ({_READINGS.format(t='events')}) WHERE measured + delay BETWEEN -180 AND 0),
+s AS (SELECT region, station, arg_max(row(measured, pm10, pm25), row(measured, collected, coalesce(pm10, -1), coalesce(pm25, -1))) FILTER (measured <= 0) AS x, bool_or(measured > 0) AS future FROM r GROUP BY ALL),
+a AS (SELECT region, max(x[2]) FILTER (x[1] >= -120) AS pm10, max(x[3]) FILTER (x[1] >= -120) AS pm25, count(*) FILTER (x[1] >= -120) AS stations, bool_and(x[2] IS NOT NULL) FILTER (x[1] >= -120) AS complete, bool_or(x[1] < -120) AS stale, bool_or(future) AS future FROM s GROUP BY 1),
+y AS (SELECT *, stations > 0 AND complete AND NOT coalesce(stale, false) AND NOT future AS whole FROM a),
+z AS (SELECT c.*, pm10, pm25, CASE WHEN {_region('city')} NOT IN ('서울특별시', '부산광역시', '강원특별자치도', '전북특별자치도') THEN 'UNLINKED' WHEN y.region IS NULL THEN 'MISSING' WHEN whole THEN 'AVAILABLE' WHEN stations > 0 THEN 'PARTIAL' WHEN stale THEN 'STALE' ELSE 'MISSING' END AS air,
+  CASE WHEN pm10 >= 81 OR pm25 >= 36 THEN 'CAUTION' WHEN whole THEN 'FAVORABLE' ELSE 'UNKNOWN' END AS air_state FROM c LEFT JOIN y ON y.region = {_region('city')})
+SELECT source_table, code, facility_name, pm10, pm25, air, air_state, CASE exposure WHEN 'INDOOR' THEN 'NOT_APPLICABLE' WHEN 'OUTDOOR' THEN CASE WHEN air_state = 'CAUTION' THEN 'CAUTION' ELSE 'UNKNOWN' END ELSE 'UNKNOWN' END AS outdoor,
+  CASE WHEN source_table = 'processed.facility' THEN 'UNKNOWN' ELSE 'OPEN' END AS hours FROM z""")
+def candidate_features(spark, d):
+    """The stored features of every candidate, read from their JSON; no weather was collected within the limits."""
+    now = F.lit("2024-01-10 12:00:00").cast("timestamp_ntz")
+    at = lambda m: now + F.make_dt_interval(mins=m)
+    air = spark.sql(_READINGS.replace("//", "div"), t=spark.read.parquet(f"{d}/events.parquet"))
+    air = air.withColumns({"dataTime": at(F.col("measured")), "collected_at": at(F.col("measured") + F.col("delay"))})
+    none = lambda schema: spark.createDataFrame([], schema)
+    grid = "nx long, ny long, category string, baseDate string, baseTime string, collected_at string, "
+    environment = features.read_environment(none(grid + "obsrValue string"), none(grid + "fcstDate string, fcstTime string, fcstValue string"), air, now)
+    out = features.candidates(*_candidate_sources(spark, d), now, environment)
+    told = lambda path, kind="string": F.get_json_object("features", f"$.{path}").cast(kind)
+    code = F.get_json_object("source_row", "$.faci_cd").alias("code")
+    hours = F.when(told("feasibility.open_now", "boolean"), "OPEN").otherwise("UNKNOWN").alias("hours")
+    return out.select("source_table", code, "facility_name", told("pm10", "double").alias("pm10"), told("pm25", "double").alias("pm25"), told("air_availability").alias("air"), told("air_state").alias("air_state"), told("outdoor_suitability").alias("outdoor"), hours)
+
+
+_ROUND = """SELECT * EXCLUDE (ll, ss, cs, sg, sa, ca, cm, k), l0 + (1 - k) * f * sa * (sg + k * ss * (cm + k * cs * (2 * cm * cm - 1))) AS ll, ss, cs, sg, sa, ca, cm, k FROM (SELECT * EXCLUDE (k, cm), cs - 2 * s1 * s2 / ca AS cm, f / 16 * ca * (4 + f * (4 - 3 * ca)) AS k FROM
+  (SELECT * EXCLUDE (sa, ca, sg), atan2(ss, cs) AS sg, c1 * c2 * sin(ll) / ss AS sa, 1 - pow(c1 * c2 * sin(ll) / ss, 2) AS ca FROM (SELECT * EXCLUDE (ss, cs), sqrt(pow(c2 * sin(ll), 2) + pow(c1 * s2 - s1 * c2 * cos(ll), 2)) AS ss, s1 * s2 + c1 * c2 * cos(ll) AS cs FROM {x})))"""
+
+
+@query(None, f"""WITH p AS (SELECT c_name, 33 + c_custkey % 600 / 100.0::DOUBLE AS lat, 125 + c_custkey % 500 / 100.0::DOUBLE AS lon, 1 / 298.257223563 AS f FROM customer),
+u AS (SELECT *, atan((1 - f) * tan(radians(37.5))) AS u1, atan((1 - f) * tan(radians(lat))) AS u2, radians(lon - 127.0) AS l0 FROM p WHERE NOT (lat = 37.5 AND lon = 127.0)),
+r0 AS (SELECT *, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2, l0 AS ll, 0.0::DOUBLE AS ss, 0.0::DOUBLE AS cs, 0.0::DOUBLE AS sg, 0.0::DOUBLE AS sa, 0.0::DOUBLE AS ca, 0.0::DOUBLE AS cm, 0.0::DOUBLE AS k FROM u),
+{", ".join(f"r{i + 1} AS ({_ROUND.format(x=f'r{i}')})" for i in range(6))},
+e AS (SELECT *, ca * (pow(6378137.0, 2) / pow(6378137.0 * (1 - f), 2) - 1) AS q FROM r6),
+m AS (SELECT *, 1 + q / 16384 * (4096 + q * (-768 + q * (320 - 175 * q))) AS a, q / 1024 * (256 + q * (-128 + q * (74 - 47 * q))) AS b FROM e),
+d AS (SELECT c_name, 6378.137 * (1 - f) * a * (sg - b * ss * (cm + b / 4 * (cs * (2 * cm * cm - 1) - b / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))) AS km FROM m UNION ALL SELECT c_name, 0 FROM p WHERE lat = 37.5 AND lon = 127.0)
+SELECT c_name AS facility_name, round(km, 6) AS km FROM d ORDER BY km, facility_name LIMIT 25""")
 def nearest_places(spark, d):
+    """The nearest by the way on the ellipsoid, to the millimetre."""
     k = F.col("c_custkey")
     df = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_name").alias("facility_name"), (33 + k % 600 / 100).alias("latitude"), (125 + k % 500 / 100).alias("longitude"), F.lit("").alias("source_key"))
     return features.nearest_facilities(df, 37.5, 127.0, 25).select("facility_name", F.round("distance_km", 6).alias("km"))
@@ -518,11 +564,11 @@ def stream_upsert(spark, d):
 
 
 def _streamed(spark, d, label, transform):
-    """The rows that a stream of ``events``, in order of time, appends."""
+    """The rows that a stream of ``events`` appends; all of them are one batch, so their order is of no account."""
     source, sink, state = (scratch(spark, f"{label}-{k}") for k in ("source", "sink", "state"))
     e = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
     last = e.agg(F.date_add(F.max("ts").cast("date"), 30).cast("timestamp").alias("ts")).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), F.lit("end").alias("event_type"), "ts", F.lit(0.0).alias("value"))
-    e.coalesce(1).write.parquet(source)
+    e.write.parquet(source)
     for part in (None, last):  # the second batch moves the watermark past all windows
         if part is not None:
             part.select(*[F.col(f.name).cast(f.dataType) for f in e.schema]).write.mode("append").parquet(source)
@@ -539,7 +585,7 @@ def stream_windows(spark, d):
 
 @query(None, "SELECT DISTINCT user_id, event_type FROM events")
 def stream_first_arrivals(spark, d):
-    return _streamed(spark, d, "first", lambda s: insert_only(s, ["user_id", "event_type"], "ts", "60 days")).where("event_type <> 'end'").select("user_id", "event_type").distinct()
+    return _streamed(spark, d, "first", lambda s: insert_only(s, ["user_id", "event_type"], "ts", "60 days")).where("event_type <> 'end'").select("user_id", "event_type")
 
 
 @query(None, "SELECT n_nationkey, n_name, (row_number() OVER (ORDER BY n_name, n_nationkey))::BIGINT AS id FROM nation")

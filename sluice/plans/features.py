@@ -292,14 +292,26 @@ def from_origin(places: DataFrame, lat: float, lon: float) -> DataFrame:
 UNNAMED, UNTYPED = "시설명 미등록", "운동 시설"
 
 
-def candidates(facilities: DataFrame, open_facilities: DataFrame, evaluated_at: Column) -> DataFrame:
-    """Candidates of both sources under one schema, one for each content; sources are never joined by name."""
+#: What ``features`` of a candidate holds of its ``exercise_features``.
+FEATURES = (
+    "feasibility", "weather_link", "t1h", "pty", "rn1", "rejected", "temperature", "precipitation", "wet", "weather_state", "weather_availability",
+    "pm10", "pm25", "stations", "complete", "air_rejected", "air_state", "air_availability", "air_scope", "target", "environment_target_basis", "exposure", "outdoor_suitability",
+)
+
+
+def candidates(facilities: DataFrame, open_facilities: DataFrame, evaluated_at: Column, environment: tuple[DataFrame, DataFrame] | None = None, config: EnvironmentConfig = EnvironmentConfig()) -> DataFrame:
+    """Candidates of both sources under one schema, one for each content; sources are never joined by name.
+
+    With ``environment``, the frames of ``read_environment``, each has its ``exercise_features`` at ``evaluated_at`` (a time
+    without zone) as the JSON ``features``. The first source has no opening hours; its city is its region.
+    """
     text = lambda *c: F.coalesce(*[F.nullif(F.col(x), F.lit("")) for x in c], F.lit(""))
 
     def record(df: DataFrame, source: str, columns: dict[str, Column], lat: str, lon: str) -> DataFrame:
         kept = [c for c in df.columns if not c.startswith("_")]
         row = F.to_json(F.struct(*sorted(kept)), {"ignoreNullFields": "false"})
-        return df.select(F.lit(source).alias("source_table"), content_key(kept).alias("source_key"), *[v.alias(k) for k, v in columns.items()], clean.coordinate(F.col(lat), 90).alias("latitude"), clean.coordinate(F.col(lon), 180).alias("longitude"), row.alias("source_row"), evaluated_at.alias("evaluated_at"))
+        own = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in (*HOURS.values(), "rstde")]
+        return df.select(F.lit(source).alias("source_table"), content_key(kept).alias("source_key"), *[v.alias(k) for k, v in columns.items()], clean.coordinate(F.col(lat), 90).alias("latitude"), clean.coordinate(F.col(lon), 180).alias("longitude"), row.alias("source_row"), evaluated_at.alias("evaluated_at"), *own)
 
     first = record(
         facilities, "processed.facility",
@@ -311,14 +323,21 @@ def candidates(facilities: DataFrame, open_facilities: DataFrame, evaluated_at:
         {"facility_name": text("openFcltyNm"), "facility_type": text("openFcltyType"), "address": text("rdnmadr", "lnmadr"), "city": text("sido_standard"), "district": F.lit(""), "exposure": F.lit(None).cast("string")},
         "latitude", "longitude",
     )
-    return first.unionByName(second).dropDuplicates(["source_table", "source_key"])
+    found = first.unionByName(second).dropDuplicates(["source_table", "source_key"])
+    if environment is None:
+        return found.drop(*HOURS.values(), "rstde")
+    found = staged(found.withColumn("_place", F.concat_ws(":", "source_table", "source_key")), "candidates")
+    out = exercise_features(found, *environment, evaluated_at, "_place", exposure="exposure", region="city", config=config)
+    told = F.to_json(F.struct(*FEATURES), {"ignoreNullFields": "false"})
+    return out.select(*[c for c in found.columns if c not in (*HOURS.values(), "rstde", "_place")], told.alias("features"))
 
 
 def nearest_facilities(found: DataFrame, lat: float, lon: float, k: int, *, city: str | None = None, district: str | None = None) -> DataFrame:
-    """The k nearest candidates of a region, unknown distances last; filters reach the scan, Spark keeps k a task."""
+    """The k nearest candidates of a region by the way on the ellipsoid, unknown distances last; filters reach the scan, Spark
+    keeps k a task."""
     if city:
         found = found.where(F.col("city") == city)
     if district:
         found = found.where((F.col("district") == district) | (F.col("district") == ""))
-    km = geo.haversine_km(F.lit(lat), F.lit(lon), F.col("latitude"), F.col("longitude"))
-    return found.withColumn("distance_km", km).orderBy(F.asc_nulls_last("distance_km"), "facility_name", "source_key").limit(k)
+    found = geo.with_geodesic(found, F.lit(lat), F.lit(lon), F.col("latitude"), F.col("longitude"), "_metres")
+    return found.withColumn("distance_km", F.col("_metres") / 1000).drop("_metres").orderBy(F.asc_nulls_last("distance_km"), "facility_name", "source_key").limit(k)

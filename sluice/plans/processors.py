@@ -2,12 +2,13 @@
 
 A processor takes a raw frame with a place column (``_ingest_seq``: where the row came in its source) and returns all
 its rows, typed, with the reasons for which rows are removed and the columns whose value was lost. ``accepted`` drops
-these rows and marks. Nothing runs until the result is used.
+these rows and marks. Text is trimmed, read and judged in projections of their own, so generated code holds no expression
+twice. Processors that compare rows, or must refuse some, write their converted rows once and read these.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from sluice.functions import clean, text
 from sluice.functions.values import HOTSPOT_LATITUDES, IN_OPERATION, LATITUDES, LONGITUDES
 from sluice.operators import dedup, lineage, select
+from sluice.operators.staging import staged
 
 SEQ = "_ingest_seq"
 
@@ -37,17 +39,21 @@ class Rules:
 
 
 def convert(df: DataFrame, rules: Rules) -> DataFrame:
-    for columns, to in ((rules.doubles, clean.number), (rules.longs, clean.integer), (rules.moments, clean.moment)):
-        for c in clean.existing(df, columns):
-            df = lineage.convert(df, c, to(F.col(c)))
-    return df
+    kinds = ((rules.doubles, clean.NUMBER), (rules.longs, clean.INTEGER), (rules.moments, clean.MOMENT))
+    return lineage.convert_all(df, {c: how for columns, how in kinds for c in clean.existing(df, columns)})
+
+
+def numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Doubles in place of text, without a mark of what was lost."""
+    read = clean.read_as(df, {f"_value_{c}": (c, clean.NUMBER) for c in columns})
+    return read.withColumns({c: F.col(f"_value_{c}") for c in columns}).drop(*[f"_value_{c}" for c in columns])
 
 
 def within_box(df: DataFrame, lat: str, lon: str, reason: str, latitudes=LATITUDES) -> DataFrame:
     """Numbers for the coordinates, and a reason for rows outside the bounds or without them."""
     if missing := {lat, lon} - set(df.columns):
         raise ValueError(f"coordinates {sorted(missing)} are missing")
-    df = df.withColumns({c: clean.number(F.col(c)) for c in (lat, lon)})
+    df = numbers(df, (lat, lon))
     return lineage.remove_unless(df, clean.in_box(F.col(lat), F.col(lon), latitudes, LONGITUDES), reason)
 
 
@@ -60,7 +66,7 @@ def plain(rules: Rules) -> Callable[[DataFrame], DataFrame]:
             df = within_box(df, *rules.box, f"{rules.name}_invalid_or_missing_korea_coordinates")
         for lat, lon in rules.pairs:
             if {lat, lon} <= set(df.columns):
-                df = clean.blank_pair(df.withColumns({c: clean.number(F.col(c)) for c in (lat, lon)}), lat, lon)
+                df = clean.blank_pair(numbers(df, (lat, lon)), lat, lon)
         df = convert(df, rules)
         df = df.withColumns({c: clean.mapped(F.col(c)) for c in clean.existing(df, rules.regions)})
         if keys := clean.existing(df, rules.keys):
@@ -99,14 +105,14 @@ def public_open_facility(raw: DataFrame) -> DataFrame:
 
 def air_quality(raw: DataFrame) -> DataFrame:
     """Observations by their natural identity; the undated take the time of their capture."""
-    before = lineage.start_tags(clean.normalize_nulls(raw))
-    when = {c: clean.moment(F.col(c)) for c in ("dataTime", "collected_at")}
-    known = [F.col(c).isNotNull() & when[c].isNull() for c in when]
-    key = clean.observation_key(when["dataTime"], when["collected_at"])
+    times = ("dataTime", "collected_at")
+    df = clean.read_as(lineage.start_tags(clean.normalize_nulls(raw)), {f"_value_{c}": (c, clean.MOMENT) for c in times})
+    known = [F.col(c).isNotNull() & F.col(f"_value_{c}").isNull() for c in times]
+    key = clean.observation_key(*[F.col(f"_value_{c}") for c in times])
     failed = F.raise_error(F.lit("an observation has no usable time"))
     # malformed times must stop the load, not become another identity
-    df = before.withColumn("observation_time_key", F.when(known[0] | known[1] | key.isNull(), failed.cast("string")).otherwise(key))
-    df = convert(df, Rules(doubles=("o3Value",), longs=("pm10Value", "pm25Value", "khaiValue", "pm10Grade", "pm25Grade", "khaiGrade"), moments=("dataTime", "collected_at")))
+    df = df.withColumn("observation_time_key", F.when(known[0] | known[1] | key.isNull(), failed.cast("string")).otherwise(key))
+    df = convert(lineage.take(df, times), Rules(doubles=("o3Value",), longs=("pm10Value", "pm25Value", "khaiValue", "pm10Grade", "pm25Grade", "khaiGrade")))
     df = lineage.remove_earlier(df, ["sidoName", "stationName", "observation_time_key"], [F.col(SEQ)], "air_quality_duplicate_observation")
     return df.withColumn("needs_review", clean.any_null(df, ("dataTime", "pm10Value", "pm25Value", "o3Value", "khaiValue")))
 
@@ -115,8 +121,8 @@ def weather(raw: DataFrame) -> DataFrame:
     """Observations and forecasts; rain amounts stay text, other forecast values must be numbers."""
     df = convert(lineage.start_tags(clean.normalize_nulls(raw)), Rules(doubles=("obsrValue",), longs=("nx", "ny")))
     if {"fcstValue", "category"} <= set(df.columns):
-        as_number = clean.number(F.col("fcstValue")).cast("string")
-        df = lineage.convert(df, "fcstValue", F.when(clean.equals(F.col("category"), "RN1"), F.col("fcstValue")).otherwise(as_number))
+        df = clean.read_as(df, {"_number": ("fcstValue", clean.NUMBER)})
+        df = lineage.convert(df, "fcstValue", F.when(clean.equals(F.col("category"), "RN1"), F.col("fcstValue")).otherwise(F.col("_number").cast("string"))).drop("_number")
     df = convert(df, Rules(moments=("baseDate", "fcstDate", "collected_at")))
     keys = clean.existing(df, ("baseDate", "baseTime", "fcstDate", "fcstTime", "nx", "ny", "category"))
     return lineage.remove_earlier(df, keys, [F.col(SEQ)], "weather_duplicate_observation") if keys else df
@@ -132,13 +138,14 @@ def require_key(df: DataFrame, key: str, *, unique: bool = True) -> None:
 
 
 def trails(raw: DataFrame) -> DataFrame:
-    df = convert(lineage.start_tags(clean.normalize_nulls(raw)), Rules(moments=("createdtime", "modifiedtime", "collected_at")))
+    df = staged(convert(lineage.start_tags(clean.normalize_nulls(raw)), Rules(moments=("createdtime", "modifiedtime", "collected_at"))), "trails")
     require_key(df, "routeIdx")
     return df.withColumn("needs_review", clean.any_null(df, ("routeIdx", "themeNm")))
 
 
 def segments(raw: DataFrame) -> DataFrame:
     df = convert(lineage.start_tags(clean.normalize_nulls(raw)), Rules(doubles=("crsDstnc",), longs=("crsLevel",), moments=("createdtime", "modifiedtime", "collected_at")))
+    df = staged(df, "segments")
     require_key(df, "crsIdx")
     require_key(df, "routeIdx", unique=False)
     return df.withColumn("needs_review", clean.any_null(df, ("routeIdx", "crsIdx", "crsKorNm", "crsDstnc")))
@@ -178,6 +185,7 @@ def bicycle(raw: DataFrame) -> DataFrame:
     df = convert(df, Rules(doubles=("longitude", "latitude"), longs=("search_year", *HOTSPOT_COUNTS, "request_page_no")))
     if "collected_at" in df.columns:
         df = lineage.convert(df, "collected_at", clean.instant(F.col("collected_at")))
+    df = staged(df, "hotspots")
     lost = [c for c in df.columns if c.startswith(lineage.LOSS)]
     faults = {
         "values that are no numbers or times": sum((F.col(c).cast("int") for c in lost), F.lit(0)) > 0,
@@ -248,7 +256,7 @@ def process(name: str, raw: DataFrame, *, allow_empty: bool = False, drop_empty_
     """Accepted rows of a processor; unknown names, and no rows unless allowed, are errors."""
     if name not in PROCESSORS:
         raise KeyError(f"no processor {name}")
-    out = lineage.accepted(PROCESSORS[name](raw)).drop(SEQ)
+    out = staged(lineage.accepted(PROCESSORS[name](raw)).drop(SEQ), "processed")
     if not allow_empty and out.isEmpty():
         raise ValueError(f"{name}: no row is left")
     if drop_empty_columns and (empty := clean.empty_columns(raw, out)):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import clean, geo, schedule, text
-from sluice.operators import dedup, lineage, profile, ranges, runs, select
+from sluice.operators import dedup, lineage, profile, ranges, runs, select, terms
 from sluice.plans.publish import Warehouse, merge, scratch
 from sluice.sources import files
 from sluice.plans import dataset_queries
@@ -316,6 +316,32 @@ def ops_summary(spark, d):
     return out.drop("dq_failed_jobs").withColumns({"avg_seconds": F.round("avg_seconds", 4), "failed_jobs": F.array_join("failed_jobs", ","), "failure_stages": F.array_join("failure_stages", ",")})
 
 
+@query(f"""WITH d AS (SELECT DISTINCT CAST(ts AS DATE) + i AS day FROM events, (SELECT unnest([0, 1]) AS i)),
+p AS (SELECT 'night' AS label, day - INTERVAL 1 DAY + INTERVAL 17 HOUR AS s, day + INTERVAL 555 MINUTE AS e FROM d UNION SELECT 'day', day + INTERVAL 555 MINUTE, day + INTERVAL 17 HOUR FROM d)
+SELECT label, strftime(s, '%Y-%m-%d %H:%M') AS start, count(*) AS total_runs, count(*) FILTER (run_status = 'FAILED') AS failed, count(*) FILTER (dq_status = 'PASSED') AS dq_passed, max(elapsed_seconds) AS max_seconds, round(avg(elapsed_seconds), 4) AS avg_seconds,
+  array_to_string(list_sort(list(DISTINCT job_id) FILTER (run_status = 'FAILED')), ',') AS failed_jobs FROM {_RUNS} r JOIN p ON r.ts >= s AND r.ts < e GROUP BY ALL""")
+def ops_by_period(spark, d):
+    """Every run in the one report period that it belongs to."""
+    found = _runs(spark, d)
+    days = found.select(F.explode(F.array(F.col("finished_at").cast("date"), F.date_add(F.col("finished_at").cast("date"), 1))).alias("day"))
+    out = runs.by_period(found, runs.report_periods(days))
+    return out.select("label", F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "total_runs", "failed", "dq_passed", "max_seconds", F.round("avg_seconds", 4).alias("avg_seconds"), F.array_join("failed_jobs", ",").alias("failed_jobs"))
+
+
+_TERMS = "regexp_extract(text, '^[A-Za-z]+ [a-z]+', 0)"
+
+
+@query(f"""WITH t AS (SELECT DISTINCT {_TERMS} AS term FROM benchmark), r AS (SELECT string_agg(term, '|' ORDER BY length(term) DESC, term) AS p FROM t WHERE term <> ''),
+x AS (SELECT page_id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS text FROM pages)
+SELECT page_id, regexp_extract(text, p, 0) AS first_term, array_to_string(regexp_extract_all(text, '[^.!?\n]{{0,80}}(?:' || p || ')[^.!?\n]{{0,120}}')[:20], '|') AS passages FROM x, r WHERE regexp_matches(text, p)""")
+def term_lookup(spark, d):
+    """The beginnings of all benchmark texts, looked for in all pages."""
+    terms_of = t(spark, d, "benchmark").select(F.regexp_extract("text", "^[A-Za-z]+ [a-z]+", 0).alias("term"))
+    pages = t(spark, d, "pages").select("page_id", F.regexp_replace("html", "<[^>]*>", " ").alias("text"))
+    out = terms.find_terms(pages, terms_of, "page_id", "text", "term")
+    return out.select("page_id", "first_term", F.array_join("passages", "|").alias("passages"))
+
+
 @query(f"SELECT job_id, CASE WHEN count(dq_status) = 0 THEN NULL WHEN bool_and(dq_status = 'PASSED') THEN 'PASSED' ELSE 'FAILED' END AS dq_status FROM {_RUNS} GROUP BY 1")
 def dq_rollup(spark, d):
     return runs.dq_rollup(_runs(spark, d), "job_id")
