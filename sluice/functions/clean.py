@@ -85,6 +85,12 @@ def moment(c: Column) -> Column:
     return moment_of(strip(c))
 
 
+def normalized(df: DataFrame, to: dict[str, str], tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
+    """Adds each new column as its source's normal text, trimmed in one projection and compared in the next."""
+    df = df.withColumns({new: strip(F.col(f"`{source}`").cast("string")) for new, source in to.items()})
+    return df.withColumns({new: F.when(~F.lower(F.col(new)).isin(*tokens), F.col(new)) for new in to})
+
+
 def read_as(df: DataFrame, to: dict[str, tuple[str, tuple]]) -> DataFrame:
     """Adds each new column as its source read by a staged conversion."""
     texts = {f"_text_{new}": prepare(F.col(f"`{source}`")) for new, (source, (prepare, _)) in to.items()}

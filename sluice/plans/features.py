@@ -40,6 +40,10 @@ class EnvironmentConfig:
             raise ValueError("limits must be positive, cold must be below hot")
 
 
+#: The components of weather that are chosen, each for itself.
+COMPONENTS = ("T1H", "PTY", "RN1")
+
+
 def feature_text(c: Column) -> Column:
     return clean.normalize(c.cast("string"), FEATURE_NULL_TOKENS)
 
@@ -49,11 +53,15 @@ def feature_number(c: Column) -> Column:
     return F.when(F.abs(value) < float("inf"), value)
 
 
+def _clock(text: Column) -> Column:
+    """The time since midnight from HHMM."""
+    at = F.when(text.rlike(r"^([01]\d|2[0-3])[0-5]\d$"), text)
+    return F.make_dt_interval(hours=F.substring(at, 1, 2).cast("int"), mins=F.substring(at, 3, 2).cast("int"))
+
+
 def weather_time(day: Column, time: Column) -> Column:
     """A moment from a date (yyyyMMdd or ISO) and HHMM."""
-    date = F.coalesce(F.when(F.length(feature_text(day)) == 8, clean.moment(feature_text(day))), clean.moment(feature_text(day))).cast("date")
-    at = F.when(feature_text(time).rlike(r"^([01]\d|2[0-3])[0-5]\d$"), feature_text(time))
-    return date.cast("timestamp_ntz") + F.make_dt_interval(hours=F.substring(at, 1, 2).cast("int"), mins=F.substring(at, 3, 2).cast("int"))
+    return clean.moment(feature_text(day)).cast("date").cast("timestamp_ntz") + _clock(feature_text(time))
 
 
 def _minutes(later: Column, earlier: Column) -> Column:
@@ -64,9 +72,13 @@ def weather_rows(observations: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Both kinds as (nx, ny, category, kind, value, issued, valid, collected)."""
 
     def side(df: DataFrame, kind: str, value: str, valid: tuple[str, str]) -> DataFrame:
-        return df.where(F.col("category").isin("T1H", "PTY", "RN1")).select(
+        texts = {"_day": "baseDate", "_time": "baseTime", "_valid_day": valid[0], "_valid_time": valid[1]}
+        df = clean.normalized(df.where(F.col("category").isin(*COMPONENTS)), texts, FEATURE_NULL_TOKENS)
+        df = df.withColumns({c: clean.moment_of(F.col(c)).cast("date").cast("timestamp_ntz") for c in ("_day", "_valid_day")})
+        moment = lambda day, time: F.col(day) + _clock(F.col(time))
+        return df.select(
             F.col("nx").cast("long").alias("nx"), F.col("ny").cast("long").alias("ny"), "category", F.lit(kind).alias("kind"), F.col(value).cast("string").alias("value"),
-            weather_time(F.col("baseDate").cast("string"), F.col("baseTime")).alias("issued"), weather_time(F.col(valid[0]).cast("string"), F.col(valid[1])).alias("valid"), F.col("collected_at").cast("timestamp_ntz").alias("collected"),
+            moment("_day", "_time").alias("issued"), moment("_valid_day", "_valid_time").alias("valid"), F.col("collected_at").cast("timestamp_ntz").alias("collected"),
         )
 
     return side(observations, "OBSERVATION", "obsrValue", ("baseDate", "baseTime")).union(side(forecasts, "FORECAST", "fcstValue", ("fcstDate", "fcstTime")))
@@ -78,10 +90,6 @@ def recent(df: DataFrame, now: Column, config: EnvironmentConfig = EnvironmentCo
     return df.where((F.col(at) >= now - F.make_dt_interval(mins=F.lit(minutes))) & (F.col(at) <= now)) if at in df.columns else df.limit(0)
 
 
-#: The components that are chosen, each for itself.
-COMPONENTS = ("T1H", "PTY", "RN1")
-
-
 def read_environment(observations: DataFrame, forecasts: DataFrame, air: DataFrame, now: Column, config: EnvironmentConfig = EnvironmentConfig()) -> tuple[DataFrame, DataFrame]:
     """The weather rows and air readings that were collected within the age limits; the filter reaches the scans."""
     seen = [recent(df, now, config) for df in (observations, forecasts, air)]
@@ -108,7 +116,7 @@ def choose_weather(places: DataFrame, weather: DataFrame, key: str, now: Column,
         .when(_minutes(now, F.col("issued")) > F.when(forecast, config.forecast_age).otherwise(config.observation_age), "STALE")
         .when(forecast & (F.col("valid") < F.col("issued")), "TIME_MISMATCH")
     )
-    rows = weather.where(F.col("category").isin(*COMPONENTS)).withColumn("fault", fault)
+    rows = staged(weather.where(F.col("category").isin(*COMPONENTS)).withColumn("fault", fault), "weather")
     fine = F.when(F.col("fault").isNull(), F.col("valid"))
     about = rows.groupBy(*cell, "category", "kind").agg(F.collect_set("fault").alias("faults"), F.min(fine).alias("low"), F.max(fine).alias("high"))
     about = about.groupBy(*cell).agg(F.collect_list(F.struct("kind", "faults", "low", "high")).alias("about"))  # six at most
@@ -165,9 +173,12 @@ def weather_features(chosen: DataFrame, linked: Column, config: EnvironmentConfi
 def _readings(air: DataFrame, now: Column) -> DataFrame:
     """(region, station, measured, collected, pm10, pm25, faults): each station's latest usable reading beside the faults of its
     others, one aggregate. Rows without a region or a station's name count for nothing."""
-    rows = air.select(
-        clean.mapped(F.col("sidoName"), strict=True).alias("region"), feature_text(F.col("stationName")).alias("station"), F.col("dataTime").cast("timestamp_ntz").alias("measured"),
-        F.col("collected_at").cast("timestamp_ntz").alias("collected"), feature_number(F.col("pm10Value")).alias("pm10"), feature_number(F.col("pm25Value")).alias("pm25"),
+    rows = clean.normalized(air, {"_region": "sidoName", "_station": "stationName"}, FEATURE_NULL_TOKENS)
+    rows = clean.read_as(rows, {"_pm10": ("pm10Value", clean.NUMBER), "_pm25": ("pm25Value", clean.NUMBER)})
+    finite = lambda c: F.when(F.abs(F.col(c)) < float("inf"), F.col(c))
+    rows = rows.select(
+        clean.mapped(F.col("_region"), strict=True).alias("region"), F.col("_station").alias("station"), F.col("dataTime").cast("timestamp_ntz").alias("measured"),
+        F.col("collected_at").cast("timestamp_ntz").alias("collected"), finite("_pm10").alias("pm10"), finite("_pm25").alias("pm25"),
     ).where("region is not null and station is not null")
     undated = F.col("measured").isNull() | F.col("collected").isNull()
     fault = F.when(undated, "UNKNOWN_MEASUREMENT_TIME").when((F.col("measured") > now) | (F.col("collected") > now), "FUTURE_DATA")
