@@ -41,11 +41,9 @@ from sluice.llm.jaccard import _mix, word_hashes
 
 MIN_COUNT, LONGEST, TOP, WITHIN_PERCENT = 30, 4, 2_000, 80
 #: Bytes of text in a block, about.
-BLOCK = 3 << 20
-#: A block's lists are one row; small row groups keep few of them in memory.
-ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size": str(1 << 20)}
-#: Most words of a filter, and words in a slice of it.
-SLOTS, SLICE = 1 << 20, 1 << 12
+BLOCK = 1 << 20
+#: A block's lists are one row of some MB; files hold few of them together, so readers and writers do as well.
+ROW_GROUPS = {"parquet.block.row.count.limit": "4", "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 _BREAK = re.compile(rb"[.,;:!?\n-\r]+")
 
 
