@@ -538,6 +538,18 @@ def csv_round_trip(spark, d):
     return files.read_csv(spark, path)
 
 
+@query("culture", "SELECT row_key, CASE WHEN _ingest_seq % 3 = 0 THEN g_text ELSE g_text || chr(10) || 'more' END AS g_text, CASE WHEN _ingest_seq % 3 = 0 THEN 2 ELSE 1 END AS batch FROM raw")
+def csv_places(spark, d):
+    """Three folders of files of unlike size, of which one has line breaks in its fields; the last row of a key is that of the last file."""
+    path, rows = scratch(spark, "csv-places"), raw(spark, d, "culture")
+    text = F.concat("g_text", F.lit("\nmore"))
+    for i, part in enumerate((rows.withColumn("g_text", F.lit("old")), rows.withColumn("g_text", text), rows.where(f"{SEQ} % 3 = 0"))):
+        out = part.select("row_key", "g_text", F.lit(i).cast("string").alias("batch"))
+        out.repartition(1 + i, "row_key").write.csv(f"{path}/{i}", header=True, escape="\\", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    found = files.read_csv(spark, f"{path}/*", sequence=True)
+    return dedup.keep_last(found, ["row_key"], [F.col(SEQ)]).select("row_key", "g_text", F.col("batch").cast("int").alias("batch"))
+
+
 @query(None, "SELECT n_regionkey AS scope, n_name AS name, n_nationkey AS code, (count(*) OVER (PARTITION BY n_regionkey))::BIGINT AS total FROM nation")
 def json_envelopes(spark, d):
     n = spark.read.parquet(f"{d}/nation.parquet")

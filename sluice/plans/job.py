@@ -23,6 +23,7 @@ from sluice.operators import profile
 from sluice.plans.processors import PROCESSORS, SEQ
 from sluice.plans.publish import Parts, Warehouse, record_run
 from sluice.plans.specs import VALIDATORS, DatasetSpec, LoadPolicy
+from sluice.sources import files
 
 #: Members of keys that say the day of an observation: time series are split by it.
 DAYS = ("baseDate", "observation_time_key")
@@ -106,6 +107,24 @@ def load_dataset(spec: DatasetSpec, read_raw: Callable[[str], DataFrame], wareho
     return result
 
 
+def load_csv(warehouse: Warehouse, dataset: str, table: str, path, *, expected: int | None = None, primary_key: tuple[str, ...] = ()) -> dict[str, int]:
+    """Publishes a CSV as it is, with its places, and gives the rows counted on the way: parsed, staged and published.
+
+    ``expected`` is what the source says it sent. Any count that differs from the one before stops the load; before the
+    publication nothing is changed.
+    """
+    raw = files.read_csv(warehouse.spark, path, sequence=True)
+    counts = {"parsed": files.csv_report(raw)["rows"]}
+    if expected is not None and counts["parsed"] != expected:
+        raise ValueError(f"{table}: {counts['parsed']} rows parsed, {expected} sent")
+    keys = {table: primary_key} if primary_key else None
+    counts["staged"] = warehouse.replace(dataset, {table: raw}, expected={table: counts["parsed"]}, primary_keys=keys)[table]
+    counts["published"] = warehouse.read(dataset, table).count()
+    if counts["published"] != counts["staged"]:
+        raise ValueError(f"{table}: {counts['published']} rows published, {counts['staged']} staged")
+    return counts
+
+
 def cells(df: DataFrame) -> dict[str, int]:
     """Rows and null cells of a table."""
     nulls = F.lit(0).cast("long")

@@ -5,11 +5,14 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators import ranges
+
 SEQ = "_ingest_seq"
 
 
@@ -29,22 +32,42 @@ def header(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
-def read_csv(spark: SparkSession, path: str, *, sequence: bool = False) -> DataFrame:
+def _by_line_breaks(spark: SparkSession, path: str | Sequence[str]) -> dict[bool, list[str]]:
+    """The files of ``path`` by whether a quoted field of theirs holds a line break: some line has an odd number of quotes."""
+    lines = spark.read.text(path)
+    odd = F.regexp_count("value", F.lit(r'(?<!\\)"')) % 2 == 1
+    broken = {unquote(r[0]) for r in lines.where(odd).select("_metadata.file_path").distinct().collect()}
+    every = sorted(unquote(f) for f in lines.inputFiles())
+    plain = lambda f: re.sub(r"^file:/+", "/", f)
+    broken = {plain(f) for f in broken}
+    return {True: [f for f in every if plain(f) in broken], False: [f for f in every if plain(f) not in broken]}
+
+
+def read_csv(spark: SparkSession, path: str | Sequence[str], *, sequence: bool = False) -> DataFrame:
     """All columns as text, empty fields null, everything else verbatim; rows of another width or with NUL are errors.
 
-    With ``sequence`` a place column (``_ingest_seq``) says where each row came, on which every keep-last depends: files
-    in the order of the scan, rows in that of their file. Write it with the RAW table, so that it never changes.
-    Malformed rows raise where they are read, so the check costs no pass of its own.
+    Files are split over tasks; only those with line breaks in quoted fields are read whole, one in a task. With ``sequence`` a
+    place column (``_ingest_seq``, from 0, without gaps) says where each row came, on which every keep-last depends: by the
+    file's name, the split's offset in it and the row in the split, so it does not depend on how files are dealt over tasks.
+    The rows are written for it once. Malformed rows raise where they are read, so the check costs no pass of its own.
     """
     names = header(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_bad", T.StringType())])
-    rows = spark.read.csv(path, schema=schema, header=True, escape="\\", multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, encoding="UTF-8", enforceSchema=True)
-    nul = F.lit(False)
-    for n in names:
-        nul = nul | F.coalesce(F.contains(F.col(f"`{n}`"), F.lit("\0")), F.lit(False))
-    fault = F.when(F.col("_bad").isNotNull() | nul, F.raise_error(F.lit(f"{path}: a row of another width or with NUL")).cast("string"))
-    out = rows.select(*[F.coalesce(fault, F.nullif(F.col(f"`{n}`"), F.lit(""))).alias(n) for n in names])
-    return out.withColumn(SEQ, F.monotonically_increasing_id()) if sequence else out
+    out = None
+    for whole, found in _by_line_breaks(spark, path).items():
+        if not found:
+            continue
+        rows = spark.read.csv(found, schema=schema, header=True, escape="\\", multiLine=whole, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, encoding="UTF-8", enforceSchema=True)
+        nul = F.lit(False)
+        for n in names:
+            nul = nul | F.coalesce(F.contains(F.col(f"`{n}`"), F.lit("\0")), F.lit(False))
+        fault = F.when(F.col("_bad").isNotNull() | nul, F.raise_error(F.lit(f"{path}: a row of another width or with NUL")).cast("string"))
+        place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_offset"), F.monotonically_increasing_id().alias("_row")] if sequence else []
+        rows = rows.select(*[F.coalesce(fault, F.nullif(F.col(f"`{n}`"), F.lit(""))).alias(n) for n in names], *place)
+        out = rows if out is None else out.unionByName(rows)
+    if not sequence:
+        return out
+    return ranges.with_surrogate(out, ["_file", "_offset", "_row"], SEQ).withColumn(SEQ, F.col(SEQ) - 1).drop("_file", "_offset", "_row")
 
 
 def csv_report(df: DataFrame) -> dict[str, int]:
