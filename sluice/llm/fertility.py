@@ -9,9 +9,12 @@ it whole.
 Every text that passes the base rules is judged. Its band is that of its group and length class (half an octave of
 tokens), widened by as many classes on both sides as it takes to hold ``min_group`` texts. A group of fewer texts in
 all takes the band of its script in the same way, a script of fewer texts that of all texts; a corpus of fewer texts has
-one band, of all of them. In a widened band entropy is compared less its trend over the length classes. Quartiles are those of the rows of the whole set, not means of smaller sets' quartiles.
+one band, of all of them. In a widened band entropy is compared less its trend over the length classes. Quartiles are
+those of the rows of the whole set, not means of smaller sets' quartiles.
 
-Null and empty texts have zero counts and fail the base rule. Columns besides id, text and group are not read.
+Null and empty texts have zero counts and fail the base rule. Repeated rows, and rows that share an id or have none, are
+judged each and count each for the bands; equal values at a fence are kept. An empty table gives no rows. Columns
+besides id, text and group are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ lot, and a window ranks these. Memory is one lot and one batch of query blocks.
 Vectors that are null or hold a null or non-finite component take no part; a vector of another length counts as if its
 missing components were 0. Fewer than k candidates give all. Ties go to the smaller id. Candidates of equal id keep separate
 entries. Queries that repeat id and vector are one query; those of one id with different vectors are each ranked for
-themselves. A query never meets a candidate of its own id. Components times scale, and scores, must fit a long. Columns besides
+themselves. A query never meets a candidate of its own id. An empty table of rows or of queries gives no rows. Components times scale, and scores, must fit a long. Columns besides
 id and vector are not read.
 """
 
