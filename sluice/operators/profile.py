@@ -5,36 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.clean import normalize_nulls, strip
 from sluice.operators import dedup, lineage
+from sluice.operators.ranges import sorted_ranges
 from sluice.operators.staging import staged
 
 STATISTICS = ("rows", "nulls", "null_rate", "distinct", "distinct_rate", "minimum", "maximum", "mean", "median", "infinite", "min_length", "max_length", "blank", "earliest", "latest")
 
 
 def statistics(column: str, kind: T.DataType) -> dict[str, Column]:
-    """Aggregates of one column; those that do not fit its type are null. Numbers use finite values only."""
+    """Plain aggregates of one column; those that do not fit its type are null. Numbers use finite values only."""
     c = F.col(f"`{column}`")
-    finite = F.when(~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")), c.cast("double"))
+    finite = _finite(c)
     number = isinstance(kind, T.NumericType)
     text = isinstance(kind, T.StringType)
     time = isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
     only = lambda fits, e, as_: e.cast(as_) if fits else F.lit(None).cast(as_)
-    n, nulls, distinct = F.count("*"), F.count_if(c.isNull()), F.count_distinct(c)
+    n, nulls = F.count("*"), F.count_if(c.isNull())
     return {
         "rows": n,
         "nulls": nulls,
         "null_rate": F.try_divide(nulls, n),
-        "distinct": distinct,
-        "distinct_rate": F.try_divide(distinct, n),
         "minimum": only(number, F.min(finite), "double"),
         "maximum": only(number, F.max(finite), "double"),
         "mean": only(number, F.avg(finite), "double"),
-        "median": only(number, F.percentile(finite, F.lit(0.5)), "double"),
         "infinite": only(number, F.count_if(F.abs(c.cast("double")) == float("inf")), "long") if number else F.lit(None).cast("long"),
         "min_length": only(text, F.min(F.length(c)), "long") if text else F.lit(None).cast("long"),
         "max_length": only(text, F.max(F.length(c)), "long") if text else F.lit(None).cast("long"),
@@ -44,16 +42,52 @@ def statistics(column: str, kind: T.DataType) -> dict[str, Column]:
     }
 
 
+def _finite(c: Column) -> Column:
+    return F.when(~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")), c.cast("double"))
+
+
+def counted_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, value, number, n): how often each value of column i occurs, as text and, of numeric columns, as a finite double."""
+
+    def entry(i: int, c: str) -> Column:
+        kind = df.schema[c].dataType
+        value = F.col(f"`{c}`") + F.lit(0.0) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(f"`{c}`")  # one zero
+        number = _finite(F.col(f"`{c}`")) + F.lit(0.0) if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
+        text = value if isinstance(kind, T.StringType) else F.to_json(F.struct(value.alias("v"))) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else value.cast("string")
+        return F.struct(F.lit(i).alias("i"), text.alias("value"), number.alias("number"))
+
+    entries = df.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(columns)])))
+    return entries.where("value is not null").groupBy("i", "value").agg(F.first("number").alias("number"), F.count("*").alias("n"))
+
+
+def medians(counts: DataFrame) -> DataFrame:
+    """(i, median) from counted values: counts are summed up over sorted ranges, and the middle one or two values picked."""
+    placed = sorted_ranges(counts.where("number is not null").groupBy("i", "number").agg(F.sum("n").alias("n")), ["i", "number"], "values")
+    parts = placed.groupBy("i", "_range").agg(F.sum("n").alias("m"))  # a row for each range, and for each column in it
+    before = F.coalesce(F.sum("m").over(Window.partitionBy("i").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select("i", "_range", before.alias("before"), F.sum("m").over(Window.partitionBy("i")).alias("total"))
+    upto = F.sum("n").over(Window.partitionBy("i", "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    held = placed.join(F.broadcast(parts), ["i", "_range"]).withColumn("upto", F.col("before") + upto)
+    holds = lambda k: (F.col("upto") > k) & (F.col("upto") - F.col("n") <= k)
+    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    return held.groupBy("i").agg(((F.max(F.when(holds(low), F.col("number"))) + F.max(F.when(holds(high), F.col("number")))) / 2).alias("median"))
+
+
 def column_profiles(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """A row for each column, from one aggregate over the frame that is then turned to long form.
+    """A row for each column: plain aggregates in one pass; distinct counts and medians from values that are counted once.
 
-    Exact distinct counts of many columns expand the input; profile wide tables in groups of columns.
+    Values are counted in the tasks before they are exchanged, and medians come from counts over sorted ranges, so no column
+    is gathered in one task and the input is not expanded by the number of distinct counts.
     """
     columns = list(columns or df.columns)
     stats = {c: statistics(c, df.schema[c].dataType) for c in columns}
+    plain = [k for k in STATISTICS if k not in ("distinct", "distinct_rate", "median")]
     wide = df.agg(*[e.alias(f"{i}_{k}") for i, c in enumerate(columns) for k, e in stats[c].items()])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("type"), *[F.col(f"{i}_{k}").alias(k) for k in STATISTICS]) for i, c in enumerate(columns)])
-    return wide.select(F.inline(rows))
+    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("type"), *[F.col(f"{i}_{k}").alias(k) for k in plain]) for i, c in enumerate(columns)])
+    counts = staged(counted_values(df, columns), "counted-values")
+    out = wide.select(F.inline(rows)).join(counts.groupBy("i").agg(F.count("*").alias("distinct")), "i", "left").join(medians(counts), "i", "left")
+    distinct = F.coalesce("distinct", F.lit(0))
+    return out.withColumns({"distinct": distinct, "distinct_rate": F.try_divide(distinct, F.col("rows"))}).select("column", "type", *STATISTICS)
 
 
 def both_profiles(raw: DataFrame, processed: DataFrame) -> DataFrame:

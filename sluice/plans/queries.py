@@ -220,6 +220,19 @@ def _profile_sql(column: str, kind: str) -> str:
       {only("text", f"min(length({column}))")}::BIGINT AS min_length, {only("text", f"max(length({column}))")}::BIGINT AS max_length, {only("time", f"strftime(min({column}), '%Y-%m-%d')")} AS earliest FROM orders"""
 
 
+_LINES = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{frame}' AS frame, '{c}' AS "column", count(*) AS rows, count(DISTINCT v) AS "distinct", {f"round(median(v)::DOUBLE, 4)" if c[2:] not in ("returnflag", "linestatus", "shipdate") else "NULL"} AS median FROM (SELECT {c} AS v FROM lineitem{where})"""
+    for frame, where in (("raw", ""), ("processed", " WHERE l_returnflag <> 'R'")) for c in _LINES))
+def both_profiles(spark, d):
+    """All columns of the largest table before and after some rows have gone."""
+    lines = t(spark, d, "lineitem").select(*_LINES)
+    out = profile.both_profiles(lines, lines.where("l_returnflag <> 'R'"))
+    return out.select("frame", "column", "rows", "distinct", F.round("median", 4).alias("median"))
+
+
 @query(" UNION ALL ".join(_profile_sql(c, k) for c, k in _ORDERS.items()))
 def column_profile(spark, d):
     out = profile.column_profiles(t(spark, d, "orders"), list(_ORDERS))
@@ -319,7 +332,7 @@ def ops_summary(spark, d):
 @query(f"""WITH d AS (SELECT DISTINCT CAST(ts AS DATE) + i AS day FROM events, (SELECT unnest([0, 1]) AS i)),
 p AS (SELECT 'night' AS label, day - INTERVAL 1 DAY + INTERVAL 17 HOUR AS s, day + INTERVAL 555 MINUTE AS e FROM d UNION SELECT 'day', day + INTERVAL 555 MINUTE, day + INTERVAL 17 HOUR FROM d)
 SELECT label, strftime(s, '%Y-%m-%d %H:%M') AS start, count(*) AS total_runs, count(*) FILTER (run_status = 'FAILED') AS failed, count(*) FILTER (dq_status = 'PASSED') AS dq_passed, max(elapsed_seconds) AS max_seconds, round(avg(elapsed_seconds), 4) AS avg_seconds,
-  array_to_string(list_sort(list(DISTINCT job_id) FILTER (run_status = 'FAILED')), ',') AS failed_jobs FROM {_RUNS} r JOIN p ON r.ts >= s AND r.ts < e GROUP BY ALL""")
+  coalesce(array_to_string(list_sort(list(DISTINCT job_id) FILTER (run_status = 'FAILED')), ','), '') AS failed_jobs FROM {_RUNS} r JOIN p ON r.ts >= s AND r.ts < e GROUP BY ALL""")
 def ops_by_period(spark, d):
     """Every run in the one report period that it belongs to."""
     found = _runs(spark, d)
