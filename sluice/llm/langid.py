@@ -195,9 +195,14 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
         return Model([], idf, np.zeros((0, DIM), np.float32), np.zeros(0, np.int64))
     each = max(8, min(SAMPLE, MAX_SAMPLE // len(sizes)))
     rows = rows.withColumn("h", F.xxhash64(F.lit("langid"), "id", "text"))
-    # of each language the rows of the least hashes: tasks send no more than these of a language
+    # of each language the rows of the least hashes, ranked among the few below a threshold
+    ids = materialise(rows.select("lang", "h").distinct(), "language-rows")
+    held = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    share = F.create_map(*[F.lit(x) for lang, n in held.items() for x in (lang, min(1.0, 4 * each / n))])[F.col("lang")]
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = materialise(rows.select("lang", "h").distinct().withColumn("place", place).where(F.col("place") <= each).select("lang", "h"), "languages")
+    few = ids.where(F.col("h") / 2.0**64 + 0.5 < share).withColumn("place", place).where(F.col("place") <= each)
+    chosen = materialise(few.select("lang", "h"), "languages")
+    discard(ids)
     drawn = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
     base = Model([], idf, np.zeros((0, DIM), np.float32), np.zeros(0, np.int64))
 
