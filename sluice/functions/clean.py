@@ -56,13 +56,15 @@ def integer_of(text: Column) -> Column:
 
 
 def moment_of(text: Column) -> Column:
-    """A timestamp without zone from trimmed text; null for other shapes, offsets, impossible dates and years outside 1700..2200."""
-    of = lambda fmt: F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
-    digits = reduce(lambda e, kv: e.when(F.length(text) == kv[0], of(kv[1])), list(_DIGITS.items())[1:], F.when(F.length(text) == 8, of(_DIGITS[8])))
+    """A timestamp without zone from trimmed text; null for other shapes, offsets, impossible dates and years outside 1700..2200.
+
+    The shape chooses the pattern, so there is one parse, and little code, for all of them.
+    """
+    shapes = {rf"^\d{{{n}}}$": fmt for n, fmt in _DIGITS.items()} | _DATES
+    pattern = reduce(lambda e, kv: e.when(text.rlike(kv[0]), kv[1]), list(shapes.items())[1:], F.when(text.rlike(next(iter(shapes))), next(iter(shapes.values()))))
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d+)?)?$"), text.try_cast("timestamp_ntz"))
-    other = F.coalesce(iso, *[F.when(text.rlike(shape), of(fmt)) for shape, fmt in _DATES.items()])
     year = F.substring(text, 1, 4).try_cast("int")
-    return F.when(year.between(1700, 2200), F.when(text.rlike(r"^\d+$"), digits).otherwise(other))
+    return F.when(year.between(1700, 2200), F.coalesce(iso, F.try_to_timestamp(text, pattern).cast("timestamp_ntz")))
 
 
 #: A conversion as (what makes its text, what reads the text): two projections, so the text is made once a row and the

@@ -331,14 +331,14 @@ def ops_summary(spark, d):
 
 @query(f"""WITH d AS (SELECT DISTINCT CAST(ts AS DATE) + i AS day FROM events, (SELECT unnest([0, 1]) AS i)),
 p AS (SELECT 'night' AS label, day - INTERVAL 1 DAY + INTERVAL 17 HOUR AS s, day + INTERVAL 555 MINUTE AS e FROM d UNION SELECT 'day', day + INTERVAL 555 MINUTE, day + INTERVAL 17 HOUR FROM d)
-SELECT label, strftime(s, '%Y-%m-%d %H:%M') AS start, count(*) AS total_runs, count(*) FILTER (run_status = 'FAILED') AS failed, count(*) FILTER (dq_status = 'PASSED') AS dq_passed, max(elapsed_seconds) AS max_seconds, round(avg(elapsed_seconds), 4) AS avg_seconds,
+SELECT label, strftime(s, '%Y-%m-%d %H:%M') AS start, count(*) AS total_runs, count(*) FILTER (run_status = 'FAILED') AS failed, count(*) FILTER (dq_status = 'PASSED') AS dq_passed, max(elapsed_seconds) AS max_seconds, round(sum(elapsed_seconds), 2) AS seconds,
   coalesce(array_to_string(list_sort(list(DISTINCT job_id) FILTER (run_status = 'FAILED')), ','), '') AS failed_jobs FROM {_RUNS} r JOIN p ON r.ts >= s AND r.ts < e GROUP BY ALL""")
 def ops_by_period(spark, d):
     """Every run in the one report period that it belongs to."""
     found = _runs(spark, d)
     days = found.select(F.explode(F.array(F.col("finished_at").cast("date"), F.date_add(F.col("finished_at").cast("date"), 1))).alias("day"))
     out = runs.by_period(found, runs.report_periods(days))
-    return out.select("label", F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "total_runs", "failed", "dq_passed", "max_seconds", F.round("avg_seconds", 4).alias("avg_seconds"), F.array_join("failed_jobs", ",").alias("failed_jobs"))
+    return out.select("label", F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "total_runs", "failed", "dq_passed", "max_seconds", F.round(F.col("avg_seconds") * F.col("total_runs"), 2).alias("seconds"), F.array_join("failed_jobs", ",").alias("failed_jobs"))
 
 
 _TERMS = "regexp_extract(text, '^[A-Za-z]+ [a-z]+', 0)"
