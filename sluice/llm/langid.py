@@ -211,15 +211,19 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
             raw = [base.vector(counts(t)[0]).astype(np.float32).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), batch.column(1)], names=["v", "lang"])
 
-    found: dict[str, list] = {}
-    for r in drawn.mapInArrow(vectors, "v binary, lang string").orderBy("lang", "v").collect():  # at most ``each`` rows of a language
-        found.setdefault(r["lang"], []).append(np.frombuffer(bytes(r["v"]), np.float32))
+    def centres(own: pa.Table) -> pa.Table:
+        """The centroids of one language from at most ``each`` vectors."""
+        rows = [x.tobytes() for x in cluster(np.stack([np.frombuffer(v, np.float32) for v in sorted(own.column("v").to_pylist())]))]
+        return pa.table({"lang": own.column("lang").slice(0, 1).to_pylist() * len(rows), "k": pa.array(range(len(rows)), pa.int32()), "v": pa.array(rows, pa.binary())})
+
+    # only centroids reach the driver
+    found = drawn.mapInArrow(vectors, "v binary, lang string").groupBy("lang").applyInArrow(centres, "lang string, k int, v binary").collect()
+    found = sorted((r["lang"], r["k"], np.frombuffer(bytes(r["v"]), np.float32)) for r in found)
     discard(chosen)
-    languages = sorted(found)
-    centres = [cluster(np.stack(found[lang])) for lang in languages]
-    if not centres:
+    if not found:
         return base
-    model = Model(languages, idf, np.concatenate(centres), np.repeat(np.arange(len(centres)), [len(c) for c in centres]))
+    languages = sorted({lang for lang, _, _ in found})
+    model = Model(languages, idf, np.stack([v for _, _, v in found]), np.asarray([languages.index(lang) for lang, _, _ in found]))
     return replace(model, floors=_floors(rows, model))
 
 

@@ -39,3 +39,14 @@ def test_many_languages_share_the_sample(spark):
     rows = [(i, t, f"l{k:02}") for k in range(13) for i, t in enumerate(texts(alphabet[2 * k : 2 * k + 2], 40, k))]
     model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("h", F.lit(1)).withColumn("place", F.lit(1)))
     assert len(model.languages) == 13
+
+
+def test_only_centroids_reach_the_driver(spark, monkeypatch):
+    """Vectors are clustered in tasks: what the driver collects does not grow with the sample."""
+    rows = [(i, t, lang) for lang, letters in (("aa", "abcde"), ("zz", "vwxyz")) for i, t in enumerate(texts(letters, 100, 6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    assert langid.fit(df).languages == ["aa", "zz"]
+    held = sum(len(x) for found in seen for r in found for x in r if isinstance(x, (bytes, bytearray)))
+    assert 0 < held <= 2 * langid.CENTROIDS * langid.DIM * 4
