@@ -91,8 +91,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, *, id_col: st
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _TYPES)], names=_NAMES)
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = encode(text or "") + end
+            for name, raw in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1))):
+                raw += end
                 held += len(raw) // 4
                 names.append(name)
                 ends.append(held)

@@ -4,8 +4,8 @@
 special tokens. Null texts encode as empty ones; a decode of the ids gives the text's UTF-8 bytes again.
 
 Rows are encoded each for itself, repeated ones and those of a null id as well; an empty table gives no rows. A text of any
-length is one row of a batch; a pre-token of any length goes through the heap in n log n steps. Before both tiers stand two
-memos of frequent chunks and pre-tokens, of ``MEMO`` bytes each. Columns besides id and text are not read.
+length is one row of a batch; a pre-token of any length goes through the heap in n log n steps. Before both tiers stands a
+memo of frequent chunks, of ``chunks.LIMIT`` bytes. Columns besides id and text are not read.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -122,8 +123,6 @@ class BytePairEncoder:
         return out
 
 
-#: Bytes of each of the two memos that stand before both tiers in a worker.
-MEMO = 16 << 20
 _ENCODERS: dict[tuple[str, str], tuple] = {}
 
 
@@ -135,10 +134,15 @@ def encoder(path: str, pattern: str):
         pairs, split = BytePairEncoder(load_ranks(path), pattern), regex.compile(pattern)
 
         def piece_ids(text: str) -> bytes:
-            return np.asarray([i for m in split.findall(text) for i in pairs.piece(m.encode())], "<u4").tobytes()
+            ids = [i for m in split.findall(text) for i in pairs.piece(m.encode())]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        def word_ids(text: str) -> bytes:
+            ids = pairs.piece(text.encode())
+            return struct.pack(f"<{len(ids)}I", *ids)
 
         of = pairs.bytes_of.__getitem__
-        _ENCODERS[path, pattern] = ChunkEncoder(piece_ids, MEMO).encode, lambda ids: b"".join(map(of, np.frombuffer(ids, "<u4").tolist()))
+        _ENCODERS[path, pattern] = ChunkEncoder(piece_ids, word_ids), lambda ids: b"".join(map(of, np.frombuffer(ids, "<u4").tolist()))
     return _ENCODERS[path, pattern]
 
 
@@ -149,7 +153,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids, _ = encoder(path, pattern)
         for batch in batches:
-            ids = [np.frombuffer(to_ids(text or ""), "<i4") for text in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(raw, "<i4") for raw in to_ids.texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
@@ -176,8 +180,7 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
         sha = lambda raw: hashlib.sha256(raw).hexdigest()
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
-            for text in batch.column(1).to_pylist():
-                raw = to_ids(text or "")
+            for raw in to_ids.texts(batch.column(1)):
                 counts.append(len(raw) // 4)
                 ids_sha.append(sha(raw))
                 text_sha.append(sha(to_bytes(raw)))

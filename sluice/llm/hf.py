@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import functools
 import os
+import struct
 
-import numpy as np
-
-from sluice.llm.chunks import ChunkEncoder, LIMIT
+from sluice.llm.chunks import LIMIT, MARKS, ChunkEncoder, TextEncoder, plain
 from sluice.llm.common import Memo
 
 
@@ -18,15 +17,33 @@ def _load(path: str):
     return Tokenizer.from_file(path)
 
 
-def _bytes(ids) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level files write for each byte."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return dict(zip([*own, *(b for b in range(256) if b not in own)], map(chr, [*own, *range(256, 512 - len(own))])))
+
+
+def _one_piece(tokenizer):
+    """Ids of a text that is one pre-token and no added token: the model alone, on the text's byte letters."""
+    tokenize, letters = tokenizer.model.tokenize, _byte_letters()
+
+    def ids(text: str) -> bytes:
+        if not (text.isascii() and text.isalpha()):
+            text = text.encode().decode("latin-1").translate(letters)
+        return _bytes([t.id for t in tokenize(text)])
+
+    return ids
 
 
 @functools.cache
 def byte_level(path: str):
-    """``encode(text) -> bytes`` of little-endian uint32 ids for a byte-level BPE file."""
+    """``encode(text) -> bytes`` of little-endian uint32 ids for a byte-level BPE file; ``encode.texts`` takes a batch."""
     tokenizer = _load(path)
-    return ChunkEncoder(lambda text: _bytes(tokenizer.encode(text, add_special_tokens=False).ids)).encode
+    return ChunkEncoder(lambda text: _bytes(tokenizer.encode(text, add_special_tokens=False).ids), _one_piece(tokenizer))
 
 
 @functools.cache
@@ -36,16 +53,19 @@ def lower_words(path: str):
     White space separates pre-tokens there, so every chunk between spaces or newlines stands alone.
     """
     tokenizer = _load(path)
-    words = Memo(lambda word: _bytes([t.id for t in tokenizer.model.tokenize(word)]), LIMIT)
+    word_ids = _one_piece(tokenizer)
+    marks = Memo(word_ids, LIMIT // 8)
 
     def make(chunk: str) -> bytes:
-        base = chunk.rstrip(".,")
-        if base.isascii() and base.isalpha() and (base == chunk or len(chunk) == len(base) + 1):
-            return words[base.lower()] + (words[chunk[-1]] if base != chunk else b"")
+        if plain(chunk):
+            return word_ids(chunk.lower())
+        base = chunk.rstrip(MARKS)
+        if base != chunk and plain(base):
+            return encode.chunks[base] + marks[chunk[len(base) :]]
         return _bytes(tokenizer.encode(chunk, add_special_tokens=False).ids)
 
-    chunks = Memo(make, LIMIT)
-    return lambda text: b"".join(map(chunks.__getitem__, text.replace("\n", " ").split(" ")))
+    encode = TextEncoder(make)
+    return encode
 
 
 @functools.cache

@@ -124,8 +124,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, *, id_col: str = "doc_id"
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_NAMES)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(text or "") + end
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1))):
+                ids += end
                 n = len(ids) // 4
                 for start in range(0, n - n % window, window):
                     emit([(doc, start, ids[4 * start : 4 * (start + window)], n)])

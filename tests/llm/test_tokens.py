@@ -5,13 +5,14 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
 from packing_check import check_packing
-from sluice.llm import bitpack, bpe, hf, packing
+from sluice.llm import bitpack, bpe, chunks, hf, packing
 
 TEXTS = [
     (0, "The quick, brown fox's  tail.\n\nNext line \n x\t y"),
@@ -113,3 +114,19 @@ def test_fill_finds_the_closest_sum():
         taken = packing.fill(counts, target)
         assert sum(n * c for n, c in taken.items()) == best
         assert all(c <= counts[n] for n, c in taken.items())
+
+
+def test_plain_words_take_the_short_path_and_give_the_library_s_ids():
+    words = "Thst inñgo œuvre Äpfel ŒUF ǅ ŉa ſo İx don naïve thst.%% Äpfel, ßen!? ª ²x Ωm и́ é straße*** <|x|>".split()
+    texts = [" ".join(words), "\n".join(words), "", None, words[0], " ".join(words) + "  two", "\n" + " ".join(reversed(words)) + "\n"]
+    for of, name in ((hf.byte_level, "byte_bpe_50k.json"), (hf.lower_words, "word_bpe_49k.json")):
+        library, encode = Tokenizer.from_file(public_tokenizers.path(name)), of(public_tokenizers.path(name))
+        want = [np.asarray(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert encode.texts(pa.array(texts, pa.string())) == want
+        assert encode.texts(pa.array(["x", *texts, "y"], pa.string()).slice(1, len(texts))) == want
+        assert encode.texts(pa.array([], pa.string())) == []
+
+    asked = []
+    encode = chunks.ChunkEncoder(lambda t: asked.append(t) or b"1234", lambda t: b"5678")
+    assert encode("Thst inñgo\nÄpfel. thst") == b"5678" * 2 + b"1234" + b"5678" + b"1234" + b"5678"
+    assert asked == ["\n", "."]
