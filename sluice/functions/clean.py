@@ -16,10 +16,13 @@ _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?[iI][nN][fF]([iI][nN][
 _DATES = {r"^\d{4}/\d{1,2}/\d{1,2}$": "yyyy/M/d", r"^\d{4}\.\d{1,2}\.\d{1,2}$": "yyyy.M.d", r"^\d{4}-\d{1,2}-\d{1,2}$": "yyyy-M-d", r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}(:\d{2})?$": "yyyy/M/d H:m[:s]", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$": "yyyy-M-d H:m"}
 _DIGITS = {8: "yyyyMMdd", 12: "yyyyMMddHHmm", 14: "yyyyMMddHHmmss"}
 
+#: White space of Unicode, as patterns have it.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 
 def strip(c: Column) -> Column:
-    """Without white space of any script at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space of any script at both ends; looks at the ends only, which a pattern does not."""
+    return F.trim(c, F.lit(WHITE))
 
 
 def null_token(c: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:

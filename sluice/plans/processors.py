@@ -252,11 +252,16 @@ PROCESSORS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def dealt(raw: DataFrame) -> DataFrame:
+    """The rows over all cores by their place: a file of some MB is one task, however much there is to do for each row."""
+    return raw.repartition(4 * raw.sparkSession.sparkContext.defaultParallelism, SEQ) if SEQ in raw.columns else raw
+
+
 def process(name: str, raw: DataFrame, *, allow_empty: bool = False, drop_empty_columns: bool = True) -> DataFrame:
     """Accepted rows of a processor; unknown names, and no rows unless allowed, are errors."""
     if name not in PROCESSORS:
         raise KeyError(f"no processor {name}")
-    out = staged(lineage.accepted(PROCESSORS[name](raw)).drop(SEQ), "processed")
+    out = staged(lineage.accepted(PROCESSORS[name](dealt(raw))).drop(SEQ), "processed")
     if not allow_empty and out.isEmpty():
         raise ValueError(f"{name}: no row is left")
     if drop_empty_columns and (empty := clean.empty_columns(raw, out)):

@@ -74,3 +74,21 @@ def test_empty_columns(spark):
     raw = spark.createDataFrame([("-", "x", None)], "a string, b string, needs_review string")
     assert clean.empty_columns(raw, clean.normalize_nulls(raw)) == ["a"]
     assert clean.empty_columns(raw.limit(0), raw.limit(0)) == []
+
+
+def test_strip_takes_the_white_space_that_patterns_know(spark):
+    """Every character of the basic plane at both ends, as the pattern ``\\s`` of Unicode has it; no pattern is run for a row."""
+    odd = spark.range(1, 0xD800).union(spark.range(0xE000, 0x10000)).selectExpr("id", "decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') AS c")
+    odd = odd.selectExpr("id", "explode(array(c || 'a' || c, c || ' b' || c || c, c)) AS t")
+    bad = odd.where(~clean.strip(F.col("t")).eqNullSafe(F.regexp_replace("t", r"(?U)^\s+|\s+$", "")))
+    assert odd.count() == 3 * (0xD7FF + 0x2000) and bad.count() == 0
+    assert "regexp" not in odd.select(clean.strip(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_a_small_file_are_dealt_over_all_cores(spark):
+    from sluice.plans import processors
+
+    raw = spark.range(2000).coalesce(1).selectExpr("id AS _ingest_seq", "cast(id AS string) AS v")
+    held = processors.dealt(raw).selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()
+    assert len(held) >= spark.sparkContext.defaultParallelism and sum(r["count"] for r in held) == 2000
+    assert processors.process("culture_base", raw).count() == 2000
