@@ -16,6 +16,8 @@ from sluice.llm.common import discard, materialise, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 1
+#: Bytes of the memo of chunks in a worker: executors still hold the memory of the stages before.
+MEMO = 32 << 20
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of each document in the packed sequences."""
-    return packing.pack(docs, TOKENIZER, END_ID)
+    return packing.pack(docs, TOKENIZER, END_ID, memo=MEMO)
 
 
 STAGES = [

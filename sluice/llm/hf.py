@@ -40,10 +40,13 @@ def _one_piece(tokenizer):
 
 
 @functools.cache
-def byte_level(path: str):
-    """``encode(text) -> bytes`` of little-endian uint32 ids for a byte-level BPE file; ``encode.texts`` takes a batch."""
+def byte_level(path: str, limit: int = LIMIT):
+    """``encode(text) -> bytes`` of little-endian uint32 ids for a byte-level BPE file; ``encode.texts`` takes a batch.
+
+    ``limit`` bounds the bytes of its memo.
+    """
     tokenizer = _load(path)
-    return ChunkEncoder(lambda text: _bytes(tokenizer.encode(text, add_special_tokens=False).ids), _one_piece(tokenizer))
+    return ChunkEncoder(lambda text: _bytes(tokenizer.encode(text, add_special_tokens=False).ids), _one_piece(tokenizer), limit)
 
 
 @functools.cache

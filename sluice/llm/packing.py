@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import hf
+from sluice.llm.chunks import LIMIT
 from sluice.llm.common import small_batches
 
 WINDOW = 2048
@@ -102,12 +103,15 @@ def pack_pool(pieces: list[tuple], window: int = WINDOW) -> Iterator[list[tuple]
             yield cut(1 << bit)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, pool: int = POOL) -> DataFrame:
-    """A row for each piece; sequence ids are unique over all tasks and the same if a task runs again."""
+def pack(docs: DataFrame, tokenizer: str, end_id: int, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, pool: int = POOL, memo: int = LIMIT) -> DataFrame:
+    """A row for each piece; sequence ids are unique over all tasks and the same if a task runs again.
+
+    A worker's memo of chunks takes at most ``memo`` bytes; that bound changes no row.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = hf.byte_level(tokenizer), np.asarray([end_id], "<u4").tobytes()
+        encode, end = hf.byte_level(tokenizer, memo), np.asarray([end_id], "<u4").tobytes()
         number, rows, held = TaskContext.get().partitionId() << 36, [], []
 
         def emit(sequence: list[tuple]) -> None:

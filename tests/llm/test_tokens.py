@@ -130,3 +130,14 @@ def test_plain_words_take_the_short_path_and_give_the_library_s_ids():
     encode = chunks.ChunkEncoder(lambda t: asked.append(t) or b"1234", lambda t: b"5678")
     assert encode("Thst inñgo\nÄpfel. thst") == b"5678" * 2 + b"1234" + b"5678" + b"1234" + b"5678"
     assert asked == ["\n", "."]
+
+
+def test_pipeline_packs_with_a_small_memo(docs, monkeypatch):
+    import corpus_pipeline
+
+    given = {}
+    real = packing.pack
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", lambda *a, **how: given.update(how) or real(*a, **how))
+    rows = sorted(map(tuple, corpus_pipeline.pack_sequences(docs.sparkSession, docs, "").collect()))
+    assert given["memo"] <= 32 << 20 and hf.byte_level(corpus_pipeline.TOKENIZER, given["memo"]).chunks.limit == given["memo"]
+    assert rows == sorted(map(tuple, real(docs, corpus_pipeline.TOKENIZER, 1, memo=1000).collect()))
