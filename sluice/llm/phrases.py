@@ -11,10 +11,12 @@ frequent words, from three words on those of the frequent phrases that begin one
 frequent if they are. The length of a list over all blocks is the phrase's exact frequency.
 
 A phrase's list stays in pieces, one for each block, and a level is done block by block where the lists are, so no list,
-however frequent its phrase, is gathered or sent anywhere. Only names and lengths are exchanged, added up in the tasks
-before. What is frequent reaches the blocks as a Bloom filter, of four bits for each name and of at most ``SLOTS`` words of
-64 bits (8 MB), whatever the number of names. A list that it lets through wrongly costs work but changes nothing: no
-phrase is more frequent than its parts, so what is built on it is not frequent either and falls by its own exact count.
+however frequent its phrase, is gathered or sent anywhere. Lengths are first added up by keys of 40 bits of the phrases'
+hashes (as Park, Chen and Yu prune candidates by buckets), which takes a few bytes for each phrase and task instead of its name. Keys that
+reach the least count go to the blocks as a Bloom filter, of four bits for each and of at most ``SLOTS`` words of 64 bits (8 MB),
+whatever their number. Only names that it passes are exchanged with their lengths, and these sums are exact. A list that it lets
+through wrongly costs work but changes nothing: no phrase is more frequent than its parts, so what is built on it is not
+frequent either and falls by its own exact count.
 
 Score. A cut of a candidate (frequency a) after k words has l and r, the frequencies of both sides, and the score
 floor(2000000 * a / (l + r)), in decimals of 38 digits. The lowest-scoring cut counts, ties to the smallest k. Candidates
@@ -46,6 +48,8 @@ BLOCK = 1 << 20
 ROW_GROUPS = {"parquet.block.row.count.limit": "4", "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 #: Most words of a filter, and words in a slice of it.
 SLOTS, SLICE = 1 << 20, 1 << 12
+#: Bits of a key, of which the first 8 number its slice; keys that a task holds, about, before it adds them up and sends them.
+KEY, HELD = 40, 1 << 20
 _BREAK = re.compile(rb"[.,;:!?\n-\r]+")
 
 
@@ -157,17 +161,101 @@ def phrase_hashes(lang: str, words: list[bytes], codes: np.ndarray) -> np.ndarra
     return out
 
 
-def _bits(hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each hash its slot in a filter, and its four bits there."""
+def phrase_keys(lang: str, words: list[bytes], codes: np.ndarray) -> np.ndarray:
+    """The first ``KEY`` bits of phrases' hashes."""
+    return phrase_hashes(lang, words, codes) >> np.uint64(64 - KEY)
+
+
+def _bits(keys: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each key its slot in a filter, and its four bits there."""
+    with np.errstate(over="ignore"):
+        hashes = _mix(keys * np.uint64(0x9E3779B97F4A7C15))
     bits = np.zeros(len(hashes), np.uint64)
     for shift in (0, 6, 12, 18):
         bits |= np.uint64(1) << ((hashes >> np.uint64(shift)) & np.uint64(63))
     return ((hashes >> np.uint64(24)) % np.uint64(slots)).astype(np.int64), bits
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers by their first, second, third and fourth bytes: small ones leave runs of zeros to compress."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def added_up(keys: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys once each, ascending, and the sums of their counts, at most ``most``."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.minimum(np.add.reduceat(counts, first), most) if len(first) else counts
+
+
+def frequent_keys(lists: DataFrame, size: int, min_count: int) -> DataFrame:
+    """(slice, keys): keys of ``KEY`` bits that phrases of together ``min_count`` occurrences at least share, packed by slice.
+
+    Tasks add up the counts of their blocks and send each slice of the keys as the sorted keys' differences and the counts.
+    Every frequent phrase's key is among them, as a sum of counts is not below any of them.
+    """
+
+    def send(slices: dict[int, np.ndarray], counts: dict[int, np.ndarray]) -> pa.RecordBatch:
+        raw = [pa.array([_packed(x) for x in of.values()], pa.binary()) for of in (slices, counts)]
+        return pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), *raw], names=["slice", "keys", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, new, n = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], 0
+
+        def dealt() -> pa.RecordBatch:
+            keys, counts = held
+            ends = np.searchsorted(keys >> np.uint64(32), np.arange((1 << KEY - 32) + 1))
+            parts = {i: slice(a, b) for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a}
+            low = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            return send({i: np.diff(low[x], prepend=0) for i, x in parts.items()}, {i: counts[x] for i, x in parts.items()})
+
+        for batch in batches:
+            for lang, words, codes, starts, _ in _unpack(batch, size):
+                new.append((phrase_keys(lang, words.cast(pa.binary()).to_pylist(), codes), np.diff(starts).astype(np.int64)))
+                n += len(codes)
+                if n >= HELD:
+                    held, new, n = added_up(*map(np.concatenate, zip(held, *new)), min_count), [], 0
+                    if len(held[0]) >= HELD:
+                        yield dealt()
+                        held = (held[0][:0], held[1][:0])
+        held = added_up(*map(np.concatenate, zip(held, *new)), min_count)
+        if len(held[0]):
+            yield dealt()
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, new, n = None, (np.zeros(0, np.uint32), np.zeros(0, np.int64)), [], 0
+
+        def found() -> pa.RecordBatch:
+            keys, counts = added_up(*map(np.concatenate, zip(held, *new)), min_count)
+            keys = keys[counts >= min_count]
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([keys.astype("<u4").tobytes()], pa.binary()), pa.array([len(keys)], pa.int64())], names=["slice", "keys", "n"])
+
+        for batch in batches:
+            for k, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != at:
+                    if at is not None:
+                        yield found()
+                    at, held, new, n = k, (np.zeros(0, np.uint32), np.zeros(0, np.int64)), [], 0
+                keys = np.cumsum(_unpacked(keys), dtype=np.uint64).astype(np.uint32)
+                new.append((keys, _unpacked(counts).astype(np.int64)))
+                n += len(keys)
+                if n >= HELD + len(held[0]):
+                    held, new, n = added_up(*map(np.concatenate, zip(held, *new)), min_count), [], 0
+        if at is not None:
+            yield found()
+
+    dealt = lists.mapInArrow(count, "slice int, keys binary, counts binary").repartition("slice").sortWithinPartitions("slice")
+    return dealt.mapInArrow(total, "slice int, keys binary, n long")
+
+
 def bloom(frequent: DataFrame) -> np.ndarray:
-    """The filter of (lang, phrase): tasks build it in slices, which are or-combined before they reach the driver."""
-    slots = min(SLOTS, max(SLICE, 1 << int(frequent.count() // 4).bit_length()))
+    """The filter of ``frequent_keys``: tasks build it in slices, which are or-combined before they reach the driver."""
+    slots = min(SLOTS, max(SLICE, 1 << int((frequent.agg(F.sum("n")).first()[0] or 0) // 4).bit_length()))
 
     def send(slices: dict[int, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array([x.tobytes() for x in slices.values()], pa.binary())], names=["slice", "bits"])
@@ -175,14 +263,9 @@ def bloom(frequent: DataFrame) -> np.ndarray:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(slots, np.uint64)
         for batch in batches:
-            by_lang: dict[str, list[list[bytes]]] = {}
-            for lang, phrase in zip(*(c.to_pylist() for c in batch.columns)):
-                by_lang.setdefault(lang, []).append(phrase.encode().split(b" "))
-            for lang, found in by_lang.items():
-                words = [w for phrase in found for w in phrase]
-                codes = np.arange(len(words)).reshape(len(found), -1)
-                slot, bits = _bits(phrase_hashes(lang, words, codes), slots)
-                np.bitwise_or.at(held, slot, bits)
+            for k, raw, _ in zip(*(c.to_pylist() for c in batch.columns)):
+                keys = np.frombuffer(raw, "<u4").astype(np.uint64) | np.uint64(k << 32)
+                np.bitwise_or.at(held, *_bits(keys, slots))
         parts = held.reshape(-1, SLICE)
         yield send({i: parts[i] for i in np.flatnonzero(parts.any(1)).tolist()})
 
@@ -195,18 +278,22 @@ def bloom(frequent: DataFrame) -> np.ndarray:
             yield send(held)
 
     out, schema = np.zeros(slots, np.uint64), "slice int, bits binary"
-    for r in frequent.select("lang", "phrase").mapInArrow(build, schema).repartition("slice").mapInArrow(combine, schema).collect():
+    for r in frequent.mapInArrow(build, schema).repartition("slice").mapInArrow(combine, schema).collect():
         out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(bytes(r["bits"]), np.uint64)
     return out
 
 
+def passed(lang: str, names: list[bytes], codes: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Which phrases the filter lets through."""
+    slot, bits = _bits(phrase_keys(lang, names, codes), len(held))
+    return (held[slot] & bits) == bits
+
+
 def extend_block(lang: str, words: pa.Array, codes: np.ndarray, starts: np.ndarray, places: np.ndarray, held: np.ndarray):
     """One level for one block: the lists that the filter passes give the lists of phrases one word longer."""
     names = words.cast(pa.binary()).to_pylist()
-    slot, bits = _bits(phrase_hashes(lang, names, codes), len(held))
-    passed = (held[slot] & bits) == bits
     lengths = np.diff(starts)
-    lists = np.repeat(np.arange(len(codes)), lengths)[of := np.repeat(passed, lengths)]
+    lists = np.repeat(np.arange(len(codes)), lengths)[of := np.repeat(passed(lang, names, codes, held), lengths)]
     own = places[of]
     order = np.argsort(own, kind="stable")
     own, lists = own[order].astype(np.int64), lists[order]
@@ -221,9 +308,8 @@ def extend_block(lang: str, words: pa.Array, codes: np.ndarray, starts: np.ndarr
     return [names[i] for i in used], longer_codes.reshape(longer.shape), np.append(first, len(key)), begins[order]
 
 
-def longer_lists(lists: DataFrame, size: int, held: np.ndarray) -> DataFrame:
-    """The packed lists of phrases of ``size`` + 1 words from those of ``size`` words that the filter passes."""
-    shared = lists.sparkSession.sparkContext.broadcast(held)
+def longer_lists(lists: DataFrame, size: int, shared) -> DataFrame:
+    """The packed lists of phrases of ``size`` + 1 words from those of ``size`` words that the broadcast filter passes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,13 +321,14 @@ def longer_lists(lists: DataFrame, size: int, held: np.ndarray) -> DataFrame:
     return lists.mapInArrow(run, PACKED)
 
 
-def list_lengths(lists: DataFrame, size: int) -> DataFrame:
-    """(lang, phrase, f): every list's name and length, a row for each block that has the phrase."""
+def list_lengths(lists: DataFrame, size: int, shared) -> DataFrame:
+    """(lang, phrase, f): name and length of each list that the broadcast filter passes, a row for each block that has the phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, words, codes, starts, _ in _unpack(batch, size):
-                lengths = np.diff(starts).astype(np.int64)
+                of = passed(lang, words.cast(pa.binary()).to_pylist(), codes, shared.value)
+                codes, lengths = codes[of], np.diff(starts)[of].astype(np.int64)
                 for at in range(0, len(codes), 50_000):
                     part = codes[at : at + 50_000]
                     named = [words.take(pa.array(part[:, k])) for k in range(size)]
@@ -259,10 +346,13 @@ def frequencies(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lan
     total = materialise(lists.groupBy("lang").agg(F.sum(F.octet_length("places") / 4).cast("long").alias("n")), "words")
     found = []
     for size in range(1, longest + 1):
-        counted = list_lengths(lists, size).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
+        keys = materialise(frequent_keys(lists, size, min_count), "frequent-keys")
+        shared = docs.sparkSession.sparkContext.broadcast(bloom(keys))
+        discard(keys)
+        counted = list_lengths(lists, size, shared).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
         found.append(materialise(counted, "frequent"))
         if size < longest:
-            longer = materialise(longer_lists(lists, size, bloom(found[-1])), "phrase-lists", **ROW_GROUPS)
+            longer = materialise(longer_lists(lists, size, shared), "phrase-lists", **ROW_GROUPS)
             discard(lists)
             lists = longer
     discard(lists)

@@ -67,3 +67,20 @@ def test_long_texts_are_cut_where_pieces_end():
     pieces = lambda x: [p.split() for p in re.split(rb"[.,;:!?\n-\r]", x) if p.split()]
     assert [p for part in parts for p in pieces(part)] == pieces(raw)
     assert all(len(p) <= 60 or b"z" in p for p in parts)
+
+
+def test_names_of_rare_phrases_are_not_exchanged(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "HELD", 50)
+    rows = [(f"rare{i} word{i}", "en") for i in range(300)] + [("often seen", "en")] * 7 + [("often seen", "fr")] * 2
+    lists = phrases.word_lists(frame(spark, rows).select("lang", "text"), 400).cache()
+    keys = phrases.frequent_keys(lists, 1, 7)
+    shared = spark.sparkContext.broadcast(phrases.bloom(keys))
+    named = phrases.list_lengths(lists, 1, shared).groupBy("lang", "phrase").sum("f").collect()
+    assert {("en", "often", 7), ("en", "seen", 7)} <= {tuple(r) for r in named} and len(named) < 20
+    assert keys.groupBy().sum("n").first()[0] == 2
+    assert found(frame(spark, rows), min_count=7, top=50, block=400) == plain(rows, 7, 4, 50)
+
+
+def test_packed_numbers_come_back():
+    x = phrases.np.array([0, 1, 255, 256, 2**32 - 1])
+    assert phrases._unpacked(phrases._packed(x)).tolist() == x.tolist()
