@@ -11,12 +11,16 @@ frequent words, from three words on those of the frequent phrases that begin one
 frequent if they are. The length of a list over all blocks is the phrase's exact frequency.
 
 A phrase's list stays in pieces, one for each block, and a level is done block by block where the lists are, so no list,
-however frequent its phrase, is gathered or sent anywhere. Lengths are first added up by keys of 40 bits of the phrases'
-hashes (as Park, Chen and Yu prune candidates by buckets), which takes a few bytes for each phrase and task instead of its name. Keys that
-reach the least count go to the blocks as a Bloom filter, of four bits for each and of at most ``SLOTS`` words of 64 bits (8 MB),
-whatever their number. Only names that it passes are exchanged with their lengths, and these sums are exact. A list that it lets
-through wrongly costs work but changes nothing: no phrase is more frequent than its parts, so what is built on it is not
-frequent either and falls by its own exact count.
+however frequent its phrase, is gathered or sent anywhere. Words are first added up by keys of 40 bits of their hashes (as Park, Chen
+and Yu prune candidates by buckets), and then as text, if their key reaches the least count. For each longer size the most frequent
+words of the phrases found before (at most ``WORDS``, and ``BYTES`` of text) are numbered by language and sent to all tasks. A phrase
+of two to four numbered words is named exactly by 64 bits, and lengths are added up by these names, of which sorted ones take a few bytes
+for each phrase and task. Phrases with a word that has no number are added up as words are. If all those words have
+numbers, phrases with another word are not frequent and are not counted.
+
+Blocks learn what to extend by a Bloom filter of the keys that reach the least count, of four bits for each and of at most
+``SLOTS`` words of 64 bits (8 MB), whatever their number. A list that it lets through wrongly costs work but changes nothing: no phrase
+is more frequent than its parts, so what is built on it is not frequent either and falls by its own exact count.
 
 Score. A cut of a candidate (frequency a) after k words has l and r, the frequencies of both sides, and the score
 floor(2000000 * a / (l + r)), in decimals of 38 digits. The lowest-scoring cut counts, ties to the smallest k. Candidates
@@ -29,6 +33,7 @@ that is longer still is a block of its own. Columns besides text and language ar
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -50,6 +55,8 @@ ROW_GROUPS = {"parquet.block.row.count.limit": "4", "parquet.page.size.row.check
 SLOTS, SLICE = 1 << 20, 1 << 12
 #: Bits of a key, of which the first 8 number its slice; keys that a task holds, about, before it adds them up and sends them.
 KEY, HELD = 40, 1 << 20
+#: Most words with numbers; bytes of one and of all at most; words of a phrase that is named by numbers, of 64 bits together.
+WORDS, LONG, BYTES, NUMBERED = 1 << 18, 128, 8 << 20, 4
 _BREAK = re.compile(rb"[.,;:!?\n-\r]+")
 
 
@@ -153,7 +160,11 @@ def extended(starts: np.ndarray, names: np.ndarray, places: np.ndarray, words: n
 
 def phrase_hashes(lang: str, words: list[bytes], codes: np.ndarray) -> np.ndarray:
     """64-bit hashes of phrases given by their words' numbers."""
-    own = word_hashes(b" ".join(words))
+    return joined_hashes(lang, word_hashes(b" ".join(words)), codes)
+
+
+def joined_hashes(lang: str, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of phrases given by their words' numbers, of words given by their hashes."""
     out = np.full(len(codes), word_hashes(b"_" + lang.encode("utf-8", "replace").hex().encode())[0], np.uint64)
     with np.errstate(over="ignore"):
         for k in range(codes.shape[1]):
@@ -176,16 +187,16 @@ def _bits(keys: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
     return ((hashes >> np.uint64(24)) % np.uint64(slots)).astype(np.int64), bits
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers by their first, second, third and fourth bytes: small ones leave runs of zeros to compress."""
-    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _packed(x: np.ndarray, size: int = 4) -> bytes:
+    """Unsigned numbers of 4 or 8 bytes by their first, second, ... bytes: small ones leave runs of zeros to compress."""
+    return x.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T.tobytes()
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def _unpacked(raw: bytes, size: int = 4) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(f"<u{size}").ravel()
 
 
-def added_up(keys: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+def added_up(keys: np.ndarray, counts: np.ndarray, most: int = np.iinfo(np.int64).max) -> tuple[np.ndarray, np.ndarray]:
     """The keys once each, ascending, and the sums of their counts, at most ``most``."""
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
@@ -193,8 +204,164 @@ def added_up(keys: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarra
     return keys[first], np.minimum(np.add.reduceat(counts, first), most) if len(first) else counts
 
 
-def frequent_keys(lists: DataFrame, size: int, min_count: int) -> DataFrame:
-    """(slice, keys): keys of ``KEY`` bits that phrases of together ``min_count`` occurrences at least share, packed by slice.
+class Numbers:
+    """The numbers of a language's words, from 0 by falling frequency; none for words that share a hash with an earlier one."""
+
+    def __init__(self, words: pa.Array):
+        hashes, of = np.unique(word_hashes(b" ".join(words.to_pylist())), return_index=True)
+        kept = np.sort(of)
+        self.words = words.take(pa.array(kept))
+        self.sorted, self.of = hashes, np.searchsorted(kept, of)
+        self.hashes = np.empty_like(hashes)
+        self.hashes[self.of] = hashes
+
+    def __call__(self, words: pa.Array) -> np.ndarray:
+        """Each word's number, or -1."""
+        own = word_hashes(b" ".join(words.to_pylist()))
+        at = np.minimum(np.searchsorted(self.sorted, own), len(self.sorted) - 1)
+        found = self.of[at]
+        same = pc.equal(self.words.take(pa.array(found)), words).to_numpy(zero_copy_only=False)
+        return np.where(same, found, -1)
+
+
+def numbered_words(frequent: DataFrame, size: int) -> tuple[dict[str, Numbers], bool]:
+    """Numbers, for phrases of ``size`` words, of the most frequent words in ``frequent`` (lang, phrase, f) by language, and
+    whether none is left without."""
+    words = frequent
+    if size > 2:
+        words = frequent.select("lang", F.explode(F.split("phrase", " ")).alias("phrase"), "f").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    most = words.where(F.octet_length("phrase") <= LONG).orderBy(F.desc("f"), "lang", "phrase").limit(WORDS).select("lang", F.col("phrase").cast("binary").alias("word")).toArrow().combine_chunks()
+    out = {}
+    if most.num_rows:
+        langs = pc.dictionary_encode(most["lang"].combine_chunks())
+        codes, names = langs.indices.to_numpy(), most["word"].combine_chunks()
+        codes = codes[: np.searchsorted(np.cumsum(pc.binary_length(names).to_numpy()), BYTES, "right")]
+        order = np.argsort(codes, kind="stable")
+        for lang, of in zip(langs.dictionary.to_pylist(), np.split(order, np.cumsum(np.bincount(codes))[:-1])):
+            out[lang] = Numbers(names.take(pa.array(of[: 1 << 64 // size])))
+    return out, sum(len(x.words) for x in out.values()) == words.count()
+
+
+def numbers_of(lang: str, words: pa.Array, codes: np.ndarray, numbers: dict[str, Numbers]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the words of each phrase, and which phrases have one for every word."""
+    if lang not in numbers or not len(codes) or codes.shape[1] > NUMBERED:
+        return codes, np.zeros(len(codes), bool)
+    of = numbers[lang](words.cast(pa.binary()))[codes]
+    return of, (of >= 0).all(1)
+
+
+def exact_names(of: np.ndarray) -> np.ndarray:
+    """Phrases of two to four numbered words as one number of 64 bits each: four bits of the second word follow the first word."""
+    of, bits = of.astype(np.uint64), np.uint64(64 // of.shape[1])
+    out = of[:, 0] << bits | (of[:, 1] & np.uint64(15)) << bits - np.uint64(4) | of[:, 1] >> np.uint64(4)
+    for k in range(2, of.shape[1]):
+        out = out << bits | of[:, k]
+    return out
+
+
+def named_words(names: np.ndarray, size: int) -> np.ndarray:
+    """The words' numbers of ``exact_names``."""
+    bits = 64 // size
+    of = [names >> np.uint64(bits * k) & np.uint64((1 << bits) - 1) for k in range(size - 1, -1, -1)]
+    of[1] = of[1] >> np.uint64(bits - 4) | (of[1] & np.uint64((1 << bits - 4) - 1)) << np.uint64(4)
+    return np.stack(of, axis=1).astype(np.int64)
+
+
+def numbered_counts(lists: DataFrame, size: int, min_count: int, shared) -> DataFrame:
+    """(lang, names, counts, hashes, n): phrases of numbered words that occur ``min_count`` times, packed, with the keys for the filter.
+
+    Tasks add up the counts of their blocks and send sorted names by the first word and four bits of the second, so that
+    differences stay small and no word's phrases are all in one slice.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        new: dict[str, list] = {}
+        n = 0
+
+        def merge() -> int:
+            for lang, of in new.items():
+                held[lang] = added_up(*map(np.concatenate, zip(*([held[lang]] if lang in held else []), *of)))
+            new.clear()
+            return sum(len(names) for names, _ in held.values())
+
+        def dealt() -> Iterator[pa.RecordBatch]:
+            for lang, (names, counts) in held.items():
+                with np.errstate(over="ignore"):
+                    of = (_mix((names >> np.uint64(64 // size * (size - 1) - 4)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.int64)
+                order = np.argsort(of, kind="stable")  # names stay ascending in each slice
+                names, counts = names[order], counts[order]
+                ends = np.append(0, np.cumsum(np.bincount(of, minlength=256)))
+                parts = {i: slice(a, b) for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a}
+                raw = [pa.array([_packed(x(p), 8) for p in parts.values()], pa.binary()) for x in (lambda p: np.diff(names[p], prepend=np.uint64(0)), lambda p: counts[p])]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(parts), pa.string()), pa.array(list(parts), pa.int32()), *raw], names=["lang", "slice", "names", "counts"])
+            held.clear()
+
+        for batch in batches:
+            for lang, words, codes, starts, _ in _unpack(batch, size):
+                of, all_ = numbers_of(lang, words, codes, shared.value)
+                if all_.any():
+                    new.setdefault(lang, []).append((exact_names(of[all_]), np.diff(starts)[all_].astype(np.int64)))
+                    n += int(all_.sum())
+                if n >= HELD:
+                    n = 0
+                    if merge() >= HELD:
+                        yield from dealt()
+        merge()
+        yield from dealt()
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, new, n = None, (np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], 0
+
+        def found() -> Iterator[pa.RecordBatch]:
+            names, counts = added_up(*map(np.concatenate, zip(held, *new)))
+            names, counts = names[counts >= min_count], counts[counts >= min_count]
+            if len(names):
+                hashes = joined_hashes(at[0], shared.value[at[0]].hashes, named_words(names, size)) >> np.uint64(64 - KEY)
+                raw = [pa.array([x], pa.binary()) for x in (_packed(names, 8), _packed(counts, 8), hashes.astype("<u8").tobytes())]
+                yield pa.RecordBatch.from_arrays([pa.array([at[0]], pa.string()), *raw, pa.array([len(names)], pa.int64())], names=["lang", "names", "counts", "hashes", "n"])
+
+        for batch in batches:
+            for lang, k, names, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if (lang, k) != at:
+                    if at is not None:
+                        yield from found()
+                    at, held, new, n = (lang, k), (np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], 0
+                names = np.cumsum(_unpacked(names, 8), dtype=np.uint64)
+                new.append((names, _unpacked(counts, 8).astype(np.int64)))
+                n += len(names)
+                if n >= HELD + len(held[0]):
+                    held, new, n = added_up(*map(np.concatenate, zip(held, *new))), [], 0
+        if at is not None:
+            yield from found()
+
+    dealt = lists.mapInArrow(count, "lang string, slice int, names binary, counts binary").repartition("lang", "slice").sortWithinPartitions("lang", "slice")
+    return dealt.mapInArrow(total, "lang string, names binary, counts binary, hashes binary, n long")
+
+
+def spelled(counted: DataFrame, size: int, shared) -> DataFrame:
+    """(lang, phrase, f) of ``numbered_counts``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, names, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                of, counts, words = named_words(_unpacked(names, 8), size), _unpacked(counts, 8).astype(np.int64), shared.value[lang].words.cast(pa.string())
+                yield from _named(lang, words, of, counts)
+
+    return counted.select("lang", "names", "counts").mapInArrow(run, "lang string, phrase string, f long")
+
+
+def _named(lang: str, words: pa.Array, codes: np.ndarray, lengths: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(codes), 50_000):
+        part = codes[at : at + 50_000]
+        named = [words.take(pa.array(part[:, k])) for k in range(codes.shape[1])]
+        phrase = pc.binary_join_element_wise(*named, " ") if len(named) > 1 else named[0]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), phrase, pa.array(lengths[at : at + 50_000])], names=["lang", "phrase", "f"])
+
+
+def frequent_keys(lists: DataFrame, size: int, min_count: int, numbers=None) -> DataFrame:
+    """(hashes, n): keys of ``KEY`` bits that phrases of together ``min_count`` occurrences at least share, packed by slice;
+    if the broadcast ``numbers`` are given, only of phrases with a word that has none.
 
     Tasks add up the counts of their blocks and send each slice of the keys as the sorted keys' differences and the counts.
     Every frequent phrase's key is among them, as a sum of counts is not below any of them.
@@ -216,7 +383,11 @@ def frequent_keys(lists: DataFrame, size: int, min_count: int) -> DataFrame:
 
         for batch in batches:
             for lang, words, codes, starts, _ in _unpack(batch, size):
-                new.append((phrase_keys(lang, words.cast(pa.binary()).to_pylist(), codes), np.diff(starts).astype(np.int64)))
+                lengths = np.diff(starts).astype(np.int64)
+                if numbers:
+                    of = ~numbers_of(lang, words, codes, numbers.value)[1]
+                    codes, lengths = codes[of], lengths[of]
+                new.append((phrase_keys(lang, words.cast(pa.binary()).to_pylist(), codes), lengths))
                 n += len(codes)
                 if n >= HELD:
                     held, new, n = added_up(*map(np.concatenate, zip(held, *new)), min_count), [], 0
@@ -232,8 +403,8 @@ def frequent_keys(lists: DataFrame, size: int, min_count: int) -> DataFrame:
 
         def found() -> pa.RecordBatch:
             keys, counts = added_up(*map(np.concatenate, zip(held, *new)), min_count)
-            keys = keys[counts >= min_count]
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([keys.astype("<u4").tobytes()], pa.binary()), pa.array([len(keys)], pa.int64())], names=["slice", "keys", "n"])
+            keys = keys[counts >= min_count].astype(np.uint64) | np.uint64(at << 32)
+            return pa.RecordBatch.from_arrays([pa.array([keys.astype("<u8").tobytes()], pa.binary()), pa.array([len(keys)], pa.int64())], names=["hashes", "n"])
 
         for batch in batches:
             for k, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
@@ -250,11 +421,11 @@ def frequent_keys(lists: DataFrame, size: int, min_count: int) -> DataFrame:
             yield found()
 
     dealt = lists.mapInArrow(count, "slice int, keys binary, counts binary").repartition("slice").sortWithinPartitions("slice")
-    return dealt.mapInArrow(total, "slice int, keys binary, n long")
+    return dealt.mapInArrow(total, "hashes binary, n long")
 
 
 def bloom(frequent: DataFrame) -> np.ndarray:
-    """The filter of ``frequent_keys``: tasks build it in slices, which are or-combined before they reach the driver."""
+    """The filter of keys (hashes, n): tasks build it in slices, which are or-combined before they reach the driver."""
     slots = min(SLOTS, max(SLICE, 1 << int((frequent.agg(F.sum("n")).first()[0] or 0) // 4).bit_length()))
 
     def send(slices: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -263,9 +434,8 @@ def bloom(frequent: DataFrame) -> np.ndarray:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(slots, np.uint64)
         for batch in batches:
-            for k, raw, _ in zip(*(c.to_pylist() for c in batch.columns)):
-                keys = np.frombuffer(raw, "<u4").astype(np.uint64) | np.uint64(k << 32)
-                np.bitwise_or.at(held, *_bits(keys, slots))
+            for raw in batch.column(0).to_pylist():
+                np.bitwise_or.at(held, *_bits(np.frombuffer(raw, "<u8"), slots))
         parts = held.reshape(-1, SLICE)
         yield send({i: parts[i] for i in np.flatnonzero(parts.any(1)).tolist()})
 
@@ -278,7 +448,7 @@ def bloom(frequent: DataFrame) -> np.ndarray:
             yield send(held)
 
     out, schema = np.zeros(slots, np.uint64), "slice int, bits binary"
-    for r in frequent.mapInArrow(build, schema).repartition("slice").mapInArrow(combine, schema).collect():
+    for r in frequent.select("hashes").mapInArrow(build, schema).repartition("slice").mapInArrow(combine, schema).collect():
         out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(bytes(r["bits"]), np.uint64)
     return out
 
@@ -321,36 +491,85 @@ def longer_lists(lists: DataFrame, size: int, shared) -> DataFrame:
     return lists.mapInArrow(run, PACKED)
 
 
-def list_lengths(lists: DataFrame, size: int, shared) -> DataFrame:
-    """(lang, phrase, f): name and length of each list that the broadcast filter passes, a row for each block that has the phrase."""
+def list_lengths(lists: DataFrame, size: int, shared, numbers=None) -> DataFrame:
+    """(lang, phrase, f): name and length of each list that the broadcast filter passes, a row for each block that has the phrase;
+    if the broadcast ``numbers`` are given, only of phrases with a word that has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, words, codes, starts, _ in _unpack(batch, size):
                 of = passed(lang, words.cast(pa.binary()).to_pylist(), codes, shared.value)
-                codes, lengths = codes[of], np.diff(starts)[of].astype(np.int64)
-                for at in range(0, len(codes), 50_000):
-                    part = codes[at : at + 50_000]
-                    named = [words.take(pa.array(part[:, k])) for k in range(size)]
-                    phrase = pc.binary_join_element_wise(*named, " ") if size > 1 else named[0]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), phrase, pa.array(lengths[at : at + 50_000])], names=["lang", "phrase", "f"])
+                if numbers:
+                    of &= ~numbers_of(lang, words, codes, numbers.value)[1]
+                yield from _named(lang, words, codes[of], np.diff(starts)[of].astype(np.int64))
 
     return lists.mapInArrow(run, "lang string, phrase string, f long")
 
 
+def text_lengths(named: DataFrame) -> DataFrame:
+    """(lang, phrase, f): lengths (lang, phrase, f) added up by phrase.
+
+    Tasks add up their own and send sorted phrases as one text for each of 64 slices, so that they compress well.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def merged() -> pa.Table:
+            return pa.Table.from_batches(held).group_by(["lang", "slice", "phrase"]).aggregate([("f", "sum")]).rename_columns({"f_sum": "f"}).combine_chunks() if held else None
+
+        def dealt(of: pa.Table) -> Iterator[pa.RecordBatch]:
+            of = of.sort_by([("lang", "ascending"), ("slice", "ascending"), ("phrase", "ascending")]).combine_chunks()
+            langs, slices, f = pc.dictionary_encode(of["lang"].combine_chunks()), of["slice"].to_numpy(), of["f"].combine_chunks()
+            group = langs.indices.to_numpy().astype(np.int64) << 6 | slices
+            starts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(of)).astype(np.int32)
+            phrases = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts), of["phrase"].combine_chunks()), "\n")
+            first = pa.array(starts[:-1])
+            yield pa.RecordBatch.from_arrays([of["lang"].combine_chunks().take(first), of["slice"].combine_chunks().take(first), phrases, pa.ListArray.from_arrays(pa.array(starts), f)], names=["lang", "slice", "phrases", "lengths"])
+
+        for batch in batches:
+            if batch.num_rows:
+                slices = word_hashes(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), pc.replace_substring(batch.column(1), " ", "_")), " ")[0].as_buffer()) >> np.uint64(58)
+                held.append(pa.RecordBatch.from_arrays([*batch.columns, pa.array(slices.astype(np.int32))], names=["lang", "phrase", "f", "slice"]))
+                n += batch.num_rows
+            if n >= HELD:
+                of = merged()
+                held, n = of.to_batches(), 0
+                if len(of) >= HELD:
+                    yield from dealt(of)
+                    held = []
+        if held:
+            yield from dealt(merged())
+
+    sent = named.mapInArrow(run, "lang string, slice int, phrases string, lengths array<long>").repartition("lang", "slice")
+    each = sent.select("lang", "slice", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("lengths").alias("f"))))
+    return each.groupBy("lang", "slice", "phrase").agg(F.sum("f").alias("f")).drop("slice")
+
+
 def frequencies(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT, longest: int = LONGEST, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(lang, words, phrase, f) of all phrases of up to ``longest`` words that occur ``min_count`` times, and (lang, n)."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     lists = materialise(word_lists(docs, block), "word-lists", **ROW_GROUPS)
     total = materialise(lists.groupBy("lang").agg(F.sum(F.octet_length("places") / 4).cast("long").alias("n")), "words")
-    found = []
+    found, numbers, complete, broadcast = [], None, False, docs.sparkSession.sparkContext.broadcast
     for size in range(1, longest + 1):
-        keys = materialise(frequent_keys(lists, size, min_count), "frequent-keys")
-        shared = docs.sparkSession.sparkContext.broadcast(bloom(keys))
-        discard(keys)
-        counted = list_lengths(lists, size, shared).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
-        found.append(materialise(counted, "frequent"))
+        tables = []
+        if 2 <= size <= NUMBERED:
+            tables.append(materialise(numbered_counts(lists, size, min_count, numbers), "numbered-counts"))
+        plain = size > NUMBERED or not complete
+        if plain:
+            tables.append(materialise(frequent_keys(lists, size, min_count, numbers), "frequent-keys"))
+        shared = broadcast(bloom(functools.reduce(DataFrame.unionByName, [x.select("hashes", "n") for x in tables])))
+        counted = [spelled(tables[0], size, numbers)] if 2 <= size <= NUMBERED else []
+        if plain:
+            counted.append(text_lengths(list_lengths(lists, size, shared, numbers)).where(F.col("f") >= min_count))
+        found.append(materialise(functools.reduce(DataFrame.unionByName, counted), "frequent"))
+        discard(*tables)
+        if size < min(longest, NUMBERED):
+            # the words of a frequent phrase are in shorter frequent ones
+            numbers, complete = numbered_words(found[-1], size + 1)
+            numbers = broadcast(numbers)
         if size < longest:
             longer = materialise(longer_lists(lists, size, shared), "phrase-lists", **ROW_GROUPS)
             discard(lists)

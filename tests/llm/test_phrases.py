@@ -84,3 +84,36 @@ def test_names_of_rare_phrases_are_not_exchanged(spark, monkeypatch):
 def test_packed_numbers_come_back():
     x = phrases.np.array([0, 1, 255, 256, 2**32 - 1])
     assert phrases._unpacked(phrases._packed(x)).tolist() == x.tolist()
+
+
+@pytest.mark.parametrize("words, named_as_text", [(1 << 18, [1]), (3, [1, 2, 3, 4]), (0, [1, 2, 3, 4])])
+def test_phrases_of_numbered_words_are_not_exchanged_as_text(spark, monkeypatch, words, named_as_text):
+    sizes, lengths = [], phrases.list_lengths
+    monkeypatch.setattr(phrases, "WORDS", words, raising=False)
+    monkeypatch.setattr(phrases, "HELD", 60)
+    monkeypatch.setattr(phrases, "list_lengths", lambda lists, size, *how: sizes.append(size) or lengths(lists, size, *how))
+    rng = random.Random(7)
+    rows = [(" ".join(rng.choices(["a", "b", "Ü", "dd", "e" * 140], k=25)) + ". " + " ".join(rng.choices("xyz", k=9)), rng.choice(["en", "fr", None])) for _ in range(150)]
+    assert found(frame(spark, rows), min_count=6, top=400, block=300) == plain(rows, 6, 4, 400)
+    assert sizes == [1, 2, 3, 4]  # the word of 140 bytes has no number
+    sizes.clear()
+    rows = [(text.replace("e" * 140, "e"), lang) for text, lang in rows]
+    assert found(frame(spark, rows), min_count=6, top=400, block=300) == plain(rows, 6, 4, 400)
+    assert sizes == named_as_text
+
+
+def test_exact_names_come_back():
+    for size in (2, 3, 4):
+        of = phrases.np.random.default_rng(size).integers(0, 1 << 64 // size, (500, size))
+        of[0], of[1] = 0, (1 << 64 // size) - 1
+        names = phrases.exact_names(of)
+        assert (phrases.named_words(names, size) == of).all() and len(set(names.tolist())) == len({tuple(x) for x in of.tolist()})
+    big = phrases.np.array([0, 2**32, 2**64 - 1], phrases.np.uint64)
+    assert phrases._unpacked(phrases._packed(big, 8), 8).tolist() == big.tolist()
+
+
+def test_words_that_share_a_hash_have_one_number(monkeypatch):
+    monkeypatch.setattr(phrases, "word_hashes", lambda raw: phrases.np.array([len(x) for x in raw.split()], phrases.np.uint64))
+    words = phrases.pa.array([b"ccc", b"a", b"ddd", b"bb"])
+    numbers = phrases.Numbers(words)
+    assert numbers(phrases.pa.array([b"a", b"bb", b"ddd", b"ccc", b"zz", b"eeeee"])).tolist() == [1, 2, -1, 0, -1, -1]
