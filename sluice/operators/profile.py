@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -17,84 +18,101 @@ from sluice.operators.staging import staged
 STATISTICS = ("rows", "nulls", "null_rate", "distinct", "distinct_rate", "minimum", "maximum", "mean", "median", "infinite", "min_length", "max_length", "blank", "earliest", "latest")
 
 
-def statistics(column: str, kind: T.DataType) -> dict[str, Column]:
-    """Plain aggregates of one column; those that do not fit its type are null. Numbers use finite values only."""
-    c = F.col(f"`{column}`")
-    finite = _finite(c)
-    number = isinstance(kind, T.NumericType)
-    text = isinstance(kind, T.StringType)
-    time = isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
-    only = lambda fits, e, as_: e.cast(as_) if fits else F.lit(None).cast(as_)
-    n, nulls = F.count("*"), F.count_if(c.isNull())
-    return {
-        "rows": n,
-        "nulls": nulls,
-        "null_rate": F.try_divide(nulls, n),
-        "minimum": only(number, F.min(finite), "double"),
-        "maximum": only(number, F.max(finite), "double"),
-        "mean": only(number, F.avg(finite), "double"),
-        "infinite": only(number, F.count_if(F.abs(c.cast("double")) == float("inf")), "long") if number else F.lit(None).cast("long"),
-        "min_length": only(text, F.min(F.length(c)), "long") if text else F.lit(None).cast("long"),
-        "max_length": only(text, F.max(F.length(c)), "long") if text else F.lit(None).cast("long"),
-        "blank": only(text, F.count_if(strip(c) == ""), "long") if text else F.lit(None).cast("long"),
-        "earliest": only(time, F.min(c), "string") if time else F.lit(None).cast("string"),
-        "latest": only(time, F.max(c), "string") if time else F.lit(None).cast("string"),
-    }
-
-
 def _finite(c: Column) -> Column:
     return F.when(~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")), c.cast("double"))
 
 
-def counted_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(i, value, number, n): how often each value of column i occurs, as text and, of numeric columns, as a finite double."""
+def _fits(kind: T.DataType) -> str:
+    """Which statistics fit a type: those of numbers, of texts, of dates, of times, or none."""
+    kinds = {"number": T.NumericType, "text": T.StringType, "date": T.DateType, "time": (T.TimestampType, T.TimestampNTZType)}
+    return next((name for name, of in kinds.items() if isinstance(kind, of)), "")
 
-    def entry(i: int, c: str) -> Column:
-        kind = df.schema[c].dataType
-        value = F.col(f"`{c}`") + F.lit(0.0) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(f"`{c}`")  # one zero
-        number = _finite(F.col(f"`{c}`")) + F.lit(0.0) if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
-        text = value if isinstance(kind, T.StringType) else F.to_json(F.struct(value.alias("v"))) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else value.cast("string")
-        return F.struct(F.lit(i).alias("i"), text.alias("value"), number.alias("number"))
 
-    entries = df.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(columns)])))
-    return entries.where("value is not null").groupBy("i", "value").agg(F.first("number").alias("number"), F.count("*").alias("n"))
+def counted_values(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:
+    """(i, given, number, infinite, length, blank, moment, n0, n1, ...): what the statistics need of each value of column i, null
+    included, and how often each of the ``frames``, whose columns have the same types, has it.
 
-
-def medians(counts: DataFrame) -> DataFrame:
-    """(i, median) from counted values: counts are summed up over sorted ranges, and the middle one or two values picked."""
-    placed = sorted_ranges(counts.where("number is not null").groupBy("i", "number").agg(F.sum("n").alias("n")), ["i", "number"], "values")
-    parts = placed.groupBy("i", "_range").agg(F.sum("n").alias("m"))  # a row for each range, and for each column in it
+    Each column is read and counted by itself in its own type; the frames' rows meet in the tasks before they are exchanged.
+    """
+    parts = []
+    for i, c in enumerate(columns):
+        kind, v = frames[0].schema[c].dataType, F.col("v")
+        value = F.col(f"`{c}`")
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.when(value.isNotNull(), F.to_json(F.struct(value.alias("v"))))
+        rows = functools.reduce(DataFrame.union, [df.select(value.alias("v"), F.lit(k).alias("k")) for k, df in enumerate(frames)])
+        counts = [F.count_if(F.col("k") == k).alias(f"n{k}") for k in range(len(frames))]
+        fits = _fits(kind)
+        facts = {
+            "number": (fits == "number", _finite(v), "double"),
+            "infinite": (fits == "number", F.abs(v.cast("double")) == float("inf"), "boolean"),
+            "length": (fits == "text", F.length(v), "long"),
+            "blank": (fits == "text", strip(v) == "", "boolean"),
+            "moment": (fits in ("date", "time"), F.unix_date(v) if fits == "date" else F.unix_micros(v.cast("timestamp")), "long"),
+        } if fits else {}
+        facts = [(facts[k][1] if facts and facts[k][0] else F.lit(None)).cast(as_).alias(k) for k, as_ in _FACTS.items()]
+        parts.append(rows.groupBy("v").agg(*counts).select(F.lit(i).alias("i"), v.isNotNull().alias("given"), *facts, *[f"n{k}" for k in range(len(frames))]))
+    return functools.reduce(DataFrame.union, parts)
+
+
+_FACTS = {"number": "double", "infinite": "boolean", "length": "long", "blank": "boolean", "moment": "long"}
+
+
+def medians(placed: DataFrame, n: str) -> DataFrame:
+    """(i, median) of values in sorted ranges, each ``n`` times: counts of ranges say which ranges hold the middle one or two
+    values, and only those are looked through."""
+    parts = placed.groupBy("i", "_range").agg(F.sum(n).alias("m"))  # a row for each range, and for each column in it
     before = F.coalesce(F.sum("m").over(Window.partitionBy("i").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.select("i", "_range", before.alias("before"), F.sum("m").over(Window.partitionBy("i")).alias("total"))
-    upto = F.sum("n").over(Window.partitionBy("i", "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
-    held = placed.join(F.broadcast(parts), ["i", "_range"]).withColumn("upto", F.col("before") + upto)
-    holds = lambda k: (F.col("upto") > k) & (F.col("upto") - F.col("n") <= k)
     low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    parts = parts.select("i", "_range", "m", before.alias("before"), F.sum("m").over(Window.partitionBy("i")).alias("total"))
+    parts = parts.where((F.col("before") <= high) & (F.col("before") + F.col("m") > low)).drop("m")
+    upto = F.sum(n).over(Window.partitionBy("i", "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    held = placed.join(F.broadcast(parts), ["i", "_range"]).withColumn("upto", F.col("before") + upto)
+    holds = lambda k: (F.col("upto") > k) & (F.col("upto") - F.col(n) <= k)
     return held.groupBy("i").agg(((F.max(F.when(holds(low), F.col("number"))) + F.max(F.when(holds(high), F.col("number")))) / 2).alias("median"))
 
 
+def _profiles(frames: Sequence[DataFrame], columns: Sequence[str]) -> list[DataFrame]:
+    """A profile of each frame, from values that are counted once for all; the frames' columns have the same types."""
+    spark, kinds = frames[0].sparkSession, [frames[0].schema[c].dataType for c in columns]
+    counts = staged(counted_values(frames, columns), "counted-values")
+    placed = sorted_ranges(counts.where("number is not null").select("i", "number", *[f"n{k}" for k in range(len(frames))]), ["i", "number"], "values")
+    names = spark.createDataFrame([(i, c, kind.simpleString(), _fits(kind)) for i, (c, kind) in enumerate(zip(columns, kinds))], "i int, column string, type string, fits string")
+
+    def one(n: str) -> DataFrame:
+        times = lambda where: F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0))
+        of, number = counts.where(F.col(n) > 0), F.col("number")
+        found = of.groupBy("i").agg(
+            F.sum(n).alias("rows"), times(~F.col("given")).alias("nulls"), F.count_if("given").alias("distinct"),
+            F.min(number).alias("minimum"), F.max(number).alias("maximum"), F.try_divide(F.sum(number * F.col(n)), F.sum(F.when(number.isNotNull(), F.col(n)))).alias("mean"),
+            times(F.col("infinite")).alias("infinite"), F.min("length").alias("min_length"), F.max("length").alias("max_length"), times(F.col("blank")).alias("blank"),
+            F.min("moment").alias("earliest"), F.max("moment").alias("latest"),
+        )
+        out = names.join(F.broadcast(found), "i", "left").join(F.broadcast(medians(placed, n)), "i", "left")
+        whole = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+        fit = lambda c, kind: F.when(F.col("fits") == kind, F.coalesce(c, F.lit(0))).cast("long")
+        moment = lambda c: F.when(F.col("fits") == "date", F.date_from_unix_date(F.col(c).cast("int")).cast("string")).when(F.col("fits") == "time", F.timestamp_micros(c).cast("string"))
+        out = out.withColumns({c: whole(c) for c in ("rows", "nulls", "distinct")} | {"infinite": fit("infinite", "number"), "blank": fit("blank", "text"), "earliest": moment("earliest"), "latest": moment("latest")})
+        return out.withColumns({"null_rate": F.try_divide("nulls", "rows"), "distinct_rate": F.try_divide("distinct", "rows")}).select("column", "type", *STATISTICS)
+
+    return [one(f"n{k}") for k in range(len(frames))]
+
+
 def column_profiles(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """A row for each column: plain aggregates in one pass; distinct counts and medians from values that are counted once.
+    """A row for each column, all from values that are counted once.
 
     Values are counted in the tasks before they are exchanged, and medians come from counts over sorted ranges, so no column
-    is gathered in one task and the input is not expanded by the number of distinct counts.
+    is gathered in one task and the input is not expanded by the number of columns or distinct counts.
     """
-    columns = list(columns or df.columns)
-    stats = {c: statistics(c, df.schema[c].dataType) for c in columns}
-    plain = [k for k in STATISTICS if k not in ("distinct", "distinct_rate", "median")]
-    wide = df.agg(*[e.alias(f"{i}_{k}") for i, c in enumerate(columns) for k, e in stats[c].items()])
-    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("type"), *[F.col(f"{i}_{k}").alias(k) for k in plain]) for i, c in enumerate(columns)])
-    counts = staged(counted_values(df, columns), "counted-values")
-    out = wide.select(F.inline(rows)).join(counts.groupBy("i").agg(F.count("*").alias("distinct")), "i", "left").join(medians(counts), "i", "left")
-    distinct = F.coalesce("distinct", F.lit(0))
-    return out.withColumns({"distinct": distinct, "distinct_rate": F.try_divide(distinct, F.col("rows"))}).select("column", "type", *STATISTICS)
+    return _profiles([df], list(columns or df.columns))[0]
 
 
 def both_profiles(raw: DataFrame, processed: DataFrame) -> DataFrame:
-    """Profiles of the raw and the processed columns under one another."""
-    hidden = lambda df: [c for c in df.columns if not c.startswith("_")]
-    one = lambda df, name: column_profiles(df, hidden(df)).withColumn("frame", F.lit(name))
-    return one(raw, "raw").unionByName(one(processed, "processed"))
+    """Profiles of the raw and the processed columns under one another; columns of the same types are counted together."""
+    kinds = [[(f.name, f.dataType) for f in df.schema if not f.name.startswith("_")] for df in (raw, processed)]
+    names = [[c for c, _ in of] for of in kinds]
+    one, other = _profiles([raw, processed], names[0]) if kinds[0] == kinds[1] else (column_profiles(raw, names[0]), column_profiles(processed, names[1]))
+    return one.withColumn("frame", F.lit("raw")).unionByName(other.withColumn("frame", F.lit("processed")))
 
 
 def review_metrics(df: DataFrame, flag: str = "needs_review") -> DataFrame:

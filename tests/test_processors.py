@@ -124,3 +124,23 @@ def test_dedup_metrics(spark):
 def test_column_statistics(spark):
     rows = {r["column"]: r for r in profile.column_profiles(spark.createDataFrame([(1.0, ""), (float("inf"), "abc"), (None, None)], "n double, s string")).collect()}
     assert rows["n"]["infinite"] == 1 and rows["n"]["median"] == 1.0 and rows["s"]["blank"] == 1 and rows["s"]["max_length"] == 3
+
+
+def test_both_profiles_count_values_once(spark, monkeypatch):
+    labels, staged = [], profile.staged
+    monkeypatch.setattr(profile, "staged", lambda df, label: labels.append(label) or staged(df, label))
+    rows = [(1, -0.0, " ", "2024-01-05", [1]), (2, 0.0, "ab", "2023-12-31", None), (4, float("nan"), None, None, [1]), (9, 3.0, "ab", "2024-02-01", [2]), (None, 5.0, "abc", None, None)]
+    df = spark.createDataFrame(rows, "n long, x double, s string, d string, a array<int>").withColumn("d", F.col("d").cast("date")).withColumn("_hidden", F.lit(1))
+    got = {(r["frame"], r["column"]): r for r in profile.both_profiles(df, df.where("n > 1")).collect()}
+    assert labels == ["counted-values"] and len(got) == 10
+    pick = lambda frame, c, *names: tuple(got[frame, c][k] for k in names)
+    assert pick("raw", "n", "rows", "nulls", "distinct", "minimum", "maximum", "mean", "median", "null_rate") == (5, 1, 4, 1.0, 9.0, 4.0, 3.0, 0.2)
+    assert pick("processed", "n", "rows", "nulls", "distinct", "minimum", "median") == (3, 0, 3, 2.0, 4.0)
+    assert pick("raw", "x", "distinct", "median", "infinite") == (4, 1.5, 0) and pick("processed", "x", "median", "mean") == (1.5, 1.5)
+    assert pick("raw", "s", "nulls", "distinct", "min_length", "max_length", "blank", "median") == (1, 3, 1, 3, 1, None)
+    assert pick("raw", "d", "earliest", "latest", "nulls", "infinite") == ("2023-12-31", "2024-02-01", 2, None)
+    assert pick("raw", "a", "distinct", "nulls") == (2, 2)
+    other = profile.both_profiles(df, df.select(F.col("n").cast("string"))).collect()
+    assert [(r["column"], r["type"], r["distinct"]) for r in other if r["frame"] == "processed"] == [("n", "string", 4)]
+    empty = profile.both_profiles(df, df.limit(0)).where("frame = 'processed' and column = 'n'").first()
+    assert (empty["rows"], empty["nulls"], empty["distinct"], empty["median"], empty["null_rate"], empty["infinite"]) == (0, 0, 0, None, None, 0)
