@@ -11,7 +11,8 @@ frequent words, from three words on those of the frequent phrases that begin one
 frequent if they are. The length of a list over all blocks is the phrase's exact frequency.
 
 A phrase's list stays in pieces, one for each block, and a level is done block by block where the lists are, so no list,
-however frequent its phrase, is gathered or sent anywhere. Words are first added up by keys of 40 bits of their hashes (as Park, Chen
+however frequent its phrase, is gathered or sent anywhere. Lists are written as differences in few bytes and compressed; steps that only
+count leave places unread. Words are first added up by keys of 40 bits of their hashes (as Park, Chen
 and Yu prune candidates by buckets), and then as text, if their key reaches the least count. For each longer size the most frequent
 words of the phrases found before (at most ``WORDS``, and ``BYTES`` of text) are numbered by language and sent to all tasks. A phrase
 of two to four numbered words is named exactly by 64 bits, and lengths are added up by these names, of which sorted ones take a few bytes
@@ -49,8 +50,11 @@ from sluice.llm.jaccard import _mix, word_hashes
 MIN_COUNT, LONGEST, TOP, WITHIN_PERCENT = 30, 4, 2_000, 80
 #: Bytes of text in a block, about.
 BLOCK = 1 << 20
-#: A block's lists are one row of some MB; files hold few of them together, so readers and writers do as well.
-ROW_GROUPS = {"parquet.block.row.count.limit": "4", "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
+#: A block's lists are one row of up to some MB; files hold few of them together, so readers and writers do as well.
+ROW_GROUPS = {"parquet.block.row.count.limit": "4", "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"} | {
+    "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
+}
 #: Most words of a filter, and words in a slice of it.
 SLOTS, SLICE = 1 << 20, 1 << 12
 #: Bits of a key, of which the first 8 number its slice; keys that a task holds, about, before it adds them up and sends them.
@@ -79,6 +83,14 @@ def stretches(raw: bytes, most: int = BLOCK) -> Iterator[bytes]:
         yield raw
 
 
+def in_order(x: np.ndarray) -> np.ndarray:
+    """The stable ascending order of numbers from 0, by 16 bits of them at a time."""
+    order = np.argsort((x & 0xFFFF).astype(np.uint16), kind="stable")
+    for shift in range(16, int(x.max(initial=0)).bit_length(), 16):
+        order = order[np.argsort((x[order] >> shift & 0xFFFF).astype(np.uint16), kind="stable")]
+    return order
+
+
 class Block:
     """The words of some texts of one language by place."""
 
@@ -95,26 +107,64 @@ class Block:
     def lists(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Words, where each one's list begins, and all lists after each other."""
         at = np.concatenate(self.parts)
-        order = np.argsort(at, kind="stable").astype(np.int32)
+        order = in_order(at).astype(np.int32)
         starts = np.searchsorted(at[order], np.arange(1, len(self.codes) + 1))
         return [w for w in self.codes if w != b"."], starts, order
 
 
-#: A block's lists: its language and words, of each list the words' numbers, where it begins, and all lists after each other.
-PACKED = "lang string, words array<string>, codes binary, starts binary, places binary"
+#: A block's lists: its language, how many places they have, its words with a blank between them, of each list the words' numbers, its
+#: length, and all lists after each other. Numbers are packed as differences.
+PACKED = "lang string, n long, words binary, codes binary, lengths binary, places binary"
+#: What is read where places are not.
+NAMED = ["lang", "words", "codes", "lengths"]
 
 
-def _pack(lang: str, words: list, codes: np.ndarray, starts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    raw = [pa.array([x.astype("<i4").tobytes()], pa.binary()) for x in (codes, starts, places)]
-    words = pa.array([words], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
-    return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), words, *raw], names=["lang", "words", "codes", "starts", "places"])
+def _pack(lang: str, words: bytes, codes: np.ndarray, starts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    lengths, first = np.diff(starts), starts[:-1]
+    step = np.diff(places, prepend=0)
+    step[first] = places[first]
+    # one column of codes after the other; signs are the lowest bit
+    turn = np.diff(codes.T.ravel().astype(np.int64), prepend=0)
+    raw = [pa.array([x], pa.binary()) for x in (words, _narrow(turn << 1 ^ turn >> 63), _narrow(lengths), _narrow(step))]
+    return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([len(places)], pa.int64()), *raw], names=["lang", "n", "words", "codes", "lengths", "places"])
 
 
-def _unpack(batch: pa.RecordBatch, size: int) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-    """Language, words, codes (lists x ``size``), starts and places of each block."""
+def _unpack(batch: pa.RecordBatch, size: int) -> Iterator[tuple[str, bytes, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Language, words, codes (lists x ``size``), starts and, if they were read, places of each block."""
     for i in range(batch.num_rows):
-        codes, starts, places = (np.frombuffer(batch.column(c)[i].as_buffer(), "<i4") for c in (2, 3, 4))
-        yield batch.column(0)[i].as_py(), batch.column(1)[i].values, codes.reshape(-1, size), starts, places
+        row = {name: batch.column(name)[i] for name in batch.schema.names}
+        turn, lengths = (_widened(row[name].as_buffer()).astype(np.int64) for name in ("codes", "lengths"))
+        codes = np.cumsum(turn >> 1 ^ -(turn & 1)).reshape(size, -1).T
+        starts, places = np.append(0, np.cumsum(lengths)), None
+        if "places" in row:
+            step = _widened(row["places"].as_buffer()).astype(np.int64)
+            places = np.cumsum(step)
+            places -= np.repeat(places[starts[:-1]] - step[starts[:-1]], lengths)
+        yield row["lang"].as_py(), row["words"].as_py(), codes, starts, places
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    """Numbers from 0 below 2^32 by their first, second, ... bytes, as many as the largest one needs; that many comes first."""
+    size = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([size]) + x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :size].T.tobytes()
+
+
+def _widened(raw: bytes) -> np.ndarray:
+    raw = np.frombuffer(raw, np.uint8)
+    size = int(raw[0])
+    out = np.zeros(((len(raw) - 1) // size, 4), np.uint8)
+    out[:, :size] = raw[1:].reshape(size, -1).T
+    return out.view("<u4").ravel()
+
+
+def split_words(words: bytes) -> pa.Array:
+    """The words that ``joined_words`` gave."""
+    return pc.split_pattern(pa.array([words], pa.binary()), b" ").values
+
+
+def joined_words(words: pa.Array) -> bytes:
+    """Words with a blank between them; they hold none themselves."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")[0].as_py()
 
 
 def word_lists(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -129,7 +179,7 @@ def word_lists(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                 words, starts, places = own.lists()
                 if words:
                     # lists begin behind that of the breaks
-                    yield _pack(lang, words, np.arange(len(words)), starts - starts[0], places[starts[0] :])
+                    yield _pack(lang, b" ".join(words), np.arange(len(words))[:, None], starts - starts[0], places[starts[0] :])
             held.clear()
 
         for batch in batches:
@@ -158,9 +208,9 @@ def extended(starts: np.ndarray, names: np.ndarray, places: np.ndarray, words: n
     return starts[met], names[met], words[at[met]]
 
 
-def phrase_hashes(lang: str, words: list[bytes], codes: np.ndarray) -> np.ndarray:
+def phrase_hashes(lang: str, words: bytes, codes: np.ndarray) -> np.ndarray:
     """64-bit hashes of phrases given by their words' numbers."""
-    return joined_hashes(lang, word_hashes(b" ".join(words)), codes)
+    return joined_hashes(lang, word_hashes(words), codes)
 
 
 def joined_hashes(lang: str, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -172,7 +222,7 @@ def joined_hashes(lang: str, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def phrase_keys(lang: str, words: list[bytes], codes: np.ndarray) -> np.ndarray:
+def phrase_keys(lang: str, words: bytes, codes: np.ndarray) -> np.ndarray:
     """The first ``KEY`` bits of phrases' hashes."""
     return phrase_hashes(lang, words, codes) >> np.uint64(64 - KEY)
 
@@ -217,7 +267,7 @@ class Numbers:
 
     def __call__(self, words: pa.Array) -> np.ndarray:
         """Each word's number, or -1."""
-        own = word_hashes(b" ".join(words.to_pylist()))
+        own = word_hashes(joined_words(words))
         at = np.minimum(np.searchsorted(self.sorted, own), len(self.sorted) - 1)
         found = self.of[at]
         same = pc.equal(self.words.take(pa.array(found)), words).to_numpy(zero_copy_only=False)
@@ -242,11 +292,11 @@ def numbered_words(frequent: DataFrame, size: int) -> tuple[dict[str, Numbers],
     return out, sum(len(x.words) for x in out.values()) == words.count()
 
 
-def numbers_of(lang: str, words: pa.Array, codes: np.ndarray, numbers: dict[str, Numbers]) -> tuple[np.ndarray, np.ndarray]:
+def numbers_of(lang: str, words: bytes, codes: np.ndarray, numbers: dict[str, Numbers]) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of the words of each phrase, and which phrases have one for every word."""
     if lang not in numbers or not len(codes) or codes.shape[1] > NUMBERED:
         return codes, np.zeros(len(codes), bool)
-    of = numbers[lang](words.cast(pa.binary()))[codes]
+    of = numbers[lang](split_words(words))[codes]
     return of, (of >= 0).all(1)
 
 
@@ -335,7 +385,7 @@ def numbered_counts(lists: DataFrame, size: int, min_count: int, shared) -> Data
         if at is not None:
             yield from found()
 
-    dealt = lists.mapInArrow(count, "lang string, slice int, names binary, counts binary").repartition("lang", "slice").sortWithinPartitions("lang", "slice")
+    dealt = lists.select(NAMED).mapInArrow(count, "lang string, slice int, names binary, counts binary").repartition("lang", "slice").sortWithinPartitions("lang", "slice")
     return dealt.mapInArrow(total, "lang string, names binary, counts binary, hashes binary, n long")
 
 
@@ -387,7 +437,7 @@ def frequent_keys(lists: DataFrame, size: int, min_count: int, numbers=None) ->
                 if numbers:
                     of = ~numbers_of(lang, words, codes, numbers.value)[1]
                     codes, lengths = codes[of], lengths[of]
-                new.append((phrase_keys(lang, words.cast(pa.binary()).to_pylist(), codes), lengths))
+                new.append((phrase_keys(lang, words, codes), lengths))
                 n += len(codes)
                 if n >= HELD:
                     held, new, n = added_up(*map(np.concatenate, zip(held, *new)), min_count), [], 0
@@ -420,7 +470,7 @@ def frequent_keys(lists: DataFrame, size: int, min_count: int, numbers=None) ->
         if at is not None:
             yield found()
 
-    dealt = lists.mapInArrow(count, "slice int, keys binary, counts binary").repartition("slice").sortWithinPartitions("slice")
+    dealt = lists.select(NAMED).mapInArrow(count, "slice int, keys binary, counts binary").repartition("slice").sortWithinPartitions("slice")
     return dealt.mapInArrow(total, "hashes binary, n long")
 
 
@@ -453,29 +503,29 @@ def bloom(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-def passed(lang: str, names: list[bytes], codes: np.ndarray, held: np.ndarray) -> np.ndarray:
+def passed(lang: str, words: bytes, codes: np.ndarray, held: np.ndarray) -> np.ndarray:
     """Which phrases the filter lets through."""
-    slot, bits = _bits(phrase_keys(lang, names, codes), len(held))
+    slot, bits = _bits(phrase_keys(lang, words, codes), len(held))
     return (held[slot] & bits) == bits
 
 
-def extend_block(lang: str, words: pa.Array, codes: np.ndarray, starts: np.ndarray, places: np.ndarray, held: np.ndarray):
+def extend_block(lang: str, words: bytes, codes: np.ndarray, starts: np.ndarray, places: np.ndarray, held: np.ndarray):
     """One level for one block: the lists that the filter passes give the lists of phrases one word longer."""
-    names = words.cast(pa.binary()).to_pylist()
+    names = split_words(words)
     lengths = np.diff(starts)
-    lists = np.repeat(np.arange(len(codes)), lengths)[of := np.repeat(passed(lang, names, codes, held), lengths)]
+    lists = np.repeat(np.arange(len(codes)), lengths)[of := np.repeat(passed(lang, words, codes, held), lengths)]
     own = places[of]
-    order = np.argsort(own, kind="stable")
-    own, lists = own[order].astype(np.int64), lists[order]
+    order = in_order(own)
+    own, lists = own[order], lists[order]
     begins, left, right = extended(own, lists, own, lists, 1)
     last = codes[right, -1].astype(np.int64)
     key = left * np.int64(len(names) + 1) + last
-    order = np.argsort(key, kind="stable")  # places stay ascending in each list
+    order = in_order(key)  # places stay ascending in each list
     key = key[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
     longer = np.concatenate([codes[left[order[first]]], last[order[first], None]], axis=1)
     used, longer_codes = np.unique(longer, return_inverse=True)
-    return [names[i] for i in used], longer_codes.reshape(longer.shape), np.append(first, len(key)), begins[order]
+    return joined_words(names.take(pa.array(used))), longer_codes.reshape(longer.shape), np.append(first, len(key)), begins[order]
 
 
 def longer_lists(lists: DataFrame, size: int, shared) -> DataFrame:
@@ -498,12 +548,12 @@ def list_lengths(lists: DataFrame, size: int, shared, numbers=None) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, words, codes, starts, _ in _unpack(batch, size):
-                of = passed(lang, words.cast(pa.binary()).to_pylist(), codes, shared.value)
+                of = passed(lang, words, codes, shared.value)
                 if numbers:
                     of &= ~numbers_of(lang, words, codes, numbers.value)[1]
-                yield from _named(lang, words, codes[of], np.diff(starts)[of].astype(np.int64))
+                yield from _named(lang, split_words(words).cast(pa.string()), codes[of], np.diff(starts)[of].astype(np.int64))
 
-    return lists.mapInArrow(run, "lang string, phrase string, f long")
+    return lists.select(NAMED).mapInArrow(run, "lang string, phrase string, f long")
 
 
 def text_lengths(named: DataFrame) -> DataFrame:
@@ -516,7 +566,7 @@ def text_lengths(named: DataFrame) -> DataFrame:
         held, n = [], 0
 
         def merged() -> pa.Table:
-            return pa.Table.from_batches(held).group_by(["lang", "slice", "phrase"]).aggregate([("f", "sum")]).rename_columns({"f_sum": "f"}).combine_chunks() if held else None
+            return pa.Table.from_batches(held).group_by(["lang", "slice", "phrase"]).aggregate([("f", "sum")]).rename_columns({"f_sum": "f"}).select(["lang", "phrase", "f", "slice"]).combine_chunks()
 
         def dealt(of: pa.Table) -> Iterator[pa.RecordBatch]:
             of = of.sort_by([("lang", "ascending"), ("slice", "ascending"), ("phrase", "ascending")]).combine_chunks()
@@ -551,7 +601,7 @@ def frequencies(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lan
     small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     lists = materialise(word_lists(docs, block), "word-lists", **ROW_GROUPS)
-    total = materialise(lists.groupBy("lang").agg(F.sum(F.octet_length("places") / 4).cast("long").alias("n")), "words")
+    total = materialise(lists.groupBy("lang").agg(F.sum("n").alias("n")), "words")
     found, numbers, complete, broadcast = [], None, False, docs.sparkSession.sparkContext.broadcast
     for size in range(1, longest + 1):
         tables = []

@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from sluice.llm import phrases
@@ -117,3 +118,47 @@ def test_words_that_share_a_hash_have_one_number(monkeypatch):
     words = phrases.pa.array([b"ccc", b"a", b"ddd", b"bb"])
     numbers = phrases.Numbers(words)
     assert numbers(phrases.pa.array([b"a", b"bb", b"ddd", b"ccc", b"zz", b"eeeee"])).tolist() == [1, 2, -1, 0, -1, -1]
+
+
+def test_lists_take_a_few_bytes_a_word(spark, monkeypatch):
+    written, materialise = {}, phrases.materialise
+
+    def watched(df, label, **how):
+        out = materialise(df, label, **how)
+        written[label] = max(written.get(label, 0), sum(Path(x.removeprefix("file:")).stat().st_size for x in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(phrases, "materialise", watched)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{min(int(rng.paretovariate(0.7)), 3000)}" for _ in range(500)) for _ in range(200)]
+    phrases.frequencies(frame(spark, [(t, "en") for t in texts], 1))
+    # plain numbers of 32 bits: 416,109 bytes of word lists
+    assert written["word-lists"] < 3 * 100_000 and written["phrase-lists"] < 5 * 100_000
+
+
+def test_packed_lists_come_back():
+    np = phrases.np
+    rng = np.random.default_rng(1)
+    for size, lists, most in ((1, 1, 1), (2, 40, 300), (3, 2000, 70_000), (2, 5, 1 << 24)):
+        codes = rng.integers(0, most, (lists, size))
+        lengths = rng.integers(1, 9, lists)
+        starts = np.append(0, np.cumsum(lengths))
+        places = np.concatenate([np.sort(rng.choice(most * 9, n, replace=False)) for n in lengths])
+        batch = phrases._pack("en", "ä b".encode(), codes, starts, places.astype(np.int32))
+        ((lang, words, *back),) = phrases._unpack(batch, size)
+        assert (lang, phrases.split_words(words).to_pylist(), phrases.joined_words(phrases.split_words(words))) == ("en", ["ä".encode(), b"b"], words)
+        assert all(np.array_equal(a, b) for a, b in zip(back, (codes, starts, places)))
+        ((*_, starts_again, none),) = phrases._unpack(batch.select(phrases.NAMED), size)
+        assert none is None and np.array_equal(starts_again, starts)
+    for most in (1, 1 << 16, 1 << 20, 1 << 50):
+        x = rng.integers(0, most, 5000)
+        assert np.array_equal(phrases.in_order(x), np.argsort(x, kind="stable"))
+    assert len(phrases.in_order(np.zeros(0, np.int64))) == 0
+
+
+def test_lengths_of_a_task_are_added_up_more_than_once(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "HELD", 600)
+    phrases.small_batches(spark)
+    named = spark.range(0, 4000, 1, 1).selectExpr("'en' AS lang", "concat('a b', id % 7) AS phrase", "id AS f")
+    want = {(f"a b{k}", sum(range(k, 4000, 7))) for k in range(7)}
+    assert {(r["phrase"], r["f"]) for r in phrases.text_lengths(named).collect()} == want
